@@ -1,0 +1,18 @@
+"""riskflow: streaming fraud scoring as Spark DataFrame operators.
+
+Functions that run inside Python workers (Avro fallback codec, explainer
+mapping) are pickled by value, so executors need no install of this package.
+"""
+
+import sys as _sys
+
+
+def _ship_by_value() -> None:
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - an installed package works by reference
+        pass
+
+
+_ship_by_value()

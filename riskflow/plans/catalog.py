@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow.config import DEFAULT
+from riskflow.functions import wire
 from riskflow.functions.eventtime import to_event_time
-from riskflow.operators import immediate, velocity
+from riskflow.operators import immediate, ingest, velocity
 from riskflow.plans.compare import comparable
 from riskflow.sources.fixtures import read_transactions
 
@@ -27,6 +29,30 @@ def q_transactions(spark, sf_dir):
     return read_transactions(spark, sf_dir)
 
 
+def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions framed as registry-Avro topic messages (key = user_id)."""
+    return ingest.to_wire(read_transactions(spark, sf_dir))
+
+
+def q_header_fields(spark, sf_dir):
+    v = F.col("value")
+    return wire_messages(spark, sf_dir).select(
+        F.col("key").cast("string").alias("key"), wire.magic_byte(v).alias("magic_byte"),
+        wire.schema_id(v).alias("schema_id"), F.length(v).alias("wire_length"))
+
+
+def q_strip_header(spark, sf_dir):
+    body = wire.strip_header(F.col("value"))
+    return wire_messages(spark, sf_dir).select(
+        F.col("key").cast("string").alias("key"), F.length(body).alias("body_length"),
+        F.hex(F.substring(body, 1, 1)).alias("first_byte"),
+        F.hex(F.substring(body, -1, 1)).alias("last_byte"))
+
+
+def q_wire_roundtrip(spark, sf_dir):
+    return ingest.decode_transactions(wire_messages(spark, sf_dir))
+
+
 def q_event_time(spark, sf_dir):
     return comparable(timed_transactions(spark, sf_dir).select("transaction_id", "timestamp"))
 
@@ -65,6 +91,9 @@ def q_flag_windowed_closed(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
+        "header_fields": q_header_fields,
+        "strip_header": q_strip_header,
+        "wire_roundtrip": q_wire_roundtrip,
         "event_time": q_event_time,
         "score_immediate": q_score_immediate,
         "flag_immediate": q_flag_immediate,

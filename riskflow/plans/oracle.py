@@ -81,6 +81,28 @@ FEATURE_COLS = ("window_start, window_end, user_id, window_amount, window_count,
                 "avg_amount, max_amount, velocity")
 
 
+def _varint_len(n: str) -> str:
+    """Bytes of an Avro varint holding the non-negative (zigzagged) ``n``."""
+    whens = " ".join(f"WHEN {n} < {1 << (7 * k)} THEN {k}" for k in range(1, 10))
+    return f"(CASE {whens} ELSE 10 END)"
+
+
+def _avro_string_len(s: str) -> str:
+    return f"({_varint_len(f'2 * strlen({s})')} + strlen({s}))"
+
+
+# Avro body size of one transaction: strings are zigzag length + UTF-8,
+# double 8 bytes, the optional category has a 1-byte branch index, timestamp
+# a zigzag varint, boolean 1 byte.
+BODY_LEN = " + ".join([
+    _avro_string_len("transaction_id"), _avro_string_len("user_id"), "8",
+    _avro_string_len("currency"), _avro_string_len("merchant"),
+    f"(1 + CASE WHEN category IS NULL THEN 0 ELSE {_avro_string_len('category')} END)",
+    _varint_len('2 * "timestamp"'), _avro_string_len("country"),
+    _avro_string_len("device_type"), "1",
+])
+
+
 def _q(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
@@ -88,6 +110,16 @@ def _q(ctes: str, body: str) -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "transactions": _q(TX, "SELECT * FROM tx"),
+        "header_fields": _q(TX, f"""
+            SELECT user_id AS key, 0 AS magic_byte, CAST(1 AS BIGINT) AS schema_id,
+                   CAST(5 + {BODY_LEN} AS INTEGER) AS wire_length
+            FROM tx"""),
+        "strip_header": _q(TX, f"""
+            SELECT user_id AS key, CAST({BODY_LEN} AS INTEGER) AS body_length,
+                   printf('%02X', 2 * strlen(transaction_id)) AS first_byte,
+                   CASE WHEN is_fraud THEN '01' ELSE '00' END AS last_byte
+            FROM tx"""),
+        "wire_roundtrip": _q(TX, "SELECT * FROM tx"),
         "event_time": _q(TIMED, 'SELECT transaction_id, "timestamp" FROM timed'),
         "score_immediate": _q(SCORED, "SELECT * FROM scored"),
         "flag_immediate": _q(FLAGGED_IMMEDIATE, "SELECT * FROM flagged_immediate"),
