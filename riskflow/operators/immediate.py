@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskflow.config import DEFAULT, FraudConfig
 from riskflow.functions.rules import RuleSet
-from riskflow.schemas import FLAGGED_IMMEDIATE_COLUMNS
+from riskflow.schemas import FLAGGED_IMMEDIATE_COLUMNS  # noqa: F401 - re-exported
 
 
 def reason_rules(cfg: FraudConfig = DEFAULT) -> RuleSet:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskflow.config import DEFAULT
 from riskflow.functions import wire
 from riskflow.functions.eventtime import to_event_time
-from riskflow.operators import immediate, ingest, velocity
+from riskflow.operators import explain, immediate, ingest, payload, velocity
 from riskflow.plans.compare import comparable
 from riskflow.sources.fixtures import read_transactions
 
@@ -88,6 +88,77 @@ def q_flag_windowed_closed(spark, sf_dir):
     return comparable(velocity.flag_windowed(closed, DEFAULT))
 
 
+def flag_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(transaction-flag payloads, closed-window-flag payloads) as (key, value)."""
+    timed = timed_transactions(spark, sf_dir)
+    imm = payload.to_payload(immediate.flag_immediate(timed, DEFAULT))
+    win = payload.to_payload(velocity.flag_windowed(
+        velocity.closed_velocity_features(timed, DEFAULT), DEFAULT))
+    return imm, win
+
+
+def _parsed_back(messages: DataFrame, columns: list[str]) -> DataFrame:
+    parsed = payload.parse_flags(messages)
+    return comparable(parsed.select(F.col("record_key").alias("key"), *columns))
+
+
+def q_payload_immediate(spark, sf_dir):
+    imm, _ = flag_payloads(spark, sf_dir)
+    return _parsed_back(imm, immediate.FLAGGED_IMMEDIATE_COLUMNS)
+
+
+def q_payload_windowed(spark, sf_dir):
+    _, win = flag_payloads(spark, sf_dir)
+    return _parsed_back(win, velocity.FLAGGED_WINDOWED_COLUMNS)
+
+
+def parsed_flagged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payload.parse_flags(payload.flagged_topic(*flag_payloads(spark, sf_dir)))
+
+
+def q_flagged_topic(spark, sf_dir):
+    parsed = parsed_flagged_topic(spark, sf_dir)
+    return comparable(parsed.drop("raw_value", "_corrupt_record"))
+
+
+def demo_explainer(record: dict, prompt: str) -> str:
+    """Deterministic stand-in for a model call: a one-line template, and a
+    refusal (non-retryable error) for HIGH_AVERAGE flags so the dead-letter
+    route carries rows."""
+    reason = record.get("fraud_reason")
+    if reason == "HIGH_AVERAGE":
+        raise ValueError("explainer refused HIGH_AVERAGE")
+    if "window" in record:
+        subject = f"user {record.get('user_id')} in a sliding window"
+    else:
+        subject = f"transaction {record.get('transaction_id')}"
+    return f"Flagged {subject} as {reason} with rule score {record.get('rule_score')}."
+
+
+def explain_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = parsed_flagged_topic(spark, sf_dir)
+    good = parsed.filter(F.col("_corrupt_record").isNull())
+    return explain.explain_flags(good, demo_explainer, DEFAULT)
+
+
+EXPLAIN_VIEW = ["record_key", "shape", "transaction_id", "user_id", "window",
+                "fraud_reason", "rule_score", "status", "attempts"]
+
+
+def q_explained(spark, sf_dir):
+    out = explain.explained(explain_results(spark, sf_dir))
+    return comparable(out.select(*EXPLAIN_VIEW, "llm_explanation"))
+
+
+def q_dead_letters(spark, sf_dir):
+    out = explain.dead_letters(explain_results(spark, sf_dir))
+    return comparable(out.select(*EXPLAIN_VIEW, "error"))
+
+
+def q_explain_summary(spark, sf_dir):
+    return explain.summary(explain_results(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -102,4 +173,10 @@ def queries() -> dict[str, Query]:
         "flag_windowed": q_flag_windowed,
         "closed_windows": q_closed_windows,
         "flag_windowed_closed": q_flag_windowed_closed,
+        "payload_immediate": q_payload_immediate,
+        "payload_windowed": q_payload_windowed,
+        "flagged_topic": q_flagged_topic,
+        "explained": q_explained,
+        "dead_letters": q_dead_letters,
+        "explain_summary": q_explain_summary,
     }

@@ -103,6 +103,30 @@ BODY_LEN = " + ".join([
 ])
 
 
+# Both flag flows on one topic, read back with the superset schema.
+IMMEDIATE_AS_SUPERSET = """
+  SELECT transaction_id, user_id, amount, currency, merchant, "timestamp", fraud_reason,
+         rule_score, is_fraud, CAST(NULL AS BIGINT) AS window_start, CAST(NULL AS BIGINT) AS window_end,
+         CAST(NULL AS DOUBLE) AS window_amount, CAST(NULL AS BIGINT) AS window_count,
+         CAST(NULL AS DOUBLE) AS avg_amount, CAST(NULL AS DOUBLE) AS max_amount,
+         CAST(NULL AS DOUBLE) AS velocity, 'transaction' AS shape, user_id AS record_key
+  FROM flagged_immediate"""
+
+WINDOWED_AS_SUPERSET = """
+  SELECT CAST(NULL AS VARCHAR) AS transaction_id, user_id, CAST(NULL AS DOUBLE) AS amount,
+         CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS VARCHAR) AS merchant,
+         CAST(NULL AS BIGINT) AS "timestamp", fraud_reason, rule_score,
+         CAST(NULL AS BOOLEAN) AS is_fraud, window_start, window_end, window_amount,
+         window_count, avg_amount, max_amount, velocity, 'window' AS shape, user_id AS record_key
+  FROM flagged_closed"""
+
+ALL_FLAGS = (SCORED_WINDOWED + SCORED[len(TIMED):] + FLAGGED_IMMEDIATE[len(SCORED):]
+             + ",\ntopic AS (" + IMMEDIATE_AS_SUPERSET + "\n  UNION ALL" + WINDOWED_AS_SUPERSET + ")")
+
+EXPLAIN_SUBJECT = """CASE WHEN shape = 'window' THEN 'user ' || user_id || ' in a sliding window'
+                          ELSE 'transaction ' || transaction_id END"""
+
+
 def _q(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
@@ -128,4 +152,26 @@ def oracle_sql() -> dict[str, str]:
         "flag_windowed": _q(SCORED_WINDOWED, "SELECT * FROM flagged_windowed"),
         "closed_windows": _q(SCORED_WINDOWED, f"SELECT {FEATURE_COLS} FROM closed"),
         "flag_windowed_closed": _q(SCORED_WINDOWED, "SELECT * FROM flagged_closed"),
+        "payload_immediate": _q(FLAGGED_IMMEDIATE,
+                                "SELECT user_id AS key, * FROM flagged_immediate"),
+        "payload_windowed": _q(SCORED_WINDOWED, f"""
+            SELECT user_id AS key, window_start, window_end, user_id, window_amount,
+                   window_count, avg_amount, max_amount, velocity, fraud_reason, rule_score
+            FROM flagged_closed"""),
+        "flagged_topic": _q(ALL_FLAGS, "SELECT * FROM topic"),
+        "explained": _q(ALL_FLAGS, f"""
+            SELECT record_key, shape, transaction_id, user_id, window_start, window_end,
+                   fraud_reason, rule_score, 'SUCCESS' AS status, 1 AS attempts,
+                   'Flagged ' || {EXPLAIN_SUBJECT} || ' as ' || fraud_reason
+                     || ' with rule score ' || CAST(rule_score AS VARCHAR) || '.' AS llm_explanation
+            FROM topic WHERE fraud_reason <> 'HIGH_AVERAGE'"""),
+        "dead_letters": _q(ALL_FLAGS, """
+            SELECT record_key, shape, transaction_id, user_id, window_start, window_end,
+                   fraud_reason, rule_score, 'FAILED' AS status, 1 AS attempts,
+                   'explainer refused HIGH_AVERAGE' AS error
+            FROM topic WHERE fraud_reason = 'HIGH_AVERAGE'"""),
+        "explain_summary": _q(ALL_FLAGS, """
+            SELECT CASE WHEN fraud_reason = 'HIGH_AVERAGE' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+                   count(*) AS n
+            FROM topic GROUP BY 1"""),
     }
