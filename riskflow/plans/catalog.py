@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow import workspace
 from riskflow.config import DEFAULT
 from riskflow.functions import wire
 from riskflow.functions.eventtime import to_event_time
 from riskflow.operators import explain, immediate, ingest, payload, velocity
 from riskflow.plans.compare import comparable
 from riskflow.sources.fixtures import read_transactions
+from riskflow.sources.topic import FileTopic, produce
+from riskflow.streaming.pipeline import start_pipeline
+from riskflow.streaming.sinks import TableSink, TopicSink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +163,51 @@ def q_explain_summary(spark, sf_dir):
     return explain.summary(explain_results(spark, sf_dir))
 
 
+_STREAM_RUNS: dict[tuple, str] = {}
+
+
+def stream_run(spark: SparkSession, sf_dir: str) -> str:
+    """Run the streaming application once over the whole input.
+
+    The transactions are framed onto a raw topic (the load generator's
+    part), then the application's queries consume it with an
+    ``availableNow`` trigger: both flag flows to the flagged topic, plus row
+    tables of features and flags for checking.  Returns the run folder.
+    """
+    key = (id(spark), sf_dir)
+    if key not in _STREAM_RUNS:
+        run = workspace.new_run(spark, "stream")
+        raw = FileTopic(run, DEFAULT.raw_topic)
+        produce(wire_messages(spark, sf_dir), raw)
+        p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
+                           f"{run}/checkpoints", DEFAULT, trigger={"availableNow": True},
+                           feature_sink=TableSink(f"{run}/features"),
+                           immediate_sink=TableSink(f"{run}/flagged_immediate"),
+                           windowed_sink=TableSink(f"{run}/flagged_windowed"),
+                           name_suffix="-" + run.rsplit("-", 1)[-1])
+        p.await_termination()
+        _STREAM_RUNS[key] = run
+    return _STREAM_RUNS[key]
+
+
+def q_stream_flag_immediate(spark, sf_dir):
+    return comparable(spark.read.parquet(f"{stream_run(spark, sf_dir)}/flagged_immediate"))
+
+
+def q_stream_closed_windows(spark, sf_dir):
+    return comparable(spark.read.parquet(f"{stream_run(spark, sf_dir)}/features"))
+
+
+def q_stream_flag_windowed(spark, sf_dir):
+    return comparable(spark.read.parquet(f"{stream_run(spark, sf_dir)}/flagged_windowed"))
+
+
+def q_stream_flagged_topic(spark, sf_dir):
+    topic = FileTopic(stream_run(spark, sf_dir), DEFAULT.flagged_topic)
+    parsed = payload.parse_flags(topic.read(spark))
+    return comparable(parsed.drop("raw_value", "_corrupt_record"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "transactions": q_transactions,
@@ -179,4 +228,8 @@ def queries() -> dict[str, Query]:
         "explained": q_explained,
         "dead_letters": q_dead_letters,
         "explain_summary": q_explain_summary,
+        "stream_flag_immediate": q_stream_flag_immediate,
+        "stream_closed_windows": q_stream_closed_windows,
+        "stream_flag_windowed": q_stream_flag_windowed,
+        "stream_flagged_topic": q_stream_flagged_topic,
     }

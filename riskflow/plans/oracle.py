@@ -132,7 +132,7 @@ def _q(ctes: str, body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    out = {
         "transactions": _q(TX, "SELECT * FROM tx"),
         "header_fields": _q(TX, f"""
             SELECT user_id AS key, 0 AS magic_byte, CAST(1 AS BIGINT) AS schema_id,
@@ -175,3 +175,9 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS n
             FROM topic GROUP BY 1"""),
     }
+    # A stream run over the whole input equals the batch results.
+    out["stream_flag_immediate"] = out["flag_immediate"]
+    out["stream_closed_windows"] = out["closed_windows"]
+    out["stream_flag_windowed"] = out["flag_windowed_closed"]
+    out["stream_flagged_topic"] = out["flagged_topic"]
+    return out
