@@ -54,12 +54,17 @@ class Pipeline:
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
 
     def await_termination(self, timeout: float | None = None) -> None:
-        """Wait until every query has stopped; raise the first failure."""
-        for q in self.queries.values():
-            if timeout is None:
-                q.awaitTermination()
-            else:
-                q.awaitTermination(timeout)
+        """Wait until every query has stopped; on the first failure stop the
+        others and raise, naming the query."""
+        for name, q in self.queries.items():
+            try:
+                if timeout is None:
+                    q.awaitTermination()
+                else:
+                    q.awaitTermination(timeout)
+            except Exception as e:  # noqa: BLE001 - StreamingQueryException and kin
+                self.stop()
+                raise RuntimeError(f"streaming query {name!r} failed: {e}") from e
             self.raise_if_failed()
 
     def await_any(self, timeout: float | None = None) -> None:
@@ -115,8 +120,10 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
     p = Pipeline()
 
     def start(name: str, df: DataFrame, sink) -> None:
+        # The checkpoint is keyed by the flow, not the (suffixed) query name,
+        # so a restarted query resumes its own offsets and state.
         full = f"{name}{name_suffix}"
-        p.queries[full] = sink.start(df, full, f"{checkpoint_root.rstrip('/')}/{full}", trig)
+        p.queries[full] = sink.start(df, full, f"{checkpoint_root.rstrip('/')}/{name}", trig)
 
     try:
         pl = flows.payloads()
