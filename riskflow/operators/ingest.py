@@ -38,9 +38,15 @@ def timed_transactions(raw: DataFrame, **kw) -> DataFrame:
 
 
 def to_wire(transactions: DataFrame, schema_json: str = schemas.TRANSACTION_AVRO,
-            schema_id: int = 1) -> DataFrame:
-    """Transactions -> (key, value) with value = header + Avro body."""
+            schema_id: int = 1, partitions: int | None = None) -> DataFrame:
+    """Transactions -> (key, value) with value = header + Avro body.
+
+    ``partitions``: hash-partition by the key (user_id) first, as a topic
+    producer must; the encode then runs in parallel on those partitions."""
     names = [f.name for f in schemas.TRANSACTION.fields]
-    body = avro.encode(transactions.select(*names), schema_json, alias="_body")
+    tx = transactions.select(*names)
+    if partitions:
+        tx = tx.repartition(partitions, F.col("user_id"))
+    body = avro.encode(tx, schema_json, alias="_body")
     return body.select(F.col("user_id").cast("binary").alias("key"),
                        wire.frame(F.col("_body"), schema_id).alias("value"))

@@ -178,7 +178,9 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     if key not in _STREAM_RUNS:
         run = workspace.new_run(spark, "stream")
         raw = FileTopic(run, DEFAULT.raw_topic)
-        produce(wire_messages(spark, sf_dir), raw)
+        parts = spark.sparkContext.defaultParallelism
+        produce(ingest.to_wire(read_transactions(spark, sf_dir), partitions=parts), raw,
+                key_partitioned=True)
         p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
                            f"{run}/checkpoints", DEFAULT, trigger={"availableNow": True},
                            feature_sink=TableSink(f"{run}/features"),
@@ -191,15 +193,15 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
 
 
 def q_stream_flag_immediate(spark, sf_dir):
-    return comparable(spark.read.parquet(f"{stream_run(spark, sf_dir)}/flagged_immediate"))
+    return comparable(TableSink(f"{stream_run(spark, sf_dir)}/flagged_immediate").read(spark))
 
 
 def q_stream_closed_windows(spark, sf_dir):
-    return comparable(spark.read.parquet(f"{stream_run(spark, sf_dir)}/features"))
+    return comparable(TableSink(f"{stream_run(spark, sf_dir)}/features").read(spark))
 
 
 def q_stream_flag_windowed(spark, sf_dir):
-    return comparable(spark.read.parquet(f"{stream_run(spark, sf_dir)}/flagged_windowed"))
+    return comparable(TableSink(f"{stream_run(spark, sf_dir)}/flagged_windowed").read(spark))
 
 
 def q_stream_flagged_topic(spark, sf_dir):

@@ -103,38 +103,70 @@ def default_trigger(cfg: FraudConfig = DEFAULT) -> dict:
     return {"processingTime": cfg.flag_trigger}
 
 
+def _fan_out(outputs: list[tuple[object, "callable"]]):
+    """``foreachBatch`` function writing one micro-batch to several sinks.
+
+    ``outputs``: (sink, batch -> DataFrame).  The batch is persisted only
+    when more than one output reads it, so the upstream plan (decode,
+    aggregation) runs once per batch.
+    """
+    def write(batch: DataFrame, batch_id: int, query_name: str) -> None:
+        shared = len(outputs) > 1
+        if shared:
+            batch = batch.persist()
+        try:
+            for sink, make in outputs:
+                sink.write_batch(make(batch), f"{query_name}-{batch_id:012d}")
+        finally:
+            if shared:
+                batch.unpersist()
+    return write
+
+
 def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
                    cfg: FraudConfig = DEFAULT, trigger: dict | None = None,
                    feature_sink=None, immediate_sink=None, windowed_sink=None,
                    decoded: bool = False, name_suffix: str = "", **decode_kw) -> Pipeline:
-    """Start the application's streaming queries.
-
-    * ``flag_sink`` gets both payload flows (``flagged-immediate-*`` and
-      ``flagged-windowed-*``), keyed by user: the shared flagged topic.
-    * ``feature_sink`` (optional) gets every closed window's features (the
-      debug query), ``immediate_sink`` / ``windowed_sink`` the flag rows.
+    """Start the application as two streaming queries.
+
+    * ``flagged-immediate-<kind>`` (stateless): transaction flags -> JSON
+      payloads on ``flag_sink``, and the flag rows on ``immediate_sink``.
+    * ``flagged-windowed-<kind>`` (stateful): closed windows' features ->
+      ``feature_sink`` (the debug output), window flags -> payloads on
+      ``flag_sink`` and rows on ``windowed_sink``.
+
+    The reference runs four queries that each decode the raw topic and two
+    that each keep the same window state; here each path decodes once and
+    keeps one state store, and fans out inside ``foreachBatch``.  Every
+    query has its own checkpoint under ``checkpoint_root``.
     """
     flows = build_flows(source, cfg, decoded=decoded, **decode_kw)
     trig = trigger or default_trigger(cfg)
     kind = getattr(flag_sink, "kind", "sink")
+    root = checkpoint_root.rstrip("/")
     p = Pipeline()
 
-    def start(name: str, df: DataFrame, sink) -> None:
+    imm_out = [(flag_sink, payload.to_payload)]
+    if immediate_sink is not None:
+        imm_out.append((immediate_sink, lambda b: b))
+    win_out = [(flag_sink, lambda b: payload.to_payload(velocity.flag_windowed(b, cfg)))]
+    if feature_sink is not None:
+        win_out.append((feature_sink, lambda b: b))
+    if windowed_sink is not None:
+        win_out.append((windowed_sink, lambda b: velocity.flag_windowed(b, cfg)))
+
+    def start(flow: str, df: DataFrame, outputs) -> None:
         # The checkpoint is keyed by the flow, not the (suffixed) query name,
         # so a restarted query resumes its own offsets and state.
-        full = f"{name}{name_suffix}"
-        p.queries[full] = sink.start(df, full, f"{checkpoint_root.rstrip('/')}/{name}", trig)
+        name = f"{flow}{name_suffix}"
+        fn = _fan_out(outputs)
+        w = df.writeStream.queryName(name).outputMode("append").option(
+            "checkpointLocation", f"{root}/{flow}").trigger(**trig)
+        p.queries[name] = w.foreachBatch(lambda b, i: fn(b, i, flow)).start()
 
     try:
-        pl = flows.payloads()
-        start(f"flagged-immediate-{kind}", pl["immediate"], flag_sink)
-        start(f"flagged-windowed-{kind}", pl["windowed"], flag_sink)
-        if feature_sink is not None:
-            start("windowed-aggregations-debug", flows.features, feature_sink)
-        if immediate_sink is not None:
-            start("flagged-immediate-rows", flows.flagged_immediate, immediate_sink)
-        if windowed_sink is not None:
-            start("flagged-windowed-rows", flows.flagged_windowed, windowed_sink)
+        start(f"flagged-immediate-{kind}", flows.flagged_immediate, imm_out)
+        start(f"flagged-windowed-{kind}", flows.features, win_out)
     except Exception:
         p.stop()
         raise

@@ -1,16 +1,18 @@
-"""Stream sinks (K3, K5): keyed topic, parquet table, console, memory.
-
-Each sink starts one ``writeStream`` with its own checkpoint.  The file topic
-sink goes through ``foreachBatch`` and writes every micro-batch to a folder
-named by query and batch id with overwrite, so a batch replayed after a
-failure replaces its own output (the Kafka sink is at-least-once).
+"""Sinks (K3, K5): keyed topic, parquet table, console, memory.
+
+Every sink can take one micro-batch (``write_batch(df, part)``), so one
+streaming query can fan out to several outputs inside ``foreachBatch``, and
+can also run as its own streaming query (``start``).  File outputs go to a
+sub-folder named by query and batch id with overwrite: a batch replayed
+after a failure replaces its own output, so file sinks are effectively
+exactly-once.  The Kafka sink is at-least-once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow.sources.topic import FileTopic, KafkaTopic
@@ -26,50 +28,65 @@ def _writer(df: DataFrame, name: str, checkpoint: str | None, trigger: dict | No
     return w
 
 
+class _BatchSink:
+    def write_batch(self, df: DataFrame, part: str) -> None:  # pragma: no cover - interface
+        raise NotImplementedError
+
+    def start(self, df: DataFrame, name: str, checkpoint: str | None, trigger: dict | None,
+              output_mode: str = "append") -> StreamingQuery:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            self.write_batch(batch, f"{name}-{batch_id:012d}")
+        return _writer(df, name, checkpoint, trigger, output_mode).foreachBatch(write).start()
+
+
 @dataclass
-class TopicSink:
+class TopicSink(_BatchSink):
     """Keyed ``(key, value)`` messages to a Kafka or file-backed topic."""
     topic: FileTopic | KafkaTopic
 
     kind = "kafka"
 
-    def start(self, df: DataFrame, name: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-        w = _writer(df, name, checkpoint, trigger)
+    def write_batch(self, df: DataFrame, part: str) -> None:
         if isinstance(self.topic, KafkaTopic):
-            return (w.format("kafka")
+            (df.selectExpr("CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value")
+             .write.format("kafka").option("kafka.bootstrap.servers", self.topic.bootstrap_servers)
+             .option("topic", self.topic.name).save())
+        else:
+            self.topic.write_batch(df, part)
+
+    def start(self, df, name, checkpoint, trigger, output_mode="append"):
+        if isinstance(self.topic, KafkaTopic):
+            return (_writer(df, name, checkpoint, trigger, output_mode).format("kafka")
                     .option("kafka.bootstrap.servers", self.topic.bootstrap_servers)
                     .option("topic", self.topic.name).start())
-        topic = self.topic
-
-        def write(batch: DataFrame, batch_id: int) -> None:
-            topic.write_batch(batch, f"{name}-{batch_id:012d}")
-
-        return w.foreachBatch(write).start()
+        return super().start(df, name, checkpoint, trigger, output_mode)
 
 
 @dataclass
-class TableSink:
-    """Rows to a parquet folder through Spark's exactly-once file sink."""
+class TableSink(_BatchSink):
+    """Rows as parquet under ``path/<query>-<batch id>/``."""
     path: str
 
     kind = "table"
 
-    def start(self, df: DataFrame, name: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-        return _writer(df, name, checkpoint, trigger).format("parquet").option("path", self.path).start()
+    def write_batch(self, df: DataFrame, part: str) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path.rstrip('/')}/{part}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path.rstrip('/')}/*")
 
 
 @dataclass
-class ConsoleSink:
+class ConsoleSink(_BatchSink):
     """Development output: ``num_rows`` rows per batch, not truncated."""
     num_rows: int = 20
     truncate: bool = False
 
     kind = "console"
 
-    def start(self, df: DataFrame, name: str, checkpoint: str | None, trigger: dict | None) -> StreamingQuery:
-        return (_writer(df, name, checkpoint, trigger).format("console")
-                .option("numRows", self.num_rows).option("truncate", str(self.truncate).lower())
-                .start())
+    def write_batch(self, df: DataFrame, part: str) -> None:
+        print(f"-------- {part} --------")
+        df.show(self.num_rows, truncate=self.truncate)
 
 
 @dataclass
@@ -78,5 +95,6 @@ class MemorySink:
 
     kind = "memory"
 
-    def start(self, df: DataFrame, name: str, checkpoint: str | None, trigger: dict | None) -> StreamingQuery:
-        return _writer(df, name, checkpoint, trigger).format("memory").start()
+    def start(self, df: DataFrame, name: str, checkpoint: str | None, trigger: dict | None,
+              output_mode: str = "append") -> StreamingQuery:
+        return _writer(df, name, checkpoint, trigger, output_mode).format("memory").start()

@@ -106,13 +106,13 @@ def test_restart_from_checkpoint_no_loss_no_duplicates(spark, scratch):
 
     publish(first, 0)
     run("-1")
-    n_feat_1 = spark.read.parquet(f"{scratch}/features").count()
+    n_feat_1 = TableSink(f"{scratch}/features").read(spark).count()
     assert n_feat_1 == 5
     publish(later, 10)
     run("-2")
-    imm = [r["transaction_id"] for r in spark.read.parquet(f"{scratch}/imm").collect()]
+    imm = [r["transaction_id"] for r in TableSink(f"{scratch}/imm").read(spark).collect()]
     assert sorted(imm) == ["d00:09:00"]
-    feats = spark.read.parquet(f"{scratch}/features")
+    feats = TableSink(f"{scratch}/features").read(spark)
     assert feats.count() == feats.distinct().count()
     users = {r["user_id"] for r in feats.collect()}
     assert users == {"a", "b", "d"}   # e's windows are still open
@@ -143,7 +143,7 @@ def test_stream_equals_batch_on_fixture(spark, scratch):
                        DEFAULT, trigger={"availableNow": True},
                        windowed_sink=TableSink(f"{scratch}/win"), name_suffix="-eq")
     p.await_termination()
-    streamed = spark.read.parquet(f"{scratch}/win")
+    streamed = TableSink(f"{scratch}/win").read(spark)
     batch = velocity.flag_windowed(velocity.closed_velocity_features(to_event_time(tx)))
     assert streamed.count() == 862
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
