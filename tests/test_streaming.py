@@ -147,3 +147,55 @@ def test_stream_equals_batch_on_fixture(spark, scratch):
     batch = velocity.flag_windowed(velocity.closed_velocity_features(to_event_time(tx)))
     assert streamed.count() == 862
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_streaming_explainer_routes_and_commits(spark, scratch):
+    import json as _json
+
+    from riskflow.operators import explain as ex
+    from riskflow.operators import payload as pl
+    from riskflow.operators import immediate
+    from riskflow.streaming.explainer import start_explainer
+
+    rows = [tx_row("t1", "user-1", 6000.0, ms(f"{DAY} 00:00:01")),
+            tx_row("t2", "user-2", 10.0, ms(f"{DAY} 00:00:02"), is_fraud=True),
+            tx_row("t3", "user-3", 7000.0, ms(f"{DAY} 00:00:03"))]
+    flags = immediate.flag_immediate(to_event_time(spark.createDataFrame(rows, schemas.TRANSACTION)))
+    topic = FileTopic(scratch, "flagged")
+    topic.write_batch(pl.to_payload(flags), "batch-0")
+    topic.write_batch(spark.createDataFrame([("k", '{"a":'), ("k", "[1]")], "key string, value string"), "batch-1")
+
+    def explainer(record, prompt):
+        if record["user_id"] == "user-2":
+            raise ValueError("refused")
+        return "ok " + record["transaction_id"]
+
+    out, dlq = FileTopic(scratch, "explained"), FileTopic(scratch, "dlq")
+    q = start_explainer(topic.read_stream(spark, max_files_per_trigger=2), TopicSink(out), TopicSink(dlq),
+                        f"{scratch}/ck", explainer, trigger={"availableNow": True}, sleep=lambda s: None)
+    q.awaitTermination()
+    got = {bytes(r["key"]).decode(): _json.loads(bytes(r["value"]).decode()) for r in out.read(spark).collect()}
+    assert set(got) == {"user-1", "user-3"}
+    assert got["user-1"]["status"] == "SUCCESS" and got["user-1"]["llm_explanation"] == "ok t1"
+    dead = [_json.loads(bytes(r["value"]).decode()) for r in dlq.read(spark).collect()]
+    assert sorted(d.get("error") for d in dead) == ["decode: not a JSON object"] * 2 + ["refused"]
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 5
+    assert ex.STATUS_FAILED in {d["status"] for d in dead}
+
+
+def test_app_cli_pipeline_then_explainer(spark, scratch):
+    import json as _json
+
+    from riskflow import app
+    from riskflow.sources.fixtures import read_transactions
+    from tests.conftest import SF_SMALL
+    root = f"{scratch}/topics"
+    produce(ingest.to_wire(read_transactions(spark, SF_SMALL)), FileTopic(root, "transactions-raw"))
+    app.main(["pipeline", "--checkpoint", f"{scratch}/ck1", "--topic-root", root, "--available-now"])
+    flagged = FileTopic(root, "flagged-transactions").read(spark)
+    assert flagged.count() == 214 + 862
+    app.main(["explainer", "--checkpoint", f"{scratch}/ck2", "--topic-root", root, "--available-now"])
+    explained = FileTopic(root, "explained-transactions").read(spark)
+    assert explained.count() == 214 + 862
+    first = _json.loads(bytes(explained.first()["value"]).decode())
+    assert first["status"] == "SUCCESS" and first["llm_explanation"].startswith("Flagged ")
