@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def whole_seconds(ms: Column) -> Column:
-    """``ms div 1000``: integral seconds, truncated toward zero, as bigint."""
-    return ((ms - ms % F.lit(1000)) / F.lit(1000)).cast("long")
-
-
 def epoch_ms_to_event_time(ms: Column) -> Column:
     """Whole-second event time from epoch milliseconds.
 
@@ -18,7 +13,9 @@ def epoch_ms_to_event_time(ms: Column) -> Column:
     the detour through a time-zone dependent string, so a DST overlap in the
     session zone cannot move a row by an hour.  Null stays null.
     """
-    return F.timestamp_seconds(whole_seconds(ms))
+    # ``%`` keeps the dividend's sign, so ``ms - ms % 1000`` truncates toward
+    # zero (-1500 ms -> -1 s) and stays an exact integer of milliseconds.
+    return F.timestamp_millis(ms - ms % F.lit(1000))
 
 
 def to_event_time(df: DataFrame, column: str = "timestamp") -> DataFrame:

@@ -37,14 +37,16 @@ def score_immediate(timed: DataFrame, cfg: FraudConfig = DEFAULT) -> DataFrame:
 def flag_immediate(timed: DataFrame, cfg: FraudConfig = DEFAULT, pushdown: bool = True) -> DataFrame:
     """Transactions whose rule score passes the flag threshold, 9 columns.
 
-    With ``pushdown`` the score filter is first restated on the raw columns
-    (``amount > 5000 OR is_fraud = true`` for the default rules): it selects
-    the same rows, but unlike the CASE expression it reaches the parquet
-    scan as a pushed filter and lets row groups be skipped.
+    With ``pushdown`` the score filter is restated on the raw columns
+    (``amount > 5000 OR is_fraud = true`` for the default rules): it keeps
+    exactly the same rows (``RuleSet.selects``), and unlike the CASE
+    expression it reaches the parquet scan as a pushed filter, so row groups
+    whose statistics exclude it are skipped.
     """
     thr = cfg.flag_threshold
     if pushdown:
-        timed = timed.filter(score_rules(cfg).selects(lambda s: s > thr))
+        kept = timed.filter(score_rules(cfg).selects(lambda s: s > thr))
+        return score_immediate(kept, cfg).select(*FLAGGED_IMMEDIATE_COLUMNS)
     return (score_immediate(timed, cfg)
             .filter(F.col("rule_score") > thr)
             .select(*FLAGGED_IMMEDIATE_COLUMNS))
