@@ -87,9 +87,11 @@ def call_with_retry(fn: Callable[[], str], attempts: int, retryable: tuple,
     return result, used
 
 
-def prompt_column() -> "F.Column":
-    """Prompt text per flag: head + JSON of the record's non-null fields + tail."""
-    record = F.to_json(F.struct(*[F.col(c) for c in RECORD_COLUMNS]))
+def prompt_column(raw: "F.Column | None" = None) -> "F.Column":
+    """Prompt text per flag: head + the record as JSON + tail.  ``raw`` is
+    the message text as received (no second serialization); without it the
+    record's non-null fields are rendered with ``to_json``."""
+    record = raw if raw is not None else F.to_json(F.struct(*[F.col(c) for c in RECORD_COLUMNS]))
     return F.concat(F.lit(PROMPT_HEAD), record, F.lit(PROMPT_TAIL))
 
 
@@ -109,8 +111,11 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
                   concurrency: int | None = None) -> DataFrame:
     """Parsed flags (``parse_flags`` output without corrupt rows) ->
     ``EXPLAINED_SCHEMA`` rows with ``status`` SUCCESS or FAILED."""
-    base = flags.select(*RECORD_COLUMNS, "shape", "record_key")
+    has_raw = "raw_value" in flags.columns
+    base = flags.select(*RECORD_COLUMNS, "shape", "record_key",
+                        *(["raw_value"] if has_raw else []))
     if explainer is None:
+        base = base.drop("raw_value")
         return base.select("*", F.lit(STATUS_OK).alias("status"),
                            template_explanation().alias("llm_explanation"),
                            F.lit(None).cast("string").alias("error"),
@@ -147,7 +152,9 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=out_names)
 
-    return base.withColumn("_prompt", prompt_column()).mapInArrow(run, EXPLAINED_SCHEMA)
+    prompt = prompt_column(F.col("raw_value") if has_raw else None)
+    return (base.withColumn("_prompt", prompt).drop("raw_value")
+            .mapInArrow(run, EXPLAINED_SCHEMA))
 
 
 def _clean(record: dict) -> dict:

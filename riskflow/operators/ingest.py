@@ -41,12 +41,14 @@ def to_wire(transactions: DataFrame, schema_json: str = schemas.TRANSACTION_AVRO
             schema_id: int = 1, partitions: int | None = None) -> DataFrame:
     """Transactions -> (key, value) with value = header + Avro body.
 
-    ``partitions``: hash-partition by the key (user_id) first, as a topic
-    producer must; the encode then runs in parallel on those partitions."""
+    ``partitions``: spread the rows evenly (round robin) over that many
+    tasks first, so the Python encode runs in parallel even when the input
+    has few partitions.  Not by key: a user with a third of all rows would
+    make one task do a third of the work."""
     names = [f.name for f in schemas.TRANSACTION.fields]
     tx = transactions.select(*names)
     if partitions:
-        tx = tx.repartition(partitions, F.col("user_id"))
+        tx = tx.repartition(partitions)
     body = avro.encode(tx, schema_json, alias="_body")
     return body.select(F.col("user_id").cast("binary").alias("key"),
                        wire.frame(F.col("_body"), schema_id).alias("value"))

@@ -180,7 +180,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
         raw = FileTopic(run, DEFAULT.raw_topic)
         parts = spark.sparkContext.defaultParallelism
         produce(ingest.to_wire(read_transactions(spark, sf_dir), partitions=parts), raw,
-                key_partitioned=True)
+                spread=False)
         p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
                            f"{run}/checkpoints", DEFAULT, trigger={"availableNow": True},
                            feature_sink=TableSink(f"{run}/features"),

@@ -92,22 +92,22 @@ class FileTopic:
 
 
 def produce(df: DataFrame, topic: FileTopic | KafkaTopic, part: str = "batch-000000000000",
-            partitions: int | None = None, key_partitioned: bool = False) -> None:
+            partitions: int | None = None, spread: bool = True) -> None:
     """Batch-write ``(key, value)`` messages to a topic (the load generator's
     role: encoded transactions onto the raw topic).
 
-    A file topic is hash-partitioned by key into ``partitions`` parts (default:
-    the cluster's parallelism), like a Kafka producer's key partitioner, so
-    all messages of one key stay in order in one part and consumers read the
-    parts in parallel.  A hot key makes one large part; the file source
-    still splits it by row group.  ``key_partitioned``: ``df`` is already
-    partitioned by key (e.g. ``to_wire(..., partitions=n)``), keep it."""
+    Kafka assigns partitions by key itself (per-key order, as the reference's
+    producers rely on).  A file topic is split evenly (round robin, stable on
+    retry) into ``partitions`` parts, default the cluster's parallelism, so
+    consumers read in parallel and a hot key cannot make one part hold a
+    third of the data; Spark consumers order by event time, not by offset.
+    ``spread=False`` keeps ``df``'s partitioning (already spread)."""
     if isinstance(topic, KafkaTopic):
         (df.select(F.col("key").cast("binary"), F.col("value").cast("binary"))
          .write.format("kafka").option("kafka.bootstrap.servers", topic.bootstrap_servers)
          .option("topic", topic.name).save())
     else:
-        if not key_partitioned:
+        if spread:
             n = partitions or df.sparkSession.sparkContext.defaultParallelism
-            df = df.repartition(n, F.col("key"))
+            df = df.repartition(n)
         topic.write_batch(df, part)
