@@ -55,6 +55,7 @@ def main(argv=None) -> None:
     ap.add_argument("--trigger", default=DEFAULT.flag_trigger)
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--console", action="store_true", help="also print window features and flags")
+    ap.add_argument("--rocksdb", action="store_true", help="keep window state in RocksDB")
     ap.add_argument("--explainer", help="module:function taking (record, prompt) -> text")
     ap.add_argument("--max-tasks", type=int)
     args = ap.parse_args(argv)
@@ -66,8 +67,10 @@ def main(argv=None) -> None:
 
     if args.job == "pipeline":
         from riskflow.sources import registry
-        from riskflow.streaming.pipeline import start_pipeline
+        from riskflow.streaming.pipeline import start_pipeline, use_rocksdb_state
         from riskflow.streaming.sinks import ConsoleSink, TopicSink
+        if args.rocksdb:
+            use_rocksdb_state(spark)
         schema_json, writers = schemas.TRANSACTION_AVRO, None
         if args.registry:
             reg = registry.read_registry(spark, args.registry)

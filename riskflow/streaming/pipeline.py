@@ -99,6 +99,16 @@ class Pipeline:
         return {n: q.lastProgress for n, q in self.queries.items()}
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> None:
+    """Keep window state in RocksDB (off-heap, spills to local disk, snapshots
+    to the checkpoint) instead of executor heap maps; set before a query's
+    first start.  Worth it when live (window, user) state outgrows memory."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def default_trigger(cfg: FraudConfig = DEFAULT) -> dict:
     return {"processingTime": cfg.flag_trigger}
 
