@@ -29,7 +29,7 @@ def decode_transactions(raw: DataFrame, schema_json: str = schemas.TRANSACTION_A
                     *([wire.schema_id(F.col(value_col)).alias("_schema_id")] if writer_schemas else []))
     decoded = avro.decode(df, PAYLOAD_COL, schema_json, alias="transaction", mode=mode,
                           writer_schemas=writer_schemas,
-                          id_col="_schema_id" if writer_schemas else None)
+                          id_col="_schema_id" if writer_schemas else None, keep=[])
     return decoded.select("transaction.*")
 
 
@@ -49,6 +49,6 @@ def to_wire(transactions: DataFrame, schema_json: str = schemas.TRANSACTION_AVRO
     tx = transactions.select(*names)
     if partitions:
         tx = tx.repartition(partitions)
-    body = avro.encode(tx, schema_json, alias="_body")
+    body = avro.encode(tx, schema_json, alias="_body", keep=["user_id"])
     return body.select(F.col("user_id").cast("binary").alias("key"),
                        wire.frame(F.col("_body"), schema_id).alias("value"))
