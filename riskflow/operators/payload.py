@@ -60,7 +60,7 @@ def parse_flags(messages: DataFrame, value_col: str = "value") -> DataFrame:
     cols = [F.col("_flag")[f.name].alias(f.name) for f in schemas.FLAG_SUPERSET.fields]
     return df.select(
         *cols,
-        shape(F.col("_flag")).alias("shape"),
+        F.when(corrupt.isNull(), shape(F.col("_flag"))).alias("shape"),
         record_key(F.col("_value"), F.col("_flag")["user_id"]).alias("record_key"),
         corrupt.alias(schemas.CORRUPT_COLUMN),
         F.col("_value").alias("raw_value"),

@@ -125,6 +125,18 @@ def q_flagged_topic(spark, sf_dir):
     return comparable(parsed.drop("raw_value", "_corrupt_record"))
 
 
+def q_parse_flagged(spark, sf_dir):
+    """The flagged topic plus a damaged copy of every window flag (its JSON
+    cut in half): good messages parse back, damaged ones are marked corrupt
+    with all fields null and kept, not lost."""
+    imm, win = flag_payloads(spark, sf_dir)
+    damaged = win.select("key", F.expr("substring(value, 1, length(value) div 2)").alias("value"))
+    parsed = payload.parse_flags(payload.flagged_topic(imm, win, damaged))
+    return comparable(parsed.select(
+        *[c for c in parsed.columns if c not in ("raw_value", "_corrupt_record")],
+        F.col("_corrupt_record").isNotNull().alias("corrupt")))
+
+
 def demo_explainer(record: dict, prompt: str) -> str:
     """Deterministic stand-in for a model call: a one-line template, and a
     refusal (non-retryable error) for HIGH_AVERAGE flags so the dead-letter
@@ -227,6 +239,7 @@ def queries() -> dict[str, Query]:
         "payload_immediate": q_payload_immediate,
         "payload_windowed": q_payload_windowed,
         "flagged_topic": q_flagged_topic,
+        "parse_flagged": q_parse_flagged,
         "explained": q_explained,
         "dead_letters": q_dead_letters,
         "explain_summary": q_explain_summary,

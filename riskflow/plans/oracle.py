@@ -159,6 +159,12 @@ def oracle_sql() -> dict[str, str]:
                    window_count, avg_amount, max_amount, velocity, fraud_reason, rule_score
             FROM flagged_closed"""),
         "flagged_topic": _q(ALL_FLAGS, "SELECT * FROM topic"),
+        "parse_flagged": _q(ALL_FLAGS, """
+            SELECT *, false AS corrupt FROM topic
+            UNION ALL
+            SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+                   NULL, NULL, NULL, NULL, '', true
+            FROM topic WHERE shape = 'window'"""),
         "explained": _q(ALL_FLAGS, f"""
             SELECT record_key, shape, transaction_id, user_id, window_start, window_end,
                    fraud_reason, rule_score, 'SUCCESS' AS status, 1 AS attempts,

@@ -125,3 +125,36 @@ def test_undecodable_is_not_lost(spark, bad):
     msgs = spark.createDataFrame([("k", bad)], "key string, value string")
     parsed = payload.parse_flags(msgs)
     assert explain.undecodable_dead_letters(parsed).first()["raw_value"] == bad
+
+
+def test_concurrency_is_bounded_per_task(spark):
+    """Each task runs at most ``concurrency`` explainer calls at once; the
+    explainer reports the peak it saw inside its worker."""
+    import threading
+    import time as _time
+
+    imm, win = _flags(spark)
+    parsed = payload.parse_flags(payload.flagged_topic(*[payload.to_payload(imm)] * 8))
+    state = {"now": 0, "peak": 0}
+
+    def explainer(record, prompt):
+        lock = state.setdefault("lock", threading.Lock())   # made in the worker
+        with lock:
+            state["now"] += 1
+            state["peak"] = max(state["peak"], state["now"])
+        _time.sleep(0.05)
+        with lock:
+            state["now"] -= 1
+        return str(state["peak"])
+
+    res = explain.explain_flags(parsed.coalesce(1), explainer, DEFAULT, concurrency=3)
+    peaks = [int(r["llm_explanation"]) for r in res.collect()]
+    assert max(peaks) == 3
+
+
+def test_console_sink_prints_batches(spark, capsys):
+    from riskflow.streaming.sinks import ConsoleSink
+    imm, _ = _flags(spark)
+    ConsoleSink(num_rows=2).write_batch(imm, "flagged-immediate-console-000000000000")
+    out = capsys.readouterr().out
+    assert "flagged-immediate-console-000000000000" in out and "fraud_reason" in out
