@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,9 @@ def shared_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - not available on every session type
             root = None
+    on_cluster = not spark.sparkContext.master.startswith("local")
+    if not root and on_cluster:
+        raise RuntimeError(f"set {CONF_KEY} to a folder every node shares (e.g. on HDFS or S3)")
     if not root:
         root = tempfile.mkdtemp(prefix="riskflow-")   # unset: local run or test only
         spark.conf.set(CONF_KEY, root)
@@ -30,6 +34,10 @@ def shared_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
         except Exception:  # noqa: BLE001
             pass
+    if on_cluster and _machine_local(spark, root):
+        warnings.warn(f"{CONF_KEY}={root} is a machine-local path on a cluster; "
+                      "checkpoints and outputs must live in a folder every node shares",
+                      RuntimeWarning, stacklevel=2)
     return root.rstrip("/")
 
 
@@ -46,6 +54,19 @@ def is_local_path(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:")
 
 
+def _machine_local(spark: SparkSession, p: str) -> bool:
+    """``file:`` paths, or scheme-less ones when the default FS is local."""
+    if p.startswith("file:"):
+        return True
+    if "://" in p:
+        return False
+    try:
+        default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")  # noqa: SLF001
+    except Exception:  # noqa: BLE001
+        default_fs = None
+    return default_fs is None or default_fs.startswith("file:")
+
+
 def ensure_local_dir(p: str) -> None:
     if is_local_path(p):
         os.makedirs(p.replace("file:", "", 1), exist_ok=True)

@@ -199,3 +199,31 @@ def test_app_cli_pipeline_then_explainer(spark, scratch):
     assert explained.count() == 214 + 862
     first = _json.loads(bytes(explained.first()["value"]).decode())
     assert first["status"] == "SUCCESS" and first["llm_explanation"].startswith("Flagged ")
+
+
+def test_processing_time_trigger_with_arriving_data(spark, scratch):
+    """Default (processing-time) mode: data arriving later is picked up by
+    the running queries; ``await_any`` reports a query that dies."""
+    raw = FileTopic(scratch, "raw")
+    flagged = FileTopic(scratch, "flagged")
+
+    def publish(i, rows):
+        df = spark.createDataFrame(_rows(*rows), schemas.TRANSACTION)
+        produce(ingest.to_wire(df), raw, part=f"batch-{i:04d}")
+
+    publish(0, [("00:00:10", "a", 6000.0)])
+    p = start_pipeline(raw.read_stream(spark), TopicSink(flagged), f"{scratch}/ck", DEFAULT,
+                       trigger={"processingTime": "1 second"}, name_suffix="-pt")
+    try:
+        p.process_all_available()
+        publish(1, [("00:05:00", "b", 7000.0)])
+        p.process_all_available()
+        keys = sorted(bytes(r["key"]).decode() for r in flagged.read(spark).collect())
+        assert keys.count("a") == 1 + 4 and keys.count("b") == 1   # b's windows still open
+        produce(spark.createDataFrame([(b"k", b"\x00\x00\x00\x00\x01\x09")], "key binary, value binary"),
+                raw, part="batch-0002")
+        with pytest.raises(Exception):
+            p.await_any(timeout=60)
+    finally:
+        p.stop()
+    assert not any(q.isActive for q in p.queries.values())
