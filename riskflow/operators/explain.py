@@ -14,8 +14,9 @@ consumer.  Sinks keyed by batch id keep the *output* repeatable.
 
 from __future__ import annotations
 
+import itertools
+import threading
 import time
-from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
 import pyarrow as pa
@@ -139,24 +140,49 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
                 return STATUS_FAILED, None, str(error) or type(error).__name__, used
             return STATUS_OK, str(text), None, used
 
-        with ThreadPoolExecutor(max_workers=workers) as pool:
-            for batch in batches:
-                prompts = batch.column("_prompt").to_pylist()
-                records = [_clean(r) for r in batch.select(RECORD_COLUMNS).to_pylist()]
-                results = list(pool.map(one, records, prompts))
-                arrays = [batch.column(n) for n in pass_names] + [
-                    pa.array([r[0] for r in results], pa.string()),
-                    pa.array([r[1] for r in results], pa.string()),
-                    pa.array([r[2] for r in results], pa.string()),
-                    pa.array([r[3] for r in results], pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=out_names)
+        for batch in batches:
+            prompts = batch.column("_prompt").to_pylist()
+            records = [_clean(r) for r in batch.select(RECORD_COLUMNS).to_pylist()]
+            results = run_bounded(one, records, prompts, workers)
+            arrays = [batch.column(n) for n in pass_names] + [
+                pa.array([r[0] for r in results], pa.string()),
+                pa.array([r[1] for r in results], pa.string()),
+                pa.array([r[2] for r in results], pa.string()),
+                pa.array([r[3] for r in results], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=out_names)
 
     prompt = prompt_column(F.col("raw_value") if has_raw else None)
     return (base.withColumn("_prompt", prompt).drop("raw_value")
             .mapInArrow(run, EXPLAINED_SCHEMA))
 
 
+def run_bounded(fn, records: list, prompts: list, workers: int) -> list:
+    """``[fn(r, p) ...]`` in input order with at most ``workers`` calls in
+    flight.  Each thread takes the next index from a shared counter, so a
+    slow record (retrying) never holds up the others, and there is no
+    per-record future."""
+    n = len(records)
+    results = [None] * n
+    if n == 0:
+        return results
+    counter = itertools.count()
+
+    def work():
+        while True:
+            i = next(counter)   # atomic under the GIL
+            if i >= n:
+                return
+            results[i] = fn(records[i], prompts[i])
+
+    threads = [threading.Thread(target=work, daemon=True) for _ in range(min(workers, n))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    return results
+
+
 def _clean(record: dict) -> dict:
     """Arrow row -> JSON-able dict without missing fields (as the record
     arrived on the topic: nulls left out, times as ISO text)."""

@@ -176,6 +176,7 @@ def q_explain_summary(spark, sf_dir):
 
 
 _STREAM_RUNS: dict[tuple, str] = {}
+STREAM_PROGRESS: dict[tuple, dict] = {}
 
 
 def stream_run(spark: SparkSession, sf_dir: str) -> str:
@@ -200,6 +201,10 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
                            windowed_sink=TableSink(f"{run}/flagged_windowed"),
                            name_suffix="-" + run.rsplit("-", 1)[-1])
         p.await_termination()
+        STREAM_PROGRESS[key] = {
+            name: [(pr["batchId"], pr["numInputRows"], pr["durationMs"].get("triggerExecution", 0))
+                   for pr in q.recentProgress]
+            for name, q in p.queries.items()}
         _STREAM_RUNS[key] = run
     return _STREAM_RUNS[key]
 
