@@ -136,7 +136,8 @@ def _fan_out(outputs: list[tuple[object, "callable"]]):
 def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
                    cfg: FraudConfig = DEFAULT, trigger: dict | None = None,
                    feature_sink=None, immediate_sink=None, windowed_sink=None,
-                   decoded: bool = False, name_suffix: str = "", **decode_kw) -> Pipeline:
+                   decoded: bool = False, name_suffix: str = "",
+                   state_partitions: int | None = None, **decode_kw) -> Pipeline:
     """Start the application as two streaming queries.
 
     * ``flagged-immediate-<kind>`` (stateless): transaction flags -> JSON
@@ -149,6 +150,10 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
     that each keep the same window state; here each path decodes once and
     keeps one state store, and fans out inside ``foreachBatch``.  Every
     query has its own checkpoint under ``checkpoint_root``.
+
+    ``state_partitions``: width of the window query's shuffle and state store.
+    It is fixed by the checkpoint at the first start, so size it for the peak
+    number of live (window, user) keys, not for today's load.
     """
     flows = build_flows(source, cfg, decoded=decoded, **decode_kw)
     trig = trigger or default_trigger(cfg)
@@ -176,7 +181,14 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
 
     try:
         start(f"flagged-immediate-{kind}", flows.flagged_immediate, imm_out)
-        start(f"flagged-windowed-{kind}", flows.features, win_out)
+        spark = source.sparkSession
+        prev = spark.conf.get("spark.sql.shuffle.partitions")
+        if state_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            start(f"flagged-windowed-{kind}", flows.features, win_out)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", prev)
     except Exception:
         p.stop()
         raise

@@ -227,3 +227,17 @@ def test_processing_time_trigger_with_arriving_data(spark, scratch):
     finally:
         p.stop()
     assert not any(q.isActive for q in p.queries.values())
+
+
+def test_state_partitions_fixed_for_window_query(spark, scratch):
+    raw = FileTopic(scratch, "raw")
+    produce(ingest.to_wire(spark.createDataFrame(_rows(("00:00:10", "a", 1.0), ("00:09:00", "b", 1.0)),
+                                                 schemas.TRANSACTION)), raw)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(scratch, "flagged")), f"{scratch}/ck",
+                       DEFAULT, trigger={"availableNow": True}, name_suffix="-sp", state_partitions=3)
+    p.await_termination()
+    state = f"{scratch}/ck/flagged-windowed-kafka/state/0"
+    assert {"0", "1", "2"} <= set(os.listdir(state))
+    assert not os.path.exists(f"{state}/3")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
