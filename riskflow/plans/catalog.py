@@ -57,6 +57,14 @@ def q_wire_roundtrip(spark, sf_dir):
     return ingest.decode_transactions(wire_messages(spark, sf_dir))
 
 
+def q_wire_decode_permissive(spark, sf_dir):
+    """Every frame plus a copy missing its last byte, decoded PERMISSIVE:
+    each damaged copy becomes an all-null row, kept, not lost."""
+    msgs = wire_messages(spark, sf_dir)
+    damaged = msgs.select("key", F.expr("substring(value, 1, length(value) - 1)").alias("value"))
+    return ingest.decode_transactions(msgs.unionByName(damaged), mode="PERMISSIVE")
+
+
 def q_event_time(spark, sf_dir):
     return comparable(timed_transactions(spark, sf_dir).select("transaction_id", "timestamp"))
 
@@ -73,6 +81,12 @@ def q_velocity_features(spark, sf_dir):
     return comparable(velocity.velocity_features(timed_transactions(spark, sf_dir), DEFAULT))
 
 
+def q_velocity_features_panes(spark, sf_dir):
+    """R2: the same features from 30-second panes per user."""
+    return comparable(velocity.velocity_features(timed_transactions(spark, sf_dir), DEFAULT,
+                                                 strategy="panes"))
+
+
 def q_score_windowed(spark, sf_dir):
     feats = velocity.velocity_features(timed_transactions(spark, sf_dir), DEFAULT)
     return comparable(velocity.score_windowed(feats, DEFAULT))
@@ -199,7 +213,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
                            feature_sink=TableSink(f"{run}/features"),
                            immediate_sink=TableSink(f"{run}/flagged_immediate"),
                            windowed_sink=TableSink(f"{run}/flagged_windowed"),
-                           name_suffix="-" + run.rsplit("-", 1)[-1])
+                           name_suffix="-" + run.rsplit("-", 1)[-1], state_partitions=parts)
         p.await_termination()
         STREAM_PROGRESS[key] = {
             name: [(pr["batchId"], pr["numInputRows"], pr["durationMs"].get("triggerExecution", 0))
@@ -233,10 +247,12 @@ def queries() -> dict[str, Query]:
         "header_fields": q_header_fields,
         "strip_header": q_strip_header,
         "wire_roundtrip": q_wire_roundtrip,
+        "wire_decode_permissive": q_wire_decode_permissive,
         "event_time": q_event_time,
         "score_immediate": q_score_immediate,
         "flag_immediate": q_flag_immediate,
         "velocity_features": q_velocity_features,
+        "velocity_features_panes": q_velocity_features_panes,
         "score_windowed": q_score_windowed,
         "flag_windowed": q_flag_windowed,
         "closed_windows": q_closed_windows,

@@ -144,10 +144,19 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN is_fraud THEN '01' ELSE '00' END AS last_byte
             FROM tx"""),
         "wire_roundtrip": _q(TX, "SELECT * FROM tx"),
+        "wire_decode_permissive": _q(TX, """
+            SELECT * FROM tx
+            UNION ALL
+            SELECT CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE),
+                   CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+                   CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+                   CAST(NULL AS BOOLEAN)
+            FROM tx"""),
         "event_time": _q(TIMED, 'SELECT transaction_id, "timestamp" FROM timed'),
         "score_immediate": _q(SCORED, "SELECT * FROM scored"),
         "flag_immediate": _q(FLAGGED_IMMEDIATE, "SELECT * FROM flagged_immediate"),
         "velocity_features": _q(FEATURES, "SELECT * FROM features"),
+        "velocity_features_panes": _q(FEATURES, "SELECT * FROM features"),
         "score_windowed": _q(SCORED_WINDOWED, "SELECT * FROM scored_windowed"),
         "flag_windowed": _q(SCORED_WINDOWED, "SELECT * FROM flagged_windowed"),
         "closed_windows": _q(SCORED_WINDOWED, f"SELECT {FEATURE_COLS} FROM closed"),
