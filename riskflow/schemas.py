@@ -6,13 +6,13 @@ import json
 
 from pyspark.sql import types as T
 
-# Avro schema of one transaction message, as registered under the raw
-# topic's value subject.  ``logicalType`` sits beside the field type, so Avro
-# ignores it and ``timestamp`` stays a plain long of epoch milliseconds.
+# Fixed value: Avro schema of one transaction message (field names, types,
+# order and defaults decide the wire bytes).  ``logicalType`` sits beside the
+# field type, so Avro ignores it and ``timestamp`` stays a plain long of
+# epoch milliseconds.
 TRANSACTION_AVRO = json.dumps({
     "type": "record",
     "name": "Transaction",
-    "namespace": "com.omarfg.fraud",
     "fields": [
         {"name": "transaction_id", "type": "string"},
         {"name": "user_id", "type": "string"},
