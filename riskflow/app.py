@@ -1,9 +1,9 @@
 """Command-line entry: run the scoring pipeline or the explainer job.
 
     spark-submit riskflow/app.py pipeline --checkpoint s3a://.../ck \
-        --bootstrap kafka-1:29092 --registry s3a://.../registry.json
+        --bootstrap broker:9092 --registry s3a://.../registry.json
     spark-submit riskflow/app.py explainer --checkpoint s3a://.../ck-explain \
-        --bootstrap kafka-1:29092 --explainer mypkg.mod:explain
+        --bootstrap broker:9092 --explainer mypkg.mod:explain
 
 Without ``--bootstrap`` topics are folders under ``--topic-root`` (parquet
 parts).  Master, resources and log level come from spark-submit, not from
