@@ -158,3 +158,12 @@ def test_console_sink_prints_batches(spark, capsys):
     ConsoleSink(num_rows=2).write_batch(imm, "flagged-immediate-console-000000000000")
     out = capsys.readouterr().out
     assert "flagged-immediate-console-000000000000" in out and "fraud_reason" in out
+
+
+def test_nan_amount_survives_json(spark):
+    import math
+    timed = to_event_time(tx_df(spark, [tx_row("t9", "u", float("nan"), T0)]))
+    msg = payload.to_payload(immediate.flag_immediate(timed)).first()
+    assert '"amount":"NaN"' in msg["value"]
+    back = payload.parse_flags(payload.to_payload(immediate.flag_immediate(timed))).first()
+    assert math.isnan(back["amount"]) and back["fraud_reason"] == "HIGH_AMOUNT"

@@ -241,3 +241,12 @@ def test_state_partitions_fixed_for_window_query(spark, scratch):
     assert {"0", "1", "2"} <= set(os.listdir(state))
     assert not os.path.exists(f"{state}/3")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_window_emitted_when_end_equals_watermark(spark, scratch):
+    batches = [[("00:00:10", "a", 100.0)], [("00:04:00", "b", 1.0)]]
+    _write_files(f"{scratch}/in", [_rows(*b) for b in batches])
+    out, _ = _run_windows(spark, f"{scratch}/in", f"{scratch}/ck", "wm_eq")
+    # watermark = 00:04:00 - 2 min = 00:02:00: the window ending exactly then is out
+    assert [(s, e) for s, e, u, *_ in out if u == "a"] == sorted(
+        [("23:58:30", "00:00:30"), ("23:59:00", "00:01:00"), ("23:59:30", "00:01:30"), ("00:00:00", "00:02:00")])

@@ -91,3 +91,18 @@ def test_closed_windows_plan_has_no_cross_join(spark):
     plan = velocity.closed_velocity_features(timed)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Subquery" in plan
+
+
+def test_null_event_time_and_duplicates(spark):
+    from riskflow import schemas
+    rows = [("n1", "u", 6000.0, "USD", "m", None, None, "US", "mobile", False),
+            ("d1", "u", 10.0, "USD", "m", None, T0 + 1000, "US", "mobile", False),
+            ("d1", "u", 10.0, "USD", "m", None, T0 + 1000, "US", "mobile", False)]
+    schema = schemas.TRANSACTION.fromJson(schemas.TRANSACTION.jsonValue())
+    for f in schema.fields:
+        f.nullable = True
+    timed = to_event_time(spark.createDataFrame(rows, schema))
+    from riskflow.operators import immediate
+    assert [r["transaction_id"] for r in immediate.flag_immediate(timed).collect()] == ["n1"]
+    feats = velocity.velocity_features(timed).collect()
+    assert len(feats) == 4 and all(r["window_count"] == 2 for r in feats)   # duplicate kept, null skipped
