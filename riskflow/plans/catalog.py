@@ -6,6 +6,7 @@ go through ``comparable`` so they can be checked against the DuckDB oracle.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -206,8 +207,10 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
         run = workspace.new_run(spark, "stream")
         raw = FileTopic(run, DEFAULT.raw_topic)
         parts = spark.sparkContext.defaultParallelism
+        t0 = time.perf_counter()
         produce(ingest.to_wire(read_transactions(spark, sf_dir), partitions=parts), raw,
                 spread=False)
+        produce_sec = time.perf_counter() - t0
         p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
                            f"{run}/checkpoints", DEFAULT, trigger={"availableNow": True},
                            feature_sink=TableSink(f"{run}/features"),
@@ -219,6 +222,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
             name: [(pr["batchId"], pr["numInputRows"], pr["durationMs"].get("triggerExecution", 0))
                    for pr in q.recentProgress]
             for name, q in p.queries.items()}
+        STREAM_PROGRESS[key]["_produce_sec"] = produce_sec
         _STREAM_RUNS[key] = run
     return _STREAM_RUNS[key]
 
