@@ -80,3 +80,21 @@ def test_rocksdb_state_store_gives_same_windows(spark, scratch):
         assert streamed.exceptAll(batch).count() == 0
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
+
+
+def test_hot_user_does_not_make_a_hot_reducer(spark):
+    """Rows per reducer partition of the window aggregation stay balanced
+    although one user has a third of all rows: the shuffle key is
+    (window, user), and the hot user's rows spread over its windows."""
+    rows = _rows(6000, seed=5)
+    timed = to_event_time(tx_df(spark, rows).repartition(8))
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        feats = velocity.velocity_features(timed)
+        per_part = [r["n"] for r in feats.groupBy(F.spark_partition_id().alias("p"))
+                    .agg(F.sum("window_count").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    assert sum(per_part) == 4 * len(rows)
+    assert max(per_part) < 2.0 * (sum(per_part) / 8)      # hot user's third is spread out

@@ -250,3 +250,30 @@ def test_window_emitted_when_end_equals_watermark(spark, scratch):
     # watermark = 00:04:00 - 2 min = 00:02:00: the window ending exactly then is out
     assert [(s, e) for s, e, u, *_ in out if u == "a"] == sorted(
         [("23:58:30", "00:00:30"), ("23:59:00", "00:01:00"), ("23:59:30", "00:01:30"), ("00:00:00", "00:02:00")])
+
+
+def test_app_cli_with_registry_and_older_writer_schema(spark, scratch):
+    """Messages framed with schema id 1 (an older schema without
+    device_type) and id 2 (the latest) both decode through the registry."""
+    import json as _json
+
+    from riskflow import app
+    from riskflow.operators import avro
+    from riskflow.sources import registry
+    old = _json.loads(schemas.TRANSACTION_AVRO)
+    old["fields"] = [f for f in old["fields"] if f["name"] != "device_type"]
+    new = _json.loads(schemas.TRANSACTION_AVRO)
+    new["fields"] = [{**f, "default": "unknown"} if f["name"] == "device_type" else f for f in new["fields"]]
+    reg_rows = [{"subject": "transactions-raw-value", "version": 1, "schema_id": 1, "schema": _json.dumps(old)},
+                {"subject": "transactions-raw-value", "version": 2, "schema_id": 2, "schema": _json.dumps(new)}]
+    spark.createDataFrame(reg_rows, registry.REGISTRY_SCHEMA).write.json(f"{scratch}/registry")
+    old_s = avro.parse_schema(_json.dumps(old))
+    rec = {"transaction_id": "t1", "user_id": "user-1", "amount": 9000.0, "currency": "USD", "merchant": "m",
+           "category": None, "timestamp": ms(f"{DAY} 00:00:05"), "country": "US", "is_fraud": False}
+    frames = [(b"user-1", b"\x00\x00\x00\x00\x01" + avro.encode_body(rec, old_s))]
+    root = f"{scratch}/topics"
+    produce(spark.createDataFrame(frames, "key binary, value binary"), FileTopic(root, "transactions-raw"))
+    app.main(["pipeline", "--checkpoint", f"{scratch}/ck", "--topic-root", root, "--available-now",
+              "--registry", f"{scratch}/registry"])
+    flags = [_json.loads(bytes(r["value"]).decode()) for r in FileTopic(root, "flagged-transactions").read(spark).collect()]
+    assert [f["transaction_id"] for f in flags if "transaction_id" in f] == ["t1"]
