@@ -65,7 +65,14 @@ class KafkaTopic:
 
 @dataclass
 class FileTopic:
-    """A topic kept as parquet parts under ``root/name``."""
+    """A topic kept as parquet parts under ``root/name``.
+
+    One produce call is one sub-folder of evenly split parts, all covering the
+    same span of event time.  A Kafka consumer reads every partition in each
+    micro-batch; to keep that property, read a file topic without a file limit
+    or with ``max_files_per_trigger`` a multiple of the producer's parts —
+    otherwise later parts of the same span can arrive behind the watermark.
+    """
     root: str
     name: str
 

@@ -72,8 +72,11 @@ class TableSink(_BatchSink):
     def write_batch(self, df: DataFrame, part: str) -> None:
         df.write.mode("overwrite").parquet(f"{self.path.rstrip('/')}/{part}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path.rstrip('/')}/*")
+    def read(self, spark: SparkSession, schema=None) -> DataFrame:
+        """All batches written so far.  Give ``schema`` when every batch may
+        have been empty (nothing to infer it from)."""
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(f"{self.path.rstrip('/')}/*")
 
 
 @dataclass
