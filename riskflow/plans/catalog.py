@@ -186,6 +186,13 @@ def q_dead_letters(spark, sf_dir):
     return comparable(out.select(*EXPLAIN_VIEW, "error"))
 
 
+def q_explained_template(spark, sf_dir):
+    """Default explainer: the template is built JVM-side, every flag succeeds."""
+    good = parsed_flagged_topic(spark, sf_dir).filter(F.col("_corrupt_record").isNull())
+    out = explain.explained(explain.explain_flags(good))
+    return comparable(out.select(*EXPLAIN_VIEW, "llm_explanation"))
+
+
 def q_explain_summary(spark, sf_dir):
     return explain.summary(explain_results(spark, sf_dir))
 
@@ -267,6 +274,7 @@ def queries() -> dict[str, Query]:
         "parse_flagged": q_parse_flagged,
         "explained": q_explained,
         "dead_letters": q_dead_letters,
+        "explained_template": q_explained_template,
         "explain_summary": q_explain_summary,
         "stream_flag_immediate": q_stream_flag_immediate,
         "stream_closed_windows": q_stream_closed_windows,

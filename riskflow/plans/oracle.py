@@ -180,6 +180,12 @@ def oracle_sql() -> dict[str, str]:
                    'Flagged ' || {EXPLAIN_SUBJECT} || ' as ' || fraud_reason
                      || ' with rule score ' || CAST(rule_score AS VARCHAR) || '.' AS llm_explanation
             FROM topic WHERE fraud_reason <> 'HIGH_AVERAGE'"""),
+        "explained_template": _q(ALL_FLAGS, f"""
+            SELECT record_key, shape, transaction_id, user_id, window_start, window_end,
+                   fraud_reason, rule_score, 'SUCCESS' AS status, 1 AS attempts,
+                   'Flagged ' || {EXPLAIN_SUBJECT} || ' as ' || fraud_reason
+                     || ' with rule score ' || CAST(rule_score AS VARCHAR) || '.' AS llm_explanation
+            FROM topic"""),
         "dead_letters": _q(ALL_FLAGS, """
             SELECT record_key, shape, transaction_id, user_id, window_start, window_end,
                    fraud_reason, rule_score, 'FAILED' AS status, 1 AS attempts,
