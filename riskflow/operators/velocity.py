@@ -139,5 +139,10 @@ def closed_velocity_features(timed: DataFrame, cfg: FraudConfig = DEFAULT,
     ``window.end <= watermark`` filter is on a grouping key, so Catalyst moves
     it below the aggregate: windows that are still open never reach the
     shuffle.
+
+    The subquery reads ``timed`` a second time.  From parquet that is one
+    pruned column; when ``timed`` is expensive to recompute (decoded from
+    wire messages by the Python fallback, which cannot prune), write it to a
+    table under the shared checkpoint folder first and pass the re-read table.
     """
     return closed_windows(velocity_features(timed, cfg, strategy), watermark_of(timed, cfg))
