@@ -102,3 +102,28 @@ def test_event_time_truncates_toward_zero_and_ignores_zone(spark):
     one = spark.createDataFrame([(1699165800000,)], "timestamp long")
     assert to_event_time(one).select(F.unix_seconds("timestamp")).first()[0] == 1699165800
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_selects_equals_chain_for_generated_rule_tables(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    rnd = random.Random(3)
+    vals = [None, float("nan"), -1.0, 0.0, 1.0, 2.0, 3.0, 5.0]
+    rows = [(rnd.choice(vals), rnd.choice(vals), rnd.choice([None, True, False])) for _ in range(300)]
+    df = (spark.createDataFrame(rows, "a double, b double, c boolean")
+          .withColumn("id", F.monotonically_increasing_id()).cache())
+    a, b, c = F.col("a"), F.col("b"), F.col("c")
+    preds = [a > 2, a < 1, b > 1, b.isNull(), c == True, (a > 0) & (b < 3), (a > 3) | c]  # noqa: E712
+    rule = st.tuples(st.integers(0, len(preds) - 1), st.sampled_from([0.1, 0.3, 0.6, 0.9]))
+
+    @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(rule, min_size=0, max_size=5), st.sampled_from([0.0, 0.1, 0.7]))
+    def check(table, default):
+        rs = RuleSet([(preds[i], v) for i, v in table], default)
+        want = {r.id for r in df.filter(rs.chain() > 0.5).select("id").collect()}
+        got = {r.id for r in df.filter(rs.selects(lambda s: s > 0.5)).select("id").collect()}
+        assert got == want
+
+    check()
+    df.unpersist()
