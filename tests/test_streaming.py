@@ -181,6 +181,9 @@ def test_streaming_explainer_routes_and_commits(spark, scratch):
     assert sorted(d.get("error") for d in dead) == ["decode: not a JSON object"] * 2 + ["refused"]
     assert sum(p["numInputRows"] for p in q.recentProgress) == 5
     assert ex.STATUS_FAILED in {d["status"] for d in dead}
+    observed = [p["observedMetrics"]["explain_input"]["messages"] for p in q.recentProgress
+                if p.get("observedMetrics")]
+    assert sum(observed) == 5
 
 
 def test_app_cli_pipeline_then_explainer(spark, scratch):
