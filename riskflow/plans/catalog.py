@@ -213,7 +213,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     if key not in _STREAM_RUNS:
         run = workspace.new_run(spark, "stream")
         raw = FileTopic(run, DEFAULT.raw_topic)
-        parts = spark.sparkContext.defaultParallelism
+        parts = workspace.parallelism(spark)
         t0 = time.perf_counter()
         produce(ingest.to_wire(read_transactions(spark, sf_dir), partitions=parts), raw,
                 spread=False)

@@ -115,6 +115,7 @@ def produce(df: DataFrame, topic: FileTopic | KafkaTopic, part: str = "batch-000
          .option("topic", topic.name).save())
     else:
         if spread:
-            n = partitions or df.sparkSession.sparkContext.defaultParallelism
+            from riskflow.workspace import parallelism
+            n = partitions or parallelism(df.sparkSession)
             df = df.repartition(n)
         topic.write_batch(df, part)

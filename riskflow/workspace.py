@@ -24,7 +24,7 @@ def shared_root(spark: SparkSession) -> str:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - not available on every session type
             root = None
-    on_cluster = not spark.sparkContext.master.startswith("local")
+    on_cluster = not master(spark).startswith("local")
     if not root and on_cluster:
         raise RuntimeError(f"set {CONF_KEY} to a folder every node shares (e.g. on HDFS or S3)")
     if not root:
@@ -41,6 +41,22 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        return spark.conf.get("spark.master", "unknown")
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (default parallelism), for sizing splits."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        return int(spark.conf.get("spark.default.parallelism",
+                                  spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), *parts])
 
