@@ -137,7 +137,8 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
                    cfg: FraudConfig = DEFAULT, trigger: dict | None = None,
                    feature_sink=None, immediate_sink=None, windowed_sink=None,
                    decoded: bool = False, name_suffix: str = "",
-                   state_partitions: int | None = None, **decode_kw) -> Pipeline:
+                   state_partitions: int | None = None, decoded_table: str | None = None,
+                   **decode_kw) -> Pipeline:
     """Start the application as two streaming queries.
 
     * ``flagged-immediate-<kind>`` (stateless): transaction flags -> JSON
@@ -151,19 +152,47 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
     keeps one state store, and fans out inside ``foreachBatch``.  Every
     query has its own checkpoint under ``checkpoint_root``.
 
+    ``decoded_table``: decode once.  The transaction-flag query also appends
+    the decoded, event-timed rows to this parquet folder (one sub-folder per
+    batch), and the window query streams from it instead of decoding the raw
+    topic again; batch jobs can read the same columnar table.  Under an
+    ``availableNow`` trigger the window query starts after the first one
+    has finished; otherwise both run side by side.
+
     ``state_partitions``: width of the window query's shuffle and state store.
     It is fixed by the checkpoint at the first start, so size it for the peak
     number of live (window, user) keys, not for today's load.
     """
     flows = build_flows(source, cfg, decoded=decoded, **decode_kw)
     trig = trigger or default_trigger(cfg)
+    if decoded_table:
+        from riskflow.streaming.sinks import TableSink
+        table = TableSink(decoded_table)
+        timed_schema = flows.timed.schema
+        spark = source.sparkSession
+        window_source = (spark.readStream.schema(timed_schema)
+                         .parquet(f"{decoded_table.rstrip('/')}/*"))
+        flows = Flows(timed=flows.timed,
+                      features=velocity.velocity_features(
+                          window_source.withWatermark("timestamp", cfg.watermark_delay), cfg),
+                      flagged_immediate=flows.flagged_immediate,
+                      flagged_windowed=None)
     kind = getattr(flag_sink, "kind", "sink")
     root = checkpoint_root.rstrip("/")
     p = Pipeline()
 
-    imm_out = [(flag_sink, payload.to_payload)]
-    if immediate_sink is not None:
-        imm_out.append((immediate_sink, lambda b: b))
+    if decoded_table:
+        # the stateless query runs over the decoded rows and derives the flags per batch
+        imm_out = [(table, lambda b: b),
+                   (flag_sink, lambda b: payload.to_payload(immediate.flag_immediate(b, cfg)))]
+        if immediate_sink is not None:
+            imm_out.append((immediate_sink, lambda b: immediate.flag_immediate(b, cfg)))
+        imm_df = flows.timed
+    else:
+        imm_out = [(flag_sink, payload.to_payload)]
+        if immediate_sink is not None:
+            imm_out.append((immediate_sink, lambda b: b))
+        imm_df = flows.flagged_immediate
     win_out = [(flag_sink, lambda b: payload.to_payload(velocity.flag_windowed(b, cfg)))]
     if feature_sink is not None:
         win_out.append((feature_sink, lambda b: b))
@@ -180,8 +209,10 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
         p.queries[name] = w.foreachBatch(lambda b, i: fn(b, i, flow)).start()
 
     try:
-        start(f"flagged-immediate-{kind}", flows.flagged_immediate, imm_out)
+        start(f"flagged-immediate-{kind}", imm_df, imm_out)
         spark = source.sparkSession
+        if decoded_table and "availableNow" in trig:
+            p.await_termination()     # the table is complete before the window query reads it
         prev = spark.conf.get("spark.sql.shuffle.partitions")
         if state_partitions:
             spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))

@@ -280,3 +280,27 @@ def test_app_cli_with_registry_and_older_writer_schema(spark, scratch):
               "--registry", f"{scratch}/registry"])
     flags = [_json.loads(bytes(r["value"]).decode()) for r in FileTopic(root, "flagged-transactions").read(spark).collect()]
     assert [f["transaction_id"] for f in flags if "transaction_id" in f] == ["t1"]
+
+
+def test_decode_once_table_gives_the_same_flags(spark, scratch):
+    from riskflow.operators import immediate, velocity
+    from riskflow.sources.fixtures import read_transactions
+    from tests.conftest import SF_SMALL
+    tx = read_transactions(spark, SF_SMALL)
+    raw = FileTopic(scratch, "raw")
+    produce(ingest.to_wire(tx), raw)
+    p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(scratch, "flagged")), f"{scratch}/ck",
+                       DEFAULT, trigger={"availableNow": True}, name_suffix="-once",
+                       immediate_sink=TableSink(f"{scratch}/imm"), windowed_sink=TableSink(f"{scratch}/win"),
+                       decoded_table=f"{scratch}/decoded")
+    p.await_termination()
+    timed = to_event_time(tx)
+    win = TableSink(f"{scratch}/win").read(spark)
+    imm = TableSink(f"{scratch}/imm").read(spark)
+    want_win = velocity.flag_windowed(velocity.closed_velocity_features(timed))
+    want_imm = immediate.flag_immediate(timed)
+    assert win.count() == 862 and win.exceptAll(want_win).count() == 0
+    assert imm.count() == 214 and imm.exceptAll(want_imm).count() == 0
+    decoded = TableSink(f"{scratch}/decoded").read(spark)
+    assert decoded.count() == 1000 and dict(decoded.dtypes)["timestamp"] == "timestamp"
+    assert FileTopic(scratch, "flagged").read(spark).count() == 214 + 862
