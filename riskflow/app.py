@@ -56,6 +56,8 @@ def main(argv=None) -> None:
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--console", action="store_true", help="also print window features and flags")
     ap.add_argument("--rocksdb", action="store_true", help="keep window state in RocksDB")
+    ap.add_argument("--decoded-table", help="decode once: shared folder for decoded transactions")
+    ap.add_argument("--state-partitions", type=int, help="width of the window state (fixed per checkpoint)")
     ap.add_argument("--explainer", help="module:function taking (record, prompt) -> text")
     ap.add_argument("--max-tasks", type=int)
     args = ap.parse_args(argv)
@@ -80,6 +82,7 @@ def main(argv=None) -> None:
         console = ConsoleSink(num_rows=10) if args.console else None
         p = start_pipeline(raw.read_stream(spark), TopicSink(_topic(args, args.flag_topic)), ck,
                            DEFAULT, trigger=trigger, feature_sink=console, immediate_sink=console,
+                           decoded_table=args.decoded_table, state_partitions=args.state_partitions,
                            schema_json=schema_json, writer_schemas=writers)
     else:
         from riskflow.streaming.explainer import start_explainer
