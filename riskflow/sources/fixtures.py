@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow import schemas
 
 # Fixed values of the fixture mapping (shared with the DuckDB oracle SQL).
 EPOCH_MS = 1704067200000                      # 2024-01-01T00:00:00Z
@@ -78,7 +77,3 @@ def stream_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
 
 def stream_transactions(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return events_to_transactions(stream_events(spark, sf_dir, **kw))
-
-
-def transactions_schema() -> "schemas.T.StructType":
-    return schemas.TRANSACTION

@@ -304,3 +304,12 @@ def test_decode_once_table_gives_the_same_flags(spark, scratch):
     decoded = TableSink(f"{scratch}/decoded").read(spark)
     assert decoded.count() == 1000 and dict(decoded.dtypes)["timestamp"] == "timestamp"
     assert FileTopic(scratch, "flagged").read(spark).count() == 214 + 862
+
+
+def test_events_as_a_stream_source(spark, scratch):
+    from riskflow.sources.fixtures import stream_transactions
+    from tests.conftest import SF_SMALL
+    flows = build_flows(stream_transactions(spark, SF_SMALL), DEFAULT, decoded=True)
+    q = MemorySink().start(flows.features, "events_stream_w", f"{scratch}/ck", {"availableNow": True})
+    q.awaitTermination()
+    assert spark.sql("SELECT count(*) FROM events_stream_w").first()[0] == 1152
