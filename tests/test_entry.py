@@ -40,3 +40,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(dcols, drows)
+
+
+@pytest.mark.parametrize("name", ["transactions", "flag_windowed_closed", "payload_windowed", "flagged_topic"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    fn = E.queries()[name]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base = sorted(map(tuple, fn(spark, SF_SMALL).collect()), key=repr)
+    try:
+        for tz in ("America/New_York", "Australia/Sydney"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert sorted(map(tuple, fn(spark, SF_SMALL).collect()), key=repr) == base, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
