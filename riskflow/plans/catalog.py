@@ -17,7 +17,7 @@ from riskflow.config import DEFAULT
 from riskflow.functions import wire
 from riskflow.functions.eventtime import to_event_time
 from riskflow.operators import explain, immediate, ingest, payload, velocity
-from riskflow.plans.compare import comparable
+from riskflow.plans.compare import comparable, null_safe
 from riskflow.sources.fixtures import read_transactions
 from riskflow.sources.topic import FileTopic, produce
 from riskflow.streaming.pipeline import start_pipeline
@@ -63,7 +63,7 @@ def q_wire_decode_permissive(spark, sf_dir):
     each damaged copy becomes an all-null row, kept, not lost."""
     msgs = wire_messages(spark, sf_dir)
     damaged = msgs.select("key", F.expr("substring(value, 1, length(value) - 1)").alias("value"))
-    return ingest.decode_transactions(msgs.unionByName(damaged), mode="PERMISSIVE")
+    return null_safe(ingest.decode_transactions(msgs.unionByName(damaged), mode="PERMISSIVE"))
 
 
 def q_event_time(spark, sf_dir):
@@ -137,7 +137,7 @@ def parsed_flagged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_flagged_topic(spark, sf_dir):
     parsed = parsed_flagged_topic(spark, sf_dir)
-    return comparable(parsed.drop("raw_value", "_corrupt_record"))
+    return null_safe(comparable(parsed.drop("raw_value", "_corrupt_record")))
 
 
 def q_parse_flagged(spark, sf_dir):
@@ -147,9 +147,9 @@ def q_parse_flagged(spark, sf_dir):
     imm, win = flag_payloads(spark, sf_dir)
     damaged = win.select("key", F.expr("substring(value, 1, length(value) div 2)").alias("value"))
     parsed = payload.parse_flags(payload.flagged_topic(imm, win, damaged))
-    return comparable(parsed.select(
+    return null_safe(comparable(parsed.select(
         *[c for c in parsed.columns if c not in ("raw_value", "_corrupt_record")],
-        F.col("_corrupt_record").isNotNull().alias("corrupt")))
+        F.col("_corrupt_record").isNotNull().alias("corrupt"))))
 
 
 def demo_explainer(record: dict, prompt: str) -> str:
@@ -178,19 +178,19 @@ EXPLAIN_VIEW = ["record_key", "shape", "transaction_id", "user_id", "window",
 
 def q_explained(spark, sf_dir):
     out = explain.explained(explain_results(spark, sf_dir))
-    return comparable(out.select(*EXPLAIN_VIEW, "llm_explanation"))
+    return null_safe(comparable(out.select(*EXPLAIN_VIEW, "llm_explanation")))
 
 
 def q_dead_letters(spark, sf_dir):
     out = explain.dead_letters(explain_results(spark, sf_dir))
-    return comparable(out.select(*EXPLAIN_VIEW, "error"))
+    return null_safe(comparable(out.select(*EXPLAIN_VIEW, "error")))
 
 
 def q_explained_template(spark, sf_dir):
     """Default explainer: the template is built JVM-side, every flag succeeds."""
     good = parsed_flagged_topic(spark, sf_dir).filter(F.col("_corrupt_record").isNull())
     out = explain.explained(explain.explain_flags(good))
-    return comparable(out.select(*EXPLAIN_VIEW, "llm_explanation"))
+    return null_safe(comparable(out.select(*EXPLAIN_VIEW, "llm_explanation")))
 
 
 def q_explain_summary(spark, sf_dir):
@@ -249,7 +249,7 @@ def q_stream_flag_windowed(spark, sf_dir):
 def q_stream_flagged_topic(spark, sf_dir):
     topic = FileTopic(stream_run(spark, sf_dir), DEFAULT.flagged_topic)
     parsed = payload.parse_flags(topic.read(spark))
-    return comparable(parsed.drop("raw_value", "_corrupt_record"))
+    return null_safe(comparable(parsed.drop("raw_value", "_corrupt_record")))
 
 
 def queries() -> dict[str, Query]:

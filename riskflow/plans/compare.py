@@ -25,3 +25,23 @@ def comparable(df: DataFrame) -> DataFrame:
         else:
             cols.append(c)
     return df.select(*cols)
+
+
+# Columns that are integers or booleans *and* hold nulls in the mixed-shape
+# outputs.  pandas renders such columns differently per engine (float64 vs a
+# nullable Int64, object vs a nullable boolean), so the checked outputs carry
+# them as DOUBLE (exact here: epoch seconds, counts) and as 'true'/'false' text.
+NULLABLE_INTS = ["timestamp", "window_start", "window_end", "window_count"]
+NULLABLE_BOOLS = ["is_fraud"]
+
+
+def null_safe(df: DataFrame) -> DataFrame:
+    cols = []
+    for c in df.columns:
+        if c in NULLABLE_INTS:
+            cols.append(F.col(c).cast("double").alias(c))
+        elif c in NULLABLE_BOOLS:
+            cols.append(F.col(c).cast("string").alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)

@@ -127,6 +127,18 @@ EXPLAIN_SUBJECT = """CASE WHEN shape = 'window' THEN 'user ' || user_id || ' in
                           ELSE 'transaction ' || transaction_id END"""
 
 
+def _null_safe(sql: str, ints: list[str], bools: list[str] = ()) -> str:
+    """Same representation rule as ``plans.compare.null_safe``: nullable
+    integer columns as DOUBLE, nullable booleans as text."""
+    repl = [f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in ints] + \
+           [f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in bools]
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql}) AS q"
+
+
+TOPIC_INTS = ["timestamp", "window_start", "window_end", "window_count"]
+VIEW_INTS = ["window_start", "window_end"]
+
+
 def _q(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
@@ -196,6 +208,11 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS n
             FROM topic GROUP BY 1"""),
     }
+    for name in ("flagged_topic", "parse_flagged"):
+        out[name] = _null_safe(out[name], TOPIC_INTS, ["is_fraud"])
+    for name in ("explained", "explained_template", "dead_letters"):
+        out[name] = _null_safe(out[name], VIEW_INTS)
+    out["wire_decode_permissive"] = _null_safe(out["wire_decode_permissive"], ["timestamp"], ["is_fraud"])
     # A stream run over the whole input equals the batch results.
     out["stream_flag_immediate"] = out["flag_immediate"]
     out["stream_closed_windows"] = out["closed_windows"]
