@@ -8,8 +8,8 @@ a user with a third of all rows is still spread over all its windows, and the
 partial aggregate bounds what any single (window, user) can send.
 
 ``strategy="panes"`` is the alternative plan: aggregate 30-second panes per
-user first, then combine 4 panes per window (sum, count and max add up; avg
-is sum / count).  It trades the 4x Expand for a second, smaller shuffle.
+user first, then combine 4 panes per window (sums, counts and max add up;
+avg is the sum over the count of non-null amounts).  It trades the 4x Expand for a second, smaller shuffle.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from riskflow.config import DEFAULT, FraudConfig
 from riskflow.functions.rules import RuleSet
 from riskflow.schemas import FEATURE_COLUMNS, FLAGGED_WINDOWED_COLUMNS
 
+
 def _interval(text: str) -> Column:
     return F.expr(f"INTERVAL {text}")
 
@@ -32,7 +33,7 @@ def _parse_seconds(text: str) -> int:
     return int(float(n) * scale)
 
 
-def _aggregates(cfg: FraudConfig) -> list[Column]:
+def _aggregates() -> list[Column]:
     return [
         F.sum("amount").alias("window_amount"),
         F.count(F.lit(1)).alias("window_count"),
@@ -53,7 +54,7 @@ def velocity_features(timed: DataFrame, cfg: FraudConfig = DEFAULT,
         out = (timed
                .groupBy(F.window("timestamp", cfg.window_duration, cfg.slide_duration).alias("window"),
                         "user_id")
-               .agg(*_aggregates(cfg)))
+               .agg(*_aggregates()))
     elif strategy == "panes":
         out = _features_by_panes(timed, cfg)
     else:
@@ -74,12 +75,13 @@ def _features_by_panes(timed: DataFrame, cfg: FraudConfig) -> DataFrame:
              .withColumn("_pane", secs - F.pmod(secs, F.lit(slide)))
              .groupBy("_pane", "user_id")
              .agg(F.sum("amount").alias("_s"), F.count(F.lit(1)).alias("_c"),
-                  F.max("amount").alias("_m")))
+                  F.count("amount").alias("_n"), F.max("amount").alias("_m")))
     starts = F.transform(F.sequence(F.lit(0), F.lit((n - 1) * slide), F.lit(slide)),
                          lambda k: F.col("_pane") - k)
     expanded = panes.select("*", F.explode(starts).alias("_start"))
     aggs = [F.sum("_s").alias("window_amount"), F.sum("_c").alias("window_count"),
-            (F.sum("_s") / F.sum("_c")).alias("avg_amount"), F.max("_m").alias("max_amount")]
+            # avg ignores null amounts, like ``avg`` in the expand plan
+            F.try_divide(F.sum("_s"), F.sum("_n")).alias("avg_amount"), F.max("_m").alias("max_amount")]
     out = expanded.groupBy("_start", "user_id").agg(*aggs)
     window = F.struct(F.timestamp_seconds("_start").alias("start"),
                       F.timestamp_seconds(F.col("_start") + F.lit(size)).alias("end"))

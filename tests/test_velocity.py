@@ -106,3 +106,18 @@ def test_null_event_time_and_duplicates(spark):
     assert [r["transaction_id"] for r in immediate.flag_immediate(timed).collect()] == ["n1"]
     feats = velocity.velocity_features(timed).collect()
     assert len(feats) == 4 and all(r["window_count"] == 2 for r in feats)   # duplicate kept, null skipped
+
+
+def test_panes_equal_expand_with_null_amounts(spark):
+    from riskflow import schemas
+    schema = schemas.TRANSACTION.fromJson(schemas.TRANSACTION.jsonValue())
+    for f in schema.fields:
+        f.nullable = True
+    rows = [tx_row("a", "u", None, T0 + 1000), tx_row("b", "u", 10.0, T0 + 2000),
+            tx_row("c", "v", None, T0 + 3000)]
+    timed = to_event_time(spark.createDataFrame(rows, schema))
+    a = velocity.velocity_features(timed, strategy="expand")
+    b = velocity.velocity_features(timed, strategy="panes")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    got = {(r["user_id"], r["window_count"], r["avg_amount"]) for r in a.collect()}
+    assert got == {("u", 2, 10.0), ("v", 1, None)}
