@@ -99,8 +99,7 @@ def prompt_column(raw: "F.Column | None" = None) -> "F.Column":
 def template_explanation() -> "F.Column":
     """Default explanation, built without leaving the JVM."""
     subject = F.when(F.col("shape") == "window",
-                     F.concat(F.lit("user "), F.col("user_id"), F.lit(" in a "),
-                              F.lit("sliding window")))
+                     F.concat(F.lit("user "), F.col("user_id"), F.lit(" in a sliding window")))
     subject = subject.otherwise(F.concat(F.lit("transaction "), F.col("transaction_id")))
     return F.concat(F.lit("Flagged "), subject, F.lit(" as "), F.col("fraud_reason"),
                     F.lit(" with rule score "), F.col("rule_score").cast("string"), F.lit("."))
@@ -191,7 +190,7 @@ def _clean(record: dict) -> dict:
         if v is None:
             continue
         if isinstance(v, dict):
-            v = {kk: vv for kk, vv in _clean(v).items()}
+            v = _clean(v)
         elif hasattr(v, "isoformat"):
             v = v.isoformat()
         out[k] = v
@@ -231,5 +230,3 @@ def to_output_payload(results: DataFrame) -> DataFrame:
     cols = [c for c in results.columns if c not in ("record_key", "shape", "attempts", "raw_value")]
     return results.select(F.col("record_key").alias("key"),
                           F.to_json(F.struct(*cols)).alias("value"))
-
-
