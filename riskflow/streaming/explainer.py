@@ -24,15 +24,16 @@ from riskflow.operators import explain, payload
 
 def explain_batch(messages: DataFrame, explainer: Callable | None, cfg: FraudConfig = DEFAULT,
                   retryable: tuple = (explain.RetryableError,), sleep=None,
-                  max_tasks: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(explained, failed, undecodable) for one batch of flagged-topic messages."""
+                  max_tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(results with a status per flag, undecodable dead letters) for one
+    batch of flagged-topic messages.  Persist ``results`` before reading it
+    twice: each flag must reach the explainer once."""
     parsed = payload.parse_flags(messages)
     good = parsed.filter(F.col("_corrupt_record").isNull())
     if max_tasks:
         good = good.coalesce(max_tasks)   # bounds concurrent calls to the service
     results = explain.explain_flags(good, explainer, cfg, retryable=retryable, sleep=sleep)
-    undecodable = explain.undecodable_dead_letters(parsed)
-    return explain.explained(results), explain.dead_letters(results), undecodable
+    return results, explain.undecodable_dead_letters(parsed)
 
 
 def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint: str,
@@ -49,15 +50,12 @@ def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            ok, failed, undecodable = explain_batch(batch, explainer, cfg, retryable, sleep, max_tasks)
-            results = ok.unionByName(failed, allowMissingColumns=True).persist()
+            results, undecodable = explain_batch(batch, explainer, cfg, retryable, sleep, max_tasks)
+            results = results.persist()      # one explainer call per flag, two outputs
             try:
                 part = f"{name}-{batch_id:012d}"
-                explained_sink.write_batch(
-                    explain.to_output_payload(results.filter(F.col("status") == explain.STATUS_OK)
-                                              .drop("error")), part)
-                dead = explain.to_output_payload(
-                    results.filter(F.col("status") != explain.STATUS_OK).drop("llm_explanation"))
+                explained_sink.write_batch(explain.to_output_payload(explain.explained(results)), part)
+                dead = explain.to_output_payload(explain.dead_letters(results))
                 bad = undecodable.select(F.col("record_key").alias("key"),
                                          F.to_json(F.struct("status", "error", "raw_value")).alias("value"))
                 dlq_sink.write_batch(dead.unionByName(bad), part)

@@ -313,3 +313,31 @@ def test_events_as_a_stream_source(spark, scratch):
     q = MemorySink().start(flows.features, "events_stream_w", f"{scratch}/ck", {"availableNow": True})
     q.awaitTermination()
     assert spark.sql("SELECT count(*) FROM events_stream_w").first()[0] == 1152
+
+
+def test_streaming_explainer_calls_each_flag_once(spark, scratch):
+    """Both outputs come from one persisted result: the explainer sees every
+    flag exactly once per batch (counted through an accumulator)."""
+    from riskflow.operators import immediate
+    from riskflow.operators import payload as pl
+    from riskflow.streaming.explainer import start_explainer
+
+    rows = [tx_row(f"t{i}", f"user-{i}", 6000.0 + i, ms(f"{DAY} 00:00:0{i}")) for i in range(5)]
+    flags = immediate.flag_immediate(to_event_time(spark.createDataFrame(rows, schemas.TRANSACTION)))
+    topic = FileTopic(scratch, "flagged")
+    topic.write_batch(pl.to_payload(flags), "batch-0")
+    calls = spark.sparkContext.accumulator(0)
+
+    def explainer(record, prompt):
+        calls.add(1)
+        if record["transaction_id"] == "t0":
+            raise ValueError("no")
+        return "ok"
+
+    q = start_explainer(topic.read_stream(spark), TopicSink(FileTopic(scratch, "out")),
+                        TopicSink(FileTopic(scratch, "dlq")), f"{scratch}/ck", explainer,
+                        trigger={"availableNow": True})
+    q.awaitTermination()
+    assert calls.value == 5
+    assert FileTopic(scratch, "out").read(spark).count() == 4
+    assert FileTopic(scratch, "dlq").read(spark).count() == 1
