@@ -26,12 +26,15 @@ MESSAGE_SCHEMA = T.StructType([
 def kafka_available(spark: SparkSession) -> bool:
     key = id(spark)
     if key not in _KAFKA_OK:
-        try:
-            spark._jvm.java.lang.Class.forName(  # noqa: SLF001 - classpath probe only
-                "org.apache.spark.sql.kafka010.KafkaSourceProvider")
-            _KAFKA_OK[key] = True
+        cls = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
+        try:   # Spark's class loader also sees jars added with --packages / --jars
+            _KAFKA_OK[key] = bool(spark._jvm.org.apache.spark.util.Utils.classIsLoadable(cls))  # noqa: SLF001
         except Exception:  # noqa: BLE001
-            _KAFKA_OK[key] = False
+            try:
+                spark._jvm.java.lang.Class.forName(cls)  # noqa: SLF001
+                _KAFKA_OK[key] = True
+            except Exception:  # noqa: BLE001
+                _KAFKA_OK[key] = False
     return _KAFKA_OK[key]
 
 

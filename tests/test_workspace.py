@@ -14,3 +14,12 @@ def test_machine_local_paths(spark):
     assert not workspace._machine_local(spark, "s3a://bucket/ck")
     # scheme-less paths follow the default file system (local in tests)
     assert workspace._machine_local(spark, "/shared/ck")
+
+
+def test_connector_probes(spark):
+    from riskflow.operators.avro import spark_avro_available
+    from riskflow.sources.topic import kafka_available
+    # neither module ships with this PySpark; the library falls back to
+    # file topics and the Arrow-batched codec
+    assert kafka_available(spark) is False
+    assert spark_avro_available(spark) is False
