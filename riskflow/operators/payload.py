@@ -49,13 +49,15 @@ def shape(flag: Column) -> Column:
 def parse_flags(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """``(key, value)`` messages -> superset flag columns + ``shape``,
     ``record_key`` and ``_corrupt_record`` (non-null = undecodable, e.g.
-    ``{"a":``, or not a JSON object, e.g. ``[1]``)."""
+    ``{"a":``, not a JSON object, e.g. ``[1]``, or a null message, which
+    is marked with an empty string)."""
     text = F.col(value_col).cast("string")
     parsed = F.from_json(text, schemas.FLAG_SUPERSET_WITH_CORRUPT,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN})
     df = messages.select(text.alias("_value"), parsed.alias("_flag"))
     not_object = ~F.coalesce(F.trim(F.col("_value")).startswith("{"), F.lit(False))
-    corrupt = (F.when(not_object, F.col("_value"))
+    corrupt = (F.when(F.col("_value").isNull(), F.lit(""))
+               .when(not_object, F.col("_value"))
                .otherwise(F.col("_flag")[schemas.CORRUPT_COLUMN]))
     cols = [F.col("_flag")[f.name].alias(f.name) for f in schemas.FLAG_SUPERSET.fields]
     return df.select(

@@ -42,16 +42,16 @@ def test_topic_union_and_parse_back(spark):
 
 def test_parse_bad_messages_and_keys(spark):
     msgs = spark.createDataFrame([
-        ("k", '{"a":'), ("k", "[1]"), ("k", '"s"'),
+        ("k", '{"a":'), ("k", "[1]"), ("k", '"s"'), ("k", None),
         ("k", '{"fraud_reason": "X"}'), ("k", '{"user_id": null, "fraud_reason": "X"}'),
         ("k", '{"user_id": "u-7", "fraud_reason": "X"}'),
     ], "key string, value string")
     rows = payload.parse_flags(msgs).collect()
     corrupt = [r["_corrupt_record"] is not None for r in rows]
-    assert corrupt == [True, True, True, False, False, False]
-    assert [r["record_key"] for r in rows[3:]] == ["", "None", "u-7"]
+    assert corrupt == [True, True, True, True, False, False, False]
+    assert [r["record_key"] for r in rows[4:]] == ["", "None", "u-7"]
     dlq = explain.undecodable_dead_letters(payload.parse_flags(msgs))
-    assert dlq.count() == 3
+    assert dlq.count() == 4
 
 
 class Flaky(explain.RetryableError):
