@@ -61,7 +61,7 @@ def q_wire_roundtrip(spark, sf_dir):
 def q_wire_decode_permissive(spark, sf_dir):
     """Every frame plus a copy missing its last byte, decoded PERMISSIVE:
     each damaged copy becomes an all-null row, kept, not lost."""
-    msgs = wire_messages(spark, sf_dir)
+    msgs = workspace.cut_lineage(wire_messages(spark, sf_dir))   # encode once, read twice
     damaged = msgs.select("key", F.expr("substring(value, 1, length(value) - 1)").alias("value"))
     return null_safe(ingest.decode_transactions(msgs.unionByName(damaged), mode="PERMISSIVE"))
 
@@ -145,6 +145,7 @@ def q_parse_flagged(spark, sf_dir):
     cut in half): good messages parse back, damaged ones are marked corrupt
     with all fields null and kept, not lost."""
     imm, win = flag_payloads(spark, sf_dir)
+    win = workspace.cut_lineage(win)                 # aggregate once, read twice
     damaged = win.select("key", F.expr("substring(value, 1, length(value) div 2)").alias("value"))
     parsed = payload.parse_flags(payload.flagged_topic(imm, win, damaged))
     return null_safe(comparable(parsed.select(

@@ -57,6 +57,13 @@ def parallelism(spark: SparkSession) -> int:
                                   spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder (reliable, survives
+    executor loss) so a plan that reads it twice computes it once."""
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), *parts])
 
