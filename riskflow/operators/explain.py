@@ -108,9 +108,15 @@ def template_explanation() -> "F.Column":
 def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None = None,
                   cfg: FraudConfig = DEFAULT, retryable: tuple = (RetryableError,),
                   sleep: Callable[[float], None] | None = None,
-                  concurrency: int | None = None) -> DataFrame:
+                  concurrency: int | None = None, partitions: int | None = None) -> DataFrame:
     """Parsed flags (``parse_flags`` output without corrupt rows) ->
-    ``EXPLAINED_SCHEMA`` rows with ``status`` SUCCESS or FAILED."""
+    ``EXPLAINED_SCHEMA`` rows with ``status`` SUCCESS or FAILED.
+
+    ``partitions``: spread the flags evenly (round robin, stable on retry)
+    over that many tasks before calling the explainer.  Each call may take a
+    network round trip, so balance matters more than the small shuffle of the
+    flags; it also bounds the tasks calling the service at once.
+    """
     has_raw = "raw_value" in flags.columns
     base = flags.select(*RECORD_COLUMNS, "shape", "record_key",
                         *(["raw_value"] if has_raw else []))
@@ -121,6 +127,8 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
                            F.lit(None).cast("string").alias("error"),
                            F.lit(1).alias("attempts"))
 
+    if partitions:
+        base = base.repartition(partitions)
     attempts = cfg.explain_attempts
     wait_min, wait_max = cfg.explain_wait_min, cfg.explain_wait_max
     workers = concurrency or cfg.explain_batch_size

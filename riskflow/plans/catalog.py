@@ -170,7 +170,7 @@ def demo_explainer(record: dict, prompt: str) -> str:
 def explain_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parsed_flagged_topic(spark, sf_dir)
     good = parsed.filter(F.col("_corrupt_record").isNull())
-    return explain.explain_flags(good, demo_explainer, DEFAULT)
+    return explain.explain_flags(good, demo_explainer, DEFAULT, partitions=workspace.parallelism(spark))
 
 
 EXPLAIN_VIEW = ["record_key", "shape", "transaction_id", "user_id", "window",

@@ -30,9 +30,9 @@ def explain_batch(messages: DataFrame, explainer: Callable | None, cfg: FraudCon
     twice: each flag must reach the explainer once."""
     parsed = payload.parse_flags(messages)
     good = parsed.filter(F.col("_corrupt_record").isNull())
-    if max_tasks:
-        good = good.coalesce(max_tasks)   # bounds concurrent calls to the service
-    results = explain.explain_flags(good, explainer, cfg, retryable=retryable, sleep=sleep)
+    # max_tasks: exactly that many balanced tasks call the service
+    results = explain.explain_flags(good, explainer, cfg, retryable=retryable, sleep=sleep,
+                                    partitions=max_tasks)
     return results, explain.undecodable_dead_letters(parsed)
 
 
