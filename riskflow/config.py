@@ -7,7 +7,7 @@ code.  Nothing in here depends on the data size.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 # Fixed values (must equal the reference application for identical results).
@@ -44,8 +44,6 @@ class FraudConfig:
     window_duration: str = "2 minutes"
     slide_duration: str = "30 seconds"
     watermark_delay: str = "2 minutes"
-    # Velocity is "amount per minute": window_amount / window length in minutes.
-    window_minutes: float = 2.0
 
     velocity_high: float = 2500.0
     velocity_very_high: float = 5000.0
@@ -71,10 +69,16 @@ class FraudConfig:
     explain_wait_min: float = 2.0
     explain_wait_max: float = 10.0
 
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
-
     def with_(self, **changes) -> "FraudConfig":
         return replace(self, **changes)
 
+    @property
+    def window_minutes(self) -> float:
+        """Velocity is amount per minute: window_amount / window length in
+        minutes, derived from ``window_duration`` (2 for the default)."""
+        n, unit = self.window_duration.split()
+        scale = {"second": 1 / 60, "minute": 1.0, "hour": 60.0, "day": 1440.0}[unit.lower().rstrip("s")]
+        return float(n) * scale
+
 
 DEFAULT = FraudConfig()

@@ -1,0 +1,36 @@
+"""The configuration object drives every rule, window and threshold."""
+
+from pyspark.sql import functions as F
+
+from riskflow.config import DEFAULT
+from riskflow.functions.eventtime import to_event_time
+from riskflow.operators import immediate, velocity
+from tests.helpers import ms, tx_df, tx_row
+
+T0 = ms("2024-01-01 00:00:00")
+
+
+def test_defaults_match_the_reference_values():
+    assert (DEFAULT.high_amount, DEFAULT.flag_threshold, DEFAULT.window_minutes) == (5000.0, 0.5, 2.0)
+    assert (DEFAULT.window_duration, DEFAULT.slide_duration, DEFAULT.watermark_delay) == \
+        ("2 minutes", "30 seconds", "2 minutes")
+
+
+def test_thresholds_come_from_the_config(spark):
+    timed = to_event_time(tx_df(spark, [tx_row("t", "u", 150.0, T0)]))
+    assert immediate.flag_immediate(timed).count() == 0
+    low = DEFAULT.with_(high_amount=100.0)
+    assert [r["fraud_reason"] for r in immediate.flag_immediate(timed, low).collect()] == ["HIGH_AMOUNT"]
+
+
+def test_window_layout_and_velocity_follow_the_config(spark):
+    cfg = DEFAULT.with_(window_duration="1 minute", slide_duration="20 seconds")
+    assert cfg.window_minutes == 1.0
+    timed = to_event_time(tx_df(spark, [tx_row("t", "u", 600.0, T0 + 45_000)]))
+    for strategy in ("expand", "panes"):
+        feats = velocity.velocity_features(timed, cfg, strategy=strategy)
+        rows = feats.select(F.unix_seconds("window.start").alias("s"), F.unix_seconds("window.end").alias("e"),
+                            "velocity").collect()
+        assert len(rows) == 3                                   # 60 s / 20 s
+        assert {r["e"] - r["s"] for r in rows} == {60}
+        assert {r["velocity"] for r in rows} == {600.0}         # per minute of a 1-minute window
