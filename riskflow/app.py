@@ -59,7 +59,10 @@ def main(argv=None) -> None:
     ap.add_argument("--decoded-table", help="decode once: shared folder for decoded transactions")
     ap.add_argument("--state-partitions", type=int, help="width of the window state (fixed per checkpoint)")
     ap.add_argument("--explainer", help="module:function taking (record, prompt) -> text")
-    ap.add_argument("--max-tasks", type=int)
+    ap.add_argument("--max-tasks", type=int, help="tasks calling the explainer at once")
+    ap.add_argument("--batch-size", type=int, default=DEFAULT.explain_batch_size,
+                    help="flags per micro-batch (Kafka offsets, or files for file topics); "
+                         "the reference uses 10, raise it for throughput")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -89,8 +92,8 @@ def main(argv=None) -> None:
         from riskflow.streaming.pipeline import Pipeline
         from riskflow.streaming.sinks import TopicSink
         flags = _topic(args, args.flag_topic)
-        stream = (flags.read_stream(spark, max_offsets_per_trigger=DEFAULT.explain_batch_size)
-                  if args.bootstrap else flags.read_stream(spark))
+        stream = (flags.read_stream(spark, max_offsets_per_trigger=args.batch_size)
+                  if args.bootstrap else flags.read_stream(spark, max_files_per_trigger=args.batch_size))
         q = start_explainer(stream, TopicSink(_topic(args, args.explained_topic)),
                             TopicSink(_topic(args, args.dlq_topic)), ck, _load(args.explainer),
                             DEFAULT, trigger=trigger, max_tasks=args.max_tasks)
