@@ -58,6 +58,8 @@ def main(argv=None) -> None:
     ap.add_argument("--rocksdb", action="store_true", help="keep window state in RocksDB")
     ap.add_argument("--decoded-table", help="decode once: shared folder for decoded transactions")
     ap.add_argument("--state-partitions", type=int, help="width of the window state (fixed per checkpoint)")
+    ap.add_argument("--min-partitions", type=int,
+                    help="Kafka: split offset ranges into at least this many tasks per batch")
     ap.add_argument("--explainer", help="module:function taking (record, prompt) -> text")
     ap.add_argument("--max-tasks", type=int, help="tasks calling the explainer at once")
     ap.add_argument("--batch-size", type=int, default=DEFAULT.explain_batch_size,
@@ -83,7 +85,9 @@ def main(argv=None) -> None:
             writers = registry.writer_schemas(reg, args.subject)
         raw = _topic(args, args.raw_topic)
         console = ConsoleSink(num_rows=10) if args.console else None
-        p = start_pipeline(raw.read_stream(spark), TopicSink(_topic(args, args.flag_topic)), ck,
+        source = (raw.read_stream(spark, min_partitions=args.min_partitions) if args.bootstrap
+                  else raw.read_stream(spark))
+        p = start_pipeline(source, TopicSink(_topic(args, args.flag_topic)), ck,
                            DEFAULT, trigger=trigger, feature_sink=console, immediate_sink=console,
                            decoded_table=args.decoded_table, state_partitions=args.state_partitions,
                            schema_json=schema_json, writer_schemas=writers)
