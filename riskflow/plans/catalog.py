@@ -153,13 +153,29 @@ def q_parse_flagged(spark, sf_dir):
         F.col("_corrupt_record").isNotNull().alias("corrupt"))))
 
 
-def demo_explainer(record: dict, prompt: str) -> str:
-    """Deterministic stand-in for a model call: a one-line template, and a
-    refusal (non-retryable error) for HIGH_AVERAGE flags so the dead-letter
-    route carries rows."""
+def make_demo_explainer():
+    """Deterministic stand-in for a model call: a one-line template; a
+    refusal (non-retryable error) for HIGH_AVERAGE flags, so the dead-letter
+    route carries rows; and a retryable "throttled" error on the first call
+    for each RAPID_TRANSACTIONS flag, so those succeed on attempt 2.  The
+    first-call memory lives in the closure: every task gets its own copy, so
+    a retried task behaves the same."""
+    seen: set = set()
+
+    def demo_explainer(record: dict, prompt: str) -> str:
+        return _demo_text(record, seen)
+    return demo_explainer
+
+
+def _demo_text(record: dict, seen: set) -> str:
     reason = record.get("fraud_reason")
     if reason == "HIGH_AVERAGE":
         raise ValueError("explainer refused HIGH_AVERAGE")
+    if reason == "RAPID_TRANSACTIONS":
+        key = (record.get("transaction_id"), record.get("user_id"), str(record.get("window")))
+        if key not in seen:
+            seen.add(key)
+            raise explain.RetryableError("throttled")
     if "window" in record:
         subject = f"user {record.get('user_id')} in a sliding window"
     else:
@@ -170,7 +186,8 @@ def demo_explainer(record: dict, prompt: str) -> str:
 def explain_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parsed_flagged_topic(spark, sf_dir)
     good = parsed.filter(F.col("_corrupt_record").isNull())
-    return explain.explain_flags(good, demo_explainer, DEFAULT, partitions=workspace.parallelism(spark))
+    return explain.explain_flags(good, make_demo_explainer(), DEFAULT, sleep=lambda s: None,
+                                 partitions=workspace.parallelism(spark))
 
 
 EXPLAIN_VIEW = ["record_key", "shape", "transaction_id", "user_id", "window",

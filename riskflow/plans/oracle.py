@@ -188,7 +188,8 @@ def oracle_sql() -> dict[str, str]:
             FROM topic WHERE shape = 'window'"""),
         "explained": _q(ALL_FLAGS, f"""
             SELECT record_key, shape, transaction_id, user_id, window_start, window_end,
-                   fraud_reason, rule_score, 'SUCCESS' AS status, 1 AS attempts,
+                   fraud_reason, rule_score, 'SUCCESS' AS status,
+                   CASE WHEN fraud_reason = 'RAPID_TRANSACTIONS' THEN 2 ELSE 1 END AS attempts,
                    'Flagged ' || {EXPLAIN_SUBJECT} || ' as ' || fraud_reason
                      || ' with rule score ' || CAST(rule_score AS VARCHAR) || '.' AS llm_explanation
             FROM topic WHERE fraud_reason <> 'HIGH_AVERAGE'"""),
