@@ -23,14 +23,21 @@ PAYLOAD_COL = "avro_payload"
 
 def decode_transactions(raw: DataFrame, schema_json: str = schemas.TRANSACTION_AVRO,
                         mode: str = "FAILFAST", writer_schemas: dict[int, str] | None = None,
-                        value_col: str = "value") -> DataFrame:
-    """Framed Avro messages -> the record's columns (null message -> all-null row)."""
+                        value_col: str = "value", columns: list[str] | None = None) -> DataFrame:
+    """Framed Avro messages -> the record's columns (null message -> all-null row).
+
+    ``columns``: only these record fields (in record order); the Python
+    fallback then skips the other fields instead of building them."""
     df = raw.select(wire.strip_header(F.col(value_col)).alias(PAYLOAD_COL),
                     *([wire.schema_id(F.col(value_col)).alias("_schema_id")] if writer_schemas else []))
     decoded = avro.decode(df, PAYLOAD_COL, schema_json, alias="transaction", mode=mode,
                           writer_schemas=writer_schemas,
-                          id_col="_schema_id" if writer_schemas else None, keep=[])
-    return decoded.select("transaction.*")
+                          id_col="_schema_id" if writer_schemas else None, keep=[],
+                          fields=columns)
+    out = decoded.select("transaction.*")
+    if columns is not None:
+        out = out.select(*[c for c in out.columns if c in set(columns)])
+    return out
 
 
 def timed_transactions(raw: DataFrame, **kw) -> DataFrame:

@@ -37,15 +37,26 @@ class Flows:
                 "windowed": payload.to_payload(self.flagged_windowed)}
 
 
+# Record fields each path reads (the decoder skips the rest).
+IMMEDIATE_INPUT = ["transaction_id", "user_id", "amount", "currency", "merchant", "timestamp", "is_fraud"]
+WINDOW_INPUT = ["user_id", "amount", "timestamp"]
+
+
 def build_flows(source: DataFrame, cfg: FraudConfig = DEFAULT, decoded: bool = False,
                 strategy: str = "expand", **decode_kw) -> Flows:
     """``source``: raw framed messages (``value`` column), or transaction rows
-    with an epoch-ms ``timestamp`` when ``decoded``."""
-    timed = to_event_time(source) if decoded else ingest.timed_transactions(source, **decode_kw)
+    with an epoch-ms ``timestamp`` when ``decoded``.  Each path decodes only
+    the fields it reads; ``timed`` is the whole record."""
+    if decoded:
+        timed = timed_imm = timed_win = to_event_time(source)
+    else:
+        timed = ingest.timed_transactions(source, **decode_kw)
+        timed_imm = ingest.timed_transactions(source, columns=IMMEDIATE_INPUT, **decode_kw)
+        timed_win = ingest.timed_transactions(source, columns=WINDOW_INPUT, **decode_kw)
     features = velocity.velocity_features(
-        timed.withWatermark("timestamp", cfg.watermark_delay), cfg, strategy)
+        timed_win.withWatermark("timestamp", cfg.watermark_delay), cfg, strategy)
     return Flows(timed=timed, features=features,
-                 flagged_immediate=immediate.flag_immediate(timed, cfg),
+                 flagged_immediate=immediate.flag_immediate(timed_imm, cfg),
                  flagged_windowed=velocity.flag_windowed(features, cfg))
 
 

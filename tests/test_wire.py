@@ -98,3 +98,12 @@ def test_registry_latest(spark, scratch):
     assert registry.writer_schemas(reg, "transactions-raw-value") == {1: '"string"', 7: schemas.TRANSACTION_AVRO}
     with pytest.raises(KeyError):
         registry.latest_schema(reg, "missing")
+
+
+def test_decode_only_requested_columns(spark):
+    tx = read_transactions(spark, SF_SMALL)
+    msgs = ingest.to_wire(tx)
+    cols = ["user_id", "amount", "timestamp"]
+    part = ingest.decode_transactions(msgs, columns=cols)
+    assert part.columns == cols
+    assert part.exceptAll(tx.select(*cols)).count() == 0 and tx.select(*cols).exceptAll(part).count() == 0
