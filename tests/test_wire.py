@@ -107,3 +107,16 @@ def test_decode_only_requested_columns(spark):
     part = ingest.decode_transactions(msgs, columns=cols)
     assert part.columns == cols
     assert part.exceptAll(tx.select(*cols)).count() == 0 and tx.select(*cols).exceptAll(part).count() == 0
+
+
+def test_projection_with_writer_schemas(spark):
+    old = json.loads(schemas.TRANSACTION_AVRO)
+    old["fields"] = [f for f in old["fields"] if f["name"] != "is_fraud"]
+    old_json = json.dumps(old)
+    body = avro.encode_body({"transaction_id": "t9", "user_id": "u", "amount": 2.5, "currency": "USD",
+                             "merchant": "m", "category": None, "timestamp": 7, "country": "US",
+                             "device_type": "mobile"}, avro.parse_schema(old_json))
+    df = spark.createDataFrame([(b"\x00\x00\x00\x00\x03" + body,)], "value binary")
+    r = ingest.decode_transactions(df, writer_schemas={3: old_json},
+                                   columns=["user_id", "amount", "is_fraud"]).first()
+    assert tuple(r) == ("u", 2.5, False)      # is_fraud from the reader default
