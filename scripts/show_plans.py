@@ -56,8 +56,38 @@ def main(argv):
         scans = "<br>".join(f"{','.join(c)} / [{pf}]" for c, pf in s["scans"]) or "—"
         print(f"| `{name}` | {s['exchanges']}{' (' + keys + ')' if keys else ''} | {s['python']} | "
               f"{s['joins']} | {scans} |")
+    stream_section(spark)
     spark.stop()
 
 
+def stream_section(spark) -> None:
+    """Executed plans of the two streaming queries (last micro-batch with data)."""
+    from riskflow import workspace
+    from riskflow.config import DEFAULT
+    from riskflow.operators import ingest
+    from riskflow.sources.fixtures import read_transactions
+    from riskflow.sources.topic import FileTopic, produce
+    from riskflow.streaming.pipeline import start_pipeline
+    from riskflow.streaming.sinks import TopicSink
+
+    run = workspace.new_run(spark, "plans")
+    raw = FileTopic(run, "raw")
+    produce(ingest.to_wire(read_transactions(spark, "/root/testdata/sf0.001")), raw)
+    p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(run, "flagged")), f"{run}/ck", DEFAULT,
+                       trigger={"availableNow": True}, name_suffix="-plans", state_partitions=8)
+    p.await_termination()
+    print("\n## Streaming queries\n")
+    print("Plans of the two streaming queries' micro-batches (sf0.001 raw topic, 8 state partitions).\n")
+    print("| query | exchanges (keys) | state store ops | python | joins |")
+    print("| --- | --- | --- | --- | --- |")
+    for name, q in p.queries.items():
+        plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()  # noqa: SLF001
+        s = summarize(plan)
+        state = len(re.findall(r"StateStoreRestore|StateStoreSave", plan))
+        keys = "; ".join(s["hash_keys"])
+        print(f"| `{name}` | {s['exchanges']}{' (' + keys + ')' if keys else ''} | {state} | "
+              f"{s['python']} | {s['joins']} |")
+
+
 if __name__ == "__main__":
     main(sys.argv)
