@@ -50,3 +50,31 @@ def test_path1_scan_prunes_unused_columns(plans):
     cols = plans["flag_immediate"]["scans"][0][0]
     assert "props" not in cols
     assert plans["velocity_features"]["scans"][0][0] == ["ts", "user_id", "value"]
+
+
+def test_streaming_queries_plans(spark, scratch):
+    """Transaction flags: no shuffle, no state.  Windows: one exchange on
+    (window, user_id) and one state store (restore + save)."""
+    import re
+
+    from riskflow.config import DEFAULT
+    from riskflow.operators import ingest
+    from riskflow.sources.fixtures import read_transactions
+    from riskflow.sources.topic import FileTopic, produce
+    from riskflow.streaming.pipeline import start_pipeline
+    from riskflow.streaming.sinks import TopicSink
+
+    raw = FileTopic(scratch, "raw")
+    produce(ingest.to_wire(read_transactions(spark, SF_SMALL)), raw)
+    p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(scratch, "flagged")), f"{scratch}/ck",
+                       DEFAULT, trigger={"availableNow": True}, name_suffix="-planprops")
+    p.await_termination()
+    plans = {n: q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+             for n, q in p.queries.items()}
+    imm = plans["flagged-immediate-kafka-planprops"]
+    win = plans["flagged-windowed-kafka-planprops"]
+    assert summarize(imm)["exchanges"] == 0 and "StateStore" not in imm
+    s = summarize(win)
+    assert s["exchanges"] == 1 and s["joins"] == 0
+    assert len(re.findall(r"StateStoreRestore|StateStoreSave", win)) == 2
+    assert all("user_id" in k for k in s["hash_keys"])
