@@ -11,7 +11,7 @@ from __future__ import annotations
 TX = """
 tx AS (
   SELECT CAST(event_id AS VARCHAR) AS transaction_id,
-         'user-' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS user_id,
+         CASE WHEN user_id IS NOT NULL THEN 'user-' || printf('%04d', user_id) END AS user_id,
          round(value * 25, 2) AS amount,
          (['USD','EUR','MXN','GBP'])[((event_id % 4) + 4) % 4 + 1] AS currency,
          (['Northwind','Contoso','Globex','Initech','Umbrella','Hooli','Vandelay'])[((event_id % 7) + 7) % 7 + 1] AS merchant,

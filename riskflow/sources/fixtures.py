@@ -40,7 +40,9 @@ def transaction_columns() -> list[Column]:
         "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) div 1000000")
     return [
         eid.cast("string").alias("transaction_id"),
-        F.concat(F.lit("user-"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("user_id"),
+        # at least 4 digits, never truncated (lpad would cut ids >= 10000)
+        F.when(F.col("user_id").isNotNull(),
+               F.concat(F.lit("user-"), F.format_string("%04d", F.col("user_id")))).alias("user_id"),
         F.round(F.col("value") * AMOUNT_SCALE, 2).alias("amount"),
         _pick(CURRENCIES, eid).alias("currency"),
         _pick(MERCHANTS, eid).alias("merchant"),

@@ -121,3 +121,12 @@ def test_panes_equal_expand_with_null_amounts(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     got = {(r["user_id"], r["window_count"], r["avg_amount"]) for r in a.collect()}
     assert got == {("u", 2, 10.0), ("v", 1, None)}
+
+
+def test_fixture_user_ids_are_never_truncated(spark):
+    from riskflow.sources.fixtures import events_to_transactions
+    ev = spark.createDataFrame([(1, 7), (2, 1234), (3, 12345), (4, 123456)], "event_id long, user_id long") \
+        .selectExpr("event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:01' AS ts", "user_id",
+                    "'view' AS event_type", "1.0 AS value")
+    got = [r["user_id"] for r in events_to_transactions(ev).orderBy("transaction_id").collect()]
+    assert got == ["user-0007", "user-1234", "user-12345", "user-123456"]
