@@ -5,9 +5,10 @@ topic / dead-letter topic``.  The checkpoint advances only after
 ``foreachBatch`` returns, so every message is processed at least once
 (the reference commits consumer offsets after flushing, with the same
 guarantee); file outputs are keyed by batch id and overwritten on replay.
-Messages that are not JSON objects become dead letters instead of being
-lost or stopping the consumer.  Per-batch status counts are published with
-``observe`` and appear in the query's progress.
+Messages that are not JSON objects (or are null) become dead letters
+instead of being lost or stopping the consumer.  The number of messages per
+batch is published with ``observe`` and appears in the query's progress;
+``explain.summary`` gives counts per status.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@ Every sink can take one micro-batch (``write_batch(df, part)``), so one
 streaming query can fan out to several outputs inside ``foreachBatch``, and
 can also run as its own streaming query (``start``).  File outputs go to a
 sub-folder named by query and batch id with overwrite: a batch replayed
-after a failure replaces its own output, so file sinks are effectively
-exactly-once.  The Kafka sink is at-least-once.
+after a failure replaces its own output, so a reader of the folder as a table
+sees each batch once (a streaming reader may already have taken the first
+attempt's files: at-least-once, like the Kafka sink).
 """
 
 from __future__ import annotations
