@@ -4,6 +4,8 @@
         --bootstrap broker:9092 --registry s3a://.../registry.json
     spark-submit riskflow/app.py explainer --checkpoint s3a://.../ck-explain \
         --bootstrap broker:9092 --explainer mypkg.mod:explain
+    spark-submit riskflow/app.py produce --checkpoint s3a://.../ck \
+        --bootstrap broker:9092 --table s3a://.../transactions.parquet
 
 Without ``--bootstrap`` topics are folders under ``--topic-root`` (parquet
 parts).  Master, resources and log level come from spark-submit, not from
@@ -16,6 +18,7 @@ import argparse
 import importlib
 import os
 import sys
+import time
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -42,7 +45,7 @@ def _load(spec: str | None):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="riskflow")
-    ap.add_argument("job", choices=["pipeline", "explainer"])
+    ap.add_argument("job", choices=["pipeline", "explainer", "produce"])
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--bootstrap")
     ap.add_argument("--topic-root")
@@ -61,6 +64,9 @@ def main(argv=None) -> None:
     ap.add_argument("--min-partitions", type=int,
                     help="Kafka: split offset ranges into at least this many tasks per batch")
     ap.add_argument("--explainer", help="module:function taking (record, prompt) -> text")
+    ap.add_argument("--table", help="produce: parquet table of transactions (epoch-ms timestamp)")
+    ap.add_argument("--events-dir", help="produce: a folder with events.parquet (fixture mapping)")
+    ap.add_argument("--schema-id", type=int, default=1, help="produce: schema id written in the header")
     ap.add_argument("--max-tasks", type=int, help="tasks calling the explainer at once")
     ap.add_argument("--batch-size", type=int, default=DEFAULT.explain_batch_size,
                     help="flags per micro-batch (Kafka offsets, or files for file topics); "
@@ -72,6 +78,22 @@ def main(argv=None) -> None:
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     ck = args.checkpoint.rstrip("/")
 
+    if args.job == "produce":
+        # The load generators' role, as a Spark job over real data: frame and
+        # publish every row of a table onto the raw topic.
+        from riskflow.operators import ingest
+        from riskflow.sources.fixtures import read_transactions
+        from riskflow.sources.topic import produce
+        from riskflow.workspace import parallelism
+        if bool(args.table) == bool(args.events_dir):
+            raise SystemExit("produce needs exactly one of --table or --events-dir")
+        tx = (spark.read.schema(schemas.TRANSACTION).parquet(args.table) if args.table
+              else read_transactions(spark, args.events_dir))
+        msgs = ingest.to_wire(tx, schema_id=args.schema_id, partitions=parallelism(spark))
+        produce(msgs, _topic(args, args.raw_topic), part=f"produce-{int(time.time() * 1000)}",
+                spread=False)
+        return
+
     if args.job == "pipeline":
         from riskflow.sources import registry
         from riskflow.streaming.pipeline import start_pipeline, use_rocksdb_state

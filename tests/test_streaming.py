@@ -190,10 +190,10 @@ def test_app_cli_pipeline_then_explainer(spark, scratch):
     import json as _json
 
     from riskflow import app
-    from riskflow.sources.fixtures import read_transactions
     from tests.conftest import SF_SMALL
     root = f"{scratch}/topics"
-    produce(ingest.to_wire(read_transactions(spark, SF_SMALL)), FileTopic(root, "transactions-raw"))
+    app.main(["produce", "--checkpoint", f"{scratch}/ck0", "--topic-root", root, "--events-dir", SF_SMALL])
+    assert FileTopic(root, "transactions-raw").read(spark).count() == 1000
     app.main(["pipeline", "--checkpoint", f"{scratch}/ck1", "--topic-root", root, "--available-now"])
     flagged = FileTopic(root, "flagged-transactions").read(spark)
     assert flagged.count() == 214 + 862
@@ -394,3 +394,15 @@ def test_decode_once_in_processing_time_mode(spark, scratch):
         assert keys.count("a") == 1 + 4
     finally:
         p.stop()
+
+
+def test_app_cli_produce_from_a_table(spark, scratch):
+    from riskflow import app
+    rows = _rows(("00:00:10", "a", 6000.0), ("00:00:20", "b", 10.0))
+    spark.createDataFrame(rows, schemas.TRANSACTION).write.parquet(f"{scratch}/tx")
+    app.main(["produce", "--checkpoint", f"{scratch}/ck", "--topic-root", f"{scratch}/topics",
+              "--table", f"{scratch}/tx", "--schema-id", "7"])
+    msgs = FileTopic(f"{scratch}/topics", "transactions-raw").read(spark)
+    back = ingest.decode_transactions(msgs)
+    assert sorted(r["transaction_id"] for r in back.collect()) == ["a00:00:10", "b00:00:20"]
+    assert {bytes(r["value"])[:5] for r in msgs.collect()} == {b"\x00\x00\x00\x00\x07"}
