@@ -10,6 +10,7 @@ from riskflow.llm.common import table
 from riskflow.llm.exact_dedup import exact_dedup
 from riskflow.llm.mixing import mix
 from riskflow.llm.packing import pack
+from riskflow.llm.simhash_dedup import simhash_dedup
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 with_ids=False)
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
