@@ -11,6 +11,11 @@ from riskflow.llm.exact_dedup import exact_dedup
 from riskflow.llm.mixing import mix
 from riskflow.llm.packing import pack
 from riskflow.llm.simhash_dedup import simhash_dedup
+from riskflow.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
