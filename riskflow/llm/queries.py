@@ -5,19 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow.llm.common import table
 from riskflow.llm.exact_dedup import exact_dedup
+from riskflow.llm.html_text import extract
+from riskflow.llm.merkle import fingerprints
 from riskflow.llm.mixing import mix
 from riskflow.llm.packing import pack
 from riskflow.llm.simhash_dedup import simhash_dedup
+from riskflow.llm.token_counts import count_tokens
 from riskflow.llm.toxicity import toxicity
+from riskflow.llm.url_filter import filter_urls, path_of
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
     return pack(table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN,
@@ -32,10 +41,29 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels: the document that the last number of a url's path names, blocked if its quality is 0 or it is toxic."""
+    pages = table(spark, sf_dir, "pages")
+    number = F.regexp_extract(path_of(F.col("url")), r"(\d{1,18})\D*$", 1).try_cast("long")
+    verdict = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow")
+    labels = table(spark, sf_dir, "labels").select("doc_id", verdict.alias("verdict"))
+    labelled = pages.select("url", number.alias("doc_id")).join(labels, "doc_id").select("url", "verdict")
+    return filter_urls(pages, labelled)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+    return count_tokens(table(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2:3].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
