@@ -1,9 +1,10 @@
 """Document fingerprints: Merkle trees over sections and paragraphs (operator 2).
 
 A paragraph is a line; a section ends at a blank line or at a paragraph whose
-hash says so, so that an edit moves no border elsewhere.  Below a paragraph
-stand its phrases, cut at spaces after certain characters.  Every node's hash
-is that of its children's, so equal roots mean equal texts; two trees are
+hash says so, so that an edit moves no border elsewhere.  A paragraph's hash is
+that of its line, a section's that of its paragraphs' hashes and the root's that
+of the sections' hashes, so equal roots mean equal texts.  Below a paragraph
+stand its phrases, cut at spaces after certain characters; two trees are
 compared from the root down and only branches that differ are opened, which
 locates the edit and tells how many characters both share.
 
@@ -25,7 +26,6 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,8 @@ from riskflow.llm import common
 
 #: A phrase ends at a space after one of these.
 _PHRASE = re.compile(r"(?<=[.,;:!?|adkoszéñßü]) ")
+#: Paragraphs up to this length are cut into words.
+SHORT = 256
 #: One paragraph in this many ends a section.
 SECTION = 8
 _SIZE = 16
@@ -43,22 +45,29 @@ def _hash(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=_SIZE).digest()
 
 
-@dataclass(frozen=True)
 class Node:
-    """``chars`` counts the characters below; leaves have no children."""
-    digest: bytes
-    chars: int
-    children: tuple[Node, ...] = ()
+    """A root, section or paragraph; ``chars`` counts the characters below.
+    A paragraph is opened into its phrases only when a comparison gets there;
+    phrases are compared as they are."""
+    __slots__ = ("chars", "digest", "line", "nodes")
 
+    def __init__(self, digest: bytes, chars: int, nodes: list[Node] | None, line: str | None = None):
+        self.digest, self.chars, self.nodes, self.line = digest, chars, nodes, line
 
-def _parent(children: list[Node], mark: bytes) -> Node:
-    return Node(_hash(mark + b"".join(c.digest for c in children)), sum(c.chars for c in children), tuple(children))
+    def children(self) -> list[Node] | list[str]:
+        return _pieces(self.line) if self.nodes is None else self.nodes
 
 
-def paragraph(line: str) -> Node:
-    phrases = _PHRASE.split(line)
-    leaves = [Node(_hash(p.encode("utf-8", "surrogatepass")), len(p) + 1) for p in phrases]
-    return _parent(leaves, b"p")
+def _pieces(line: str) -> list[str]:
+    """Phrases; in a short paragraph words, so that its likeness is not all or nothing."""
+    parts, limit = (line.split(" "), 8) if len(line) <= SHORT else (_PHRASE.split(line), 64)
+    if max(map(len, parts)) <= limit:
+        return parts
+    return [p[i:i + limit] for p in parts for i in range(0, len(p) or 1, limit)]
+
+
+def _parent(nodes: list[Node], mark: bytes) -> Node:
+    return Node(_hash(mark + b"".join([n.digest for n in nodes])), sum([n.chars for n in nodes]), nodes)
 
 
 def tree(text: str, known: dict[str, Node] | None = None) -> Node:
@@ -68,9 +77,9 @@ def tree(text: str, known: dict[str, Node] | None = None) -> Node:
     for line in text.split("\n"):
         node = known.get(line)
         if node is None:
-            node = known[line] = paragraph(line)
+            node = known[line] = Node(_hash(b"l" + line.encode("utf-8", "surrogatepass")), len(line) + 1, None, line)
         held.append(node)
-        if not line.strip() or node.digest[0] % SECTION == 0:
+        if node.digest[0] % SECTION == 0 or not line or line.isspace():
             sections.append(_parent(held, b"s"))
             held = []
     if held:
@@ -78,27 +87,37 @@ def tree(text: str, known: dict[str, Node] | None = None) -> Node:
     return _parent(sections, b"r")
 
 
+def _key(node: Node | str) -> bytes | str:
+    return node if isinstance(node, str) else node.digest
+
+
+def _chars(node: Node | str) -> int:
+    return len(node) + 1 if isinstance(node, str) else node.chars
+
+
 def shared(a: Node, b: Node) -> int:
     """Characters under equal branches of two trees, as far up as branches are equal."""
-    if a.digest == b.digest:
-        return a.chars
-    total, left, right = 0, list(a.children), list(b.children)
+    total, left, right = 0, [a], [b]
     while left and right:
-        mine, theirs = Counter(n.digest for n in left), Counter(n.digest for n in right)
-        both = mine & theirs
-        total += sum(n.chars * both[n.digest] for n in {n.digest: n for n in left}.values() if n.digest in both)
+        if isinstance(left[0], str):
+            theirs = Counter(right)
+            return total + sum([(len(p) + 1) * min(n, theirs[p]) for p, n in Counter(left).items() if p in theirs])
+        both = Counter([n.digest for n in left]) & Counter([n.digest for n in right])
+        if both:
+            sizes = {n.digest: n.chars for n in left}
+            total += sum([sizes[d] * n for d, n in both.items()])
         left, right = _differing(left, both), _differing(right, both)
     return total
 
 
-def _differing(nodes: list[Node], equal: Counter) -> list[Node]:
+def _differing(nodes: list[Node], equal: Counter) -> list:
     """Children of the nodes that have no equal on the other side."""
     spare, out = Counter(equal), []
     for n in nodes:
         if spare[n.digest]:
             spare[n.digest] -= 1
         else:
-            out.extend(n.children)
+            out.extend(n.children())
     return out
 
 
@@ -110,28 +129,30 @@ def likeness(a: Node, b: Node) -> float:
 
 
 def edits(a: Node, b: Node) -> list[tuple[int, int]]:
-    """Character spans of ``a`` whose phrases lie under no branch of ``b`` at the same level."""
+    """Character spans of ``a`` whose phrases lie under no equal branch of ``b``."""
     found: list[list[int]] = []
 
-    def walk(nodes: list[tuple[int, Node]], others: list[Node]) -> None:
-        both = Counter(n.digest for n in others)
-        opened, other = [], _differing(others, Counter(n.digest for _, n in nodes) & both)
+    def walk(nodes: list, others: list) -> None:
+        """``nodes`` are (start, node), all of one level, as ``others`` are."""
+        both = Counter(map(_key, others)) & Counter(_key(n) for _, n in nodes)
+        spare, opened = Counter(both), []
         for at, n in nodes:
-            if both[n.digest]:
-                both[n.digest] -= 1
-            elif n.children:
-                for c in n.children:
-                    opened.append((at, c))
-                    at += c.chars
-            elif found and found[-1][1] == at:
-                found[-1][1] = at + n.chars
+            if spare[_key(n)]:
+                spare[_key(n)] -= 1
+            elif isinstance(n, str):
+                if found and found[-1][1] == at:
+                    found[-1][1] = at + _chars(n)
+                else:
+                    found.append([at, at + _chars(n)])
             else:
-                found.append([at, at + n.chars])
+                for child in n.children():
+                    opened.append((at, child))
+                    at += _chars(child)
         if opened:
-            walk(opened, other)
+            walk(opened, _differing(others, both))
 
     walk([(0, a)], [b])
-    return [(s, e) for s, e in sorted(map(tuple, found))]
+    return [(s, e) for s, e in found]
 
 
 def _rows(batches: Iterable) -> Iterator:
