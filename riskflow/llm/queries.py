@@ -14,6 +14,7 @@ from riskflow.llm.merkle import fingerprints
 from riskflow.llm.mixing import mix
 from riskflow.llm.packing import pack
 from riskflow.llm.simhash_dedup import simhash_dedup
+from riskflow.llm.substring_dedup import remove_repeats
 from riskflow.llm.token_counts import count_tokens
 from riskflow.llm.toxicity import toxicity
 from riskflow.llm.url_filter import filter_urls, path_of
@@ -45,6 +46,10 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
