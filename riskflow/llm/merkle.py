@@ -27,6 +27,8 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,9 +198,6 @@ def _rows(batches: Iterable) -> Iterator:
 
 def _bucketed(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame | None:
     """Rows with their bucket in the order of ids, the first of each bucket also in the one before."""
-    import numpy as np
-    import pandas as pd
-
     lowest = -(1 << 63)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(lowest)))
@@ -208,12 +207,13 @@ def _bucketed(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
     guess = np.array(sorted(set(cuts)), np.int64)
 
     def place(starts: np.ndarray):
-        def found(key):
+        @F.pandas_udf("long")
+        def found(key: pd.Series) -> pd.Series:
             at = np.searchsorted(starts, key.to_numpy(), "right")
             # Odd: the key that starts its bucket.
             first = (at > 0) & (starts[np.maximum(at, 1) - 1] == key.to_numpy())
             return pd.Series(2 * at + first)
-        return F.pandas_udf(found, "long", F.PandasUDFType.SCALAR)
+        return found
 
     # The least id that really stands in each bucket: one row a bucket.
     starts = np.array(sorted(r["s"] for r in rows.select("key", (place(guess)("key") / 2).cast("long").alias("b"))

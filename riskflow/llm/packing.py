@@ -36,7 +36,8 @@ from riskflow.llm import common
 
 CAPACITY = 2048
 END_ID = 1
-#: A bin of a class is full when at least capacity - capacity // SLACK tokens lie in it.
+#: A rest goes to its class whole if k of them leave at most capacity // SLACK tokens
+#: free, or fewer than the next class would.
 SLACK = 128
 #: Distinct units whose ids a worker keeps; beyond, it starts anew.
 CACHE_UNITS = 500_000
@@ -92,9 +93,10 @@ def encoder(ranks_file: str, pattern: str) -> UnitEncoder:
 def class_of(length: int, capacity: int = CAPACITY) -> tuple[int, int]:
     """(class, tokens to cut) for a rest shorter than ``capacity``."""
     k = capacity // length
-    if k * length >= capacity - capacity // SLACK:
+    part = capacity // (k + 1)
+    if k * length >= min(capacity - capacity // SLACK, (k + 1) * part):
         return k, length
-    return k + 1, capacity // (k + 1)
+    return k + 1, part
 
 
 class Packer:

@@ -43,14 +43,14 @@ ORDER, SPAN, DECAY = 4, 7, 0.7
 #: Letter codes: 1-26 for a-z, then classes of other letters; 0 is no letter.
 CODES = 40
 #: Subsequences are hashed to this many features.
-FEATURE_BITS = 17
+FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
 #: Longer words are read in windows of this length, half overlapping.
 WINDOW = 16
 LANDMARKS = 256
-MAX_TOXIC, MAX_CLEAN = 3000, 5000
+MAX_TOXIC, MAX_CLEAN = 2000, 3000
 #: Words of the training documents that the SVM is fitted on.
-MAX_WORDS = 16_000
+MAX_WORDS = 12_000
 ROUNDS = 3
 #: Distinct words whose value a Python worker keeps.
 CACHE_WORDS = 500_000
@@ -133,12 +133,12 @@ def _by_length(items: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
 
 
 def explicit(items: list[str]) -> np.ndarray:
-    """Normalised subsequence features, a row per word (landmarks only)."""
-    out = np.zeros((len(items), FEATURES), np.float32)
+    """Normalised subsequence features, a column per word (landmarks only)."""
+    out = np.zeros((FEATURES, len(items)), np.float32)
     for rows, some in _by_length(items):
         code, weights, norms = subsequences(some)
         for r, c, w, n in zip(rows, code, weights, norms, strict=True):
-            np.add.at(out[r], c, w / n)
+            np.add.at(out[:, r], c, w / n)
     return out
 
 
@@ -163,6 +163,8 @@ class Model:
 
     def values(self, distinct: list[str]) -> np.ndarray:
         """Decision value of each word: its best window's."""
+        if len(distinct) > 50_000:
+            return np.concatenate([self.values(distinct[at:at + 50_000]) for at in range(0, len(distinct), 50_000)])
         parts = [windows(w) for w in distinct]
         flat = [p for ps in parts for p in ps]
         if not flat:
@@ -178,90 +180,96 @@ class Model:
 
 def document_features(values: list[float]) -> tuple[float, float, float]:
     """The largest value, the mean of the three largest, and log2 of the number of words."""
-    top = heapq.nlargest(3, values)
+    distinct = set(values)       # a word with and without a comma counts once
+    top = heapq.nlargest(3, distinct)
     if not top:
         return -1.0, -1.0, 0.0
-    return top[0], sum(top + [-1.0] * (3 - len(top))) / 3, math.log2(1 + len(values))
-
-
-def _fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Squared-hinge SVM by Newton steps; the last column of x is the bias."""
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-3
-    for _ in range(30):
-        margin = y * (x @ w)
-        use = margin < 1
-        xs = x[use] * weight[use, None]
-        new = np.linalg.solve(xs.T @ x[use] + np.diag(penalty), xs.T @ y[use])
-        if np.abs(new - w).max() < 1e-6:
-            break
-        w = new
-    return w
+    return top[0], sum(top + [-1.0] * (3 - len(top))) / 3, math.log2(1 + len(distinct))
 
 
 def train(toxic: list[str], clean: list[str]) -> Model:
     """Fit on the texts of toxic and clean documents."""
-    def cut(texts: list[str]) -> list[list[str]]:
-        return [list({p for w in words(t) for p in windows(w) if len(p) >= ORDER}) for t in texts]
-
-    bags, others = cut(toxic), cut(clean)
-    votes, against = Counter(w for b in bags for w in b), Counter(w for b in others for w in b)
-    if not votes or not against:
+    number: dict[str, int] = {}
+    docs = [np.unique([number.setdefault(p, len(number)) for w in words(t) for p in windows(w) if len(p) >= ORDER])
+            .astype(np.int64) for t in [*toxic, *clean]]
+    pieces = list(number)
+    del number
+    is_toxic = np.arange(len(docs)) < len(toxic)
+
+    def count(of: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate([docs[i] for i in np.flatnonzero(of)] or [np.zeros(0, np.int64)]),
+                           minlength=len(pieces))
+
+    votes, against = count(is_toxic), count(~is_toxic)
+    if not votes.any() or not against.any():
         return Model(np.zeros(FEATURES, np.float32), 0.0, (0.0, 0.0, 0.0, -700.0))
-
-    def telling(w: str) -> float:
-        """How far a word's share of toxic documents exceeds chance, in standard errors."""
-        p, q = votes[w] / len(bags), against[w] / len(others)
-        return (p - q) / math.sqrt((p + q) / 2 / len(bags) + 1 / len(bags) ** 2)
-
-    ranked = sorted(votes.keys() | against.keys(), key=lambda w: (-telling(w), w))
-    common = sorted(against, key=lambda w: (-against[w], w))
-    marks = list(dict.fromkeys(ranked[:LANDMARKS // 2] + common[:LANDMARKS // 4]
-                               + common[::max(1, len(common) // (LANDMARKS // 4))]))[:LANDMARKS]
-    items = list(dict.fromkeys(ranked[:MAX_WORDS // 4] + common[:MAX_WORDS // 4]
-                               + ranked[::max(1, len(ranked) // (MAX_WORDS // 2))]))[:MAX_WORDS]
-    phi = explicit(marks)
-    spectrum, vectors = np.linalg.eigh((phi @ phi.T).astype(np.float64))
-    root = vectors / np.sqrt(np.maximum(spectrum, 1e-3))      # Nystroem: K_mm^(-1/2)
-    x = np.hstack([kernel(items, np.ascontiguousarray(phi.T)).astype(np.float64) @ root, np.ones((len(items), 1))])
-    place = {w: i for i, w in enumerate(items)}
-    inside = [np.array([place[w] for w in b if w in place], np.int64) for b in bags]
-    minus = np.array([against[w] for w in items], float) / len(others)
-    plus = np.array([votes[w] for w in items], float) / len(bags)
-    for _ in range(ROUNDS):
-        w = _fit_svm(x, plus, minus)
-        value = x @ w
-        plus = np.zeros(len(items))
-        for at in inside:       # a toxic sentence's votes move to its most toxic words
-            if len(at):
-                share = np.exp(6 * (value[at] - value[at].max()))
-                plus[at] += share / share.sum() * min(3, len(at)) / len(bags)
-    w = _fit_svm(x, plus, minus)
-    model = Model((phi.T @ (root @ w[:-1])).astype(np.float32), float(w[-1]), (0.0, 0.0, 0.0, 0.0))
-    features = [np.array([document_features(model.values(list(dict.fromkeys(words(t)))).tolist()) for t in texts])
-                for texts in (toxic, clean)]
-    return Model(model.table, model.bias, _logistic(*features))
-
-
-def _fit_svm(x: np.ndarray, plus: np.ndarray, minus: np.ndarray, ridge: float = 2e-3) -> np.ndarray:
+    # How far a word's share of toxic documents exceeds chance, in standard errors.
+    n = len(toxic)
+    p, q = votes / n, against / len(clean)
+    telling = (p - q) / np.sqrt((p + q) / 2 / n + 1 / n ** 2)
+    first, common = np.argsort(-telling, kind="stable"), np.argsort(-against, kind="stable")
+    common = common[:np.count_nonzero(against)]
+
+    def some(ids: np.ndarray, most: int) -> list[int]:
+        return ids[::max(1, -(-len(ids) // most))].tolist()
+
+    marks = list(dict.fromkeys(first[:LANDMARKS // 2].tolist() + common[:LANDMARKS // 4].tolist()
+                               + some(common, LANDMARKS // 4)))[:LANDMARKS]
+    items = np.array(list(dict.fromkeys(first[:MAX_WORDS // 4].tolist() + common[:MAX_WORDS // 4].tolist()
+                                        + some(first, MAX_WORDS // 2))), np.int64)[:MAX_WORDS]
+    table = explicit([pieces[i] for i in marks])               # features x landmarks
+    spectrum, vectors = np.linalg.eigh((table.T @ table).astype(np.float64))
+    root = (vectors / np.sqrt(np.maximum(spectrum, 1e-3))).astype(np.float32)      # Nystroem: K_mm^(-1/2)
+    x = np.hstack([kernel([pieces[i] for i in items], table) @ root, np.ones((len(items), 1), np.float32)])
+    place = np.full(len(pieces), -1)
+    place[items] = np.arange(len(items))
+
+    def fitted(of: np.ndarray) -> Model:
+        """A model from the documents ``of``."""
+        minus = count(of & ~is_toxic)[items].astype(np.float32)
+        seen = count(of & is_toxic)[items]
+        plus = np.where(seen > 1, seen, 0).astype(np.float32)     # one document's own words tell nothing
+        bags = [at[plus[at] > 0] for at in (place[docs[i][place[docs[i]] >= 0]] for i in np.flatnonzero(of & is_toxic))]
+        w = np.zeros(x.shape[1], np.float32)
+        for turn in range(ROUNDS + 1):
+            w = _fit_svm(x, plus, minus, w)
+            if turn < ROUNDS:
+                value, plus = x @ w, np.zeros(len(items), np.float32)
+                for at in bags:       # a toxic sentence's votes move to its most toxic words
+                    if len(at):
+                        share = np.exp(6 * (value[at] - value[at].max()))
+                        plus[at] += share / share.sum() * min(3, len(at))
+        return Model(table @ (root @ w[:-1]), float(w[-1]), (0.0, 0.0, 0.0, 0.0))
+
+    # The logistic is fitted on documents that the word values were not fitted on.
+    features = np.zeros((len(docs), 3))
+    fold = np.arange(len(docs)) % 2
+    for k in (0, 1):
+        values = fitted(fold != k).values(pieces)
+        for i in np.flatnonzero(fold == k):
+            features[i] = document_features(values[docs[i]].tolist())
+    model = fitted(np.ones(len(docs), bool))
+    return Model(model.table, model.bias, _logistic(features[is_toxic], features[~is_toxic]))
+
+
+def _fit_svm(x: np.ndarray, plus: np.ndarray, minus: np.ndarray, start: np.ndarray, ridge: float = 2e-3) -> np.ndarray:
     """Squared-hinge SVM by Newton steps.  Each row of x is a word with a
     weight as a toxic and one as a clean example; its last column is the bias."""
-    both = np.concatenate([x, -x])
-    weight = np.concatenate([plus / max(plus.sum(), 1e-9), minus / max(minus.sum(), 1e-9)])
-    weight *= 100
-    both, weight = both[weight > 0], weight[weight > 0]
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge * 100)
-    penalty[-1] = 1e-6
-    for _ in range(25):
-        use = both @ w < 1
-        xs = both[use] * weight[use, None]
-        new = np.linalg.solve(xs.T @ both[use] + np.diag(penalty), xs.sum(axis=0))
+    plus, minus = (a / max(a.sum(), 1e-9) for a in (plus, minus))
+    penalty = np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-8
+    w = start.astype(np.float64)
+    for _ in range(12):
+        margin = x @ w.astype(np.float32)
+        up, down = np.where(margin < 1, plus, 0), np.where(margin > -1, minus, 0)
+        use = (up > 0) | (down > 0)
+        some = x[use]
+        new = np.linalg.solve((some.T @ (some * (up + down)[use, None])).astype(np.float64) + np.diag(penalty),
+                              some.T @ (up - down)[use])
         if np.abs(new - w).max() < 1e-4:
             break
         w = new
-    return w
+    return w.astype(np.float32)
 
 
 def _logistic(toxic: np.ndarray, clean: np.ndarray) -> tuple:
@@ -269,15 +277,21 @@ def _logistic(toxic: np.ndarray, clean: np.ndarray) -> tuple:
     x = np.concatenate([toxic, clean])
     target = np.concatenate([np.full(len(toxic), (len(toxic) + 1) / (len(toxic) + 2)),
                              np.full(len(clean), 1 / (len(clean) + 2))])
-    middle, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    design, beta = np.hstack([(x - middle) / scale, np.ones((len(x), 1))]), np.zeros(x.shape[1] + 1)
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (p - target) + 0.1 * beta
-        hessian = design.T @ (design * (p * (1 - p))[:, None]) + 0.1 * np.eye(len(beta))
-        beta -= np.clip(np.linalg.solve(hessian, gradient), -4, 4)
-    slopes = beta[:-1] / scale
-    return (*map(float, slopes), float(beta[-1] - slopes @ middle))
+    use = np.ones(x.shape[1], bool)
+    while True:
+        middle, scale = x[:, use].mean(axis=0), x[:, use].std(axis=0) + 1e-9
+        design, beta = np.hstack([(x[:, use] - middle) / scale, np.ones((len(x), 1))]), np.zeros(use.sum() + 1)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
+            gradient = design.T @ (p - target) + 0.1 * beta
+            hessian = design.T @ (design * (p * (1 - p))[:, None]) + 0.1 * np.eye(len(beta))
+            beta -= np.clip(np.linalg.solve(hessian, gradient), -4, 4)
+        slopes = np.zeros(x.shape[1])
+        slopes[use] = beta[:-1] / scale
+        wrong = use & (slopes < 0) & [True, True, False]      # a larger word value never speaks for a clean text
+        if not wrong.any():
+            return (*map(float, slopes), float(beta[-1] - slopes[use] @ middle))
+        use &= ~wrong
 
 
 def held_out(id_col: str) -> Column:
@@ -296,9 +310,9 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     chosen = (ids.filter("label = 1").orderBy("order", "doc_id").limit(max_toxic)
               .unionByName(ids.filter("label = 0").orderBy("order", "doc_id").limit(max_clean)))
     rows = text.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id").collect()   # bounded by the limits
-    toxic = sorted({r["text"] or "" for r in rows if r["label"] == 1})
-    clean = sorted({r["text"] or "" for r in rows if r["label"] == 0} - set(toxic))
-    return toxic, clean
+    toxic = {r["text"] or "" for r in rows if r["label"] == 1}
+    clean = {r["text"] or "" for r in rows if r["label"] == 0} - toxic
+    return sorted(toxic), sorted(clean)
 
 
 def scored_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -331,7 +345,7 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
                     known.clear()
                 new = list({w for ws in found for w in ws if w not in known})
                 known.update(zip(new, model.values(new).tolist(), strict=True))
-                scores = [model.score([known[w] for w in set(ws)]) for ws in found]
+                scores = [model.score([known[w] for w in ws]) for ws in found]
                 yield pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()), *some.columns[1:]],
                                                  names=["score", *some.schema.names[1:]])
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
