@@ -1,0 +1,112 @@
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from riskflow.llm.components import components
+from riskflow.llm.simhash_dedup import fingerprint, links, masks, meet, simhash_dedup
+from tests.llm.conftest import ODD_ROWS
+
+
+def plain(text):
+    words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ").replace(
+        "\n", " ").replace("\x0b", " ").replace("\x0c", " ").replace("\r", " ").split(" ") if w]
+    grams = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def roots(prints):
+    parent = {p: p for p in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in combinations(prints, 2):
+        if (a ^ b).bit_count() <= 3:
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+    return {p: find(p) for p in prints}
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("text", ["", None, " ", "one", "one two", "One TWO three", "a b c d e f a b c", "É é\xa0x y z w"])
+def test_fingerprint(text):
+    assert fingerprint(text) == plain(text)
+
+
+def test_native_hash_is_the_same(spark):
+    row = spark.range(1).select(F.xxhash64(F.lit("one two three"))).first()
+    assert row[0] == signed(xxhash.xxh64_intdigest("one two three", 42))
+
+
+def test_every_pair_within_three_bits_meets():
+    rng = random.Random(5)
+    even, odd = masks()
+    for _ in range(400):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), rng.randint(1, 3)):
+            b ^= 1 << bit
+        variants, flips = [], []
+        for p in (a, b):
+            own = odd if p.bit_count() & 1 else even
+            variants.append(own ^ np.uint64(p))
+            flips.append(np.arange(len(own), dtype=np.uint16))
+        hub, member = meet(np.concatenate(variants), np.concatenate(flips))
+        assert {frozenset(x) for x in zip(hub.tolist(), member.tolist(), strict=True)} == {frozenset((a, b))}
+
+
+def test_links_connect_what_brute_force_connects(spark):
+    rng = random.Random(9)
+    prints = set()
+    for _ in range(40):
+        p = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 12)):
+            prints.add(p)
+            for bit in rng.sample(range(64), rng.randint(1, 4)):
+                p ^= 1 << bit
+    table = spark.createDataFrame([(signed(p),) for p in prints], "print long")
+    got = {r["node"]: r["root"] for r in components(links(table, bucket_variants=5000)).collect()}
+    want = roots(prints)
+    mine = {}
+    for p in prints:
+        mine.setdefault(got.get(signed(p), signed(p)), set()).add(p)
+    theirs = {}
+    for p in prints:
+        theirs.setdefault(want[p], set()).add(p)
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 4000), (7, 7)]
+    out = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert set(out.values()) == {0, 1000, 4000} and len(out) == 201 + 300 + 2
+    assert out[200] == 0 and out[1299] == 1000 and out[5000] == 4000
+
+
+def test_components_without_edges(spark):
+    assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_documents_against_brute_force(odd_docs, clashing):
+    prints = [plain(t) for _, t, *_ in ODD_ROWS]
+    group = roots(set(prints))
+    least = {}
+    for (doc_id, *_), p in zip(ODD_ROWS, prints, strict=True):
+        if doc_id is not None:
+            least[group[p]] = min(doc_id, least.get(group[p], doc_id))
+    want = sorted((doc_id or 0, format(p, "016x"), least.get(group[p]) or 0) for (doc_id, *_), p in zip(ODD_ROWS, prints, strict=True))
+    for docs in (odd_docs, clashing):
+        got = sorted((r["doc_id"] or 0, r["fingerprint"], r["component_id"] or 0) for r in simhash_dedup(docs).collect())
+        assert got == want
+
+
+def test_empty_table(docs_of):
+    assert simhash_dedup(docs_of([])).collect() == []

@@ -1,0 +1,63 @@
+import random
+
+import public_tokenizers as public
+import pytest
+
+from riskflow.llm import token_counts as tc
+
+MODEL = public.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return tc.load_pieces(MODEL)
+
+
+def brute(word, pieces):
+    """Best split by recursion over all first pieces."""
+    full = tc.START + word
+    best = {len(full): (0.0, 0)}
+    for i in range(len(full) - 1, -1, -1):
+        options = [(best[i + 1][0] + tc.UNKNOWN, best[i + 1][1] + len(full[i].encode()))]
+        options += [(best[j][0] + pieces[full[i:j]], best[j][1] + 1) for j in range(i + 1, len(full) + 1) if full[i:j] in pieces]
+        top = max(s for s, _ in options)
+        best[i] = (top, min(n for s, n in options if s >= top - 1e-9))
+    return best[0][1]
+
+
+def test_against_brute_force(pieces):
+    rng = random.Random(2)
+    words = {"".join(rng.choices(["an", "er", "tion", "é", "z", "日", "q", "the", "1", "!"], k=rng.randint(1, 9)))
+             for _ in range(400)}
+    counter = tc.Counter(pieces)
+    counter.learn(words)
+    assert {w: counter.known[w] for w in words} == {w: brute(w, pieces) for w in words}
+    assert all(counter.one(w) == counter.known[w] for w in words)
+
+
+def test_shared_prefixes_are_walked_once(pieces):
+    counter = tc.Counter(pieces)
+    counter.learn({"station", "stations", "stationary", "start"})
+    # The trie of the four, with the word start, has 1 + 2 + 1 + 2 + 5 + 3 nodes.
+    assert counter.nodes == len({tc.START + w[:i] for w in ("station", "stations", "stationary", "start")
+                                 for i in range(len(w) + 1)})
+
+
+def test_documents(docs_of, pieces):
+    texts = {1: "the cat\tsat \x0b on", 2: None, 3: "", 4: "\n ", 5: "nb\xa0sp a\x85b", 6: "w" * 5000, 7: "the cat"}
+    out = {r["doc_id"]: (r["n_words"], r["n_tokens"]) for r in tc.count_tokens(docs_of(list(texts.items())), MODEL).collect()}
+    split = {k: [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", t or "") if w] for k, t in texts.items()}
+    assert out == {k: (len(v), sum(brute(w, pieces) for w in v)) for k, v in split.items()}
+
+
+def test_small_cache_counts_the_same(monkeypatch, pieces):
+    monkeypatch.setattr(tc, "CACHE_WORDS", 3)
+    counter = tc.Counter(pieces)
+    texts = ["the cat sat on the mat", "a dog and a cat", "", "the mat"]
+    assert [n for _, n in counter.texts(texts)] == [sum(brute(w, pieces) for w in t.split()) for t in texts]
+
+
+def test_odd_rows_and_empty_table(odd_docs, clashing, docs_of):
+    for docs in (odd_docs, clashing):
+        assert tc.count_tokens(docs, MODEL).count() == docs.count()
+    assert tc.count_tokens(docs_of([]), MODEL).collect() == []

@@ -1,0 +1,105 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from riskflow.llm import toxicity as tox
+from tests.llm.conftest import ODD_ROWS
+
+SYLLABLES = ["an", "er", "the", "on", "in", "re", "at", "en", "nd", "ti", "es", "or", "ha", "ed", "st", "ble", "ing"]
+INSULTS = ["idiot", "moron", "scum", "pathetic", "worthless", "loser"]
+
+
+def corpus(n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = ["".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))) for _ in range(rng.randint(15, 120))]
+        toxic = int(i % 6 == 0)
+        for _ in range(rng.randint(2, 4) * toxic):
+            words.insert(rng.randrange(len(words)), rng.choice(INSULTS))
+        rows.append((i, " ".join(words) + ".", toxic))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model():
+    rows = corpus(900, 1)
+    return tox.train([t for _, t, y in rows if y], [t for _, t, y in rows if not y])
+
+
+def score(model, text):
+    words = list(dict.fromkeys(tox.words(text)))
+    return model.score(model.values(words).tolist())
+
+
+def test_held_out_accuracy(model):
+    rows = corpus(600, 2)
+    wrong = [t for _, t, y in rows if (score(model, t) >= 0.5) != bool(y)]
+    assert len(wrong) <= 12
+
+
+@pytest.mark.parametrize("word", ["idiot", "i.d.i.o.t", "idi-ot", "iddiot", "path*etic", "wortthless", "i d i o t"])
+def test_gapped_and_inserted_characters_score_above_clean_words(model, word):
+    clean = model.values([w for _, t, y in corpus(40, 3) if not y for w in tox.words(t)])
+    assert model.values(tox.words(word)).max() > np.quantile(clean, 0.995)
+
+
+def test_kernel_by_brute_force():
+    def phi(word):
+        from itertools import combinations
+        out = {}
+        for at in combinations(range(len(word)), tox.ORDER):
+            span = at[-1] - at[0] + 1
+            if span <= tox.SPAN and all(word[i].isalpha() for i in at):
+                key = "".join(word[i] for i in at)
+                out[key] = out.get(key, 0) + tox.DECAY ** (span - tox.ORDER)
+        return out
+    a, b = "pathxetic", "pathetic"
+    want = sum(v * phi(b).get(k, 0) for k, v in phi(a).items())
+
+    def norm(word):
+        code, weight, n = tox.subsequences([word])
+        return float(n[0]), code, weight
+    (na, *_), (nb, *_) = norm(a), norm(b)
+    assert tox.explicit([a])[:, 0] @ tox.explicit([b])[:, 0] == pytest.approx(want / na / nb, rel=0.05)
+
+
+def test_words_and_windows():
+    assert tox.words(None) == [] and tox.words(" ") == []
+    assert "idiot" in tox.words("an i d i o t here")
+    assert tox.windows("...") == [""] and tox.windows('"word!!"') == ["word"]
+    assert all(len(w) <= tox.WINDOW for w in tox.windows("a" * 100))
+
+
+def test_training_without_one_label_scores_zero():
+    assert score(tox.train([], ["clean text"]), "any text") == pytest.approx(0, abs=1e-9)
+    assert score(tox.train(["toxic"], []), "any text") == pytest.approx(0, abs=1e-9)
+
+
+def test_query_shape_on_odd_rows(spark, odd_docs, clashing, model):
+    labels = spark.createDataFrame([(1, 1, 0), (3, None, None), (5, 1, 1), (7, 1, 0), (None, 1, 1), (99, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    for docs in (odd_docs, clashing):
+        out = tox.toxicity(docs, labels).collect()
+        assert len(out) == len(ODD_ROWS)
+        for r in out:
+            assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+            assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_sample_is_bounded_and_leaves_out_the_held_out(spark):
+    rows = corpus(200, 4)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    toxic, clean = tox.training_texts(docs, labels, max_toxic=10, max_clean=20)
+    assert len(toxic) == 10 and len(clean) == 20
+    out = {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert not out & set(toxic + clean)
+
+
+def test_empty_tables(spark, docs_of):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert tox.toxicity(docs_of([]), labels).collect() == []
+    assert {r["predicted"] for r in tox.toxicity(docs_of([(1, "a b")]), labels).collect()} == {0}

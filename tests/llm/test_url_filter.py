@@ -1,0 +1,81 @@
+import random
+
+import pytest
+
+from riskflow.llm.url_filter import RULES, filter_urls, mine
+
+
+def split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    ends = [i for i in map(rest.find, "/?#") if i >= 0]
+    host, path = rest[:min(ends, default=len(rest))], rest[min(ends, default=len(rest)):]
+    cut = min([i for i in map(path.find, "?#") if i >= 0], default=len(path))
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path[:cut]
+
+
+def listed(host, path):
+    fits = [(len(r), r, v) for r, v in RULES for h, s, p in [r.partition("/")]
+            if (host == h or host.endswith("." + h)) and path.startswith(s + p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+URLS = ["http://a.example.net/en/1", "http://a.example.net/de/1", "HTTP://A.EXAMPLE.COM/de/x?y=1#z", "http://example.com/de",
+        "http://xexample.com/de/1", "http://b.org/fr/", "http://b.org/fr", "ftp://net/", "http://net", "http://net?x=/",
+        "no scheme/net/", "", None, "://", "x://?a", "http://É.NET/ö\n/x", "http://h.net:80/a", "http://u@x.org/fr/1://net/",
+        "http://a..net/", "http://example.net/en/" + "x/" * 5000]
+
+
+def test_hosts_paths_and_rules(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    for r in filter_urls(pages).collect():
+        host, path = split(URLS[r["page_id"]])
+        rule, verdict = listed(host, path)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        assert r["verdict"] == verdict if rule else r["verdict"] in ("allow", "block")
+
+
+def labelled_rows():
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        host, lang = rng.choice(["good.example.com", "spam.example.com", "mixed.example.com"]), rng.choice(["en", "fr"])
+        bad = host.startswith("spam") or host.startswith("mixed") and lang == "fr"
+        rows.append((f"http://{host}/{lang}/{i}?ref=x", "block" if bad else "allow"))
+    return rows
+
+
+def test_mined_rules_judge_the_rest(spark):
+    labelled = spark.createDataFrame(labelled_rows(), "url string, verdict string")
+    urls = {1: ("http://spam.example.com/es/9", "block"), 2: ("http://mixed.example.com/fr/1", "block"),
+            3: ("http://mixed.example.com/en/1", "allow"), 4: ("http://good.example.com/en/2", "allow"),
+            5: ("http://unknown.test/zz", "allow"), 6: ("http://sub.spam.example.com/", "block")}
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in urls.items()], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(pages, labelled).collect()}
+    assert got == {k: v for k, (_, v) in urls.items()}
+
+
+def test_mined_rules_by_brute_force(spark):
+    rows = [(["a", "b"], "block")] * 8 + [(["a"], "allow")] * 4 + [(["b", "c"], "block")] * 3 + [(["c"], "allow")] * 2
+    rules = mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 0.8).collect()
+    got = {(tuple(r["antecedent"]), r["verdict"]): (round(r["confidence"], 6), round(r["support"], 6)) for r in rules}
+    # (a, b) and (b, c) say no more than (b) does.
+    assert got == {(("b",), "block"): (1.0, round(11 / 17, 6))}
+
+
+@pytest.mark.parametrize("labels", [True, False])
+def test_odd_rows_and_empty_tables(spark, labels):
+    given = spark.createDataFrame([(None, "block"), ("http://a.b/c", None), ("http://a.b/c", "block")],
+                                  "url string, verdict string") if labels else None
+    rows = [(None, None, 1, "h"), (1, "http://a.b/c", 2, "h"), (1, "http://a.b/c", 2, "h"), (2, "", 3, "h")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, verdict int, host string")
+    out = filter_urls(pages, given)
+    assert out.columns == ["page_id", "host", "path", "rule", "verdict"] and out.count() == 4
+    assert filter_urls(pages.limit(0), given).collect() == []
+
+
+def test_plan_runs_no_python(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/b")], "page_id long, url string")
+    plan = filter_urls(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
