@@ -62,7 +62,6 @@ class FraudConfig:
     registry_subject: str = "transactions-raw-value"
 
     flag_trigger: str = "5 seconds"
-    debug_trigger: str = "10 seconds"
 
     explain_batch_size: int = 10
     explain_attempts: int = 3

@@ -15,6 +15,7 @@ consumer.  Sinks keyed by batch id keep the *output* repeatable.
 from __future__ import annotations
 
 import itertools
+import json
 import threading
 import time
 from typing import Callable, Iterator
@@ -30,11 +31,10 @@ from riskflow.config import DEFAULT, FraudConfig
 STATUS_OK = "SUCCESS"
 STATUS_FAILED = "FAILED"
 
-# The analyst prompt around each flag record.
-PROMPT_HEAD = ("You are a fraud analyst. A real-time system flagged the following transaction data "
-               "as suspicious. Read the data and provide a concise, 2-sentence explanation of why "
-               "it might be fraudulent based on the 'fraud_reason' and other signals.\n\nData: ")
-PROMPT_TAIL = "\n\nExplanation:"
+#: Default prompt around each flag record; ``explain_flags`` takes another.
+PROMPT_HEAD = ("The rules of a payment monitor have marked the record below; 'fraud_reason' names the rule. "
+               "In two sentences, tell a reviewer which of its values point to fraud and why.\n\nRecord: ")
+PROMPT_TAIL = "\n\nReview note:"
 
 RECORD_COLUMNS = [f.name for f in schemas.FLAG_SUPERSET.fields]
 
@@ -42,6 +42,7 @@ EXPLAINED_SCHEMA = T.StructType(
     schemas.FLAG_SUPERSET.fields
     + [T.StructField("shape", T.StringType(), True),
        T.StructField("record_key", T.StringType(), True),
+       T.StructField("raw_value", T.StringType(), True),
        T.StructField("status", T.StringType(), False),
        T.StructField("llm_explanation", T.StringType(), True),
        T.StructField("error", T.StringType(), True),
@@ -59,16 +60,16 @@ def backoff_wait(attempt: int, wait_min: float, wait_max: float, multiplier: flo
     return max(wait_min, min(multiplier * 2 ** (attempt - 1), wait_max))
 
 
-def attempt_with_retry(fn: Callable[[], str], attempts: int, retryable: tuple,
+def attempt_with_retry(fn: Callable[[int], str], attempts: int, retryable: tuple,
                        wait_min: float, wait_max: float,
                        sleep: Callable[[float], None] = time.sleep):
-    """Run ``fn`` up to ``attempts`` times -> (result, error, attempts used).
+    """Run ``fn(attempt)`` up to ``attempts`` times -> (result, error, attempts used).
 
     Only ``retryable`` errors are retried, with ``backoff_wait`` between
     tries; any other error ends at once."""
     for attempt in range(1, attempts + 1):
         try:
-            return fn(), None, attempt
+            return fn(attempt), None, attempt
         except retryable as e:
             if attempt == attempts:
                 return None, e, attempt
@@ -78,22 +79,12 @@ def attempt_with_retry(fn: Callable[[], str], attempts: int, retryable: tuple,
     raise ValueError("attempts must be >= 1")
 
 
-def call_with_retry(fn: Callable[[], str], attempts: int, retryable: tuple,
-                    wait_min: float, wait_max: float,
-                    sleep: Callable[[float], None] = time.sleep) -> tuple[str, int]:
-    """(result, attempts used); re-raises the last error."""
-    result, error, used = attempt_with_retry(fn, attempts, retryable, wait_min, wait_max, sleep)
-    if error is not None:
-        raise error
-    return result, used
-
-
-def prompt_column(raw: "F.Column | None" = None) -> "F.Column":
+def prompt_column(raw: "F.Column | None" = None, head: str = PROMPT_HEAD, tail: str = PROMPT_TAIL) -> "F.Column":
     """Prompt text per flag: head + the record as JSON + tail.  ``raw`` is
     the message text as received (no second serialization); without it the
     record's non-null fields are rendered with ``to_json``."""
     record = raw if raw is not None else F.to_json(F.struct(*[F.col(c) for c in RECORD_COLUMNS]))
-    return F.concat(F.lit(PROMPT_HEAD), record, F.lit(PROMPT_TAIL))
+    return F.concat(F.lit(head), record, F.lit(tail))
 
 
 def template_explanation() -> "F.Column":
@@ -108,10 +99,16 @@ def template_explanation() -> "F.Column":
 def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None = None,
                   cfg: FraudConfig = DEFAULT, retryable: tuple = (RetryableError,),
                   sleep: Callable[[float], None] | None = None,
-                  concurrency: int | None = None, partitions: int | None = None) -> DataFrame:
+                  concurrency: int | None = None, partitions: int | None = None,
+                  pass_attempt: bool = False, prompt_head: str = PROMPT_HEAD,
+                  prompt_tail: str = PROMPT_TAIL) -> DataFrame:
     """Parsed flags (``parse_flags`` output without corrupt rows) ->
     ``EXPLAINED_SCHEMA`` rows with ``status`` SUCCESS or FAILED.
 
+    With ``raw_value`` the explainer gets the message's whole object, fields
+    outside the flag schema included; without it the schema's fields.
+    ``pass_attempt``: the explainer takes the attempt number as well.
+
     ``partitions``: spread the flags evenly (round robin, stable on retry)
     over that many tasks before calling the explainer.  Each call may take a
     network round trip, so balance matters more than the small shuffle of the
@@ -119,9 +116,8 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
     """
     has_raw = "raw_value" in flags.columns
     base = flags.select(*RECORD_COLUMNS, "shape", "record_key",
-                        *(["raw_value"] if has_raw else []))
+                        (F.col("raw_value") if has_raw else F.lit(None).cast("string")).alias("raw_value"))
     if explainer is None:
-        base = base.drop("raw_value")
         return base.select("*", F.lit(STATUS_OK).alias("status"),
                            template_explanation().alias("llm_explanation"),
                            F.lit(None).cast("string").alias("error"),
@@ -135,12 +131,13 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
     do_sleep = sleep or time.sleep
     out_names = [f.name for f in EXPLAINED_SCHEMA.fields]
 
-    pass_names = RECORD_COLUMNS + ["shape", "record_key"]
+    pass_names = RECORD_COLUMNS + ["shape", "record_key", "raw_value"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def one(record: dict, prompt: str):
-            text, error, used = attempt_with_retry(lambda: explainer(record, prompt), attempts,
-                                                   tuple(retryable), wait_min, wait_max, do_sleep)
+            def call(attempt: int):
+                return explainer(record, prompt, attempt) if pass_attempt else explainer(record, prompt)
+            text, error, used = attempt_with_retry(call, attempts, tuple(retryable), wait_min, wait_max, do_sleep)
             if error is None and text is None:
                 error = ValueError("empty explanation")
             if error is not None:
@@ -149,7 +146,8 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
 
         for batch in batches:
             prompts = batch.column("_prompt").to_pylist()
-            records = [_clean(r) for r in batch.select(RECORD_COLUMNS).to_pylist()]
+            records = ([_clean(json.loads(r)) for r in batch.column("raw_value").to_pylist()] if has_raw
+                       else [_clean(r) for r in batch.select(RECORD_COLUMNS).to_pylist()])
             results = run_bounded(one, records, prompts, workers)
             arrays = [batch.column(n) for n in pass_names] + [
                 pa.array([r[0] for r in results], pa.string()),
@@ -159,9 +157,8 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=out_names)
 
-    prompt = prompt_column(F.col("raw_value") if has_raw else None)
-    return (base.withColumn("_prompt", prompt).drop("raw_value")
-            .mapInArrow(run, EXPLAINED_SCHEMA))
+    prompt = prompt_column(F.col("raw_value") if has_raw else None, prompt_head, prompt_tail)
+    return base.withColumn("_prompt", prompt).mapInArrow(run, EXPLAINED_SCHEMA)
 
 
 def run_bounded(fn, records: list, prompts: list, workers: int) -> list:
@@ -220,6 +217,7 @@ def undecodable_dead_letters(parsed: DataFrame) -> DataFrame:
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.FLAG_SUPERSET.fields],
         F.lit(None).cast("string").alias("shape"),
         F.col("record_key"),
+        F.col("message_key"),
         F.lit(STATUS_FAILED).alias("status"),
         F.lit("decode: not a JSON object").alias("error"),
         F.lit(0).alias("attempts"),
@@ -233,8 +231,17 @@ def summary(results: DataFrame) -> DataFrame:
 
 
 def to_output_payload(results: DataFrame) -> DataFrame:
-    """Explained records / dead letters as keyed JSON (record + status +
-    explanation or error)."""
-    cols = [c for c in results.columns if c not in ("record_key", "shape", "attempts", "raw_value")]
-    return results.select(F.col("record_key").alias("key"),
-                          F.to_json(F.struct(*cols)).alias("value"))
+    """Explained records / dead letters as keyed JSON: the message's object
+    as it came, unknown fields included, with status and explanation or error
+    added at its end.  (Of a key that was there already readers take the last.)
+    Without the raw message the record is built from the flag schema."""
+    added = [c for c in ("status", "llm_explanation", "error") if c in results.columns]
+    known = [c for c in results.columns if c in (*RECORD_COLUMNS, *added)]
+    value = F.to_json(F.struct(*known))
+    if "raw_value" in results.columns:
+        text = F.rtrim(F.col("raw_value"))
+        body = F.rtrim(F.substring(text, F.lit(1), F.length(text) - 1))
+        extra = F.substring(F.to_json(F.struct(*added)), 2, 1 << 30)
+        joined = F.concat(body, F.when(F.endswith(body, F.lit("{")), F.lit("")).otherwise(F.lit(",")), extra)
+        value = F.coalesce(joined, value)
+    return results.select(F.col("record_key").alias("key"), value.alias("value"))

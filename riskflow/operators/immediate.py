@@ -34,14 +34,15 @@ def score_immediate(timed: DataFrame, cfg: FraudConfig = DEFAULT) -> DataFrame:
             .withColumn("rule_score", score_rules(cfg).chain()))
 
 
-def flag_immediate(timed: DataFrame, cfg: FraudConfig = DEFAULT, pushdown: bool = True) -> DataFrame:
+def flag_immediate(timed: DataFrame, cfg: FraudConfig = DEFAULT, pushdown: bool = False) -> DataFrame:
     """Transactions whose rule score passes the flag threshold, 9 columns.
 
     With ``pushdown`` the score filter is restated on the raw columns
-    (``amount > 5000 OR is_fraud = true`` for the default rules): it keeps
-    exactly the same rows (``RuleSet.selects``), and unlike the CASE
-    expression it reaches the parquet scan as a pushed filter, so row groups
-    whose statistics exclude it are skipped.
+    (``amount > 5000 OR is_fraud = true`` for the default rules), so it
+    reaches the parquet scan as a pushed filter and row groups whose
+    statistics exclude it are skipped.  Only for files whose ``amount`` holds
+    no NaN: NaN exceeds every limit, but some writers leave it out of a row
+    group's statistics, and such a group would be skipped with its NaN rows.
     """
     thr = cfg.flag_threshold
     if pushdown:

@@ -28,34 +28,42 @@ def decode_transactions(raw: DataFrame, schema_json: str = schemas.TRANSACTION_A
 
     ``columns``: only these record fields (in record order); the Python
     fallback then skips the other fields instead of building them."""
-    df = raw.select(wire.strip_header(F.col(value_col)).alias(PAYLOAD_COL),
-                    *([wire.schema_id(F.col(value_col)).alias("_schema_id")] if writer_schemas else []))
-    decoded = avro.decode(df, PAYLOAD_COL, schema_json, alias="transaction", mode=mode,
-                          writer_schemas=writer_schemas,
-                          id_col="_schema_id" if writer_schemas else None, keep=[],
-                          fields=columns)
+    decoded = _decoded(raw, schema_json, mode, writer_schemas, value_col, columns, [])
     out = decoded.select("transaction.*")
     if columns is not None:
         out = out.select(*[c for c in out.columns if c in set(columns)])
     return out
 
 
+def _decoded(raw: DataFrame, schema_json: str, mode: str, writer_schemas: dict[int, str] | None,
+             value_col: str, columns: list[str] | None, keep: list[str]) -> DataFrame:
+    """``keep`` and the struct ``transaction``."""
+    df = raw.select(*keep, wire.strip_header(F.col(value_col)).alias(PAYLOAD_COL),
+                    *([wire.schema_id(F.col(value_col)).alias("_schema_id")] if writer_schemas is not None else []))
+    return avro.decode(df, PAYLOAD_COL, schema_json, alias="transaction", mode=mode,
+                       writer_schemas=writer_schemas,
+                       id_col="_schema_id" if writer_schemas is not None else None, keep=keep, fields=columns)
+
+
+def rejects(raw: DataFrame, schema_json: str = schemas.TRANSACTION_AVRO,
+            writer_schemas: dict[int, str] | None = None, value_col: str = "value") -> DataFrame:
+    """The messages that PERMISSIVE decoding turns into null rows, as they
+    came (key, if there is one, and raw value).  A null message is none."""
+    required = next(f.name for f in avro.parse_schema(schema_json) if f.null_branch is None)
+    keep = [c for c in ("key", value_col) if c in raw.columns]
+    decoded = _decoded(raw, schema_json, "PERMISSIVE", writer_schemas, value_col, [required], keep)
+    return decoded.filter(F.col(value_col).isNotNull() & F.col(f"transaction.{required}").isNull()).select(*keep)
+
+
 def timed_transactions(raw: DataFrame, **kw) -> DataFrame:
     return to_event_time(decode_transactions(raw, **kw))
 
 
-def to_wire(transactions: DataFrame, schema_json: str = schemas.TRANSACTION_AVRO,
-            schema_id: int = 1, partitions: int | None = None) -> DataFrame:
-    """Transactions -> (key, value) with value = header + Avro body.
-
-    ``partitions``: spread the rows evenly (round robin) over that many
-    tasks first, so the Python encode runs in parallel even when the input
-    has few partitions.  Not by key: a user with a third of all rows would
-    make one task do a third of the work."""
+def to_wire(transactions: DataFrame, schema_json: str = schemas.TRANSACTION_AVRO, schema_id: int = 1) -> DataFrame:
+    """Transactions -> (key, value) with value = header + Avro body.  Narrow:
+    the tasks are those of the input's scan, which
+    ``spark.sql.files.maxPartitionBytes`` and ``minPartitionNum`` split."""
     names = [f.name for f in schemas.TRANSACTION.fields]
-    tx = transactions.select(*names)
-    if partitions:
-        tx = tx.repartition(partitions)
-    body = avro.encode(tx, schema_json, alias="_body", keep=["user_id"])
+    body = avro.encode(transactions.select(*names), schema_json, alias="_body", keep=["user_id"])
     return body.select(F.col("user_id").cast("binary").alias("key"),
                        wire.frame(F.col("_body"), schema_id).alias("value"))

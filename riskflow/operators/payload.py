@@ -48,22 +48,22 @@ def shape(flag: Column) -> Column:
 
 def parse_flags(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """``(key, value)`` messages -> superset flag columns + ``shape``,
-    ``record_key`` and ``_corrupt_record`` (non-null = undecodable, e.g.
-    ``{"a":``, not a JSON object, e.g. ``[1]``, or a null message, which
-    is marked with an empty string)."""
+    ``record_key``, ``message_key`` and ``_corrupt_record`` (non-null =
+    undecodable, e.g. ``{"a":``, not a JSON object, e.g. ``[1]``, or a null
+    message, which is marked with an empty string).  A field of another type
+    than the schema's becomes null; the object is still a flag."""
     text = F.col(value_col).cast("string")
-    parsed = F.from_json(text, schemas.FLAG_SUPERSET_WITH_CORRUPT,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN})
-    df = messages.select(text.alias("_value"), parsed.alias("_flag"))
-    not_object = ~F.coalesce(F.trim(F.col("_value")).startswith("{"), F.lit(False))
-    corrupt = (F.when(F.col("_value").isNull(), F.lit(""))
-               .when(not_object, F.col("_value"))
-               .otherwise(F.col("_flag")[schemas.CORRUPT_COLUMN]))
+    parsed = F.from_json(text, schemas.FLAG_SUPERSET, {"mode": "PERMISSIVE"})
+    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+    df = messages.select(text.alias("_value"), key.alias("message_key"), parsed.alias("_flag"))
+    is_object = F.trim(F.col("_value")).startswith("{") & F.try_parse_json(F.col("_value")).isNotNull()
+    corrupt = F.when(~F.coalesce(is_object, F.lit(False)), F.coalesce("_value", F.lit("")))
     cols = [F.col("_flag")[f.name].alias(f.name) for f in schemas.FLAG_SUPERSET.fields]
     return df.select(
         *cols,
         F.when(corrupt.isNull(), shape(F.col("_flag"))).alias("shape"),
         record_key(F.col("_value"), F.col("_flag")["user_id"]).alias("record_key"),
+        "message_key",
         corrupt.alias(schemas.CORRUPT_COLUMN),
         F.col("_value").alias("raw_value"),
     )

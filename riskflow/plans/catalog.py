@@ -61,9 +61,9 @@ def q_wire_roundtrip(spark, sf_dir):
 def q_wire_decode_permissive(spark, sf_dir):
     """Every frame plus a copy missing its last byte, decoded PERMISSIVE:
     each damaged copy becomes an all-null row, kept, not lost."""
-    msgs = workspace.cut_lineage(wire_messages(spark, sf_dir))   # encode once, read twice
-    damaged = msgs.select("key", F.expr("substring(value, 1, length(value) - 1)").alias("value"))
-    return null_safe(ingest.decode_transactions(msgs.unionByName(damaged), mode="PERMISSIVE"))
+    copies = F.array("value", F.expr("substring(value, 1, length(value) - 1)"))
+    msgs = wire_messages(spark, sf_dir).select("key", F.explode(copies).alias("value"))
+    return null_safe(ingest.decode_transactions(msgs, mode="PERMISSIVE"))
 
 
 def q_event_time(spark, sf_dir):
@@ -137,7 +137,11 @@ def parsed_flagged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_flagged_topic(spark, sf_dir):
     parsed = parsed_flagged_topic(spark, sf_dir)
-    return null_safe(comparable(parsed.drop("raw_value", "_corrupt_record")))
+    return null_safe(comparable(parsed.drop("raw_value", "message_key", "_corrupt_record")))
+
+
+def half_cut(payloads: DataFrame) -> DataFrame:
+    return payloads.select("key", F.expr("substring(value, 1, length(value) div 2)").alias("value"))
 
 
 def q_parse_flagged(spark, sf_dir):
@@ -145,37 +149,32 @@ def q_parse_flagged(spark, sf_dir):
     cut in half): good messages parse back, damaged ones are marked corrupt
     with all fields null and kept, not lost."""
     imm, win = flag_payloads(spark, sf_dir)
-    win = workspace.cut_lineage(win)                 # aggregate once, read twice
-    damaged = win.select("key", F.expr("substring(value, 1, length(value) div 2)").alias("value"))
-    parsed = payload.parse_flags(payload.flagged_topic(imm, win, damaged))
+    copies = F.array("value", F.expr("substring(value, 1, length(value) div 2)"))
+    win = win.select("key", F.explode(copies).alias("value"))        # one pass over the windows
+    parsed = payload.parse_flags(payload.flagged_topic(imm, win))
     return null_safe(comparable(parsed.select(
-        *[c for c in parsed.columns if c not in ("raw_value", "_corrupt_record")],
+        *[c for c in parsed.columns if c not in ("raw_value", "message_key", "_corrupt_record")],
         F.col("_corrupt_record").isNotNull().alias("corrupt"))))
 
 
-def make_demo_explainer():
+def q_dead_letters_undecodable(spark, sf_dir):
+    """Half-cut copies of all flags become dead letters with the message's key and its raw text."""
+    messages = half_cut(payload.flagged_topic(*flag_payloads(spark, sf_dir)))
+    dead = explain.undecodable_dead_letters(payload.parse_flags(messages))
+    return dead.select("message_key", "status", "error", "attempts",
+                       F.startswith(F.col("raw_value"), F.lit("{")).alias("has_raw_text"))
+
+
+def demo_explainer(record: dict, prompt: str, attempt: int) -> str:
     """Deterministic stand-in for a model call: a one-line template; a
     refusal (non-retryable error) for HIGH_AVERAGE flags, so the dead-letter
     route carries rows; and a retryable "throttled" error on the first call
-    for each RAPID_TRANSACTIONS flag, so those succeed on attempt 2.  The
-    first-call memory lives in the closure: every task gets its own copy, so
-    a retried task behaves the same."""
-    seen: set = set()
-
-    def demo_explainer(record: dict, prompt: str) -> str:
-        return _demo_text(record, seen)
-    return demo_explainer
-
-
-def _demo_text(record: dict, seen: set) -> str:
+    for each RAPID_TRANSACTIONS flag, so those succeed on attempt 2."""
     reason = record.get("fraud_reason")
     if reason == "HIGH_AVERAGE":
         raise ValueError("explainer refused HIGH_AVERAGE")
-    if reason == "RAPID_TRANSACTIONS":
-        key = (record.get("transaction_id"), record.get("user_id"), str(record.get("window")))
-        if key not in seen:
-            seen.add(key)
-            raise explain.RetryableError("throttled")
+    if reason == "RAPID_TRANSACTIONS" and attempt == 1:
+        raise explain.RetryableError("throttled")
     if "window" in record:
         subject = f"user {record.get('user_id')} in a sliding window"
     else:
@@ -184,10 +183,11 @@ def _demo_text(record: dict, seen: set) -> str:
 
 
 def explain_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags' own partitions call the explainer: as many tasks as the
+    scan and the window shuffle have, so a lost one repeats a small share."""
     parsed = parsed_flagged_topic(spark, sf_dir)
     good = parsed.filter(F.col("_corrupt_record").isNull())
-    return explain.explain_flags(good, make_demo_explainer(), DEFAULT, sleep=lambda s: None,
-                                 partitions=workspace.parallelism(spark))
+    return explain.explain_flags(good, demo_explainer, DEFAULT, sleep=lambda s: None, pass_attempt=True)
 
 
 EXPLAIN_VIEW = ["record_key", "shape", "transaction_id", "user_id", "window",
@@ -219,6 +219,12 @@ _STREAM_RUNS: dict[tuple, str] = {}
 STREAM_PROGRESS: dict[tuple, dict] = {}
 
 
+def run_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """This application and the very files it reads."""
+    files = spark.read.parquet(f"{sf_dir}/events.parquet").inputFiles()
+    return spark.sparkContext.applicationId, sf_dir, tuple(sorted(files))
+
+
 def stream_run(spark: SparkSession, sf_dir: str) -> str:
     """Run the streaming application once over the whole input.
 
@@ -227,14 +233,13 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     ``availableNow`` trigger: both flag flows to the flagged topic, plus row
     tables of features and flags for checking.  Returns the run folder.
     """
-    key = (id(spark), sf_dir)
+    key = run_key(spark, sf_dir)
     if key not in _STREAM_RUNS:
         run = workspace.new_run(spark, "stream")
         raw = FileTopic(run, DEFAULT.raw_topic)
         parts = workspace.parallelism(spark)
         t0 = time.perf_counter()
-        produce(ingest.to_wire(read_transactions(spark, sf_dir), partitions=parts), raw,
-                spread=False)
+        produce(wire_messages(spark, sf_dir), raw)
         produce_sec = time.perf_counter() - t0
         p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
                            f"{run}/checkpoints", DEFAULT, trigger={"availableNow": True},
@@ -252,6 +257,45 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     return _STREAM_RUNS[key]
 
 
+#: Parts of the raw topic in the many-batch run, one for each micro-batch, and files in a part.
+BATCH_PARTS, PART_FILES = 8, 2
+_BATCH_RUNS: dict[tuple, str] = {}
+
+
+def stream_run_batches(spark: SparkSession, sf_dir: str) -> str:
+    """The streaming application over a raw topic in ``BATCH_PARTS`` parts in
+    the order of event time, one per trigger: window state is carried from
+    batch to batch.  Returns the run folder."""
+    key = run_key(spark, sf_dir)
+    if key not in _BATCH_RUNS:
+        run = workspace.new_run(spark, "stream-batches")
+        raw = FileTopic(run, DEFAULT.raw_topic)
+        tx = read_transactions(spark, sf_dir)
+        shares = [k / BATCH_PARTS for k in range(1, BATCH_PARTS)]
+        cuts = tx.agg(F.percentile_approx("timestamp", shares).alias("c")).first()["c"] or []
+        ends = [None, *cuts, None]
+        for k, (low, high) in enumerate(zip(ends, ends[1:], strict=False)):
+            at = F.col("timestamp")
+            part = tx.filter((F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high))
+            produce(ingest.to_wire(part.repartition(PART_FILES)), raw, part=f"batch-{k:04d}")
+        p = start_pipeline(raw.read_stream(spark, max_files_per_trigger=PART_FILES),
+                           TopicSink(FileTopic(run, DEFAULT.flagged_topic)), f"{run}/checkpoints", DEFAULT,
+                           trigger={"availableNow": True}, feature_sink=TableSink(f"{run}/features"),
+                           windowed_sink=TableSink(f"{run}/flagged_windowed"),
+                           name_suffix="-" + run.rsplit("-", 1)[-1], state_partitions=workspace.parallelism(spark))
+        p.await_termination()
+        _BATCH_RUNS[key] = run
+    return _BATCH_RUNS[key]
+
+
+def q_stream_closed_windows_batches(spark, sf_dir):
+    return comparable(TableSink(f"{stream_run_batches(spark, sf_dir)}/features").read(spark))
+
+
+def q_stream_flag_windowed_batches(spark, sf_dir):
+    return comparable(TableSink(f"{stream_run_batches(spark, sf_dir)}/flagged_windowed").read(spark))
+
+
 def q_stream_flag_immediate(spark, sf_dir):
     return comparable(TableSink(f"{stream_run(spark, sf_dir)}/flagged_immediate").read(spark))
 
@@ -267,7 +311,7 @@ def q_stream_flag_windowed(spark, sf_dir):
 def q_stream_flagged_topic(spark, sf_dir):
     topic = FileTopic(stream_run(spark, sf_dir), DEFAULT.flagged_topic)
     parsed = payload.parse_flags(topic.read(spark))
-    return null_safe(comparable(parsed.drop("raw_value", "_corrupt_record")))
+    return null_safe(comparable(parsed.drop("raw_value", "message_key", "_corrupt_record")))
 
 
 def queries() -> dict[str, Query]:
@@ -294,8 +338,11 @@ def queries() -> dict[str, Query]:
         "dead_letters": q_dead_letters,
         "explained_template": q_explained_template,
         "explain_summary": q_explain_summary,
+        "dead_letters_undecodable": q_dead_letters_undecodable,
         "stream_flag_immediate": q_stream_flag_immediate,
         "stream_closed_windows": q_stream_closed_windows,
         "stream_flag_windowed": q_stream_flag_windowed,
         "stream_flagged_topic": q_stream_flagged_topic,
+        "stream_closed_windows_batches": q_stream_closed_windows_batches,
+        "stream_flag_windowed_batches": q_stream_flag_windowed_batches,
     }

@@ -209,6 +209,10 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS n
             FROM topic GROUP BY 1"""),
     }
+    out["dead_letters_undecodable"] = _q(ALL_FLAGS, """
+        SELECT user_id AS message_key, 'FAILED' AS status, 'decode: not a JSON object' AS error,
+               0 AS attempts, true AS has_raw_text
+        FROM topic""")
     for name in ("flagged_topic", "parse_flagged"):
         out[name] = _null_safe(out[name], TOPIC_INTS, ["is_fraud"])
     for name in ("explained", "explained_template", "dead_letters"):
@@ -219,4 +223,6 @@ def oracle_sql() -> dict[str, str]:
     out["stream_closed_windows"] = out["closed_windows"]
     out["stream_flag_windowed"] = out["flag_windowed_closed"]
     out["stream_flagged_topic"] = out["flagged_topic"]
+    out["stream_closed_windows_batches"] = out["closed_windows"]
+    out["stream_flag_windowed_batches"] = out["flag_windowed_closed"]
     return out

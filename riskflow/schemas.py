@@ -27,19 +27,21 @@ TRANSACTION_AVRO = json.dumps({
     ],
 })
 
-TRANSACTION = T.StructType([
-    T.StructField("transaction_id", T.StringType(), False),
-    T.StructField("user_id", T.StringType(), False),
-    T.StructField("amount", T.DoubleType(), False),
-    T.StructField("currency", T.StringType(), False),
-    T.StructField("merchant", T.StringType(), False),
-    T.StructField("category", T.StringType(), True),
-    T.StructField("timestamp", T.LongType(), False),
-    T.StructField("country", T.StringType(), False),
-    T.StructField("device_type", T.StringType(), False),
-    T.StructField("is_fraud", T.BooleanType(), False),
-])
+_SPARK = {"string": T.StringType(), "double": T.DoubleType(), "long": T.LongType(), "boolean": T.BooleanType()}
+
+
+def _struct(schema_json: str) -> T.StructType:
+    """The record's fields; a union with null is a nullable field."""
+    out = T.StructType()
+    for f in json.loads(schema_json)["fields"]:
+        kinds = f["type"] if isinstance(f["type"], list) else [f["type"]]
+        out.add(f["name"], _SPARK[next(k for k in kinds if k != "null")], "null" in kinds)
+    return out
+
+
+TRANSACTION = _struct(TRANSACTION_AVRO)
 
+# Column names and order of the flag and feature records.
 FLAGGED_IMMEDIATE_COLUMNS = [
     "transaction_id", "user_id", "amount", "currency", "merchant",
     "timestamp", "fraud_reason", "rule_score", "is_fraud",
@@ -82,20 +84,3 @@ FLAG_SUPERSET_WITH_CORRUPT = T.StructType(
     FLAG_SUPERSET.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
 )
 
-# A topic message as the Kafka source exposes it (binary key and value); the
-# file-backed topic keeps the same column names.
-TOPIC_MESSAGE = T.StructType([
-    T.StructField("key", T.BinaryType(), True),
-    T.StructField("value", T.BinaryType(), True),
-    T.StructField("topic", T.StringType(), True),
-    T.StructField("partition", T.IntegerType(), True),
-    T.StructField("offset", T.LongType(), True),
-    T.StructField("timestamp", T.TimestampType(), True),
-    T.StructField("timestampType", T.IntegerType(), True),
-])
-
-# Flag payload as written to the flagged topic.
-PAYLOAD = T.StructType([
-    T.StructField("key", T.StringType(), True),
-    T.StructField("value", T.StringType(), True),
-])

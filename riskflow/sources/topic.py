@@ -1,4 +1,4 @@
-"""Topics: Kafka when the connector is on the classpath, files otherwise.
+"""Topics: Kafka (the caller names brokers) or folders of files.
 
 A ``Topic`` gives the same DataFrame shape either way — binary ``key`` and
 ``value`` plus Kafka's metadata columns where they exist — as a stream
@@ -15,61 +15,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_KAFKA_OK: dict[int, bool] = {}
-
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType(), True),
     T.StructField("value", T.BinaryType(), True),
 ])
 
 
-def kafka_available(spark: SparkSession) -> bool:
-    key = id(spark)
-    if key not in _KAFKA_OK:
-        cls = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
-        try:   # Spark's class loader also sees jars added with --packages / --jars
-            _KAFKA_OK[key] = bool(spark._jvm.org.apache.spark.util.Utils.classIsLoadable(cls))  # noqa: SLF001
-        except Exception:  # noqa: BLE001
-            try:
-                spark._jvm.java.lang.Class.forName(cls)  # noqa: SLF001
-                _KAFKA_OK[key] = True
-            except Exception:  # noqa: BLE001
-                _KAFKA_OK[key] = False
-    return _KAFKA_OK[key]
+#: File streams take every file, however old it is next to the newest one.
+MAX_FILE_AGE = "36500d"
 
 
 @dataclass
 class KafkaTopic:
     bootstrap_servers: str
     name: str
+    #: Passed to reads and writes alike, for example ``kafka.security.protocol``.
     options: dict = field(default_factory=dict)
 
-    def read_stream(self, spark: SparkSession, starting_offsets: str = "earliest",
-                    fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None,
-                    min_partitions: int | None = None) -> DataFrame:
+    def _base(self) -> dict:
+        return {"kafka.bootstrap.servers": self.bootstrap_servers, **self.options}
+
+    def read_options(self, starting_offsets: str = "earliest", fail_on_data_loss: bool = False,
+                     max_per_trigger: int | None = None, min_partitions: int | None = None) -> dict:
         """``min_partitions``: split each batch's offset ranges into at least
         that many tasks; a topic with few partitions (the reference's has 3)
-        would otherwise decode on as many cores."""
-        r = (spark.readStream.format("kafka")
-             .option("kafka.bootstrap.servers", self.bootstrap_servers)
-             .option("subscribe", self.name)
-             .option("startingOffsets", starting_offsets)
-             .option("failOnDataLoss", str(fail_on_data_loss).lower()))
-        if max_offsets_per_trigger:
-            r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        would otherwise decode on as many cores.  ``fail_on_data_loss``: stop
+        at a gap in the offsets instead of going on behind it."""
+        out = {**self._base(), "subscribe": self.name, "startingOffsets": starting_offsets,
+               "failOnDataLoss": str(fail_on_data_loss).lower()}
+        if max_per_trigger:
+            out["maxOffsetsPerTrigger"] = str(max_per_trigger)
         if min_partitions:
-            r = r.option("minPartitions", min_partitions)
-        for k, v in self.options.items():
-            r = r.option(k, v)
-        return r.load()
+            out["minPartitions"] = str(min_partitions)
+        return out
+
+    def write_options(self) -> dict:
+        return {**self._base(), "topic": self.name}
+
+    def read_stream(self, spark: SparkSession, **kw) -> DataFrame:
+        return spark.readStream.format("kafka").options(**self.read_options(**kw)).load()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        r = (spark.read.format("kafka")
-             .option("kafka.bootstrap.servers", self.bootstrap_servers)
-             .option("subscribe", self.name))
-        for k, v in self.options.items():
-            r = r.option(k, v)
-        return r.load()
+        return spark.read.format("kafka").options(**self._base(), subscribe=self.name).load()
+
+    def write_batch(self, df: DataFrame, part: str = "") -> None:
+        _messages(df).write.format("kafka").options(**self.write_options()).save()
+
+
+def _messages(df: DataFrame) -> DataFrame:
+    return df.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
 
 
 @dataclass
@@ -89,12 +83,16 @@ class FileTopic:
     def path(self) -> str:
         return f"{self.root.rstrip('/')}/{self.name}"
 
+    def read_options(self, max_per_trigger: int | None = None) -> dict:
+        out = {"maxFileAge": MAX_FILE_AGE}
+        if max_per_trigger:
+            out["maxFilesPerTrigger"] = str(max_per_trigger)
+        return out
+
     def read_stream(self, spark: SparkSession, max_files_per_trigger: int | None = None,
                     schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
-        r = spark.readStream.schema(schema)
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        return r.parquet(f"{self.path}/*")
+        return (spark.readStream.schema(schema).options(**self.read_options(max_files_per_trigger))
+                .parquet(f"{self.path}/*"))
 
     def read(self, spark: SparkSession, schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{self.path}/*")
@@ -102,29 +100,15 @@ class FileTopic:
     def write_batch(self, df: DataFrame, part: str) -> None:
         """Write one batch as sub-folder ``part`` (overwrite: a replayed
         batch replaces its own output instead of adding to it)."""
-        (df.select(F.col("key").cast("binary").alias("key"),
-                   F.col("value").cast("binary").alias("value"))
-         .write.mode("overwrite").parquet(f"{self.path}/{part}"))
+        _messages(df).write.mode("overwrite").parquet(f"{self.path}/{part}")
 
 
-def produce(df: DataFrame, topic: FileTopic | KafkaTopic, part: str = "batch-000000000000",
-            partitions: int | None = None, spread: bool = True) -> None:
+def produce(df: DataFrame, topic: FileTopic | KafkaTopic, part: str = "batch-000000000000") -> None:
     """Batch-write ``(key, value)`` messages to a topic (the load generator's
     role: encoded transactions onto the raw topic).
 
     Kafka assigns partitions by key itself (per-key order, as the reference's
-    producers rely on).  A file topic is split evenly (round robin, stable on
-    retry) into ``partitions`` parts, default the cluster's parallelism, so
-    consumers read in parallel and a hot key cannot make one part hold a
-    third of the data; Spark consumers order by event time, not by offset.
-    ``spread=False`` keeps ``df``'s partitioning (already spread)."""
-    if isinstance(topic, KafkaTopic):
-        (df.select(F.col("key").cast("binary"), F.col("value").cast("binary"))
-         .write.format("kafka").option("kafka.bootstrap.servers", topic.bootstrap_servers)
-         .option("topic", topic.name).save())
-    else:
-        if spread:
-            from riskflow.workspace import parallelism
-            n = partitions or parallelism(df.sparkSession)
-            df = df.repartition(n)
-        topic.write_batch(df, part)
+    producers rely on).  A file topic gets one part per task of ``df``, so
+    consumers read in parallel; Spark consumers order by event time, not by
+    offset."""
+    topic.write_batch(df, part)

@@ -44,8 +44,7 @@ def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint
                     name: str = "flag-explainer") -> StreamingQuery:
     """Start the explainer query over ``flag_stream`` (``key``, ``value``).
 
-    Bound the batch size on the source (``maxFilesPerTrigger`` /
-    ``maxOffsetsPerTrigger``); ``max_tasks`` bounds how many tasks call the
+    Bound the batch on the source (the topics' ``read_stream``); ``max_tasks`` bounds how many tasks call the
     explainer at once, each with ``cfg.explain_batch_size`` threads.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -58,7 +57,7 @@ def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint
                 explained_sink.write_batch(explain.to_output_payload(explain.explained(results)), part)
                 dead = explain.to_output_payload(explain.dead_letters(results))
                 bad = undecodable.select(F.col("record_key").alias("key"),
-                                         F.to_json(F.struct("status", "error", "raw_value")).alias("value"))
+                                         F.to_json(F.struct("status", "error", "message_key", "raw_value")).alias("value"))
                 dlq_sink.write_batch(dead.unionByName(bad), part)
             finally:
                 results.unpersist()

@@ -2,7 +2,7 @@
 
 ``build_flows`` declares the plan once; ``start_pipeline`` starts one
 streaming query per flow (T1, T3), each with its own checkpoint (T6) and
-name (T7).  ``Pipeline.await_termination`` watches *all* queries and raises
+name (T7).  ``Pipeline.await_termination`` watches *all* its queries and raises
 the first failure (T8; the reference waits on one console query and never
 sees the others die).
 
@@ -15,6 +15,7 @@ rows later than the previous batch's watermark are dropped per
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -43,10 +44,11 @@ WINDOW_INPUT = ["user_id", "amount", "timestamp"]
 
 
 def build_flows(source: DataFrame, cfg: FraudConfig = DEFAULT, decoded: bool = False,
-                strategy: str = "expand", **decode_kw) -> Flows:
+                **decode_kw) -> Flows:
     """``source``: raw framed messages (``value`` column), or transaction rows
     with an epoch-ms ``timestamp`` when ``decoded``.  Each path decodes only
-    the fields it reads; ``timed`` is the whole record."""
+    the fields it reads; ``timed`` is the whole record.  Windows are expanded:
+    the pane strategy aggregates twice, which a stream in append mode refuses."""
     if decoded:
         timed = timed_imm = timed_win = to_event_time(source)
     else:
@@ -54,7 +56,7 @@ def build_flows(source: DataFrame, cfg: FraudConfig = DEFAULT, decoded: bool = F
         timed_imm = ingest.timed_transactions(source, columns=IMMEDIATE_INPUT, **decode_kw)
         timed_win = ingest.timed_transactions(source, columns=WINDOW_INPUT, **decode_kw)
     features = velocity.velocity_features(
-        timed_win.withWatermark("timestamp", cfg.watermark_delay), cfg, strategy)
+        timed_win.withWatermark("timestamp", cfg.watermark_delay), cfg)
     return Flows(timed=timed, features=features,
                  flagged_immediate=immediate.flag_immediate(timed_imm, cfg),
                  flagged_windowed=velocity.flag_windowed(features, cfg))
@@ -64,31 +66,27 @@ def build_flows(source: DataFrame, cfg: FraudConfig = DEFAULT, decoded: bool = F
 class Pipeline:
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
 
-    def await_termination(self, timeout: float | None = None) -> None:
-        """Wait until every query has stopped; on the first failure stop the
-        others and raise, naming the query."""
-        for name, q in self.queries.items():
-            try:
-                if timeout is None:
-                    q.awaitTermination()
-                else:
-                    q.awaitTermination(timeout)
-            except Exception as e:  # noqa: BLE001 - StreamingQueryException and kin
-                self.stop()
-                raise RuntimeError(f"streaming query {name!r} failed: {e}") from e
+    def await_termination(self, timeout: float | None = None) -> bool:
+        """Wait until every query of this pipeline has stopped (True) or the
+        timeout is over (False).  The first failure of any of them stops the
+        others and is raised with the query's name; a query that stops
+        cleanly leaves the others running."""
+        return self._watch(lambda: not any(q.isActive for q in self.queries.values()), timeout)
+
+    def await_any(self, timeout: float | None = None) -> bool:
+        """Wait until one query of this pipeline has stopped; raise if one failed."""
+        return self._watch(lambda: not all(q.isActive for q in self.queries.values()), timeout)
+
+    def _watch(self, done, timeout: float | None, every: float = 0.3) -> bool:
+        until = None if timeout is None else time.monotonic() + timeout
+        while True:
+            stopped = done()
             self.raise_if_failed()
-
-    def await_any(self, timeout: float | None = None) -> None:
-        """Return when any query stops; raise if one failed (and stop the rest)."""
-        spark = next(iter(self.queries.values())).sparkSession
-        try:
-            spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
-        except Exception:
-            self.stop()
-            raise
-        finally:
-            spark.streams.resetTerminated()
-        self.raise_if_failed()
+            if stopped:
+                return True
+            if until is not None and time.monotonic() >= until:
+                return False
+            time.sleep(every)
 
     def raise_if_failed(self) -> None:
         for name, q in self.queries.items():
@@ -146,64 +144,41 @@ def _fan_out(outputs: list[tuple[object, "callable"]]):
 
 def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
                    cfg: FraudConfig = DEFAULT, trigger: dict | None = None,
-                   feature_sink=None, immediate_sink=None, windowed_sink=None,
+                   feature_sink=None, immediate_sink=None, windowed_sink=None, reject_sink=None,
                    decoded: bool = False, name_suffix: str = "",
-                   state_partitions: int | None = None, decoded_table: str | None = None,
-                   **decode_kw) -> Pipeline:
-    """Start the application as two streaming queries.
+                   state_partitions: int | None = None, **decode_kw) -> Pipeline:
+    """Start the application's streaming queries.
 
     * ``flagged-immediate-<kind>`` (stateless): transaction flags -> JSON
       payloads on ``flag_sink``, and the flag rows on ``immediate_sink``.
     * ``flagged-windowed-<kind>`` (stateful): closed windows' features ->
       ``feature_sink`` (the debug output), window flags -> payloads on
       ``flag_sink`` and rows on ``windowed_sink``.
+    * ``rejected-<kind>``, with ``mode="PERMISSIVE"``: messages that cannot be
+      decoded -> ``reject_sink`` as they came.  Without a sink that mode is
+      refused: the messages would be lost.
 
     The reference runs four queries that each decode the raw topic and two
     that each keep the same window state; here each path decodes once and
     keeps one state store, and fans out inside ``foreachBatch``.  Every
     query has its own checkpoint under ``checkpoint_root``.
 
-    ``decoded_table``: decode once.  The transaction-flag query also appends
-    the decoded, event-timed rows to this parquet folder (one sub-folder per
-    batch), and the window query streams from it instead of decoding the raw
-    topic again; batch jobs can read the same columnar table.  Under an
-    ``availableNow`` trigger the window query starts after the first one
-    has finished; otherwise both run side by side.
-
     ``state_partitions``: width of the window query's shuffle and state store.
     It is fixed by the checkpoint at the first start, so size it for the peak
     number of live (window, user) keys, not for today's load.
     """
+    permissive = decode_kw.get("mode", "FAILFAST").upper() == "PERMISSIVE" and not decoded
+    if permissive and reject_sink is None:
+        raise ValueError("mode PERMISSIVE needs a reject_sink: undecodable messages would be lost")
     flows = build_flows(source, cfg, decoded=decoded, **decode_kw)
     trig = trigger or default_trigger(cfg)
-    if decoded_table:
-        from riskflow.streaming.sinks import TableSink
-        table = TableSink(decoded_table)
-        timed_schema = flows.timed.schema
-        spark = source.sparkSession
-        window_source = (spark.readStream.schema(timed_schema)
-                         .parquet(f"{decoded_table.rstrip('/')}/*"))
-        flows = Flows(timed=flows.timed,
-                      features=velocity.velocity_features(
-                          window_source.withWatermark("timestamp", cfg.watermark_delay), cfg),
-                      flagged_immediate=flows.flagged_immediate,
-                      flagged_windowed=None)
     kind = getattr(flag_sink, "kind", "sink")
     root = checkpoint_root.rstrip("/")
     p = Pipeline()
 
-    if decoded_table:
-        # the stateless query runs over the decoded rows and derives the flags per batch
-        imm_out = [(table, lambda b: b),
-                   (flag_sink, lambda b: payload.to_payload(immediate.flag_immediate(b, cfg)))]
-        if immediate_sink is not None:
-            imm_out.append((immediate_sink, lambda b: immediate.flag_immediate(b, cfg)))
-        imm_df = flows.timed
-    else:
-        imm_out = [(flag_sink, payload.to_payload)]
-        if immediate_sink is not None:
-            imm_out.append((immediate_sink, lambda b: b))
-        imm_df = flows.flagged_immediate
+    imm_out = [(flag_sink, payload.to_payload)]
+    if immediate_sink is not None:
+        imm_out.append((immediate_sink, lambda b: b))
     win_out = [(flag_sink, lambda b: payload.to_payload(velocity.flag_windowed(b, cfg)))]
     if feature_sink is not None:
         win_out.append((feature_sink, lambda b: b))
@@ -220,10 +195,11 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
         p.queries[name] = w.foreachBatch(lambda b, i: fn(b, i, flow)).start()
 
     try:
-        start(f"flagged-immediate-{kind}", imm_df, imm_out)
+        start(f"flagged-immediate-{kind}", flows.flagged_immediate, imm_out)
+        if permissive:
+            kw = {k: v for k, v in decode_kw.items() if k != "mode"}
+            start(f"rejected-{kind}", ingest.rejects(source, **kw), [(reject_sink, lambda b: b)])
         spark = source.sparkSession
-        if decoded_table and "availableNow" in trig:
-            p.await_termination()     # the table is complete before the window query reads it
         prev = spark.conf.get("spark.sql.shuffle.partitions")
         if state_partitions:
             spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))

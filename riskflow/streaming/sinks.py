@@ -48,18 +48,12 @@ class TopicSink(_BatchSink):
     kind = "kafka"
 
     def write_batch(self, df: DataFrame, part: str) -> None:
-        if isinstance(self.topic, KafkaTopic):
-            (df.selectExpr("CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value")
-             .write.format("kafka").option("kafka.bootstrap.servers", self.topic.bootstrap_servers)
-             .option("topic", self.topic.name).save())
-        else:
-            self.topic.write_batch(df, part)
+        self.topic.write_batch(df, part)
 
     def start(self, df, name, checkpoint, trigger, output_mode="append"):
         if isinstance(self.topic, KafkaTopic):
             return (_writer(df, name, checkpoint, trigger, output_mode).format("kafka")
-                    .option("kafka.bootstrap.servers", self.topic.bootstrap_servers)
-                    .option("topic", self.topic.name).start())
+                    .options(**self.topic.write_options()).start())
         return super().start(df, name, checkpoint, trigger, output_mode)
 
 

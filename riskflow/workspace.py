@@ -1,8 +1,8 @@
 """Where jobs put state, topics and lineage-cutting tables.
 
 Everything goes under the shared folder the cluster names in
-``spark.checkpoint.dir`` (read from the session).  Only when it is unset —
-local runs and tests — is a fresh folder created and set.
+``spark.checkpoint.dir`` (read from the session).  Only when it is unset in a
+local session is a fresh folder created.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import warnings
 
 from pyspark.sql import SparkSession
 
@@ -18,29 +17,26 @@ CONF_KEY = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    root = spark.conf.get(CONF_KEY, None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - not available on every session type
-            root = None
-    on_cluster = not master(spark).startswith("local")
-    if not root and on_cluster:
-        raise RuntimeError(f"set {CONF_KEY} to a folder every node shares (e.g. on HDFS or S3)")
+    """The folder named by ``spark.checkpoint.dir``, taken to be shared as the
+    cluster says.  Where it is unset a cluster is an error, and a local
+    session gets a folder of its own, set on its context."""
+    root = spark.conf.get(CONF_KEY, None) or _context_folder(spark)
     if not root:
+        if not master(spark).startswith("local["):
+            raise RuntimeError(f"set {CONF_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="riskflow-")   # unset: local run or test only
-        spark.conf.set(CONF_KEY, root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            pass
-    if on_cluster and _machine_local(spark, root):
-        warnings.warn(f"{CONF_KEY}={root} is a machine-local path on a cluster; "
-                      "checkpoints and outputs must live in a folder every node shares",
-                      RuntimeWarning, stacklevel=2)
+        spark.sparkContext.setCheckpointDir(root)
+        root = _context_folder(spark)
     return root.rstrip("/")
 
 
+def _context_folder(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        return None
+
+
 def master(spark: SparkSession) -> str:
     try:
         return spark.sparkContext.master
@@ -57,13 +53,6 @@ def parallelism(spark: SparkSession) -> int:
                                   spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder (reliable, survives
-    executor loss) so a plan that reads it twice computes it once."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), *parts])
 
@@ -77,19 +66,6 @@ def is_local_path(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:")
 
 
-def _machine_local(spark: SparkSession, p: str) -> bool:
-    """``file:`` paths, or scheme-less ones when the default FS is local."""
-    if p.startswith("file:"):
-        return True
-    if "://" in p:
-        return False
-    try:
-        default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")  # noqa: SLF001
-    except Exception:  # noqa: BLE001
-        default_fs = None
-    return default_fs is None or default_fs.startswith("file:")
-
-
 def ensure_local_dir(p: str) -> None:
     if is_local_path(p):
         os.makedirs(p.replace("file:", "", 1), exist_ok=True)

@@ -62,22 +62,23 @@ def test_retry_rules():
     sleeps = []
     calls = {"n": 0}
 
-    def twice_then_ok():
+    def twice_then_ok(attempt):
         calls["n"] += 1
+        assert attempt == calls["n"]
         if calls["n"] < 3:
             raise Flaky("busy")
         return "ok"
 
-    assert explain.call_with_retry(twice_then_ok, 3, (Flaky,), 2, 10, sleeps.append) == ("ok", 3)
+    assert explain.attempt_with_retry(twice_then_ok, 3, (Flaky,), 2, 10, sleeps.append) == ("ok", None, 3)
     assert sleeps == [2, 2]
     assert [explain.backoff_wait(a, 2, 10) for a in (1, 2, 3, 4, 5)] == [2, 2, 4, 8, 10]
 
-    def always():
+    def always(attempt):
         raise Flaky("down")
     res, err, used = explain.attempt_with_retry(always, 3, (Flaky,), 2, 10, lambda s: None)
     assert (res, str(err), used) == (None, "down", 3)
 
-    def wrong_type():
+    def wrong_type(attempt):
         raise KeyError("nope")
     res, err, used = explain.attempt_with_retry(wrong_type, 3, (Flaky,), 2, 10, lambda s: None)
     assert isinstance(err, KeyError) and used == 1
@@ -167,3 +168,34 @@ def test_nan_amount_survives_json(spark):
     assert '"amount":"NaN"' in msg["value"]
     back = payload.parse_flags(payload.to_payload(immediate.flag_immediate(timed))).first()
     assert math.isnan(back["amount"]) and back["fraud_reason"] == "HIGH_AMOUNT"
+
+
+def test_mistyped_fields_are_no_dead_letters(spark):
+    msgs = spark.createDataFrame([("k", '{"user_id": "u", "amount": "n/a", "fraud_reason": "X"}'), ("j", '{"a": ')],
+                                 "key string, value string")
+    parsed = payload.parse_flags(msgs)
+    good = parsed.filter(F.col("_corrupt_record").isNull()).collect()
+    assert [(r["user_id"], r["amount"], r["fraud_reason"], r["record_key"]) for r in good] == [("u", None, "X", "u")]
+    dead = explain.undecodable_dead_letters(parsed).collect()
+    assert [(r["message_key"], r["raw_value"]) for r in dead] == [("j", '{"a": ')]
+
+
+def test_open_records_reach_the_explainer_and_both_outputs(spark):
+    msgs = spark.createDataFrame([("a", '{"user_id": "a", "ip": "10.0.0.1", "n": {"x": [1]}}'),
+                                  ("b", '{"user_id":"b","ip":"refuse", "amount":"n/a"} '), ("c", "{}")],
+                                 "key string, value string")
+
+    def explainer(record, prompt):
+        if record.get("ip") == "refuse":
+            raise ValueError("no")
+        return record.get("ip", "none")
+    for explain_with in (explainer, None):
+        res = explain.explain_flags(payload.parse_flags(msgs), explain_with)
+        ok = [json.loads(r["value"]) for r in explain.to_output_payload(explain.explained(res)).collect()]
+        bad = [json.loads(r["value"]) for r in explain.to_output_payload(explain.dead_letters(res)).collect()]
+        by = {r.get("user_id"): r for r in ok + bad}
+        assert by["a"]["ip"] == "10.0.0.1" and by["a"]["n"] == {"x": [1]} and by["b"]["amount"] == "n/a"
+        assert by["a"]["status"] == "SUCCESS" and by[None]["status"] == "SUCCESS"
+        if explain_with:
+            assert by["a"]["llm_explanation"] == "10.0.0.1"
+            assert (by["b"]["status"], by["b"]["error"], by["b"]["ip"]) == ("FAILED", "no", "refuse")

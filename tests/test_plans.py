@@ -4,7 +4,7 @@ aggregation, Python only where it is the point (Avro fallback, explainer)."""
 
 import pytest
 
-import __spark_entry__ as E
+from riskflow.plans import catalog
 from scripts.show_plans import summarize
 from tests.conftest import SF_SMALL
 
@@ -19,7 +19,7 @@ JVM_ONLY_WINDOWS = {"velocity_features", "score_windowed", "flag_windowed", "clo
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         if name.startswith("stream_"):
             continue
         out[name] = summarize(fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString())

@@ -86,7 +86,7 @@ def test_pushdown_reaches_parquet_scan(spark, scratch):
     path = f"{scratch}/tx.parquet"
     tx_df(spark, rows).write.parquet(path)
     timed = to_event_time(spark.read.parquet(path))
-    plan = immediate.flag_immediate(timed)._jdf.queryExecution().executedPlan().toString()
+    plan = immediate.flag_immediate(timed, pushdown=True)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(GreaterThan(amount,5000.0),EqualTo(is_fraud,true))]" in plan
     assert immediate.flag_immediate(timed).count() == immediate.flag_immediate(timed, pushdown=False).count()
 
@@ -127,3 +127,20 @@ def test_selects_equals_chain_for_generated_rule_tables(spark):
 
     check()
     df.unpersist()
+
+
+def test_nan_rows_of_a_file_with_statistics_are_flagged(spark, scratch):
+    """A writer that leaves NaN out of the row group's statistics: the default reads the group all the same."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from riskflow.functions.eventtime import to_event_time
+    from riskflow.operators.immediate import flag_immediate
+    from riskflow import schemas
+    rows = {"transaction_id": ["x", "y"], "user_id": ["u", "u"], "amount": [1.0, float("nan")], "currency": ["USD"] * 2,
+            "merchant": ["m"] * 2, "category": [None, None], "timestamp": [1000, 2000], "country": ["US"] * 2,
+            "device_type": ["d"] * 2, "is_fraud": [False, False]}
+    kinds = {"amount": pa.float64(), "timestamp": pa.int64(), "is_fraud": pa.bool_()}
+    pq.write_table(pa.table({k: pa.array(v, kinds.get(k, pa.string())) for k, v in rows.items()}), f"{scratch}/nan.parquet")
+    timed = to_event_time(spark.read.schema(schemas.TRANSACTION).parquet(f"{scratch}/nan.parquet"))
+    flags = flag_immediate(timed).collect()
+    assert [(r["transaction_id"], r["fraud_reason"]) for r in flags] == [("y", "HIGH_AMOUNT")]

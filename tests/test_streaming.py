@@ -263,6 +263,7 @@ def test_app_cli_with_registry_and_older_writer_schema(spark, scratch):
     from riskflow import app
     from riskflow.operators import avro
     from riskflow.sources import registry
+    from tests.helpers_avro import encode_body
     old = _json.loads(schemas.TRANSACTION_AVRO)
     old["fields"] = [f for f in old["fields"] if f["name"] != "device_type"]
     new = _json.loads(schemas.TRANSACTION_AVRO)
@@ -273,7 +274,7 @@ def test_app_cli_with_registry_and_older_writer_schema(spark, scratch):
     old_s = avro.parse_schema(_json.dumps(old))
     rec = {"transaction_id": "t1", "user_id": "user-1", "amount": 9000.0, "currency": "USD", "merchant": "m",
            "category": None, "timestamp": ms(f"{DAY} 00:00:05"), "country": "US", "is_fraud": False}
-    frames = [(b"user-1", b"\x00\x00\x00\x00\x01" + avro.encode_body(rec, old_s))]
+    frames = [(b"user-1", b"\x00\x00\x00\x00\x01" + encode_body(rec, old_s))]
     root = f"{scratch}/topics"
     produce(spark.createDataFrame(frames, "key binary, value binary"), FileTopic(root, "transactions-raw"))
     app.main(["pipeline", "--checkpoint", f"{scratch}/ck", "--topic-root", root, "--available-now",
@@ -282,30 +283,6 @@ def test_app_cli_with_registry_and_older_writer_schema(spark, scratch):
     assert [f["transaction_id"] for f in flags if "transaction_id" in f] == ["t1"]
 
 
-def test_decode_once_table_gives_the_same_flags(spark, scratch):
-    from riskflow.operators import immediate, velocity
-    from riskflow.sources.fixtures import read_transactions
-    from tests.conftest import SF_SMALL
-    tx = read_transactions(spark, SF_SMALL)
-    raw = FileTopic(scratch, "raw")
-    produce(ingest.to_wire(tx), raw)
-    p = start_pipeline(raw.read_stream(spark), TopicSink(FileTopic(scratch, "flagged")), f"{scratch}/ck",
-                       DEFAULT, trigger={"availableNow": True}, name_suffix="-once",
-                       immediate_sink=TableSink(f"{scratch}/imm"), windowed_sink=TableSink(f"{scratch}/win"),
-                       decoded_table=f"{scratch}/decoded")
-    p.await_termination()
-    timed = to_event_time(tx)
-    win = TableSink(f"{scratch}/win").read(spark)
-    imm = TableSink(f"{scratch}/imm").read(spark)
-    want_win = velocity.flag_windowed(velocity.closed_velocity_features(timed))
-    want_imm = immediate.flag_immediate(timed)
-    assert win.count() == 862 and win.exceptAll(want_win).count() == 0
-    assert imm.count() == 214 and imm.exceptAll(want_imm).count() == 0
-    decoded = TableSink(f"{scratch}/decoded").read(spark)
-    assert decoded.count() == 1000 and dict(decoded.dtypes)["timestamp"] == "timestamp"
-    assert FileTopic(scratch, "flagged").read(spark).count() == 214 + 862
-
-
 def test_events_as_a_stream_source(spark, scratch):
     from riskflow.sources.fixtures import stream_transactions
     from tests.conftest import SF_SMALL
@@ -378,24 +355,6 @@ def test_crash_mid_batch_replays_without_duplicates(spark, scratch):
     assert imm == ["a00:00:10", "b00:00:20"]
 
 
-def test_decode_once_in_processing_time_mode(spark, scratch):
-    raw, flagged = FileTopic(scratch, "raw"), FileTopic(scratch, "flagged")
-    os.makedirs(raw.path, exist_ok=True)
-    p = start_pipeline(raw.read_stream(spark), TopicSink(flagged), f"{scratch}/ck", DEFAULT,
-                       trigger={"processingTime": "1 second"}, name_suffix="-once-pt",
-                       decoded_table=f"{scratch}/decoded")
-    try:
-        for i, rows in enumerate([[("00:00:10", "a", 6000.0)], [("00:09:00", "b", 1.0)]]):
-            produce(ingest.to_wire(spark.createDataFrame(_rows(*rows), schemas.TRANSACTION)), raw,
-                    part=f"batch-{i:04d}")
-            p.process_all_available()
-            p.process_all_available()   # the window query reads what the first one wrote
-        keys = sorted(bytes(r["key"]).decode() for r in flagged.read(spark).collect())
-        assert keys.count("a") == 1 + 4
-    finally:
-        p.stop()
-
-
 def test_app_cli_produce_from_a_table(spark, scratch):
     from riskflow import app
     rows = _rows(("00:00:10", "a", 6000.0), ("00:00:20", "b", 10.0))
@@ -406,3 +365,87 @@ def test_app_cli_produce_from_a_table(spark, scratch):
     back = ingest.decode_transactions(msgs)
     assert sorted(r["transaction_id"] for r in back.collect()) == ["a00:00:10", "b00:00:20"]
     assert {bytes(r["value"])[:5] for r in msgs.collect()} == {b"\x00\x00\x00\x00\x07"}
+
+
+def test_await_termination_sees_the_second_query_die(spark, scratch):
+    """Two continuous queries; the second one fails: raised within seconds, the first is stopped, others are left alone."""
+    import time
+
+    from riskflow.streaming.pipeline import Pipeline
+
+    def boom(batch, batch_id):
+        raise ValueError("second query broke")
+    rate = lambda: spark.readStream.format("rate").load()
+    other = rate().writeStream.format("noop").queryName("not-ours").start()
+    first = rate().writeStream.format("noop").queryName("first").trigger(processingTime="1 second").start()
+    second = rate().writeStream.foreachBatch(boom).queryName("second").trigger(processingTime="1 second").start()
+    try:
+        began = time.monotonic()
+        with pytest.raises(RuntimeError, match="second"):
+            Pipeline({"first": first, "second": second}).await_termination(60)
+        assert time.monotonic() - began < 30 and not first.isActive and other.isActive
+    finally:
+        for q in (first, second, other):
+            q.stop()
+
+
+def test_a_clean_stop_of_one_query_leaves_the_others(spark):
+    from riskflow.streaming.pipeline import Pipeline
+    rate = lambda n: spark.readStream.format("rate").load().writeStream.format("noop").queryName(n).start()
+    p = Pipeline({"one": rate("one"), "two": rate("two")})
+    try:
+        p.queries["one"].stop()
+        assert p.await_any(5) and not p.await_termination(1) and p.queries["two"].isActive
+    finally:
+        p.stop()
+    assert p.await_termination(5)
+
+
+def test_permissive_needs_and_fills_a_reject_sink(spark, scratch):
+    raw, flagged, bad = (FileTopic(scratch, n) for n in ("raw", "flagged", "bad"))
+    tx = spark.createDataFrame(_rows(("00:00:10", "a", 6000.0)), schemas.TRANSACTION)
+    produce(ingest.to_wire(tx), raw)
+    cut = b"\x00\x00\x00\x00\x01\x09"
+    produce(spark.createDataFrame([(b"k", cut)], "key binary, value binary"), raw, part="batch-0001")
+    with pytest.raises(ValueError, match="reject_sink"):
+        start_pipeline(raw.read_stream(spark), TopicSink(flagged), f"{scratch}/ck", mode="PERMISSIVE")
+    p = start_pipeline(raw.read_stream(spark), TopicSink(flagged), f"{scratch}/ck", trigger={"availableNow": True},
+                       mode="PERMISSIVE", reject_sink=TopicSink(bad), name_suffix="-rej")
+    p.await_termination()
+    assert [(bytes(r["key"]), bytes(r["value"])) for r in bad.read(spark).collect()] == [(b"k", cut)]
+    assert flagged.read(spark).count() == 1
+
+
+def test_topic_options_reach_reads_and_writes():
+    from riskflow import app
+    from riskflow.sources.topic import MAX_FILE_AGE, KafkaTopic
+    t = KafkaTopic("b:9092", "raw", {"kafka.security.protocol": "SSL"})
+    read, write = t.read_options(max_per_trigger=5, min_partitions=7, fail_on_data_loss=True), t.write_options()
+    assert read == {"kafka.bootstrap.servers": "b:9092", "kafka.security.protocol": "SSL", "subscribe": "raw",
+                    "startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "5", "minPartitions": "7"}
+    assert write == {"kafka.bootstrap.servers": "b:9092", "kafka.security.protocol": "SSL", "topic": "raw"}
+    assert FileTopic("/x", "t").read_options(3) == {"maxFileAge": MAX_FILE_AGE, "maxFilesPerTrigger": "3"}
+
+    class Args:
+        bootstrap, kafka_option, topic_root = "b:9092", ["kafka.sasl.mechanism=PLAIN", "kafka.x=a=b"], None
+        max_per_trigger, min_partitions, fail_on_data_loss = None, None, False
+    topic = app._topic(Args, "flags")
+    assert topic.options == {"kafka.sasl.mechanism": "PLAIN", "kafka.x": "a=b"}
+    asked = {}
+    topic.read_stream = lambda spark, **kw: asked.update(kw)
+    app._stream(Args, None, topic)
+    assert asked["max_per_trigger"] == app.MAX_OFFSETS      # no first batch of the whole backlog
+
+
+def test_old_files_are_read(spark, scratch):
+    raw = FileTopic(scratch, "raw")
+    for part, second in (("a", 10), ("b", 20)):
+        tx = spark.createDataFrame(_rows((f"00:00:{second}", part, 6000.0)), schemas.TRANSACTION)
+        produce(ingest.to_wire(tx), raw, part=part)
+    for name in os.listdir(f"{raw.path}/a"):
+        os.utime(f"{raw.path}/a/{name}", (1, 1))
+    out = []
+    q = (raw.read_stream(spark, max_files_per_trigger=1).writeStream.trigger(availableNow=True)
+         .option("checkpointLocation", f"{scratch}/ck").foreachBatch(lambda b, i: out.extend(b.collect())).start())
+    q.awaitTermination()
+    assert len(out) == 2

@@ -9,6 +9,7 @@ from riskflow.operators import avro, ingest
 from riskflow.sources import registry
 from riskflow.sources.fixtures import read_transactions
 from tests.conftest import SF_SMALL
+from tests.helpers_avro import encode_body
 
 # Golden frames (header + Avro body) for two transactions.
 GOLDEN = [
@@ -54,7 +55,7 @@ def test_roundtrip_on_fixture(spark):
 
 
 def test_decoded_schema_matches_transaction_struct():
-    st, _ = avro.spark_type(avro.parse_schema(schemas.TRANSACTION_AVRO))
+    st = avro.spark_type(avro.parse_schema(schemas.TRANSACTION_AVRO))
     assert st == schemas.TRANSACTION
 
 
@@ -74,7 +75,7 @@ def test_writer_schema_resolution(spark):
     old = json.loads(schemas.TRANSACTION_AVRO)
     old["fields"] = [f for f in old["fields"] if f["name"] not in ("device_type", "is_fraud")]
     old_json = json.dumps(old)
-    body = avro.encode_body({"transaction_id": "t9", "user_id": "u", "amount": 1.5, "currency": "USD",
+    body = encode_body({"transaction_id": "t9", "user_id": "u", "amount": 1.5, "currency": "USD",
                              "merchant": "m", "category": None, "timestamp": 5, "country": "US"},
                             avro.parse_schema(old_json))
     new = json.loads(schemas.TRANSACTION_AVRO)
@@ -113,10 +114,54 @@ def test_projection_with_writer_schemas(spark):
     old = json.loads(schemas.TRANSACTION_AVRO)
     old["fields"] = [f for f in old["fields"] if f["name"] != "is_fraud"]
     old_json = json.dumps(old)
-    body = avro.encode_body({"transaction_id": "t9", "user_id": "u", "amount": 2.5, "currency": "USD",
+    body = encode_body({"transaction_id": "t9", "user_id": "u", "amount": 2.5, "currency": "USD",
                              "merchant": "m", "category": None, "timestamp": 7, "country": "US",
                              "device_type": "mobile"}, avro.parse_schema(old_json))
     df = spark.createDataFrame([(b"\x00\x00\x00\x00\x03" + body,)], "value binary")
     r = ingest.decode_transactions(df, writer_schemas={3: old_json},
                                    columns=["user_id", "amount", "is_fraud"]).first()
     assert tuple(r) == ("u", 2.5, False)      # is_fraud from the reader default
+
+
+def test_unknown_schema_id_is_an_error_or_a_reject(spark):
+    df = spark.createDataFrame([(b"\x00\x00\x00\x00\x09" + bytes.fromhex(GOLDEN[0][1])[5:],),
+                                (bytes.fromhex(GOLDEN[1][1]),)], "value binary")
+    known = {1: schemas.TRANSACTION_AVRO}
+    with pytest.raises(Exception, match="unknown schema id"):
+        ingest.decode_transactions(df, writer_schemas=known).collect()
+    rows = ingest.decode_transactions(df, writer_schemas=known, mode="PERMISSIVE").collect()
+    assert [r["transaction_id"] for r in rows] == [None, "t2"]
+    assert [bytes(r["value"]) for r in ingest.rejects(df, writer_schemas=known).collect()] == [
+        b"\x00\x00\x00\x00\x09" + bytes.fromhex(GOLDEN[0][1])[5:]]
+
+
+def test_rejects_keep_the_raw_bytes(spark):
+    frames = [(b"k1", bytes.fromhex(GOLDEN[0][1])), (b"k2", bytes.fromhex(GOLDEN[0][1])[:-1]), (b"k3", None),
+              (b"k4", b"\x00\x00\x00\x00\x01" + b"\xff" * 12)]
+    got = ingest.rejects(spark.createDataFrame(frames, "key binary, value binary")).collect()
+    assert sorted(bytes(r["key"]) for r in got) == [b"k2", b"k4"]
+    assert all(r["value"] is not None for r in got)
+
+
+def test_registry_decode_stays_in_the_jvm(spark, monkeypatch):
+    """With spark-avro loaded no path reaches Python: a stand-in for from_avro shows the calls and the plan."""
+    calls = []
+
+    def stand_in(column, schema, options=None):
+        calls.append((schema, options))
+        return F.from_json(column.cast("string"), schemas.TRANSACTION)
+    monkeypatch.setattr(avro, "from_avro", stand_in)
+    df = spark.createDataFrame([(b"\x00\x00\x00\x00\x01x",)], "value binary")
+    old = schemas.TRANSACTION_AVRO.replace("Transaction", "Older")
+    for kw in ({}, {"writer_schemas": {7: schemas.TRANSACTION_AVRO, 3: old}}, {"mode": "PERMISSIVE", "writer_schemas": {3: old}}):
+        del calls[:]
+        out = ingest.decode_transactions(df, columns=["user_id", "amount"], **kw)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "InArrow" not in plan and "Python" not in plan
+        used = [c for c in calls if c[0] != '"long"']
+        writers = kw.get("writer_schemas")
+        assert [c[0] for c in used] == ([writers[k] for k in sorted(writers)] if writers else [schemas.TRANSACTION_AVRO])
+        assert all(c[1]["mode"] == kw.get("mode", "FAILFAST") for c in used)
+        assert all(c[1].get("avroSchema") == (schemas.TRANSACTION_AVRO if writers else None) for c in used)
+    with pytest.raises(Exception, match="unknown schema id"):
+        ingest.decode_transactions(df, writer_schemas={3: old}).collect()

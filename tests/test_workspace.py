@@ -1,3 +1,5 @@
+import pytest
+
 from riskflow import workspace
 
 
@@ -8,18 +10,26 @@ def test_shared_root_comes_from_the_session(spark):
     assert a != b and a.startswith(root.rstrip("/") + "/runs/x-")
 
 
-def test_machine_local_paths(spark):
-    assert workspace._machine_local(spark, "file:/tmp/ck")
-    assert not workspace._machine_local(spark, "hdfs://nn:8020/ck")
-    assert not workspace._machine_local(spark, "s3a://bucket/ck")
-    # scheme-less paths follow the default file system (local in tests)
-    assert workspace._machine_local(spark, "/shared/ck")
+def test_an_unset_folder(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "CONF_KEY", "spark.riskflow.no.such.setting")
+    monkeypatch.setattr(workspace, "master", lambda s: "spark://host:7077")
+    monkeypatch.setattr(workspace, "_context_folder", lambda s: None)
+    with pytest.raises(RuntimeError, match="no.such.setting"):
+        workspace.shared_root(spark)
+    found = []
+    monkeypatch.setattr(workspace, "master", lambda s: "local[2]")
+    monkeypatch.setattr(workspace, "_context_folder", lambda s: found[-1] if found else None)
+
+    class Context:
+        def setCheckpointDir(self, path):  # noqa: N802
+            found.append(path)
+
+    class Session:
+        conf, sparkContext = spark.conf, Context()  # noqa: N815
+    assert workspace.shared_root(Session()) == found[0]      # set on the context, no session setting is changed
 
 
-def test_connector_probes(spark):
+def test_connector_probe(spark):
     from riskflow.operators.avro import spark_avro_available
-    from riskflow.sources.topic import kafka_available
-    # neither module ships with this PySpark; the library falls back to
-    # file topics and the Arrow-batched codec
-    assert kafka_available(spark) is False
+    # the module does not ship with this PySpark; decoding falls back to array operations
     assert spark_avro_available(spark) is False
