@@ -136,7 +136,8 @@ def _table(pieces: list[tuple[int, int, int, bytes]]) -> np.ndarray:
     out["doc"] = np.array([p[0] for p in pieces], np.int64)[which]
     out["text"] = np.array([p[1] for p in pieces], np.int64)[which].astype(np.int32)
     out["start"] = np.array([p[2] for p in pieces], np.int64)[which] + first - begins[which]
-    out["windows"], out["before"], out["hash"] = windows, before, hashes >> np.uint64(32)
+    # An anchor's hash is the least of many, so its upper bits are mostly 0: mix them anew.
+    out["windows"], out["before"], out["hash"] = windows, before, hashes * np.uint64(_BASE) >> np.uint64(32)
     view = memoryview(joined)
     out["segment"] = [xxh3_64_intdigest(view[s:s + n + LENGTH - 1], b)
                       for s, n, b in zip(first.tolist(), windows.tolist(), before.tolist(), strict=True)]
@@ -217,7 +218,9 @@ def _cut(buckets: int) -> Callable:
                 stay, again = _firsts(np.concatenate(tables))
                 yield _dealt(stay, buckets)
                 if len(again):
-                    yield _batch(_bucket_of(again["hash"], buckets), None, again)
+                    # Told already; spread by place, since one passage may be repeated in very many documents.
+                    place = (again["doc"].view(np.uint64) * np.uint64(_BASE) + again["start"]) >> np.uint64(32)
+                    yield _batch(_bucket_of(place, buckets), None, again)
     return run
 
 
