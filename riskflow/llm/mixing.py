@@ -63,12 +63,20 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS, total: int | No
 
 
 def weigh_sources(sizes: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
-    """Sources by code point, null last, with the repeating weights.  The
-    order runs over one row per source name."""
-    by_name = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    nth = (F.row_number().over(by_name) - 1) % len(weights)
-    return totals.withColumn("weight", F.element_at(F.array(*[F.lit(int(w)) for w in weights]), nth + 1))
+    """Sources by code point, null last, with the repeating weights.  The rank
+    is counted in two levels, ranges of names and names within a range, so
+    many sources are not sorted in one task either."""
+    by_name = [F.col("source").isNull(), F.col("source").cast("binary")]
+    ranged = common.stored(sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+                           .repartitionByRange(*by_name).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select(     # one row a range
+        "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("range").orderBy(*by_name)) - 1
+    repeating = F.array(*[F.lit(int(w)) for w in weights])
+    return (ranged.withColumn("nth", nth).join(before, "range")
+            .select("source", "source_size", F.element_at(
+                repeating, ((F.col("nth") + F.col("before")) % len(weights) + 1).cast("int")).alias("weight")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow.llm.mixing import mix, water_fill
+from riskflow.llm.mixing import mix, water_fill, weigh_sources
 
 
 def fill(sizes, weights, epochs):
@@ -76,6 +76,14 @@ def test_water_fill_clamps_in_rounds(spark):
     assert got == pytest.approx(fill([10, 40, 400, 0], [1, 5, 5, 1], 2))
 
 
+def test_many_sources_are_ranked_by_code_point(spark):
+    names = [None, "", *{f"{c}{i}" for i in range(60) for c in "aAzé日\U0001F600"}]
+    sizes = spark.createDataFrame([(n, 1) for n in names], "source string, size long")
+    got = {r["source"]: r["weight"] for r in weigh_sources(sizes).collect()}
+    order = sorted((n for n in names if n is not None)) + [None]
+    assert got == {n: (5, 2, 1)[i % 3] for i, n in enumerate(order)}
+
+
 def test_plan_runs_no_python(docs_of):
     plan = mix(docs_of(rows_of(50)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
