@@ -38,17 +38,16 @@ def main(argv):
              .config("spark.sql.shuffle.partitions", "16")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from riskflow.plans import catalog
 
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `scripts/show_plans.py` on `{sf_dir}` (local[8], 16 shuffle partitions, AQE on).")
     print("Exchanges counts shuffles in the main plan and its subqueries; `python` counts Arrow-batched")
     print("Python stages. Scans list the columns read and the filters pushed into parquet.")
-    print("`wire_decode_permissive` and `parse_flagged` checkpoint an input they read twice; their")
-    print("rows show the plan after that checkpoint (the input's own plan ran when it was written).\n")
+    print("No query but the `stream_*` ones writes anything before its plan runs.\n")
     print("| query | exchanges (keys) | python | joins | scans: columns read / pushed filters |")
     print("| --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
