@@ -57,6 +57,7 @@ _MARKS = frozenset("""ad ads advert adverts advertisement adbox adslot sponsor s
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|
     <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.X)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|$)|display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -70,9 +71,13 @@ class Block:
     label: str = ""   # text, boilerplate or, undecided, empty
 
 
-def _marked(attributes: str) -> bool:
-    return any(p.lower() in _MARKS for found in _NAMES.findall(attributes)
-               for p in _PART.findall("".join(found)))
+def _marked(attributes: str, article: bool) -> bool:
+    """Whether class, id or role mark an element as boilerplate, or it is hidden.  A header
+    inside an article is the article's own."""
+    if not attributes:
+        return False
+    parts = {p.lower() for found in _NAMES.findall(attributes) for p in _PART.findall("".join(found))}
+    return bool(parts & _MARKS) or "header" in parts and not article or bool(_HIDDEN.search(attributes))
 
 
 def blocks(page: str) -> list[Block]:
@@ -152,7 +157,7 @@ def blocks(page: str) -> list[Block]:
                 stack.append((name, False, article))
             else:
                 article = article or name in ("article", "main")
-                bad = bad or name in _BAD_TAGS or name == "header" and not article or _marked(token[3])
+                bad = bad or name in _BAD_TAGS or name == "header" and not article or _marked(token[3], article)
                 if not token[3].endswith("/"):
                     was = stack[-1] if stack else ("", False, False)
                     if name not in _BLOCKS and bad != was[1]:

@@ -11,7 +11,7 @@ def page(body):
 
 
 def test_article_without_what_stands_around_it():
-    body = f"""<header>Site name</header><nav><ul><li><a href="/a">Home</a></li></ul></nav>
+    body = f"""<header>Site name</header><div class="page-header"><p>{LONG}</p></div><nav><ul><li><a href="/a">Home</a></li></ul></nav>
       <div class="ad">Buy the best of the things that are for you.</div><aside>About the site</aside>
       <article><h1>A&nbsp;title</h1><p>{LONG}<p>Short.<br>Next &amp; last <b>bo</b>ld</p>
       <script>var t = "</p><p>the code";</script><!-- <p>comment</p> -->
@@ -39,7 +39,8 @@ def test_first_pass_leaves_short_blocks_open():
     (None, ""), ("", ""), (" \n ", ""), ("<p></p>", ""), ("<article>", ""), ("<article>x", "x"),
     ("<article><p>a<p>b</article>", "a b"), ("<article>a < b and b > c &lt;</article>", "a < b and b > c <"),
     ("<article>x<span title='a>b'>y</span>z</article>", "xyz"), ("<article>a<!-- b", "a"),
-    ("<article>a<script>b", "a"), ("<article><ul><li>a<li>b</ul>c</article>", "a b c"),
+    ("<article>a<script>b", "a"), ("<article><p hidden>a</p><p style='display: none'>b</p><p style='overflow:hidden'>c", "c"),
+    ("<article><header><h1>a</h1></header><div class='header'>b</div>c</article>", "a b c"), ("<article><ul><li>a<li>b</ul>c</article>", "a b c"),
     ("<article><div>a</b></div><p>b</i></article>d", "a b"), ("<main>&#228;&eacute;&#x41;\t\n b</main>", "äéA b"),
     ("<article><p class='intro'>a</p><p class='ad'>b</p>c</article>", "a c"),
     ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a b c"), ("</div></p><article>a</div>b</article>", "a b"),
