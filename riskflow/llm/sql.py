@@ -19,5 +19,40 @@ WINDOW w AS (PARTITION BY normal ORDER BY n_chars DESC, doc_id
 """
 
 
+#: Repeated 100-byte strings: every window of every document by its bytes in hex digits.
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 200) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 99))) AS i FROM d)),
+again AS (
+  SELECT doc_id, i
+  FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM w)
+  WHERE nth > 1),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS opens
+  FROM again),
+numbered AS (
+  SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+runs AS (
+  SELECT doc_id, run, min(i) AS b, max(i) + 100 AS e FROM numbered GROUP BY doc_id, run),
+pieces AS (
+  SELECT r.doc_id, r.b, r.e,
+         substr(d.h, CAST(2 * coalesce(lag(r.e) OVER v, 0) + 1 AS BIGINT),
+                CAST(2 * (r.b - coalesce(lag(r.e) OVER v, 0)) AS BIGINT)) AS kept
+  FROM runs r JOIN d USING (doc_id)
+  WINDOW v AS (PARTITION BY r.doc_id ORDER BY r.b)),
+docs AS (
+  SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans, max(e) AS e,
+         string_agg(kept, '' ORDER BY b) AS kept
+  FROM pieces GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(d.h, CAST(2 * coalesce(e, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN docs USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8}
+    return {"op7_substring_dedup": OP7, "op8_exact_dedup": OP8}
