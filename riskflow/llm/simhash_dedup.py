@@ -38,7 +38,7 @@ SHINGLE = 3
 MAX_DISTANCE = 3
 SEED = 42
 #: Variants one bucket holds, on average.
-BUCKET_VARIANTS = 4_000_000
+BUCKET_VARIANTS = 2_000_000
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
