@@ -22,7 +22,7 @@ def shared_root(spark: SparkSession) -> str:
     session gets a folder of its own, set on its context."""
     root = spark.conf.get(CONF_KEY, None) or _context_folder(spark)
     if not root:
-        if not master(spark).startswith("local["):
+        if master(spark) != "local" and not master(spark).startswith("local["):
             raise RuntimeError(f"set {CONF_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="riskflow-")   # unset: local run or test only
         spark.sparkContext.setCheckpointDir(root)
