@@ -15,6 +15,9 @@ around equal anchors, and the whole work is dealt out by anchor:
 3. A bucket builds Burrows-Wheeler transforms of shards of its segments and
    merges them (see ``bwt_merge``); the repeated intervals at depth 100 are the
    windows that segments share.  The earliest start of each stays.
+   Where one anchor stands in more than ``HOT`` different segments, as in a
+   frequent line, its windows are dealt out one by one instead, by a digest of
+   their bytes, each told once per task, so no bucket grows with such a line.
 4. The starts found are gathered per document, and its bytes without what they
    cover are hashed.
 
@@ -42,6 +45,9 @@ _SPAN = LENGTH - K                # places of an anchor in a window, less one
 SLICE = 1 << 20
 #: Bytes of segments merged at once, unless one anchor has more.
 MERGE_BYTES = 2 << 20
+#: Different segments around one anchor beyond which its windows are compared by digest.
+HOT = 5_000
+_DIGEST = 16
 _LOW = (1 << 24) - 1
 _BASE = 0x9E3779B97F4A7C15
 _FIRST = np.dtype([("hash", "<u4"), ("segment", "<u8"), ("doc", "<i8"), ("text", "<i4"), ("start", "<u4"),
@@ -160,22 +166,30 @@ def _firsts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[~again], rows[again]
 
 
-_OUT = "bucket int, packed binary, doc_id long, text int, start long, windows int, before int"
+_OUT = "bucket int, packed binary, doc_id long, text int, start long, windows int, before int, around int"
 
 
-def _batch(bucket, packed, rows: np.ndarray | None, before: bool = False):
+def _batch(bucket, packed, rows: np.ndarray | None, around: np.ndarray | None = None):
     import pyarrow as pa
     n = len(bucket) if rows is None else len(rows)
     empty = pa.nulls(n, pa.int32())
     columns = [pa.array(bucket, pa.int32()) if rows is None else pa.array(np.asarray(bucket, np.int32)),
                pa.array(packed, pa.binary()) if rows is None else pa.nulls(n, pa.binary())]
     if rows is None:
-        columns += [pa.nulls(n, pa.int64()), empty, pa.nulls(n, pa.int64()), empty, empty]
+        columns += [pa.nulls(n, pa.int64()), empty, pa.nulls(n, pa.int64()), empty, empty, empty]
     else:
         columns += [pa.array(rows["doc"], pa.int64()), pa.array(rows["text"], pa.int32()),
                     pa.array(rows["start"].astype(np.int64)), pa.array(rows["windows"].astype(np.int32)),
-                    pa.array(rows["before"].astype(np.int32)) if before else empty]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "packed", "doc_id", "text", "start", "windows", "before"])
+                    empty if around is None else pa.array(rows["before"].astype(np.int32)),
+                    empty if around is None else pa.array(around.astype(np.int32))]
+    names = ["bucket", "packed", "doc_id", "text", "start", "windows", "before", "around"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _told(rows: np.ndarray, buckets: int):
+    """Repeats, spread by place: one passage may be repeated in very many documents."""
+    place = (rows["doc"].view(np.uint64) * np.uint64(_BASE) + rows["start"].astype(np.uint64)) >> np.uint64(32)
+    return _batch(_bucket_of(place, buckets), None, rows)
 
 
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -218,15 +232,14 @@ def _cut(buckets: int) -> Callable:
                 stay, again = _firsts(np.concatenate(tables))
                 yield _dealt(stay, buckets)
                 if len(again):
-                    # Told already; spread by place, since one passage may be repeated in very many documents.
-                    place = (again["doc"].view(np.uint64) * np.uint64(_BASE) + again["start"]) >> np.uint64(32)
-                    yield _batch(_bucket_of(place, buckets), None, again)
+                    yield _told(again, buckets)
     return run
 
 
 def _meet(batches: Iterable) -> Iterator:
-    """Step 1, a bucket: repeats as a whole, and segments (``before`` set) whose anchor stands in others too."""
-    tables, bucket = [], 0
+    """Step 1, a bucket: repeats as a whole, and segments whose anchor stands in others too, with
+    ``before`` and the number of different segments around the anchor."""
+    tables = []
     for batch in batches:
         blobs = batch.column(1)
         if blobs.null_count < len(blobs):
@@ -238,20 +251,21 @@ def _meet(batches: Iterable) -> Iterator:
         return
     stay, again = _firsts(np.concatenate(tables))
     del tables
-    shared = _same(stay, "hash")
-    shared[:-1] |= shared[1:].copy()
-    mixed = stay[shared]
-    for rows, before in ((again, False), (mixed, True)):
+    _, group, sizes = np.unique(stay["hash"], return_inverse=True, return_counts=True)
+    around = sizes[group]
+    mixed, around = stay[around > 1], around[around > 1]
+    for rows, sizes in ((again, None), (mixed, around)):
         for at in range(0, len(rows), 50_000):
             part = rows[at:at + 50_000]
-            yield _batch(np.full(len(part), bucket), None, part, before)
+            yield _batch(np.zeros(len(part)), None, part, None if sizes is None else sizes[at:at + 50_000])
 
 
-def _fetch(buckets: int) -> Callable:
+def _fetch(buckets: int, hot: int) -> Callable:
     """Step 2: the bytes of the segments, cut in windows that reach left and
-    windows that reach right of the anchor, dealt out with the bytes beside it."""
+    windows that reach right of the anchor, dealt out with the bytes beside
+    it; or, around a hot anchor, the digest of each window."""
     def run(batches: Iterable) -> Iterator:
-        from xxhash import xxh3_64_intdigest
+        from xxhash import xxh3_64_intdigest, xxh3_128_digest
         beside = _SPAN // 2
         for batch in batches:
             rows, tails = [], []
@@ -259,6 +273,12 @@ def _fetch(buckets: int) -> Callable:
             for (doc, text, data), some in zip(_documents(batch), wanted, strict=True):
                 for s in some:
                     start, windows, before = s["start"], s["windows"], s["before"]
+                    if s["around"] > hot:
+                        for at in range(start, start + windows):
+                            digest = xxh3_128_digest(data[at:at + LENGTH])
+                            rows.append((int.from_bytes(digest[:4], "little"), doc, text, at, 1, 0, _DIGEST))
+                            tails.append(digest)
+                        continue
                     left = min(windows, before - beside + 1)
                     for low, high in ((0, left), (max(0, left), windows)):
                         if low < high:
@@ -270,15 +290,40 @@ def _fetch(buckets: int) -> Callable:
                                          start + low, high - low, before - low if before >= low else 0, len(body)))
                             tails.append(body)
             if rows:
-                yield _dealt(np.array(rows, _SECOND), buckets, tails)
+                table = np.array(rows, _SECOND)
+                stay, again = _by_digest(table, tails)
+                if len(again):
+                    yield _told(table[again], buckets)
+                yield _dealt(table[stay], buckets, [tails[i] for i in stay])
     return run
 
 
+def _by_digest(rows: np.ndarray, tails: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows to keep: all segments, and the earliest row of each digest; the later rows of a digest)."""
+    least: dict[bytes, tuple] = {}
+    digests = np.flatnonzero(rows["size"] == _DIGEST).tolist()
+    for i in digests:
+        place = (int(rows["doc"][i]), int(rows["text"][i]), int(rows["start"][i]), i)
+        if tails[i] not in least or place < least[tails[i]]:
+            least[tails[i]] = place
+    first = {p[3] for p in least.values()}
+    # A window met twice at one place is one start.
+    again = [i for i in digests if i not in first
+             and (rows["doc"][i], rows["text"][i], rows["start"][i]) != least[tails[i]][:3]]
+    keep = np.ones(len(rows), bool)
+    keep[digests] = False
+    keep[list(first)] = True
+    return np.flatnonzero(keep), np.array(again, np.int64)
+
+
 def _merge(batches: Iterable) -> Iterator:
     """Step 3, a bucket: the windows that segments share, but for the earliest of each."""
     tables, bodies = [], []
     for batch in batches:
-        for x in batch.column(1):
+        passed = batch.filter(batch.column(1).is_null())
+        if len(passed):
+            yield passed
+        for x in batch.column(1).drop_null():
             rows, tail = _unpacked(x.as_py(), _SECOND)
             tables.append(rows)
             ends = np.cumsum(rows["size"].astype(np.int64)).tolist()
@@ -286,6 +331,11 @@ def _merge(batches: Iterable) -> Iterator:
     if not tables:
         return
     rows = np.concatenate(tables)
+    stay, again = _by_digest(rows, bodies)
+    if len(again):
+        yield _batch(np.zeros(len(again)), None, rows[again])
+    stay = stay[rows["size"][stay] != _DIGEST]
+    rows, bodies = rows[stay], [bodies[i] for i in stay]
     order = np.lexsort((rows["start"], rows["text"], rows["doc"], rows["hash"]))
     rows, bodies = rows[order], [bodies[i] for i in order]
     twin = _same(rows, "hash", "doc", "text", "start", "windows")
@@ -380,7 +430,7 @@ def _judge(batches: Iterable) -> Iterator:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   buckets: int | None = None) -> DataFrame:
+                   buckets: int | None = None, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256
     and spans, the removed runs as begin and end in turn."""
     buckets = buckets or common.shuffle_partitions(docs.sparkSession)
@@ -392,12 +442,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = common.stored(
         rows.select("doc", "text", "data").mapInArrow(_cut(buckets), _OUT)
         .repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, _OUT)
-        .select("doc_id", "text", "start", "windows", "before"), "repeats-first")
+        .select("doc_id", "text", "start", "windows", "before", "around"), "repeats-first")
     mixed = (first.filter("before is not null").groupBy(F.col("doc_id").alias("doc"), "text")
-             .agg(F.collect_list(F.struct("start", "windows", "before")).alias("wanted")))
+             .agg(F.collect_list(F.struct("start", "windows", "before", "around")).alias("wanted")))
     second = common.stored(
         rows.select("doc", "text", "data").join(mixed, key).select("doc", "text", "data", "wanted")
-        .mapInArrow(_fetch(buckets), _OUT).repartitionById(buckets, F.col("bucket")).mapInArrow(_merge, _OUT)
+        .mapInArrow(_fetch(buckets, hot), _OUT).repartitionById(buckets, F.col("bucket")).mapInArrow(_merge, _OUT)
         .select("doc_id", "text", "start", "windows"), "repeats-second")
     spans = (first.filter("before is null").select("doc_id", "text", "start", "windows").unionByName(second)
              .groupBy(F.col("doc_id").alias("doc"), "text")

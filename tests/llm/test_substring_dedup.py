@@ -47,10 +47,19 @@ def result(df):
     return sorted(tuple(r)[:5] for r in df.collect())
 
 
-@pytest.mark.parametrize("seed,buckets", [(1, 1), (2, 5)])
-def test_against_brute_force(docs_of, seed, buckets):
+@pytest.mark.parametrize("seed,buckets,hot", [(1, 1, sd.HOT), (2, 5, sd.HOT), (4, 3, 1), (5, 4, 3)])
+def test_against_brute_force(docs_of, seed, buckets, hot):
     rows = sample(120, seed)
-    assert result(sd.remove_repeats(docs_of(rows), buckets=buckets)) == brute(rows)
+    assert result(sd.remove_repeats(docs_of(rows), buckets=buckets, hot=hot)) == brute(rows)
+
+
+def test_a_line_in_every_document(docs_of):
+    """One line with other text around it in each document, over and under the hot limit."""
+    rng = random.Random(3)
+    line = " ".join("".join(rng.choices("abcdefg", k=7)) for _ in range(12))
+    rows = [(i, f"{rng.random()} {line[:90 + i % 9]} {rng.random()} " + "x" * (i % 40) * 5) for i in range(90)]
+    for hot in (10, 1000):
+        assert result(sd.remove_repeats(docs_of(rows, 5), buckets=3, hot=hot)) == brute(rows)
 
 
 def test_texts_cut_into_slices(docs_of, monkeypatch):
