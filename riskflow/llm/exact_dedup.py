@@ -29,6 +29,7 @@ from riskflow.llm import common
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+PREALLOCATE_KEY = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 #: Bytes of arrivals in one micro-batch.
 BATCH_BYTES = 512 << 20
 
@@ -66,6 +67,7 @@ def run_state(spark: SparkSession, arrivals: str, schema, work: str,
     """Feed the arrivals to the keyed state; the state's rows after the last batch."""
     session = spark.newSession()     # the caller's settings stay as they are
     session.conf.set(PROVIDER_KEY, ROCKSDB)
+    session.conf.set(PREALLOCATE_KEY, "false")     # else 4 MB of disk per state partition, however small
     session.conf.set("spark.sql.shuffle.partitions", str(common.shuffle_partitions(spark)))
     reader = session.readStream.schema(schema).option("maxFileAge", "36500d")
     reader = (reader.option("maxFilesPerTrigger", max_files) if max_files
