@@ -12,7 +12,7 @@ powers of two, which need no padding.
 
 Tokens are found per unit: a text is cut before spaces, where the byte-level
 pre-tokenizer always cuts too, and the ids of a unit are kept as bytes, so a
-worker encodes a repeated word once.  The ranks file holds the vocabulary of
+task encodes a repeated word once.  The ranks file holds the vocabulary of
 the tokenizer's JSON file and gives the same ids.
 
 Defined results: a null text is empty and gives the end id alone; rows alike
@@ -39,7 +39,7 @@ END_ID = 1
 #: A rest goes to its class whole if k of them leave at most capacity // SLACK tokens
 #: free, or fewer than the next class would.
 SLACK = 128
-#: Distinct units whose ids a worker keeps; beyond, it starts anew.
+#: Distinct units whose ids a task keeps; beyond, it starts anew.
 CACHE_UNITS = 500_000
 #: Pieces per output batch.
 OUT_ROWS = 20_000
@@ -80,16 +80,6 @@ class UnitEncoder(dict):
         return self.ids(first) + b"".join(map(self.__getitem__, units))
 
 
-_ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
-
-
-def encoder(ranks_file: str, pattern: str) -> UnitEncoder:
-    """One encoder for all tasks that a Python worker runs."""
-    if (ranks_file, pattern) not in _ENCODERS:
-        _ENCODERS[ranks_file, pattern] = UnitEncoder(ranks_file, pattern)
-    return _ENCODERS[ranks_file, pattern]
-
-
 def class_of(length: int, capacity: int = CAPACITY) -> tuple[int, int]:
     """(class, tokens to cut) for a rest shorter than ``capacity``."""
     k = capacity // length
@@ -165,7 +155,7 @@ def _worker(ranks_file: str, pattern: str, capacity: int, end_id: int, with_ids:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        units, packer = encoder(ranks_file, pattern), Packer(TaskContext.get().partitionId(), capacity)
+        units, packer = UnitEncoder(ranks_file, pattern), Packer(TaskContext.get().partitionId(), capacity)
         end = np.asarray([end_id], "<u4").tobytes()
         kind, out = None, []
 

@@ -4,7 +4,7 @@ A unigram tokenizer splits a pre-token into the pieces with the largest sum of
 scores.  The forward scores of a prefix do not depend on what follows, so the
 distinct pre-tokens of a batch are put into a trie and the forward step is done
 once per trie node; a node where pre-tokens end stores their token count.  A
-worker keeps the counts of the pre-tokens it has met, and a document's count is
+task keeps the counts of the pre-tokens it has met, and a document's count is
 the sum over its pre-tokens.
 
 Pieces come from a public sentencepiece vocabulary file.  None of the public
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 START = "▁"
 SHIFT = 10.0
 UNKNOWN = -25.0
-#: Distinct pre-tokens whose counts a Python worker keeps.
+#: Distinct pre-tokens whose counts a task keeps.
 CACHE_WORDS = 700_000
 #: Longer pre-tokens are counted alone and not kept.
 LONG = 64
@@ -109,22 +109,13 @@ class Counter:
         return [(len(ws), sum(known[w] if len(w) <= LONG else self.one(w) for w in ws)) for ws in split]
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
-def counter(model_file: str) -> Counter:
-    if model_file not in _COUNTERS:
-        _COUNTERS[model_file] = Counter(load_pieces(model_file))
-    return _COUNTERS[model_file]
-
-
 def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_tokens."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
-        counts = counter(model_file)
+        counts = Counter(load_pieces(model_file))
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)

@@ -52,7 +52,7 @@ MAX_TOXIC, MAX_CLEAN = 2000, 3000
 #: Words of the training documents that the SVM is fitted on.
 MAX_WORDS = 12_000
 ROUNDS = 3
-#: Distinct words whose value a Python worker keeps.
+#: Distinct words whose value a task keeps.
 CACHE_WORDS = 500_000
 
 _APART = re.compile(r"(?:(?<!\S)\S ){3,}\S(?!\S)")
@@ -336,7 +336,7 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
-        model, known = shipped.value, _known(shipped)
+        model, known = shipped.value, {}
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
@@ -352,17 +352,5 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, ", ".join(["score double", *kinds]))
 
 
-_WORDS: dict[int, dict[str, float]] = {}
-
-
-def _known(shipped) -> dict[str, float]:
-    """The values of one model's words, for all tasks of a Python worker."""
-    key = id(shipped.value)
-    if key not in _WORDS:
-        _WORDS.clear()
-        _WORDS[key] = {}
-    return _WORDS[key]
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return score(docs, train(*training_texts(docs, labels, id_col, text_col)), id_col, text_col)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from riskflow.llm.packing import CAPACITY, END_ID, Packer, class_of, encoder, pack
+from riskflow.llm.packing import CAPACITY, END_ID, Packer, UnitEncoder, class_of, pack
 from tests.llm.conftest import ODD_ROWS
 
 RANKS = public.path("byte_bpe_50k.tiktoken")
@@ -26,17 +26,20 @@ def padding(lengths):
 
 
 def test_ids_equal_the_json_tokenizer(tokenizer):
-    units = encoder(RANKS, public.PATTERN)
+    units = UnitEncoder(RANKS, public.PATTERN)
     for text in ["", " ", "a", "The cat's mat, 12 dogs!", "a  b   c \n\n d\t e\r\n f ", "naïve  café\xa0  x",
                  "<|endoftext|> is text", "tail \n", " \n lead", "日本 語\x1c \x1d x", "a\x85 b", "x" * 3000]:
         got = np.frombuffer(units.encode(text), "<u4").tolist()
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+UNITS = UnitEncoder(RANKS, public.PATTERN)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list(" \n\t\xa0\x1fab1.é'")), max_size=40))
 def test_cutting_before_spaces_changes_no_id(text):
-    units = encoder(RANKS, public.PATTERN)
+    units = UNITS
     assert units.encode(text) == units.ids(text)
 
 
