@@ -30,6 +30,8 @@ from riskflow.llm import common
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 PREALLOCATE_KEY = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+#: Arrivals for one state partition, up to the session's shuffle partitions.
+STATE_ROWS = 20_000
 #: Bytes of arrivals in one micro-batch.
 BATCH_BYTES = 512 << 20
 
@@ -62,13 +64,13 @@ def _rank() -> Column:
                     F.col("arrival").alias("arrival"))
 
 
-def run_state(spark: SparkSession, arrivals: str, schema, work: str,
+def run_state(spark: SparkSession, arrivals: str, schema, work: str, partitions: int,
               batch_bytes: int = BATCH_BYTES, max_files: int | None = None) -> DataFrame:
     """Feed the arrivals to the keyed state; the state's rows after the last batch."""
     session = spark.newSession()     # the caller's settings stay as they are
     session.conf.set(PROVIDER_KEY, ROCKSDB)
     session.conf.set(PREALLOCATE_KEY, "false")     # else 4 MB of disk per state partition, however small
-    session.conf.set("spark.sql.shuffle.partitions", str(common.shuffle_partitions(spark)))
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     reader = session.readStream.schema(schema).option("maxFileAge", "36500d")
     reader = (reader.option("maxFilesPerTrigger", max_files) if max_files
               else reader.option("maxBytesPerTrigger", batch_bytes))
@@ -99,11 +101,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     narrow = _arrivals(docs, id_col, text_col, digest)
     narrow.withColumn("arrival", F.monotonically_increasing_id()).write.parquet(f"{work}/arrivals")
     arrivals = spark.read.parquet(f"{work}/arrivals")
-    if arrivals.isEmpty():
+    rows = arrivals.count()
+    if not rows:
         return arrivals.select("doc_id", F.col("doc_id").alias("keep_id"),
                                F.lit(0).cast("long").alias("group_size"),
                                F.lit(True).alias("kept"), "text_sha256")
-    classes = common.stored(run_state(spark, f"{work}/arrivals", arrivals.schema, work,
+    partitions = min(common.shuffle_partitions(spark), -(-rows // STATE_ROWS))
+    classes = common.stored(run_state(spark, f"{work}/arrivals", arrivals.schema, work, partitions,
                                       batch_bytes, max_files), "exact-classes")
     hits = classes.filter("group_size > 1").select("digest", "best")
     text = _texts(docs, id_col, text_col, digest)
