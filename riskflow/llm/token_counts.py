@@ -85,8 +85,6 @@ class Counter:
     def learn(self, words: set[str]) -> None:
         """Walk the trie of the words depth first.  Sorted words are that walk:
         what a word shares with the one before is the path already stood on."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
         path, scores, counts = START, [0.0], [0]
         self._step(path, scores, counts)
         for word in sorted(words):
@@ -104,6 +102,9 @@ class Counter:
         """(words, tokens) of each text."""
         split = [[w.decode("utf-8", "surrogatepass") for w in (t or "").encode("utf-8", "surrogatepass").split()]
                  if _OTHER_SPACE.search(t or "") else (t or "").split() for t in texts]
+        # Before the new words are told from the known ones, all of which are looked up below.
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
         self.learn({w for ws in split for w in ws if w not in self.known and len(w) <= LONG})
         known = self.known
         return [(len(ws), sum(known[w] if len(w) <= LONG else self.one(w) for w in ws)) for ws in split]

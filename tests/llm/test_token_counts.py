@@ -57,6 +57,13 @@ def test_small_cache_counts_the_same(monkeypatch, pieces):
     assert [n for _, n in counter.texts(texts)] == [sum(brute(w, pieces) for w in t.split()) for t in texts]
 
 
+def test_words_met_before_the_cache_is_cleared(monkeypatch, pieces):
+    monkeypatch.setattr(tc, "CACHE_WORDS", 3)
+    counter = tc.Counter(pieces)
+    for texts in (["the cat sat on the mat"], ["the mat of the dog"], ["the dog", "on"]):
+        assert [n for _, n in counter.texts(texts)] == [sum(brute(w, pieces) for w in t.split()) for t in texts]
+
+
 def test_odd_rows_and_empty_table(odd_docs, clashing, docs_of):
     for docs in (odd_docs, clashing):
         assert tc.count_tokens(docs, MODEL).count() == docs.count()
