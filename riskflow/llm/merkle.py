@@ -4,9 +4,10 @@ A paragraph is a line; a section ends at a blank line or at a paragraph whose
 hash says so, so that an edit moves no border elsewhere.  A paragraph's hash is
 that of its line, a section's that of its paragraphs' hashes and the root's that
 of the sections' hashes, so equal roots mean equal texts.  Below a paragraph
-stand its phrases, cut at spaces after certain characters; two trees are
-compared from the root down and only branches that differ are opened, which
-locates the edit and tells how many characters both share.
+stand its phrases, cut at spaces after certain characters, and below a phrase
+its words, in paragraphs of every length; two trees are compared from the root
+down and only branches that differ are opened, which locates the edit and tells
+how many characters both share.
 
 Documents are paired with the next one by id without a global sort of one
 task: quantiles of the ids cut the order into buckets, each bucket is one
@@ -34,10 +35,10 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import common
 
-#: A phrase ends at a space after one of these.
-_PHRASE = re.compile(r"(?<=[.,;:!?|adkoszéñßü]) ")
-#: Paragraphs up to this length are cut into words.
-SHORT = 256
+#: A phrase ends with a space after one of these.
+_PHRASE = re.compile(r"(?<=[.,;:!?|adkoszéñßü] )(?!\Z)")
+#: A word with the space after it; longer words are cut, so that their likeness is not all or nothing.
+_WORD = re.compile(r"[^ ]{1,8} ?| ")
 #: One paragraph in this many ends a section.
 SECTION = 8
 _SIZE = 16
@@ -50,7 +51,7 @@ def _hash(data: bytes) -> bytes:
 class Node:
     """A root, section or paragraph; ``chars`` counts the characters below.
     A paragraph is opened into its phrases only when a comparison gets there;
-    phrases are compared as they are."""
+    phrases and words are compared as they are."""
     __slots__ = ("chars", "digest", "line", "nodes")
 
     def __init__(self, digest: bytes, chars: int, nodes: list[Node] | None, line: str | None = None):
@@ -61,11 +62,8 @@ class Node:
 
 
 def _pieces(line: str) -> list[str]:
-    """Phrases; in a short paragraph words, so that its likeness is not all or nothing."""
-    parts, limit = (line.split(" "), 8) if len(line) <= SHORT else (_PHRASE.split(line), 64)
-    if max(map(len, parts)) <= limit:
-        return parts
-    return [p[i:i + limit] for p in parts for i in range(0, len(p) or 1, limit)]
+    """Phrases with the space after them, the last with one for the line's end."""
+    return _PHRASE.split(line + " ")
 
 
 def _parent(nodes: list[Node], mark: bytes) -> Node:
@@ -94,7 +92,11 @@ def _key(node: Node | str) -> bytes | str:
 
 
 def _chars(node: Node | str) -> int:
-    return len(node) + 1 if isinstance(node, str) else node.chars
+    return len(node) if isinstance(node, str) else node.chars
+
+
+def _children(node: Node | str) -> list[Node] | list[str]:
+    return _WORD.findall(node) if isinstance(node, str) else node.children()
 
 
 def shared(a: Node, b: Node) -> int:
@@ -102,8 +104,11 @@ def shared(a: Node, b: Node) -> int:
     total, left, right = 0, [a], [b]
     while left and right:
         if isinstance(left[0], str):
-            theirs = Counter(right)
-            return total + sum([(len(p) + 1) * min(n, theirs[p]) for p, n in Counter(left).items() if p in theirs])
+            ours, theirs = Counter(left), Counter(right)
+            both = ours & theirs
+            ours, theirs = (Counter(_WORD.findall("".join((c - both).elements()))) for c in (ours, theirs))
+            return (total + sum([len(p) * n for p, n in both.items()])
+                    + sum([len(w) * min(n, theirs[w]) for w, n in ours.items() if w in theirs]))
         both = Counter([n.digest for n in left]) & Counter([n.digest for n in right])
         if both:
             sizes = {n.digest: n.chars for n in left}
@@ -116,10 +121,10 @@ def _differing(nodes: list[Node], equal: Counter) -> list:
     """Children of the nodes that have no equal on the other side."""
     spare, out = Counter(equal), []
     for n in nodes:
-        if spare[n.digest]:
-            spare[n.digest] -= 1
+        if spare[_key(n)]:
+            spare[_key(n)] -= 1
         else:
-            out.extend(n.children())
+            out.extend(_children(n))
     return out
 
 
@@ -131,27 +136,27 @@ def likeness(a: Node, b: Node) -> float:
 
 
 def edits(a: Node, b: Node) -> list[tuple[int, int]]:
-    """Character spans of ``a`` whose phrases lie under no equal branch of ``b``."""
+    """Character spans of ``a`` whose words lie under no equal branch of ``b``."""
     found: list[list[int]] = []
 
-    def walk(nodes: list, others: list) -> None:
+    def walk(nodes: list, others: list, words: bool = False) -> None:
         """``nodes`` are (start, node), all of one level, as ``others`` are."""
         both = Counter(map(_key, others)) & Counter(_key(n) for _, n in nodes)
         spare, opened = Counter(both), []
         for at, n in nodes:
             if spare[_key(n)]:
                 spare[_key(n)] -= 1
-            elif isinstance(n, str):
+            elif words:
                 if found and found[-1][1] == at:
                     found[-1][1] = at + _chars(n)
                 else:
                     found.append([at, at + _chars(n)])
             else:
-                for child in n.children():
+                for child in _children(n):
                     opened.append((at, child))
                     at += _chars(child)
         if opened:
-            walk(opened, _differing(others, both))
+            walk(opened, _differing(others, both), isinstance(nodes[0][1], str))
 
     walk([(0, a)], [b])
     return [(s, e) for s, e in found]

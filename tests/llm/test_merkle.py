@@ -73,3 +73,19 @@ def test_likeness_follows_the_share_of_equal_text():
     text, other = " ".join(words), " ".join(reversed(words))
     half = text[:len(text) // 2] + other[:len(text) // 2][::-1]
     assert 0.4 < likeness(tree(text), tree(half)) < 0.55
+
+
+@pytest.mark.parametrize("kept,of", [(190, 267), (250, 400), (256, 257), (300, 1200)])
+def test_paragraphs_are_cut_alike_at_every_length(kept, of):
+    """The side that is kept and the other may lie on both sides of any length."""
+    rng = random.Random(of)
+    text = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 12))) for _ in range(of))[:of]
+    short = text[:kept]
+    assert likeness(tree(text), tree(short)) == pytest.approx(kept / of, abs=12 / of)
+    assert likeness(tree(short), tree(text)) == likeness(tree(text), tree(short))
+
+
+def test_cut_words_count_their_characters_once():
+    a, b = tree("x" * 800 + "y" * 200), tree("x" * 800 + "z" * 200)
+    assert likeness(a, b) == pytest.approx(0.8, abs=0.01)
+    assert edits(a, b) == [(800, 1001)]
