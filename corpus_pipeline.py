@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskflow.llm import common
 from riskflow.llm.exact_dedup import exact_dedup, normalised, sha256
 from riskflow.llm.mixing import mix
-from riskflow.llm.packing import pack
+from riskflow.llm.packing import added_tokens, pack
 from riskflow.llm.simhash_dedup import simhash_dedup
 from riskflow.llm.toxicity import scored_rows, train, training_texts
 
@@ -63,7 +63,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of every document row, in sequences of at most 2048."""
     import public_tokenizers as public
-    return pack(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, with_ids=False)
+    return pack(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, with_ids=False,
+                added=added_tokens(public.path("byte_bpe_50k.json")))
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_exact_copies), ("simhash_dedup", drop_near_copies),

@@ -13,7 +13,9 @@ powers of two, which need no padding.
 Tokens are found per unit: a text is cut before spaces, where the byte-level
 pre-tokenizer always cuts too, and the ids of a unit are kept as bytes, so a
 task encodes a repeated word once.  The ranks file holds the vocabulary of
-the tokenizer's JSON file and gives the same ids.
+the tokenizer's JSON file and gives the same ids; the JSON's added tokens, such
+as ``<|endoftext|>``, are matched in the text first, and what stands between
+them is encoded by itself.
 
 Defined results: a null text is empty and gives the end id alone; rows alike
 are packed each; a null id stays null; very long texts give many full bins; an
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import array
 import base64
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -48,6 +51,16 @@ OUT_ROWS = 20_000
 _INSIDE_RUN = re.compile(r"\s \s")
 
 
+def added_tokens(tokenizer_file: str) -> dict[str, int]:
+    """Ids of the tokens that a tokenizer's JSON file adds to the vocabulary, as literals of the text."""
+    with open(tokenizer_file, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if any(token[k] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token['content']!r} is no plain literal")
+    return {token["content"]: token["id"] for token in added}
+
+
 class UnitEncoder(dict):
     """Texts to token ids as little-endian unsigned 32-bit bytes.
 
@@ -55,14 +68,16 @@ class UnitEncoder(dict):
     only as the first character of a token or inside a run of white space, so
     the cut changes no id as long as no space lies inside such a run; texts
     with one are encoded whole.  The dict holds a unit's ids without its
-    leading space."""
+    leading space.  ``added`` tokens are matched before all that, the longest first."""
 
-    def __init__(self, ranks_file: str, pattern: str):
+    def __init__(self, ranks_file: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.ordinary = tiktoken.Encoding("units", pat_str=pattern, mergeable_ranks=ranks,
                                           special_tokens={}).encode_ordinary
+        self.added = {token: array.array("I", [i]).tobytes() for token, i in (added or {}).items()}
+        self.split = re.compile("({})".format("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))).split
 
     def ids(self, text: str) -> bytes:
         return array.array("I", self.ordinary(text)).tobytes()
@@ -72,6 +87,13 @@ class UnitEncoder(dict):
         return found
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            # Every other part is an added token.
+            return b"".join(self.added[part] if i % 2 else self.plain(part) for i, part in enumerate(self.split(text)))
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if _INSIDE_RUN.search(text):
             return self.ids(text)
         first, *units = text.split(" ")
@@ -137,25 +159,28 @@ class Packer:
 
 
 def pack(docs: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+         capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True,
+         added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset and, if ``with_ids``, the token ids themselves."""
+    sequence_id, offset and, if ``with_ids``, the token ids themselves.
+    ``added`` holds the tokenizer's ``added_tokens``."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), common.text_or_empty(text_col).alias("text"))
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     fields = [T.StructField("doc_id", narrow.schema["doc_id"].dataType)]
     fields += [T.StructField(n, T.LongType()) for n in names]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
-    return narrow.mapInArrow(_worker(ranks_file, pattern, capacity, end_id, with_ids), T.StructType(fields))
+    return narrow.mapInArrow(_worker(ranks_file, pattern, capacity, end_id, with_ids, added), T.StructType(fields))
 
 
-def _worker(ranks_file: str, pattern: str, capacity: int, end_id: int, with_ids: bool) -> Callable:
+def _worker(ranks_file: str, pattern: str, capacity: int, end_id: int, with_ids: bool,
+            added: dict[str, int] | None) -> Callable:
     def run(batches: Iterable) -> Iterator:
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        units, packer = UnitEncoder(ranks_file, pattern), Packer(TaskContext.get().partitionId(), capacity)
+        units, packer = UnitEncoder(ranks_file, pattern, added), Packer(TaskContext.get().partitionId(), capacity)
         end = np.asarray([end_id], "<u4").tobytes()
         kind, out = None, []
 

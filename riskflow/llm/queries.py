@@ -12,7 +12,7 @@ from riskflow.llm.exact_dedup import exact_dedup
 from riskflow.llm.html_text import extract
 from riskflow.llm.merkle import fingerprints
 from riskflow.llm.mixing import mix
-from riskflow.llm.packing import pack
+from riskflow.llm.packing import added_tokens, pack
 from riskflow.llm.simhash_dedup import simhash_dedup
 from riskflow.llm.substring_dedup import remove_repeats
 from riskflow.llm.token_counts import count_tokens
@@ -31,7 +31,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
     return pack(table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN,
-                with_ids=False)
+                with_ids=False, added=added_tokens(public.path("byte_bpe_50k.json")))
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

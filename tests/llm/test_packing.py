@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from riskflow.llm.packing import CAPACITY, END_ID, Packer, UnitEncoder, class_of, pack
+from riskflow.llm.packing import CAPACITY, END_ID, Packer, UnitEncoder, added_tokens, class_of, pack
 from tests.llm.conftest import ODD_ROWS
 
 RANKS = public.path("byte_bpe_50k.tiktoken")
@@ -97,3 +97,30 @@ def test_operator_gives_the_ids(docs_of, tokenizer):
 
 def test_empty_table(docs_of):
     assert pack(docs_of([]), RANKS, public.PATTERN).collect() == []
+
+
+ADDED_TEXTS = ["one document<|endoftext|>another", "<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>  b c",
+               "<|endoftext|><|endoftext|>\n x", "<|endoftext|", "<|ENDOFTEXT|> <|endoftext|>s", "it<|endoftext|>'s 1"]
+
+
+def as_opened():
+    """The tokenizer with the settings of its file."""
+    return Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+
+
+def test_added_tokens_are_matched_in_the_text():
+    units = UnitEncoder(RANKS, public.PATTERN, added_tokens(public.path("byte_bpe_50k.json")))
+    for text in [*ADDED_TEXTS, "no added token  in here"]:
+        got = np.frombuffer(units.encode(text), "<u4").tolist()
+        assert got == as_opened().encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("query", ["op3_packing", "pipeline"])
+def test_queries_match_added_tokens(spark, docs_of, tmp_path, query):
+    import corpus_pipeline
+    from riskflow.llm import queries
+    docs = docs_of(list(enumerate(ADDED_TEXTS)))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = (queries.op3_packing(spark, str(tmp_path)) if query == "op3_packing"
+           else corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)))
+    check(out.collect(), list(enumerate(ADDED_TEXTS)), as_opened())
