@@ -3,12 +3,15 @@
 A page is cut into blocks at its block-level tags.  The first pass decides each
 block by stop-word density, length and link density: blocks inside menus, page
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments (by tag, class, id or role) or mostly made of links are boilerplate;
+comments (by tag or by a class, id or role that names one as a whole) or mostly
+made of links are boilerplate;
 long blocks with enough stop words are text; the rest, short or poor in stop
 words, stay ambiguous.  The second pass gives an ambiguous block the label of
 its nearest decided neighbours: one inside an article takes the article's, any
 other takes the label both neighbours share or, if they differ, the nearer
-one's.
+one's.  Classes mark block elements only, adverts inline ones too, and never an
+article or main element that is not inside another; a wrapper's mark ends where
+such an element begins, unless it names comments, related pages or adverts.
 
 Defined results: null, empty and wordless pages have the empty text; a page of
 which no block is decided keeps its ambiguous blocks only inside an article or
@@ -35,6 +38,8 @@ STOP_WORDS = frozenset("""
     el los las y del que un una por con no su para es al lo como más o pero sus
 """.split())
 SHORT, LONG = 40, 140
+#: Marks that an article inside lifts, and others.
+SOFT, FIRM = 1, 2
 ENOUGH_STOP_WORDS, MANY_LINKS = 0.15, 0.5
 
 _RAW = frozenset(["script", "style", "noscript", "template", "textarea", "select", "title", "svg", "iframe", "object",
@@ -54,6 +59,13 @@ _MARKS = frozenset("""ad ads advert adverts advertisement adbox adslot sponsor s
     breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar comment comments commentlist respond reply
     replies disqus share sharing social related recommended newsletter subscribe subscription signup login search
     skip complementary contentinfo copyright legal disclaimer""".split())
+#: Marks of what holds articles of its own, and of adverts, which may stand inside a line.
+_ADS = frozenset("ad ads advert adverts advertisement adbox adslot sponsor sponsored promo promotion".split())
+_LISTS = _ADS | frozenset("comment comments commentlist respond reply replies disqus related recommended".split())
+#: What may stand before and after a mark in one name: ``main-menu``, ``sidebar-left``, not ``has-sidebar``.
+_BEFORE = frozenset("page site main top bottom left right primary secondary global post entry article".split())
+_SITE = frozenset("page site main top global".split())
+_AFTER = frozenset("left right links buttons form bar box list area section posts top bottom".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|
     <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.X)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -71,19 +83,39 @@ class Block:
     label: str = ""   # text, boilerplate or, undecided, empty
 
 
-def _marked(attributes: str, article: bool) -> bool:
-    """Whether class, id or role mark an element as boilerplate, or it is hidden.  A header
-    inside an article is the article's own."""
+def _names_mark(name: str, article: bool) -> frozenset | set:
+    """The marks that a class or id consists of, apart from words of place."""
+    parts = [p.lower() for p in _PART.findall(name)]
+    if "header" in parts:
+        own = not article and parts[-1] == "header" and all(p in _SITE for p in parts[:-1])
+        return {"header"} if own else frozenset()
+    start, end = 0, len(parts)
+    while start < end and parts[start] in _BEFORE:
+        start += 1
+    while end > start and parts[end - 1] in _AFTER:
+        end -= 1
+    marks = set(parts[start:end])
+    return marks if marks <= _MARKS else frozenset()
+
+
+def _marked(attributes: str, article: bool, block: bool) -> int:
+    """How class, id or role mark an element as boilerplate: 0 not, ``SOFT`` or ``FIRM``,
+    as it is when hidden.  A header inside an article is the article's own."""
     if not attributes:
-        return False
-    parts = {p.lower() for found in _NAMES.findall(attributes) for p in _PART.findall("".join(found))}
-    return bool(parts & _MARKS) or "header" in parts and not article or bool(_HIDDEN.search(attributes))
+        return 0
+    if _HIDDEN.search(attributes):
+        return FIRM
+    marks = {m for found in _NAMES.findall(attributes) for name in "".join(found).split()
+             for m in _names_mark(name, article)}
+    if not block:
+        marks &= _ADS
+    return FIRM if marks & _LISTS or marks and article else SOFT if marks else 0
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with white space turned into single spaces."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []      # tag, bad, article: of it and all around it
+    stack: list[tuple[str, int, bool]] = []       # tag, bad, article: of it and all around it
     held: list[str] = []
     links = linked = at = 0
 
@@ -92,8 +124,8 @@ def blocks(page: str) -> list[Block]:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                _, bad, article = stack[-1] if stack else ("", False, False)
-                out.append(Block(text, min(linked, len(text)), article, bad))
+                _, bad, article = stack[-1] if stack else ("", 0, False)
+                out.append(Block(text, min(linked, len(text)), article, bool(bad)))
             held.clear()
         linked = 0
 
@@ -110,6 +142,8 @@ def blocks(page: str) -> list[Block]:
     def pop(names: tuple[str, ...], limit: frozenset = frozenset()) -> bool:
         for depth in range(len(stack) - 1, -1, -1):
             if stack[depth][0] in names:
+                if bool(stack[-1][1]) != bool(depth and stack[depth - 1][1]):
+                    flush()
                 del stack[depth:]
                 return True
             if stack[depth][0] in limit:
@@ -152,15 +186,22 @@ def blocks(page: str) -> list[Block]:
                         if name != "tr" else frozenset(["table"]))
             if name == "a":
                 links = 1
-            _, bad, article = stack[-1] if stack else ("", False, False)
+            _, bad, article = stack[-1] if stack else ("", 0, False)
             if name in ("html", "body"):
-                stack.append((name, False, article))
+                stack.append((name, 0, article))
             else:
-                article = article or name in ("article", "main")
-                bad = bad or name in _BAD_TAGS or name == "header" and not article or _marked(token[3], article)
+                if name in ("article", "main"):
+                    if bad == SOFT and not article:
+                        bad = 0
+                    article = True
+                    if _HIDDEN.search(token[3]):
+                        bad = FIRM
+                else:
+                    bad = max(bad, FIRM if name in _BAD_TAGS or name == "header" and not article
+                              else _marked(token[3], article, name in _BLOCKS))
                 if not token[3].endswith("/"):
-                    was = stack[-1] if stack else ("", False, False)
-                    if name not in _BLOCKS and bad != was[1]:
+                    was = stack[-1] if stack else ("", 0, False)
+                    if name not in _BLOCKS and bool(bad) != bool(was[1]):
                         flush()
                     stack.append((name, bad, article))
         token = _TOKEN.search(page, at)

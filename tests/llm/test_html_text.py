@@ -61,3 +61,21 @@ def test_query_shape(spark):
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in out) == [
         (0, "", 0), (1, LONG.strip(), len(LONG.strip())), (1, LONG.strip(), len(LONG.strip())), (2, "", 0)]
     assert extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<div class='layout has-sidebar'><article><p>{LONG}</article></div>", LONG.strip()),
+    (f"<div class='has-sidebar content'><p>{LONG}</p></div>", LONG.strip()),
+    ("<main class='no-sidebar'><p>a</p></main>", "a"), ("<main class='search'><p>a</p></main>", "a"),
+    ("<article class='post hentry category-legal tag-search comment-open'>a</article>", "a"),
+    ("<article class='notice' id='comment'>a</article>", "a"), ("<article hidden>a</article>", ""),
+    ("<div class='sidebar'>b<div><article>a</article></div>c</div>", "a"),
+    ("<article>a <span class='alert'>b</span> c</article>", "a b c"),
+    ("<article>a<span class='ad'>b</span>c</article>", "a c"),
+    ("<article>a <i hidden>b</i> c</article>", "a c"),
+    ("<article><p class='sidebar-left'>b</p><div id='mainMenu'>c</div><div class='share_buttons'>d</div>a</article>", "a"),
+    ("<main><article>a</article><div id='comments'><article class='comment-body'>b</article></div></main>", "a"),
+    ("<article>a</article><div class='related-posts'><article>b</article></div>", "a"),
+])
+def test_marks_are_whole_names_and_spare_articles(html, text):
+    assert main_text(page(html)) == text
