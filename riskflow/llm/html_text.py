@@ -12,6 +12,8 @@ other takes the label both neighbours share or, if they differ, the nearer
 one's.  Classes mark block elements only, adverts inline ones too, and never an
 article or main element that is not inside another; a wrapper's mark ends where
 such an element begins, unless it names comments, related pages or adverts.
+Inside an article or main element blocks of links are left to the second pass
+unless ``MENU`` short list items of links or more follow each other.
 
 Defined results: null, empty and wordless pages have the empty text; a page of
 which no block is decided keeps its ambiguous blocks only inside an article or
@@ -40,6 +42,8 @@ STOP_WORDS = frozenset("""
 SHORT, LONG = 40, 140
 #: Marks that an article inside lifts, and others.
 SOFT, FIRM = 1, 2
+#: So many short list items of links in a row are a menu.
+MENU = 3
 ENOUGH_STOP_WORDS, MANY_LINKS = 0.15, 0.5
 
 _RAW = frozenset(["script", "style", "noscript", "template", "textarea", "select", "title", "svg", "iframe", "object",
@@ -70,16 +74,23 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>
     <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.X)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|$)|display\s*:\s*none", re.I)
+_HREF = re.compile(r"""(?:^|[\s"'])href\s*=""", re.I)
+_TARGET = re.compile(r"""(?:^|[\s"'])(?:name|id)\s*=""", re.I)
+_ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+_NOWHERE = ("", 0, False, False)
+
+
 @dataclass
 class Block:
     text: str
     linked: int       # characters inside links
     article: bool     # inside an article or main element
     bad: bool         # inside boilerplate
+    item: bool = False   # inside a list item
     label: str = ""   # text, boilerplate or, undecided, empty
 
 
@@ -115,17 +126,22 @@ def _marked(attributes: str, article: bool, block: bool) -> int:
 def blocks(page: str) -> list[Block]:
     """The page's blocks with white space turned into single spaces."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []       # tag, bad, article: of it and all around it
+    stack: list[tuple[str, int, bool, bool]] = []       # tag, bad, article, item: of it and all around it
     held: list[str] = []
-    links = linked = at = 0
+    linked = at = 0
+    link = -1          # depth of the open link
+    loose = False      # whether it has no end tag of its own
+    coming = (0, "")   # place and slash of the next anchor tag
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, link
+        if loose:
+            link = -1
         if held:
             text = " ".join("".join(held).split())
             if text:
-                _, bad, article = stack[-1] if stack else ("", 0, False)
-                out.append(Block(text, min(linked, len(text)), article, bool(bad)))
+                _, bad, article, item = stack[-1] if stack else _NOWHERE
+                out.append(Block(text, min(linked, len(text)), article, bool(bad), item))
             held.clear()
         linked = 0
 
@@ -136,15 +152,18 @@ def blocks(page: str) -> list[Block]:
             if "&" in text:
                 text = html.unescape(text)
             held.append(text)
-            if links:
+            if link >= 0:
                 linked += len("".join(text.split()))
 
     def pop(names: tuple[str, ...], limit: frozenset = frozenset()) -> bool:
+        nonlocal link
         for depth in range(len(stack) - 1, -1, -1):
             if stack[depth][0] in names:
                 if bool(stack[-1][1]) != bool(depth and stack[depth - 1][1]):
                     flush()
                 del stack[depth:]
+                if depth <= link:
+                    link = -1
                 return True
             if stack[depth][0] in limit:
                 return False
@@ -162,7 +181,7 @@ def blocks(page: str) -> list[Block]:
             if name in _BLOCKS:
                 flush()
             if name == "a":
-                links = 0
+                link = -1
             elif name == "br":
                 held.append(" ")
             pop((name,), frozenset() if name in _BLOCKS else _SCOPES)
@@ -185,10 +204,14 @@ def blocks(page: str) -> list[Block]:
                     pop(_CLOSES[name], frozenset(["ul", "ol", "dl", "table", "select"])
                         if name != "tr" else frozenset(["table"]))
             if name == "a":
-                links = 1
-            _, bad, article = stack[-1] if stack else ("", 0, False)
+                link = len(stack) if _HREF.search(token[3]) or not _TARGET.search(token[3]) else -1
+                if coming[0] < at:
+                    found = _ANCHOR.search(page, at)
+                    coming = (found.start(), found[1]) if found else (len(page), "")
+                loose = coming[1] != "/"
+            _, bad, article, item = stack[-1] if stack else _NOWHERE
             if name in ("html", "body"):
-                stack.append((name, 0, article))
+                stack.append((name, 0, article, item))
             else:
                 if name in ("article", "main"):
                     if bad == SOFT and not article:
@@ -199,23 +222,39 @@ def blocks(page: str) -> list[Block]:
                 else:
                     bad = max(bad, FIRM if name in _BAD_TAGS or name == "header" and not article
                               else _marked(token[3], article, name in _BLOCKS))
-                if not token[3].endswith("/"):
-                    was = stack[-1] if stack else ("", 0, False)
+                item = item or name == "li"
+                # A slash does not close an anchor, and may belong to its address.
+                if name == "a" or not token[3].endswith("/"):
+                    was = stack[-1] if stack else _NOWHERE
                     if name not in _BLOCKS and bool(bad) != bool(was[1]):
                         flush()
-                    stack.append((name, bad, article))
+                    stack.append((name, bad, article, item))
         token = _TOKEN.search(page, at)
     read(len(page))
     flush()
     return out
 
 
+def _menus(found: list[Block]) -> set[int]:
+    """Places of the blocks in an article that are a menu by their shape."""
+    out, run = set(), []
+    for i, b in enumerate(found):
+        if b.item and b.article and len(b.text) < SHORT and b.linked / len(b.text) > MANY_LINKS:
+            run.append(i)
+            continue
+        if len(run) >= MENU:
+            out.update(run)
+        run = []
+    return out | set(run) if len(run) >= MENU else out
+
+
 def classify(found: list[Block]) -> None:
     """Label every block: first by its own words, then by its neighbours."""
-    for b in found:
+    menu = _menus(found)
+    for i, b in enumerate(found):
         words = _WORD.findall(b.text.lower())
         dense = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        if b.bad or b.linked / len(b.text) > MANY_LINKS:
+        if b.bad or b.linked / len(b.text) > MANY_LINKS and (not b.article or i in menu):
             b.label = "boilerplate"
         elif len(b.text) >= LONG and dense >= ENOUGH_STOP_WORDS or b.article and len(b.text) >= SHORT and dense > 0:
             b.label = "text"

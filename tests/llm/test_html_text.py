@@ -79,3 +79,19 @@ def test_query_shape(spark):
 ])
 def test_marks_are_whole_names_and_spare_articles(html, text):
     assert main_text(page(html)) == text
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<article><h1><a href='/t'>Title</a></h1><p>a</p><p><a href='/s'>A linked sentence.</a></p></article>",
+     "Title a A linked sentence."),
+    ("<article>a<ul><li><a href='/r'>Reference one of the work</a></li></ul></article>", "a Reference one of the work"),
+    ("<article>a<ol>" + f"<li><a href='/r'>{LONG}</a></li>" * 4 + "</ol></article>", " ".join(["a", *[LONG.strip()] * 4])),
+    ("<article>a<ul>" + "<li><a href='/m'>Menu</a></li>" * 3 + "</ul>b</article>", "a b"),
+    (f"<a name='top'><p>{LONG}</p><div>{LONG}</div>", f"{LONG.strip()} {LONG.strip()}"),
+    (f"<div><p><a href='/x'>not closed</p><p>{LONG}</p></div><div>{LONG}</div>", f"{LONG.strip()} {LONG.strip()}"),
+    (f"<a href='/x'>not closed<p>{LONG}</p><p>{LONG}</p>", f"{LONG.strip()} {LONG.strip()}"),
+    (f"<div><a href=http://x/>not closed <a id=y>{LONG}</a></div>", "not closed " + LONG.strip()),
+    (f"<div>{LONG}</div><a href='/x'><div>{LONG}</div><div>{LONG}</div></a>", LONG.strip()),
+])
+def test_links_end_and_count_less_in_articles(html, text):
+    assert main_text(page(html)) == text
