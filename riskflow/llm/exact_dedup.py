@@ -8,8 +8,8 @@ folder and never expires.  Partial aggregation runs before the shuffle, so a
 digest held by a third of all rows reaches its state as one row per task.
 
 On a hit (a digest with more than one row) the full normalised bytes are read
-through the locator and compared with those of the row that stays; a digest
-whose rows differ is regrouped by its full bytes, so even a weak digest cannot
+and compared, whatever the locators say: the least and the greatest of a digest
+must be the same; a digest whose rows differ is regrouped by its full bytes, so even a weak digest cannot
 merge two texts.
 
 Defined results: a null text is the empty text; a null id sorts after every
@@ -109,15 +109,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     partitions = min(common.shuffle_partitions(spark), -(-rows // STATE_ROWS))
     classes = common.stored(run_state(spark, f"{work}/arrivals", arrivals.schema, work, partitions,
                                       batch_bytes, max_files), "exact-classes")
-    hits = classes.filter("group_size > 1").select("digest", "best")
+    hits = classes.filter("group_size > 1").select("digest")
     text = _texts(docs, id_col, text_col, digest)
-    seen = text.join(hits, "digest").select(
-        "digest", "normal", (F.col("best.locator") == F.col("locator")).alias("stays"))
-    seen = common.stored(seen, "exact-hits")     # the full bytes of the hits only
-    first = seen.filter("stays").groupBy("digest").agg(F.min("normal").alias("first"))
+    # The full bytes of the hits only; all rows of a digest are alike if the least and the greatest are.
+    seen = common.stored(text.join(hits, "digest").select("digest", "normal"), "exact-hits")
     differing = common.stored(
-        seen.filter("not stays").join(common.stored(first, "exact-first"), "digest")
-        .filter(F.col("normal") != F.col("first")).select("digest").distinct(), "exact-differing")
+        seen.groupBy("digest").agg(F.min("normal").alias("least"), F.max("normal").alias("greatest"))
+        .filter(F.col("least") != F.col("greatest")).select("digest"), "exact-differing")
     alike = arrivals
     if not differing.isEmpty():
         alike = arrivals.join(differing, "digest", "left_anti")

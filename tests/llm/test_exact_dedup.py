@@ -52,6 +52,15 @@ def test_weak_digest_merges_no_texts(docs_of):
     check(weak.collect(), rows)
 
 
+def test_bytes_are_compared_when_digest_and_locator_clash(docs_of, monkeypatch):
+    """Both hashes alike for all texts: nothing but the bytes tells them apart."""
+    rows = [(1, "one text"), (2, "another"), (3, "onetext"), (4, "a third"), (5, "another")]
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    weak = exact_dedup(docs_of(rows), digest=lambda normal: F.lit("same"))
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in weak.collect()) == [
+        (1, 1, 2), (2, 2, 2), (3, 1, 2), (4, 4, 1), (5, 2, 2)]
+
+
 def test_empty_table(docs_of):
     assert exact_dedup(docs_of([])).collect() == []
 
