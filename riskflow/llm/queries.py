@@ -13,6 +13,7 @@ from riskflow.llm.html_text import extract
 from riskflow.llm.merkle import fingerprints
 from riskflow.llm.mixing import mix
 from riskflow.llm.packing import added_tokens, pack
+from riskflow.llm.periodic_runs import find_runs
 from riskflow.llm.simhash_dedup import simhash_dedup
 from riskflow.llm.substring_dedup import remove_repeats
 from riskflow.llm.token_counts import count_tokens
@@ -69,6 +70,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"))
 
 
+def _cycled(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the crc32 of its id, from some word on a cycle of its own words."""
+    split = F.array_remove(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), "")
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", F.floor(hashed / 10).alias("g"),
+                       F.when(hashed % 10 == 0, split).alias("words"))
+    n, g, words = F.size("words"), F.col("g"), F.col("words")
+    rows = rows.withColumn("a", F.when(n > 0, g % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    head, cycle = F.slice(words, F.lit(1), F.col("a")), F.slice(words, F.col("a") + 1, F.col("p"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(cycle, times)), F.lit(1), n - F.col("a"))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.concat(head, tail), " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(_cycled(table(spark, sf_dir, "documents")))
+    line = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]),
+                                                               F.lit("\n"))), "")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2:3].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
