@@ -14,15 +14,15 @@ branches a tree finds a pair of similarity 0.85 with probability 0.97 or more at
 with probability about 1e-6.
 
 A comparison counts equal minwise tokens and drops pairs below ``MATCHES`` of them, six
-deviations under the threshold (a loss below 1e-8 a pair); all others are confirmed on the
-full sets.  Within a node not all pairs are told: first a spanning forest of the pairs by
-likeness is confirmed; then, with the components known, only pairs between different
-components.  Pairs inside one component are linked already, so no link between components
-is lost and the components are those of all pairs.
+deviations under the threshold (a loss below 1e-8 a pair).  Sets with a pair left go on with
+their text, and the node counts the shared shingles of every such pair (``linked``).  A node
+tells a spanning forest of its confirmed links, never all pairs: two sets that a forest
+connects are in one component anyhow, so the components are those of all links.
 
 Nodes that stay large after ``LEVELS`` levels (sets too alike to part) are dealt into blocks
-with one shared member; once components are known, the members outside the node's largest
-component meet every block (``_residue``).  That is the exact way for the rest: no cap.
+with one shared member (``_residue``); once components are known, the members outside the
+node's largest component meet every block (``_strangers``).  That is the exact way for the
+rest: no cap.
 
 Joins on keys that may be hot are salted by the key's count (``spread_join``).
 
@@ -34,6 +34,7 @@ table gives no rows; other columns are not read, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -49,8 +50,8 @@ SHINGLE = 5
 SIMILARITY = 85
 COORDINATES = 128
 TREES, BRANCH = 4, 2
-SMALL = 1000
-LEVELS = 4
+SMALL = 4000
+LEVELS = 3
 #: Equal minwise tokens of a pair worth confirming, at a similarity of 0.85.
 MATCHES = 84
 #: Rows of a key that one task may meet before the key is salted, and keys a salt table may broadcast.
@@ -127,11 +128,6 @@ def root_nodes(tokens: np.ndarray, trees: int = TREES, branch: int = BRANCH) ->
     return _mixed(_mixed(np.arange(1, trees * branch + 1, dtype=np.uint64) * _ODD) ^ tokens[some]).view(np.int64)
 
 
-def similar(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> bool:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= similarity * (len(a) + len(b) - shared) > 0
-
-
 def sets_of(docs: DataFrame, id_col: str, text_col: str, shingle: int, trees: int) -> DataFrame:
     """doc_id, mark (a hash of the text), n_shingles, set (digest, null if empty), nodes, tokens."""
     narrow = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -196,101 +192,116 @@ def _children(rows: DataFrame, branch: int = BRANCH) -> DataFrame:
     return rows.select(F.explode(children).alias("node"), "set")
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray, matches: np.ndarray) -> tuple[list[int], bool]:
-    """Positions of the pairs of a spanning forest by likeness, and whether pairs are left over."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-    taken = []
-    for p in np.lexsort((j, i, -matches)).tolist():
-        a, b = root(int(i[p])), root(int(j[p]))
-        if a != b:
-            parent[a] = b
-            taken.append(p)
-            if len(taken) == n - 1:
-                break
-    return taken, len(taken) < len(i)
-
-
-def near_pairs(sizes: np.ndarray, tokens: np.ndarray, similarity: int, matches: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """i < j and their equal tokens for the pairs of one node worth confirming."""
-    found = []
-    for i in range(len(sizes) - 1):
-        equal = (tokens[i + 1:] == tokens[i]).sum(axis=1)
-        least, most = np.minimum(sizes[i + 1:], sizes[i]), np.maximum(sizes[i + 1:], sizes[i])
-        j = np.flatnonzero((equal >= matches) & (100 * least >= similarity * most))
-        found.append((np.full(len(j), i), j + i + 1, equal[j]))
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 3
+def near(sizes: np.ndarray, tokens: np.ndarray, i: int, others: np.ndarray, similarity: int, matches: int) -> np.ndarray:
+    """Those of ``others`` that may be similar to set ``i`` by size and by minwise tokens."""
+    least, most = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+    others = others[100 * least >= similarity * most]
+    return others[(tokens[others] == tokens[i]).sum(axis=1) >= matches] if len(others) else others
+
+
+def linked(sets: list[np.ndarray], labels: list | None = None, similarity: int = SIMILARITY,
+           matches: int = MATCHES) -> list[tuple[int, int]]:
+    """Confirmed links of one node's sets that connect whatever all its similar
+    pairs connect; sets of one label count as connected.  Set after set is
+    counted against those of other components only."""
+    sizes = np.array([len(h) for h in sets])
+    tokens = np.stack([minwise(h) for h in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    number: dict = {}
+    component = np.array([number.setdefault(x, len(number)) for x in (labels or range(len(sets)))])
+    mark = np.zeros(codes.max() + 1, bool)
+    out = []
+    for i in range(len(sets) - 1):
+        others = i + 1 + np.flatnonzero(component[i + 1:] != component[i])
+        others = near(sizes, tokens, i, others, similarity, matches)
+        if not len(others):
+            continue
+        n = sizes[others]
+        at = np.cumsum(n) - n
+        mine = slice(ends[i] - sizes[i], ends[i])
+        mark[codes[mine]] = True
+        theirs = codes[np.arange(n.sum()) + np.repeat(ends[others] - n - at, n)]
+        shared = np.add.reduceat(mark[theirs], at, dtype=np.int64)
+        mark[codes[mine]] = False
+        for j in others[100 * shared >= similarity * (n + sizes[i] - shared)].tolist():
+            if component[j] != component[i]:
+                out.append((i, j))
+                component[component == component[j]] = component[i]
+    return out
+
+
+def _nodes(batches: Iterable, read: object) -> Iterator[tuple]:
+    """(node, columns of its rows) of rows sorted by node, read from Arrow by ``read``."""
+    held: list = []
+    of = None
+    for batch in batches:
+        nodes = batch.column(0).to_numpy()
+        edge = [0, *(np.flatnonzero(np.diff(nodes)) + 1).tolist(), len(nodes)]
+        for b, e in zip(edge, edge[1:], strict=False):
+            if b == e:
+                continue
+            if held and nodes[b] != of:
+                yield of, [x for part in held for x in part]
+                held = []
+            of = int(nodes[b])
+            held.append(read(batch.slice(b, e - b)))
+    if held:
+        yield of, [x for part in held for x in part]
 
 
-_PAIRS = "node long, u binary, v binary, open boolean"
+def _active(similarity: int, matches: int):
+    """Rows (node, set, size, tokens, label) sorted by node to the (node, set, label)
+    that have a near set of another label in their node."""
+    def read(rows: object) -> list:
+        return list(zip(*(c.to_pylist() for c in rows.columns[1:]), strict=True))
 
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+
+        def told(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                              names=["node", "set", "label"])
+        out: list = []
+        for node, rows in _nodes(batches, read):
+            sizes = np.array([r[1] for r in rows])
+            tokens = np.frombuffer(b"".join([r[2] for r in rows]), "<u2").reshape(len(rows), -1)
+            number: dict = {}
+            label = np.array([number.setdefault(r[3] or r[0], len(number)) for r in rows])
+            hit = np.zeros(len(rows), bool)
+            for i in range(len(rows) - 1):
+                met = near(sizes, tokens, i, i + 1 + np.flatnonzero(label[i + 1:] != label[i]), similarity, matches)
+                hit[met] = True
+                hit[i] |= len(met) > 0
+            out += [(node, rows[i][0], rows[i][3]) for i in np.flatnonzero(hit).tolist()]
+            if len(out) > 5000:
+                yield told(out)
+                out = []
+        if out:
+            yield told(out)
+    return run
 
-def _compare(similarity: int, matches: int):
-    """Rows (node, set, size, tokens, label), node after node, to pairs.
 
-    Without labels: the forest of every node, ``open`` where pairs are left.
-    With labels: every near pair whose labels differ."""
+def _confirm(shingle: int, similarity: int, matches: int):
+    """Rows (node, set, label, text) sorted by node to confirmed links (u, v)."""
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
+        shingles = Shingles(shingle)
 
-        def judged(nodes: np.ndarray, sets: list, sizes: np.ndarray, tokens: np.ndarray, labels: list) -> list:
-            out = []
-            edge = np.flatnonzero(np.diff(nodes)) + 1
-            begin, end = np.append(0, edge), np.append(edge, len(nodes))
-            two = np.flatnonzero(end - begin == 2)
-            for at in range(0, len(two), 8192):         # most nodes have two sets: all at once
-                b = begin[two[at:at + 8192]]
-                equal = (tokens[b] == tokens[b + 1]).sum(axis=1)
-                least, most = np.minimum(sizes[b], sizes[b + 1]), np.maximum(sizes[b], sizes[b + 1])
-                for x in b[(equal >= matches) & (100 * least >= similarity * most)].tolist():
-                    if labels[x] is None or labels[x] != labels[x + 1]:
-                        out.append((int(nodes[x]), sets[x], sets[x + 1], False))
-            for x in np.flatnonzero(end - begin > 2).tolist():
-                b, e = int(begin[x]), int(end[x])
-                i, j, equal = near_pairs(sizes[b:e], tokens[b:e], similarity, matches)
-                if labels[b] is None:
-                    taken, left = _forest(e - b, i, j, equal)
-                else:
-                    taken, left = [p for p in range(len(i)) if labels[b + i[p]] != labels[b + j[p]]], False
-                out += [(int(nodes[b]), sets[b + i[p]], sets[b + j[p]], left) for p in taken]
-            return [r for r in out if r[1] != r[2]]
-
-        held: list = []
-        for batch in (*batches, None):
-            if batch is not None and batch.num_rows:
-                # Bytes of a row's fixed width, read at once.
-                tokens = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u2").reshape(batch.num_rows, -1)
-                held.append((batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).to_numpy(),
-                             tokens, batch.column(4).to_pylist()))
-            if not held or batch is not None and sum(len(h[0]) for h in held) < 20_000:
-                continue
-            nodes, sizes, tokens = (np.concatenate([h[c] for h in held]) for c in (0, 2, 3))
-            sets, labels = [x for h in held for x in h[1]], [x for h in held for x in h[4]]
-            # The last node may go on in the next batch.
-            whole = len(nodes) if batch is None else int(np.searchsorted(nodes, nodes[-1]))
-            held = [(nodes[whole:], sets[whole:], sizes[whole:], tokens[whole:], labels[whole:])] if whole < len(nodes) else []
-            if whole:
-                out = judged(nodes[:whole], sets[:whole], sizes[:whole], tokens[:whole], labels[:whole])
-                if out:
-                    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.bool_())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                                                     names=["node", "u", "v", "open"])
+        def read(rows: object) -> list:
+            texts = rows.column(3).cast(pa.binary())
+            return [(s, x, shingles(t.as_py())) for s, x, t in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(),
+                                                                   texts, strict=True)]
+        for _, rows in _nodes(batches, read):
+            labels = None if rows[0][1] is None else [r[1] for r in rows]
+            pairs = linked([r[2] for r in rows], labels, similarity, matches)
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([rows[p[k]][0] for p in pairs], pa.binary()) for k in (0, 1)],
+                                                 names=["u", "v"])
     return run
 
 
-def _compared(members: DataFrame, sketches: DataFrame, labels: DataFrame | None, similarity: int, matches: int) -> DataFrame:
-    """Pairs of the members' (node, set) groups, each of a bounded size."""
-    rows = members.select("node", "set").join(sketches.select("set", "n_shingles", "tokens"), "set")
-    rows = rows.withColumn("label", F.lit(None).cast("binary")) if labels is None else _labelled(rows, labels)
-    rows = rows.repartition("node").sortWithinPartitions("node", "set")
-    return rows.select("node", "set", "n_shingles", "tokens", "label").mapInArrow(_compare(similarity, matches), _PAIRS)
-
-
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     named = labels.select(F.col("node").alias("set"), F.col("root").alias("label"))
     return rows.join(named, "set", "left").withColumn("label", F.coalesce("label", "set"))
@@ -322,32 +333,17 @@ def _strangers(dealt: DataFrame, labels: DataFrame, small: int) -> DataFrame:
     return own.select(*keys).unionByName(guests.select(*keys)).distinct()
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int,
-               similarity: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar; texts are fetched for the pairs' sets only."""
-    pairs = common.stored(pairs, "path-pairs")
-    active = pairs.select(F.col("u").alias("set")).unionByName(pairs.select(F.col("v").alias("set"))).distinct()
-    wanted = common.stored(active.join(reps, "set").select("set", "rep"), "path-active")
-    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("mark"))
-                       .alias("rep"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    # A null id must meet itself, so rows meet by the text's hash and the id is compared null-safe.
+def _texts(active: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(set, text) of the sets in ``active``: one of the documents that have it."""
+    wanted = common.stored(active.select("set").distinct().join(reps.select("set", "rep"), "set"), "path-wanted")
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(id_.alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    # Rows meet by the text's hash, so that a null id can be compared null-safe.
+    named = wanted.select("set", F.col("rep.mark").alias("of"), F.col("rep.doc_id").alias("id"))
     if wanted.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
-    wanted = wanted.select("set", F.col("rep.mark").alias("mark"), F.col("rep.doc_id").alias("doc_id"))
-    met = rows.join(wanted, (F.col("rep.mark") == F.col("mark")) & F.col("rep.doc_id").eqNullSafe(F.col("doc_id")))
-    texts = common.stored(met.groupBy("set").agg(F.min("text").alias("text")), "path-texts")
-    with_v = spread_join(pairs.select("u", "v"), texts.select(F.col("set").alias("v"), F.col("text").alias("b")), "v", per_salt=1000)
-    both = spread_join(common.stored(with_v, "path-halves"), texts.select(F.col("set").alias("u"), F.col("text").alias("a")),
-                       "u", per_salt=1000)
-
-    def check(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-        shingles = Shingles(shingle)
-        for rows in batches:
-            a, b = (rows.column(c).cast(pa.binary()) for c in (2, 3))
-            good = [similar(shingles(x.as_py()), shingles(y.as_py()), similarity) for x, y in zip(a, b, strict=True)]
-            yield rows.select([0, 1]).filter(pa.array(good, pa.bool_()))
-    return both.select("u", "v", "a", "b").mapInArrow(check, "u binary, v binary")
+        named = F.broadcast(named)
+    met = rows.join(named, (F.col("mark") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    return common.stored(met.groupBy("set").agg(F.min("text").alias("text")), "path-texts")
 
 
 def links(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -356,39 +352,39 @@ def links(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_col: st
     reps = common.stored(sets.filter("set is not null").groupBy("set").agg(
         F.min(F.struct("doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("nodes").alias("nodes"), F.first("tokens").alias("tokens")), "path-sets")
-    rows, compare, large = reps.select(F.explode("nodes").alias("node"), "set"), [], None
+
+    def confirmed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+        rows = members.join(reps.select("set", "n_shingles", "tokens"), "set")
+        rows = rows.withColumn("label", F.lit(None).cast("binary")) if labels is None else _labelled(rows, labels)
+        rows = rows.select("node", "set", "n_shingles", "tokens", "label").repartition("node").sortWithinPartitions("node", "set")
+        active = common.stored(rows.mapInArrow(_active(similarity, matches), "node long, set binary, label binary"), "path-active")
+        # Trees often meet the same sets again: one node of each group is enough.
+        alike = active.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("set")).alias("x"),
+                                           F.bit_xor(F.xxhash64("set", F.lit(1))).alias("y"))
+        once = common.stored(alike.groupBy("n", "x", "y").agg(F.min("node").alias("node")).select("node"), "path-once")
+        texts = _texts(active, reps, docs, id_col, text_col)
+        full = spread_join(active.join(once, "node", "left_semi"), texts, "set", per_salt=1000)
+        full = full.select("node", "set", "label", "text").repartition("node").sortWithinPartitions("node", "set")
+        return common.stored(full.mapInArrow(_confirm(shingle, similarity, matches), "u binary, v binary"), "path-links")
+
+    rows, members, large = reps.select(F.explode("nodes").alias("node"), "set"), [], None
     for level in range(levels):
-        members = _counted(rows, f"path-level-{level}")
-        compare.append(members.filter(F.col("size") <= small).select("node", "set"))
-        large = members.filter(F.col("size") > small)
+        counted = _counted(rows, f"path-level-{level}")
+        members.append(counted.filter(F.col("size") <= small).select("node", "set"))
+        large = counted.filter(F.col("size") > small)
         if large.isEmpty():
             large = None
             break
         if level + 1 < levels:
             rows = _children(large.join(reps.select("set", "tokens"), "set"))
-    dealt = None
     if large is not None:
         dealt, blocks = _residue(large, small)
-        compare.append(common.stored(blocks, "path-blocks"))
-    members = compare[0]
-    for more in compare[1:]:
-        members = members.unionByName(more)
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        return common.stored(_confirmed(pairs, reps, docs, id_col, text_col, shingle, similarity), "path-links")
-
-    forest = common.stored(_compared(members, reps, None, similarity, matches), "path-forest")
-    tried = forest.select("u", "v").distinct()
-    first = confirmed(tried)
-    open_nodes = forest.filter("open").select("node").distinct()
-    if dealt is None and open_nodes.isEmpty():
-        return first
-    labels = common.stored(components(first), "path-labels")
-    again = members.join(open_nodes, "node", "left_semi")
-    if dealt is not None:
-        again = again.unionByName(common.stored(_strangers(dealt, labels, small), "path-strangers"))
-    pairs = _compared(again, reps, labels, similarity, matches).select("u", "v").distinct().join(tried, ["u", "v"], "left_anti")
-    return first.unionByName(confirmed(pairs))
+        members.append(common.stored(blocks, "path-blocks"))
+    found = confirmed(functools.reduce(DataFrame.unionByName, members), None)
+    if large is None:
+        return found
+    labels = common.stored(components(found), "path-labels")
+    return found.unionByName(confirmed(common.stored(_strangers(dealt, labels, small), "path-strangers"), labels))
 
 
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from riskflow.llm import chosen_path
-from riskflow.llm.chosen_path import Shingles, minhash_dedup, minwise, near_pairs, similar, spread_join
+from riskflow.llm.chosen_path import Shingles, linked, minhash_dedup, minwise, near, spread_join
 
 
 def plain_set(text, shingle=5):
@@ -105,9 +105,35 @@ def test_empty_table(spark):
 
 
 def test_threshold_is_exact():
-    a = np.arange(100, dtype=np.uint64)
-    assert similar(a, a[:85]) and not similar(a, a[:84])
-    assert not similar(a[:0], a[:0])
+    rng = np.random.default_rng(1)
+    a = np.unique(rng.integers(0, 1 << 63, 100, dtype=np.uint64) * np.uint64(2))
+    assert linked([a, a[:85]], matches=0) == [(0, 1)] and linked([a, a[:84]], matches=0) == []
+
+
+def test_links_of_a_node_against_all_pairs():
+    rng = np.random.default_rng(2)
+    for labelled in (False, True):
+        base = np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2))
+        sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(150, 200), replace=False),
+                                          rng.integers(0, 1 << 63, rng.integers(0, 20), dtype=np.uint64) * np.uint64(2)]))
+                for _ in range(60)]
+        labels = [str(i % 20) if i % 3 else str(i) for i in range(60)] if labelled else None
+        want, got_ = list(range(60)), list(range(60))
+
+        def join(c, i, j):
+            c[:] = [c[i] if x == c[j] else x for x in c]
+        for i in range(60):
+            for j in range(i):
+                if labels and labels[i] == labels[j]:
+                    join(want, i, j), join(got_, i, j)
+                n = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+                    join(want, i, j)
+        pairs = linked(sets, labels)
+        for i, j in pairs:
+            assert got_[i] != got_[j]       # a forest
+            join(got_, i, j)
+        assert [[x == y for y in want] for x in want] == [[x == y for y in got_] for x in got_]
 
 
 def test_minwise_tokens_estimate_similarity():
@@ -129,7 +155,7 @@ def test_pairs_at_the_threshold_pass_the_count_of_tokens():
             a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
             b = np.sort(rng.choice(a, int(np.ceil(0.85 * len(a))), replace=False))
             tokens = np.stack([minwise(a), minwise(b)])
-            assert len(near_pairs(np.array([len(a), len(b)]), tokens, 85, chosen_path.MATCHES)[0]) == 1
+            assert len(near(np.array([len(a), len(b)]), tokens, 0, np.array([1]), 85, chosen_path.MATCHES)) == 1
 
 
 def test_trees_find_pairs_at_the_threshold():
