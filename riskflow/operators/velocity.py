@@ -47,20 +47,25 @@ def _velocity(cfg: FraudConfig) -> Column:
 
 
 def velocity_features(timed: DataFrame, cfg: FraudConfig = DEFAULT,
-                      strategy: str = "expand") -> DataFrame:
+                      strategy: str = "expand", extra: list[Column] | None = None) -> DataFrame:
     """(window, user_id) -> window_amount, window_count, avg_amount,
-    max_amount, velocity.  ``timed.timestamp`` must be a timestamp column."""
+    max_amount, velocity.  ``timed.timestamp`` must be a timestamp column.
+    ``extra``: more aggregates of the expand strategy, with their names."""
+    extra = extra or []
+    if extra and strategy != "expand":
+        raise ValueError("more aggregates need the expand strategy")
     if strategy == "expand":
         out = (timed
                .groupBy(F.window("timestamp", cfg.window_duration, cfg.slide_duration).alias("window"),
                         "user_id")
-               .agg(*_aggregates()))
+               .agg(*_aggregates(), *extra))
     elif strategy == "panes":
         out = _features_by_panes(timed, cfg)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
+    more = [c for c in out.columns if c not in FEATURE_COLUMNS] if extra else []
     out = out.withColumn("velocity", _velocity(cfg))
-    return out.select(*FEATURE_COLUMNS)
+    return out.select(*FEATURE_COLUMNS, *more)
 
 
 def _features_by_panes(timed: DataFrame, cfg: FraudConfig) -> DataFrame:

@@ -215,14 +215,26 @@ def q_explain_summary(spark, sf_dir):
     return explain.summary(explain_results(spark, sf_dir))
 
 
-_STREAM_RUNS: dict[tuple, str] = {}
+_RUNS: dict[tuple, str] = {}
 STREAM_PROGRESS: dict[tuple, dict] = {}
 
 
 def run_key(spark: SparkSession, sf_dir: str) -> tuple:
-    """This application and the very files it reads."""
-    files = spark.read.parquet(f"{sf_dir}/events.parquet").inputFiles()
-    return spark.sparkContext.applicationId, sf_dir, tuple(sorted(files))
+    """This application and the very files it reads, with their sizes and times."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/events.parquet")
+             .select("path", "length", "modificationTime"))      # a listing; no file is opened
+    seen = files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return spark.sparkContext.applicationId, sf_dir, *seen
+
+
+def cached_run(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
+    """The folder of run ``name`` over these files, made by ``make(folder)`` if there is none yet."""
+    key = (name, *run_key(spark, sf_dir))
+    if key not in _RUNS:
+        run = workspace.new_run(spark, name)
+        make(run)
+        _RUNS[key] = run
+    return _RUNS[key]
 
 
 def stream_run(spark: SparkSession, sf_dir: str) -> str:
@@ -233,9 +245,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     ``availableNow`` trigger: both flag flows to the flagged topic, plus row
     tables of features and flags for checking.  Returns the run folder.
     """
-    key = run_key(spark, sf_dir)
-    if key not in _STREAM_RUNS:
-        run = workspace.new_run(spark, "stream")
+    def make(run: str) -> None:
         raw = FileTopic(run, DEFAULT.raw_topic)
         parts = workspace.parallelism(spark)
         t0 = time.perf_counter()
@@ -248,27 +258,24 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
                            windowed_sink=TableSink(f"{run}/flagged_windowed"),
                            name_suffix="-" + run.rsplit("-", 1)[-1], state_partitions=parts)
         p.await_termination()
+        key = run_key(spark, sf_dir)
         STREAM_PROGRESS[key] = {
             name: [(pr["batchId"], pr["numInputRows"], pr["durationMs"].get("triggerExecution", 0))
                    for pr in q.recentProgress]
             for name, q in p.queries.items()}
         STREAM_PROGRESS[key]["_produce_sec"] = produce_sec
-        _STREAM_RUNS[key] = run
-    return _STREAM_RUNS[key]
+    return cached_run(spark, sf_dir, "stream", make)
 
 
 #: Parts of the raw topic in the many-batch run, one for each micro-batch, and files in a part.
 BATCH_PARTS, PART_FILES = 8, 2
-_BATCH_RUNS: dict[tuple, str] = {}
 
 
 def stream_run_batches(spark: SparkSession, sf_dir: str) -> str:
     """The streaming application over a raw topic in ``BATCH_PARTS`` parts in
     the order of event time, one per trigger: window state is carried from
     batch to batch.  Returns the run folder."""
-    key = run_key(spark, sf_dir)
-    if key not in _BATCH_RUNS:
-        run = workspace.new_run(spark, "stream-batches")
+    def make(run: str) -> None:
         raw = FileTopic(run, DEFAULT.raw_topic)
         tx = read_transactions(spark, sf_dir)
         shares = [k / BATCH_PARTS for k in range(1, BATCH_PARTS)]
@@ -284,8 +291,7 @@ def stream_run_batches(spark: SparkSession, sf_dir: str) -> str:
                            windowed_sink=TableSink(f"{run}/flagged_windowed"),
                            name_suffix="-" + run.rsplit("-", 1)[-1], state_partitions=workspace.parallelism(spark))
         p.await_termination()
-        _BATCH_RUNS[key] = run
-    return _BATCH_RUNS[key]
+    return cached_run(spark, sf_dir, "stream-batches", make)
 
 
 def q_stream_closed_windows_batches(spark, sf_dir):

@@ -25,7 +25,7 @@ from riskflow.operators import explain, payload
 
 def explain_batch(messages: DataFrame, explainer: Callable | None, cfg: FraudConfig = DEFAULT,
                   retryable: tuple = (explain.RetryableError,), sleep=None,
-                  max_tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  max_tasks: int | None = None, pass_attempt: bool = False) -> tuple[DataFrame, DataFrame]:
     """(results with a status per flag, undecodable dead letters) for one
     batch of flagged-topic messages.  Persist ``results`` before reading it
     twice: each flag must reach the explainer once."""
@@ -33,7 +33,7 @@ def explain_batch(messages: DataFrame, explainer: Callable | None, cfg: FraudCon
     good = parsed.filter(F.col("_corrupt_record").isNull())
     # max_tasks: exactly that many balanced tasks call the service
     results = explain.explain_flags(good, explainer, cfg, retryable=retryable, sleep=sleep,
-                                    partitions=max_tasks)
+                                    partitions=max_tasks, pass_attempt=pass_attempt)
     return results, explain.undecodable_dead_letters(parsed)
 
 
@@ -41,7 +41,7 @@ def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint
                     explainer: Callable | None = None, cfg: FraudConfig = DEFAULT,
                     trigger: dict | None = None, retryable: tuple = (explain.RetryableError,),
                     sleep=None, max_tasks: int | None = None,
-                    name: str = "flag-explainer") -> StreamingQuery:
+                    name: str = "flag-explainer", pass_attempt: bool = False) -> StreamingQuery:
     """Start the explainer query over ``flag_stream`` (``key``, ``value``).
 
     Bound the batch on the source (the topics' ``read_stream``); ``max_tasks`` bounds how many tasks call the
@@ -50,7 +50,7 @@ def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            results, undecodable = explain_batch(batch, explainer, cfg, retryable, sleep, max_tasks)
+            results, undecodable = explain_batch(batch, explainer, cfg, retryable, sleep, max_tasks, pass_attempt)
             results = results.persist()      # one explainer call per flag, two outputs
             try:
                 part = f"{name}-{batch_id:012d}"

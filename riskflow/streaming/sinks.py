@@ -70,8 +70,12 @@ class TableSink(_BatchSink):
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         """All batches written so far.  Give ``schema`` when every batch may
         have been empty (nothing to infer it from)."""
+        return self.read_part(spark, "*", schema)
+
+    def read_part(self, spark: SparkSession, part: str, schema=None) -> DataFrame:
+        """One batch's rows."""
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(f"{self.path.rstrip('/')}/*")
+        return reader.parquet(f"{self.path.rstrip('/')}/{part}")
 
 
 @dataclass
