@@ -30,6 +30,8 @@ from riskflow.config import DEFAULT, FraudConfig
 
 STATUS_OK = "SUCCESS"
 STATUS_FAILED = "FAILED"
+#: One attempt failed and another may be made later (``explain_flags`` with ``attempt``).
+STATUS_RETRY = "RETRY"
 
 #: Default prompt around each flag record; ``explain_flags`` takes another.
 PROMPT_HEAD = ("The rules of a payment monitor have marked the record below; 'fraud_reason' names the rule. "
@@ -101,7 +103,7 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
                   sleep: Callable[[float], None] | None = None,
                   concurrency: int | None = None, partitions: int | None = None,
                   pass_attempt: bool = False, prompt_head: str = PROMPT_HEAD,
-                  prompt_tail: str = PROMPT_TAIL) -> DataFrame:
+                  prompt_tail: str = PROMPT_TAIL, attempt: str | None = None) -> DataFrame:
     """Parsed flags (``parse_flags`` output without corrupt rows) ->
     ``EXPLAINED_SCHEMA`` rows with ``status`` SUCCESS or FAILED.
 
@@ -109,6 +111,10 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
     outside the flag schema included; without it the schema's fields.
     ``pass_attempt``: the explainer takes the attempt number as well.
 
+    ``attempt``: a column with the number of each flag's attempt.  Then only
+    this one is made, without waiting; a retryable error gives ``STATUS_RETRY``
+    while attempts are left, for the caller to offer the flag again.
+
     ``partitions``: spread the flags evenly (round robin, stable on retry)
     over that many tasks before calling the explainer.  Each call may take a
     network round trip, so balance matters more than the small shuffle of the
@@ -116,7 +122,8 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
     """
     has_raw = "raw_value" in flags.columns
     base = flags.select(*RECORD_COLUMNS, "shape", "record_key",
-                        (F.col("raw_value") if has_raw else F.lit(None).cast("string")).alias("raw_value"))
+                        (F.col("raw_value") if has_raw else F.lit(None).cast("string")).alias("raw_value"),
+                        *([F.col(attempt).cast("int").alias("_attempt")] if attempt and explainer else []))
     if explainer is None:
         return base.select("*", F.lit(STATUS_OK).alias("status"),
                            template_explanation().alias("llm_explanation"),
@@ -134,10 +141,18 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
     pass_names = RECORD_COLUMNS + ["shape", "record_key", "raw_value"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def one(record: dict, prompt: str):
+        def one(record: dict, asked: tuple):
+            prompt, number = asked
+
             def call(attempt: int):
                 return explainer(record, prompt, attempt) if pass_attempt else explainer(record, prompt)
-            text, error, used = attempt_with_retry(call, attempts, tuple(retryable), wait_min, wait_max, do_sleep)
+            if number is not None:
+                text, error, _ = attempt_with_retry(lambda _: call(number), 1, (), 0, 0)
+                used = number
+                if isinstance(error, tuple(retryable)) and number < attempts:
+                    return STATUS_RETRY, None, str(error) or type(error).__name__, number
+            else:
+                text, error, used = attempt_with_retry(call, attempts, tuple(retryable), wait_min, wait_max, do_sleep)
             if error is None and text is None:
                 error = ValueError("empty explanation")
             if error is not None:
@@ -148,7 +163,8 @@ def explain_flags(flags: DataFrame, explainer: Callable[[dict, str], str] | None
             prompts = batch.column("_prompt").to_pylist()
             records = ([_clean(json.loads(r)) for r in batch.column("raw_value").to_pylist()] if has_raw
                        else [_clean(r) for r in batch.select(RECORD_COLUMNS).to_pylist()])
-            results = run_bounded(one, records, prompts, workers)
+            tries = batch.column("_attempt").to_pylist() if attempt else [None] * len(prompts)
+            results = run_bounded(one, records, list(zip(prompts, tries, strict=True)), workers)
             arrays = [batch.column(n) for n in pass_names] + [
                 pa.array([r[0] for r in results], pa.string()),
                 pa.array([r[1] for r in results], pa.string()),
@@ -230,12 +246,13 @@ def summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def to_output_payload(results: DataFrame) -> DataFrame:
+def to_output_payload(results: DataFrame, more: tuple = ()) -> DataFrame:
     """Explained records / dead letters as keyed JSON: the message's object
     as it came, unknown fields included, with status and explanation or error
     added at its end.  (Of a key that was there already readers take the last.)
-    Without the raw message the record is built from the flag schema."""
-    added = [c for c in ("status", "llm_explanation", "error") if c in results.columns]
+    Without the raw message the record is built from the flag schema.
+    ``more``: further columns to add, for example ``attempts``."""
+    added = [c for c in ("status", "llm_explanation", "error", *more) if c in results.columns]
     known = [c for c in results.columns if c in (*RECORD_COLUMNS, *added)]
     value = F.to_json(F.struct(*known))
     if "raw_value" in results.columns:

@@ -46,16 +46,18 @@ def shape(flag: Column) -> Column:
     return F.when(flag["window"].isNotNull(), F.lit(SHAPE_WINDOW)).otherwise(F.lit(SHAPE_TRANSACTION))
 
 
-def parse_flags(messages: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_flags(messages: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """``(key, value)`` messages -> superset flag columns + ``shape``,
     ``record_key``, ``message_key`` and ``_corrupt_record`` (non-null =
     undecodable, e.g. ``{"a":``, not a JSON object, e.g. ``[1]``, or a null
     message, which is marked with an empty string).  A field of another type
-    than the schema's becomes null; the object is still a flag."""
+    than the schema's becomes null; the object is still a flag.  ``keep``:
+    further columns of the messages to carry along."""
     text = F.col(value_col).cast("string")
     parsed = F.from_json(text, schemas.FLAG_SUPERSET, {"mode": "PERMISSIVE"})
     key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
-    df = messages.select(text.alias("_value"), key.alias("message_key"), parsed.alias("_flag"))
+    keep = keep or []
+    df = messages.select(text.alias("_value"), key.alias("message_key"), parsed.alias("_flag"), *keep)
     is_object = F.trim(F.col("_value")).startswith("{") & F.try_parse_json(F.col("_value")).isNotNull()
     corrupt = F.when(~F.coalesce(is_object, F.lit(False)), F.coalesce("_value", F.lit("")))
     cols = [F.col("_flag")[f.name].alias(f.name) for f in schemas.FLAG_SUPERSET.fields]
@@ -66,4 +68,5 @@ def parse_flags(messages: DataFrame, value_col: str = "value") -> DataFrame:
         "message_key",
         corrupt.alias(schemas.CORRUPT_COLUMN),
         F.col("_value").alias("raw_value"),
+        *keep,
     )

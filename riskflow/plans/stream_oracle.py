@@ -67,4 +67,14 @@ def oracle_sql() -> dict[str, str]:
                    'FAILED' AS status, 'explainer refused HIGH_AVERAGE' AS error
             FROM topic WHERE fraud_reason = 'HIGH_AVERAGE'"""), VIEW_INTS),
     }
+    out["stream_explained_retry"] = _null_safe(_q(ALL_FLAGS, """
+        SELECT record_key, transaction_id, user_id, window_start, window_end, fraud_reason, rule_score,
+               CASE WHEN refused OR throttled THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+               CASE WHEN refused THEN 'explainer refused HIGH_AVERAGE' WHEN throttled THEN 'throttled' END AS error,
+               attempts, attempts AS batches
+        FROM (SELECT *, fraud_reason = 'HIGH_AVERAGE' AS refused,
+                     fraud_reason = 'HIGH_VELOCITY' AND rule_score = 0.85 AS throttled,
+                     CASE WHEN fraud_reason = 'RAPID_TRANSACTIONS' THEN 2
+                          WHEN fraud_reason = 'HIGH_VELOCITY' AND rule_score = 0.85 THEN 3 ELSE 1 END AS attempts
+              FROM topic)"""), VIEW_INTS)
     return out

@@ -7,9 +7,11 @@ once for the same files (``catalog.cached_run``).
 
 from __future__ import annotations
 
+import dataclasses
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +22,11 @@ from riskflow.plans import catalog
 from riskflow.plans.compare import comparable, null_safe
 from riskflow.sources.fixtures import read_transactions
 from riskflow.sources.topic import FileTopic, produce
-from riskflow.streaming import once, state, windows
+from riskflow.streaming import once, retry, state, windows
 from riskflow.streaming.explainer import start_explainer
 from riskflow.streaming.ledger import Ledger
 from riskflow.streaming.pipeline import start_pipeline
+from riskflow.streaming.retry import start_retrying_explainer
 from riskflow.streaming.sinks import TableSink, TopicSink
 
 NOW = {"availableNow": True}
@@ -167,6 +170,58 @@ def chained_run(spark: SparkSession, sf_dir: str) -> str:
     return catalog.cached_run(spark, sf_dir, "stream-chain", make)
 
 
+def throttled(record: dict, prompt: str, attempt: int) -> str:
+    """The demo explainer, refusing one kind of flag for good: window flags scored 0.85 for their velocity."""
+    if record.get("fraud_reason") == "HIGH_VELOCITY" and record.get("rule_score") == 0.85:
+        raise explain.RetryableError("throttled")
+    return catalog.demo_explainer(record, prompt, attempt)
+
+
+def retry_run(spark: SparkSession, sf_dir: str) -> str:
+    """The flagged topic through the retrying explainer, until no flag waits."""
+    def make(run: str) -> None:
+        flagged = FileTopic(catalog.stream_run(spark, sf_dir), DEFAULT.flagged_topic)
+        sinks = FileTopic(run, "explained"), FileTopic(run, "dead-letters")
+        total = flagged.read(spark).count()
+        query = start_retrying_explainer(
+            flagged.read_stream(spark), FileTopic(run, "retry"), TopicSink(sinks[0]), TopicSink(sinks[1]),
+            f"{run}/checkpoints/retry", throttled, dataclasses.replace(DEFAULT, explain_wait_min=0.5, explain_wait_max=1.0),
+            trigger={"processingTime": "0 seconds"}, name="retry-" + run.rsplit("-", 1)[-1], pass_attempt=True)
+        try:
+            until = time.monotonic() + 600
+            while not query.awaitTermination(1) and time.monotonic() < until:
+                parts = [t for t in sinks if not Ledger.missing(spark, t.path)]
+                if len(parts) == 2 and sum(t.read(spark).count() for t in parts) >= total:
+                    break
+        finally:
+            query.stop()
+    return catalog.cached_run(spark, sf_dir, "stream-retry", make)
+
+
+def q_stream_explained_retry(spark, sf_dir):
+    """Attempts in batches of their own; ``batches`` counts those a flag was offered in."""
+    run = retry_run(spark, sf_dir)
+    shape = T.StructType(OUTPUT.fields + [T.StructField("attempts", T.IntegerType())])
+    outputs = FileTopic(run, "explained").read(spark).unionByName(FileTopic(run, "dead-letters").read(spark))
+    text = F.col("value").cast("string")
+    rows = outputs.select(F.col("key").cast("string").alias("record_key"), F.from_json(text, shape).alias("r"),
+                          flag_key(F.from_json(text, shape)).alias("flag"))
+    # The retry topic's parts are the batches in which an attempt failed.
+    failed = FileTopic(run, "retry").read(spark).withColumn("batch", F.regexp_extract("_metadata.file_path", r"-(\d+)/[^/]*$", 1))
+    waiting = F.from_json(F.col("value").cast("string"), retry.WAITING)
+    failed = (failed.select(flag_key(F.from_json(waiting["message"], shape)).alias("flag"), "batch")
+              .groupBy("flag").agg(F.count_distinct("batch").alias("failed")))
+    r = F.col("r")
+    return null_safe(comparable(rows.join(failed, "flag", "left").select(
+        "record_key", *[r[c].alias(c) for c in ("transaction_id", "user_id", "window", "fraud_reason", "rule_score", "status",
+                                                "error", "attempts")],
+        (F.coalesce("failed", F.lit(0)) + 1).cast("int").alias("batches"))))
+
+
+def flag_key(flag: Column) -> Column:
+    return F.coalesce(flag["transaction_id"], F.concat_ws("|", flag["user_id"], F.unix_seconds(flag["window"]["start"])))
+
+
 def _output(spark: SparkSession, run: str, topic: str, added: str) -> DataFrame:
     messages = FileTopic(run, topic).read(spark)
     out = messages.select(F.col("key").cast("string").alias("record_key"),

@@ -38,13 +38,12 @@ class Ledger:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Entries so far (none before the first batch)."""
-        if not self._exists(spark, self.path):
+        if self.missing(spark, self.path):
             return spark.createDataFrame([], ENTRY)
         return TableSink(self.path).read(spark, schema=ENTRY)
 
     def has(self, spark: SparkSession, batch_id: int) -> bool:
-        return (self._exists(spark, f"{self.path}/{self.part(batch_id)}/_SUCCESS")
-                or not self.read(spark).filter(F.col("batch_id") == batch_id).isEmpty())
+        return not self.read(spark).filter(F.col("batch_id") == batch_id).isEmpty()
 
     def late_watermark(self, spark: SparkSession, batch_id: int, delay: str):
         """The watermark below which batch ``batch_id`` drops rows: the
@@ -64,10 +63,10 @@ class Ledger:
         return rows.withColumn("_batch", part).join(whole, F.col("_batch") == F.col("_whole"), "left_semi").select(*columns)
 
     @staticmethod
-    def _exists(spark: SparkSession, path: str) -> bool:
-        """Whether the file or folder is there, asked of its file system through a listing."""
+    def missing(spark: SparkSession, path: str) -> bool:
+        """Whether a folder is not there or holds no file, asked of its file system through a listing."""
         from pyspark.errors import AnalysisException
         try:
-            return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
+            return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
         except AnalysisException:
-            return False
+            return True
