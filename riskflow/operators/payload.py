@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow import schemas
 
@@ -41,6 +42,39 @@ def record_key(value: Column, user_id: Column) -> Column:
             .otherwise(F.lit("")))
 
 
+def parse_flags_variant(messages: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """``parse_flags`` by one parse into VARIANT, which stays in the column
+    ``record``: fields outside the flag schema, and those of another type than
+    the schema's (null in their column), are kept there as they came."""
+    keep = keep or []
+    text = F.col(value_col).cast("string")
+    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+    record = F.when(F.ltrim(text).startswith("{"), F.try_parse_json(text))
+    df = messages.select(text.alias("_value"), key.alias("message_key"), record.alias("_record"), *keep)
+    v = F.col("_record")
+
+    def field(name: str, kind: T.DataType) -> Column:
+        if isinstance(kind, T.StructType):
+            inner = F.struct(*[F.try_variant_get(v, f"$.{name}.{f.name}", f.dataType.simpleString()).alias(f.name)
+                               for f in kind.fields])
+            whole = F.try_variant_get(v, f"$.{name}", "variant")
+            return F.when(whole.isNotNull() & ~F.is_variant_null(whole), inner).alias(name)
+        return F.try_variant_get(v, f"$.{name}", kind.simpleString()).alias(name)
+
+    cols = [field(f.name, f.dataType) for f in schemas.FLAG_SUPERSET.fields]
+    user = F.try_variant_get(v, "$.user_id", "variant")
+    corrupt = F.when(v.isNull(), F.coalesce("_value", F.lit("")))
+    flags = df.select(*cols, user.alias("_user"), "message_key", corrupt.alias(schemas.CORRUPT_COLUMN),
+                      F.col("_value").alias("raw_value"), F.col("_record").alias("record"), *keep)
+    is_flag = F.col(schemas.CORRUPT_COLUMN).isNull()
+    named = (F.when(F.col("user_id").isNotNull(), F.col("user_id"))
+             .when(F.col("_user").isNotNull(), F.lit("None")).otherwise(F.lit("")))
+    return flags.select(
+        *[f.name for f in schemas.FLAG_SUPERSET.fields],
+        F.when(is_flag, F.when(F.col("window").isNotNull(), F.lit(SHAPE_WINDOW)).otherwise(F.lit(SHAPE_TRANSACTION))).alias("shape"),
+        named.alias("record_key"), "message_key", schemas.CORRUPT_COLUMN, "raw_value", "record", *keep)
+
+
 def shape(flag: Column) -> Column:
     """Which of the two flag shapes a parsed record has."""
     return F.when(flag["window"].isNotNull(), F.lit(SHAPE_WINDOW)).otherwise(F.lit(SHAPE_TRANSACTION))

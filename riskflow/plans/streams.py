@@ -7,7 +7,7 @@ once for the same files (``catalog.cached_run``).
 
 from __future__ import annotations
 
-import dataclasses
+import json
 import time
 from collections.abc import Callable
 
@@ -17,17 +17,21 @@ from pyspark.sql import types as T
 
 from riskflow import schemas, workspace
 from riskflow.config import DEFAULT
-from riskflow.operators import explain, ingest, payload
+from riskflow.functions import wire
+from riskflow.operators import avro, evolution, explain, ingest, payload
 from riskflow.plans import catalog
 from riskflow.plans.compare import comparable, null_safe
 from riskflow.sources.fixtures import read_transactions
+from riskflow.sources.registry import REGISTRY_SCHEMA
 from riskflow.sources.topic import FileTopic, produce
 from riskflow.streaming import once, retry, state, windows
 from riskflow.streaming.explainer import start_explainer
 from riskflow.streaming.ledger import Ledger
+from riskflow.streaming.metrics import BatchMetrics
 from riskflow.streaming.pipeline import start_pipeline
 from riskflow.streaming.retry import start_retrying_explainer
 from riskflow.streaming.sinks import TableSink, TopicSink
+from riskflow.streaming.union import start_union
 
 NOW = {"availableNow": True}
 #: Parts of a replayed topic, one for each micro-batch, and files in a part.
@@ -185,7 +189,7 @@ def retry_run(spark: SparkSession, sf_dir: str) -> str:
         total = flagged.read(spark).count()
         query = start_retrying_explainer(
             flagged.read_stream(spark), FileTopic(run, "retry"), TopicSink(sinks[0]), TopicSink(sinks[1]),
-            f"{run}/checkpoints/retry", throttled, dataclasses.replace(DEFAULT, explain_wait_min=0.5, explain_wait_max=1.0),
+            f"{run}/checkpoints/retry", throttled, DEFAULT.with_(explain_wait_min=0.5, explain_wait_max=1.0),
             trigger={"processingTime": "0 seconds"}, name="retry-" + run.rsplit("-", 1)[-1], pass_attempt=True)
         try:
             until = time.monotonic() + 600
@@ -241,5 +245,99 @@ def q_stream_dead_letters(spark, sf_dir):
     return _output(spark, chained_run(spark, sf_dir), "dead-letters", "error")
 
 
+def metrics_run(spark: SparkSession, sf_dir: str) -> str:
+    def make(run: str) -> None:
+        raw = FileTopic(run, DEFAULT.raw_topic)
+        replay(spark, sf_dir, raw, out_of_order=False)
+        metrics = BatchMetrics(spark, f"{run}/metrics")
+        flows = start_pipeline(raw.read_stream(spark, max_files_per_trigger=PART_FILES), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
+                               f"{run}/checkpoints", DEFAULT, trigger=NOW, name_suffix="-" + run.rsplit("-", 1)[-1],
+                               state_partitions=workspace.parallelism(spark), metrics=metrics)
+        flows.await_termination()
+        metrics.drain(list(flows.queries.values()))
+        metrics.close()
+        metrics.read().write.parquet(f"{run}/batch-metrics")
+    return catalog.cached_run(spark, sf_dir, "stream-metrics", make)
+
+
+def q_stream_batch_metrics(spark, sf_dir):
+    """The observed metrics of all batches add up to the results' counts."""
+    rows = spark.read.parquet(f"{metrics_run(spark, sf_dir)}/batch-metrics")
+    wanted = ["input_rows", "immediate.flags", "windowed.flags", "windowed.windows"]
+    return (rows.filter(F.col("metric").isin(wanted)).groupBy("query", "metric")
+            .agg(F.sum("value").alias("total"), F.count_if(F.col("value") > 0).alias("batches")))
+
+
+def _versions() -> tuple[str, str]:
+    """The message's second version (no ``device_type``, a ``channel`` instead) and the reader's schema."""
+    record = json.loads(schemas.TRANSACTION_AVRO)
+    fields = [f for f in record["fields"] if f["name"] != "device_type"]
+    second = {**record, "fields": [*fields, {"name": "channel", "type": "string"}]}
+    reader = {**record, "fields": [*fields, {"name": "device_type", "type": "string", "default": "unknown"},
+                                   {"name": "channel", "type": "string", "default": "web"}]}
+    return json.dumps(second), json.dumps(reader)
+
+
+def q_wire_evolution(spark, sf_dir):
+    """Frames of two schema versions and of an id that nobody registered."""
+    second, reader = _versions()
+    tx = read_transactions(spark, sf_dir).withColumns({
+        "channel": F.lit("app"), "kind": F.pmod(F.col("transaction_id").cast("long"), F.lit(3))})
+    first_fields = [f.name for f in schemas.TRANSACTION.fields]
+    second_fields = [f["name"] for f in json.loads(second)["fields"]]
+
+    def frames(kind: int, schema: str, fields: list[str], schema_id: int) -> DataFrame:
+        bodies = avro.encode(tx.filter(F.col("kind") == kind).select(*fields), schema, alias="body", keep=[])
+        return bodies.select(wire.frame(F.col("body"), schema_id).alias("value"))
+    topic = (frames(0, schemas.TRANSACTION_AVRO, first_fields, 1).unionByName(frames(1, second, second_fields, 2))
+             .unionByName(frames(2, schemas.TRANSACTION_AVRO, first_fields, 99)))
+    subject = "transactions-raw-value"
+    registry = spark.createDataFrame([(subject, 1, 1, schemas.TRANSACTION_AVRO), (subject, 2, 2, second), ("other", 1, 99, second)],
+                                     REGISTRY_SCHEMA)
+    decoded = evolution.decode_registered(topic, registry, subject, reader)
+    return null_safe(decoded.select("schema_id", F.col("version").cast("double").alias("version"), *first_fields, "channel",
+                                    F.col("raw").isNotNull().alias("rejected")))
+
+
+def q_parse_flagged_variant(spark, sf_dir):
+    """``parse_flagged`` by one parse into VARIANT."""
+    imm, win = catalog.flag_payloads(spark, sf_dir)
+    copies = F.array("value", F.expr("substring(value, 1, length(value) div 2)"))
+    win = win.select("key", F.explode(copies).alias("value"))
+    parsed = payload.parse_flags_variant(payload.flagged_topic(imm, win))
+    return null_safe(comparable(parsed.select(
+        *[c for c in parsed.columns if c not in ("raw_value", "message_key", "_corrupt_record", "record")],
+        F.col("_corrupt_record").isNotNull().alias("corrupt"))))
+
+
+def union_run(spark: SparkSession, sf_dir: str, policy: str) -> str:
+    """Two topics, even and odd transactions; the second falls behind: its
+    first seven parts hold a sixteenth of the time each."""
+    def make(run: str) -> None:
+        tx = read_transactions(spark, sf_dir)
+        lo, hi = tx.agg(F.min("timestamp"), F.max("timestamp")).first()
+        topics = []
+        for odd, spans in enumerate((PARTS, 2 * PARTS)):
+            topic = FileTopic(run, f"raw-{odd}")
+            at = F.least(F.expr(f"(timestamp - {lo or 0}L) * {spans} div {(hi or 0) - (lo or 0) + 1}L"), F.lit(PARTS - 1))
+            some = tx.filter(F.pmod(F.col("transaction_id").cast("long"), F.lit(2)) == odd)
+            for k in range(PARTS):
+                produce(ingest.to_wire(some.filter(at == k).repartition(1)), topic, part=f"batch-{k:04d}")
+            topics.append(topic.read_stream(spark, max_files_per_trigger=1))
+        start_union(topics, TopicSink(FileTopic(run, DEFAULT.flagged_topic)), f"{run}/checkpoints/union", policy, DEFAULT, NOW,
+                    "union-" + run.rsplit("-", 1)[-1], workspace.parallelism(spark)).awaitTermination()
+    return catalog.cached_run(spark, sf_dir, f"stream-union-{policy}", make)
+
+
+def q_stream_flagged_union(spark, sf_dir):
+    """Both flows of two topics as one stream, under either watermark policy."""
+    out = None
+    for policy in ("min", "max"):
+        messages = FileTopic(union_run(spark, sf_dir, policy), DEFAULT.flagged_topic).read(spark)
+        parsed = payload.parse_flags(messages).drop("raw_value", "message_key", "_corrupt_record").withColumn("policy", F.lit(policy))
+        out = parsed if out is None else out.unionByName(parsed)
+    return null_safe(comparable(out))
+
+
 def queries() -> dict[str, catalog.Query]:
     return {n.removeprefix("q_"): f for n, f in globals().items() if n.startswith("q_")}

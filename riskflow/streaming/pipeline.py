@@ -19,11 +19,13 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow.config import DEFAULT, FraudConfig
 from riskflow.functions.eventtime import to_event_time
 from riskflow.operators import immediate, ingest, payload, velocity
+from riskflow.streaming.metrics import BatchMetrics, observed
 
 
 @dataclass
@@ -146,7 +148,8 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
                    cfg: FraudConfig = DEFAULT, trigger: dict | None = None,
                    feature_sink=None, immediate_sink=None, windowed_sink=None, reject_sink=None,
                    decoded: bool = False, name_suffix: str = "",
-                   state_partitions: int | None = None, **decode_kw) -> Pipeline:
+                   state_partitions: int | None = None, metrics: BatchMetrics | None = None,
+                   **decode_kw) -> Pipeline:
     """Start the application's streaming queries.
 
     * ``flagged-immediate-<kind>`` (stateless): transaction flags -> JSON
@@ -166,6 +169,9 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
     ``state_partitions``: width of the window query's shuffle and state store.
     It is fixed by the checkpoint at the first start, so size it for the peak
     number of live (window, user) keys, not for today's load.
+
+    ``metrics``: takes each batch's report and the numbers of windows and
+    flags, observed as they are computed, under the flow's name.
     """
     permissive = decode_kw.get("mode", "FAILFAST").upper() == "PERMISSIVE" and not decoded
     if permissive and reject_sink is None:
@@ -193,9 +199,16 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
         w = df.writeStream.queryName(name).outputMode("append").option(
             "checkpointLocation", f"{root}/{flow}").trigger(**trig)
         p.queries[name] = w.foreachBatch(lambda b, i: fn(b, i, flow)).start()
-
+        if metrics is not None:
+            metrics.watch(flow, p.queries[name])
+
+    flags, features = flows.flagged_immediate, flows.features
+    if metrics is not None:
+        flags = observed(flags, "immediate", flags=F.count(F.lit(1)))
+        high = velocity.score_rules(cfg).chain() > cfg.flag_threshold
+        features = observed(features, "windowed", windows=F.count(F.lit(1)), flags=F.count_if(high))
     try:
-        start(f"flagged-immediate-{kind}", flows.flagged_immediate, imm_out)
+        start(f"flagged-immediate-{kind}", flags, imm_out)
         if permissive:
             kw = {k: v for k, v in decode_kw.items() if k != "mode"}
             start(f"rejected-{kind}", ingest.rejects(source, **kw), [(reject_sink, lambda b: b)])
@@ -204,7 +217,7 @@ def start_pipeline(source: DataFrame, flag_sink, checkpoint_root: str,
         if state_partitions:
             spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
         try:
-            start(f"flagged-windowed-{kind}", flows.features, win_out)
+            start(f"flagged-windowed-{kind}", features, win_out)
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", prev)
     except Exception:

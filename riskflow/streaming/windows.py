@@ -81,7 +81,7 @@ def start_windows(source: DataFrame, out: str, checkpoint: str, cfg: FraudConfig
         spark = batch.sparkSession
         if ledger.has(spark, batch_id):
             return          # whole already; the checkpoint did not get to note it
-        part = f"{name}-{batch_id:012d}"
+        part = ledger.part(batch_id)     # the same after a restart, whatever the query is called
         batch = batch.persist()
         try:
             TableSink(f"{out}/features").write_batch(batch.filter("feature IS NOT NULL").select("feature.*"), part)

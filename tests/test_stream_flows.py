@@ -1,0 +1,244 @@
+"""Late rows, open windows, restart, replayed flags, retries, metrics, versions, unions."""
+
+import json
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskflow import schemas
+from riskflow.config import DEFAULT
+from riskflow.operators import avro, evolution, explain, ingest, payload, velocity
+from riskflow.plans import streams
+from riskflow.sources.registry import REGISTRY_SCHEMA
+from riskflow.sources.topic import FileTopic, produce
+from riskflow.streaming import once, state, windows
+from riskflow.streaming.ledger import Ledger
+from riskflow.streaming.metrics import BatchMetrics, observed
+from riskflow.streaming.retry import start_retrying_explainer
+from riskflow.streaming.sinks import TableSink, TopicSink
+from riskflow.streaming.union import start_union
+from tests.helpers import ms, tx_df, tx_row
+
+NOW = {"availableNow": True}
+KW = {"trigger": NOW, "state_partitions": 2}
+
+
+def feed(spark, topic, part, rows):
+    produce(ingest.to_wire(tx_df(spark, rows).coalesce(1)), topic, part=part)
+
+
+def at(text):
+    return ms(f"2024-01-01 {text}")
+
+
+def stream(spark, topic):
+    return topic.read_stream(spark, max_files_per_trigger=1)
+
+
+LATE_PARTS = [
+    [tx_row(1, "a", 10.0, at("00:00:10")), tx_row(2, "b", 5.0, at("00:05:00"))],
+    [tx_row(3, "a", 20.0, at("00:00:20")), tx_row(4, "b", 5.0, at("00:10:00"))],   # one batch of grace: still counted
+    [tx_row(5, "a", 40.0, at("00:00:30")), tx_row(6, "c", 1.0, at("00:02:50"))],   # behind 00:03:00
+    [tx_row(7, "b", 5.0, at("00:20:00"))],
+]
+
+
+def late_run(spark, scratch, **kw):
+    topic = FileTopic(scratch, "raw")
+    for i, rows in enumerate(LATE_PARTS):
+        feed(spark, topic, f"batch-{i}", rows)
+    q = windows.start_windows(stream(spark, topic), f"{scratch}/out", f"{scratch}/ck", name="late-" + scratch[-6:], **KW, **kw)
+    return topic, q
+
+
+def test_late_rows_are_kept_and_counted_as_spark_counts_them(spark, scratch):
+    topic, q = late_run(spark, scratch)
+    q.awaitTermination()
+    out = f"{scratch}/out"
+    late = windows.late_rows(spark, out).select("transaction_id", F.unix_seconds("window.end").alias("e"), "batch_id").collect()
+    base = at("00:00:00") // 1000
+    # Row 5: all four windows ended by 00:03:00; row 6: the one that ends at 00:03:00.
+    assert sorted((r[0], r[1] - base, r[2]) for r in late) == [
+        ("5", 60, 2), ("5", 90, 2), ("5", 120, 2), ("5", 150, 2), ("6", 180, 2)]
+    told = {r["batch_id"]: (r["rows"], r["late_rows"], r["late_windows"])
+            for r in Ledger(f"{out}/ledger").read(spark).filter("rows > 0").collect()}
+    assert told == {0: (2, 0, 0), 1: (2, 0, 0), 2: (2, 2, 5), 3: (1, 0, 0)}
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    assert dropped == 5
+    whole = windows.repaired(windows.emitted_windows(spark, out), windows.late_rows(spark, out))
+    timed = ingest.timed_transactions(topic.read(spark))
+    want = velocity.closed_velocity_features(timed)
+    view = ["w", "user_id", "window_amount", "window_count", "avg_amount", "max_amount", "velocity"]
+    rows = [sorted(map(tuple, df.withColumn("w", F.unix_seconds("window.start")).select(*view).collect())) for df in (whole, want)]
+    assert rows[0] == rows[1] and len(rows[0]) > 8
+
+
+def test_null_amounts_stay_out_of_the_mean_when_late_rows_are_added(spark):
+    w = spark.sql("SELECT timestamp'2024-01-01' AS s, timestamp'2024-01-01 00:02:00' AS e").select(F.struct(F.col("s").alias("start"), F.col("e").alias("end")).alias("window"))
+    features = w.select("window", F.lit("a").alias("user_id"), F.lit(6.0).alias("window_amount"), F.lit(3).cast("long").alias("window_count"),
+                        F.lit(3.0).alias("avg_amount"), F.lit(4.0).alias("max_amount"), F.lit(3.0).alias("velocity"), F.lit(2).cast("long").alias("amount_count"))
+    late = w.select(F.lit("9").alias("transaction_id"), F.lit("a").alias("user_id"), F.lit(None).cast("double").alias("amount"),
+                    F.current_timestamp().alias("timestamp"), "window", F.lit(1).cast("long").alias("batch_id"))
+    got = windows.repaired(features, late).first()
+    assert (got["window_amount"], got["window_count"], got["avg_amount"]) == (6.0, 4, 3.0)
+
+
+@pytest.mark.parametrize("step", ["features", "late"])
+def test_restart_shows_no_half_batch(spark, scratch, step):
+    def fault(done, batch_id):
+        if done == step and batch_id == 1:
+            raise streams.Interrupted("cut off in batch 1")
+    topic, q = late_run(spark, scratch, on_step=fault)
+    with pytest.raises(Exception, match="cut off in batch 1"):
+        q.awaitTermination()
+    out = f"{scratch}/out"
+    assert [r["batch_id"] for r in Ledger(f"{out}/ledger").read(spark).collect()] == [0]
+    assert TableSink(f"{out}/features").read(spark, windows.FEATURES).count() >= windows.emitted_windows(spark, out).count() == 0
+    q = windows.start_windows(stream(spark, topic), out, f"{scratch}/ck", name="again-" + scratch[-6:], **KW)
+    q.awaitTermination()
+    emitted = windows.emitted_windows(spark, out).select(F.unix_seconds("window.start"), "user_id", "window_count").collect()
+    assert len(emitted) == len(set(emitted)) and sum(r["window_count"] for r in emitted) > 8
+    assert windows.late_rows(spark, out).count() == 5
+
+
+def test_batch_with_an_entry_is_not_written_again(spark, scratch):
+    steps = []
+    _, q = late_run(spark, scratch, on_step=lambda s, i: steps.append((s, i)))
+    q.awaitTermination()
+    ledger = Ledger(f"{scratch}/out/ledger")
+    assert ledger.has(spark, 2) and not ledger.has(spark, 99)
+    assert len(steps) == len(set(steps))
+
+
+def test_open_windows_are_those_not_emitted(spark, scratch):
+    topic, q = late_run(spark, scratch)
+    q.awaitTermination()
+    got = state.open_windows(spark, f"{scratch}/ck").select(F.unix_seconds("window.end").alias("e"), "user_id", "window_amount").collect()
+    assert {r["user_id"] for r in got} == {"b"} and len(got) == 4
+    assert min(r["e"] for r in got) > at("00:18:00") // 1000
+    with pytest.raises(ValueError, match="window query"):
+        sink = TableSink(f"{scratch}/d")
+        other = topic.read_stream(spark).withColumn("t", F.current_timestamp()).groupBy("key").count()
+        other.writeStream.outputMode("complete").option("checkpointLocation", f"{scratch}/ck2").trigger(**NOW).foreachBatch(
+            lambda b, i: sink.write_batch(b, str(i))).start().awaitTermination()
+        state.open_windows(spark, f"{scratch}/ck2")
+
+
+def flag(n, user="u", t="2024-01-01T00:00:00.000Z"):
+    return json.dumps({"transaction_id": str(n), "user_id": user, "amount": 6000.0, "timestamp": t, "fraud_reason": "HIGH_AMOUNT", "rule_score": 0.9})
+
+
+def messages(spark, topic, part, texts):
+    produce(spark.createDataFrame([("k", t) for t in texts], "key string, value string").coalesce(1), topic, part=part)
+
+
+def test_flags_once(spark, scratch):
+    topic = FileTopic(scratch, "flags")
+    window = json.dumps({"window": {"start": "2024-01-01T00:00:00.000Z", "end": "2024-01-01T00:02:00.000Z"}, "user_id": "u", "rule_score": 0.7})
+    messages(spark, topic, "batch-0", [flag(1), flag(2), flag(2), window, '{"a":'])
+    messages(spark, topic, "batch-1", [flag(1), flag(3), window, window.replace('"u"', '"v"'), "{}", "{}", '{"a":'])
+    TableSink(f"{scratch}/t").start(once.once(stream(spark, topic)), "once-" + scratch[-6:], f"{scratch}/ck", NOW).awaitTermination()
+    got = TableSink(f"{scratch}/t").read(spark)
+    ids = [r["flag_id"] for r in got.collect()]
+    assert sorted(i for i in ids if i and i.startswith("t")) == ["transaction|1", "transaction|2", "transaction|3"]
+    assert len([i for i in ids if i and i.startswith("w")]) == 2
+    assert ids.count(None) == 4          # neither identity nor object: nothing is lost
+
+
+def test_retries_come_in_later_batches(spark, scratch):
+    topic, retry = FileTopic(scratch, "flags"), FileTopic(scratch, "retry")
+    messages(spark, topic, "batch-0", [flag(n) for n in range(6)] + ["no json"])
+
+    def explainer(record, prompt, attempt):
+        n = int(record["transaction_id"])
+        if n == 5:
+            raise ValueError("refused")
+        if n == 4 or attempt <= n % 3:
+            raise explain.RetryableError("busy")
+        return f"{n} at {attempt}"
+    cfg = DEFAULT.with_(explain_wait_min=0.5, explain_wait_max=0.5)
+    sinks = FileTopic(scratch, "explained"), FileTopic(scratch, "dead")
+    q = start_retrying_explainer(topic.read_stream(spark), retry, TopicSink(sinks[0]), TopicSink(sinks[1]), f"{scratch}/ck", explainer, cfg,
+                                 trigger={"processingTime": "0 seconds"}, name="retry-" + scratch[-6:], pass_attempt=True)
+    until = time.monotonic() + 240
+    try:
+        while time.monotonic() < until and not q.awaitTermination(1):
+            if all(not Ledger.missing(spark, t.path) for t in sinks) and sum(t.read(spark).count() for t in sinks) >= 7:
+                break
+    finally:
+        q.stop()
+    good, dead = ([json.loads(r["value"]) for r in t.read(spark).select(F.col("value").cast("string").alias("value")).collect()] for t in sinks)
+    assert sorted((g["transaction_id"], g["attempts"], g["llm_explanation"]) for g in good) == [
+        ("0", 1, "0 at 1"), ("1", 2, "1 at 2"), ("2", 3, "2 at 3"), ("3", 1, "3 at 1")]
+    assert sorted((d.get("transaction_id", ""), d["attempts"], d["error"]) for d in dead) == [
+        ("", 0, "decode: not a JSON object"), ("4", 3, "busy"), ("5", 1, "refused")]
+    waits = retry.read(spark).select(F.col("value").cast("string").alias("v")).collect()
+    assert sorted(json.loads(r["v"])["attempt"] for r in waits) == [2, 2, 2, 3, 3]
+
+
+def test_metrics_of_batches(spark, scratch):
+    topic = FileTopic(scratch, "flags")
+    messages(spark, topic, "batch-0", [flag(1), flag(2)])
+    messages(spark, topic, "batch-1", [flag(3)])
+    metrics = BatchMetrics(spark, f"{scratch}/metrics")
+    watched = observed(stream(spark, topic), "seen", messages=F.count(F.lit(1)))
+    q = TableSink(f"{scratch}/t").start(watched, "metrics-" + scratch[-6:], f"{scratch}/ck", NOW)
+    metrics.watch("reader", q)
+    q.awaitTermination()
+    metrics.drain([q])
+    metrics.close()
+    got = {(r["batch_id"], r["metric"]): r["value"] for r in metrics.read().collect()}
+    assert got[0, "seen.messages"] == 2 and got[1, "seen.messages"] == 1 and got[0, "input_rows"] == 2
+
+
+def test_versions_in_one_topic(spark):
+    second = json.dumps({"type": "record", "name": "T", "fields": [{"name": "a", "type": "string"}, {"name": "n", "type": "long"}]})
+    first = json.dumps({"type": "record", "name": "T", "fields": [{"name": "a", "type": "string"}]})
+    reader = json.dumps({"type": "record", "name": "T", "fields": [{"name": "a", "type": "string"}, {"name": "n", "type": "long", "default": -1}]})
+    from riskflow.functions import wire
+    rows = spark.createDataFrame([("x", 7)], "a string, n long")
+
+    def frames(schema, columns, number):
+        return avro.encode(rows, schema, alias="body", columns=columns, keep=[]).select(wire.frame(F.col("body"), number).alias("value"))
+    cut = frames(second, ["a", "n"], 2).select(F.expr("substring(value, 1, length(value) - 1)").alias("value"))
+    topic = frames(first, ["a"], 1).unionByName(frames(second, ["a", "n"], 2)).unionByName(frames(first, ["a"], 9)).unionByName(cut)
+    topic = topic.unionByName(spark.createDataFrame([(None,)], "value binary"))
+    registry = spark.createDataFrame([("s", 1, 1, first), ("s", 2, 2, second), ("other", 1, 9, first)], REGISTRY_SCHEMA)
+    decoded = evolution.decode_registered(topic, registry, "s", reader)
+    got = sorted(((r["schema_id"], r["version"], r["a"], r["n"], r["raw"] is not None) for r in decoded.collect()), key=str)
+    assert got == sorted([(1, 1, "x", -1, False), (2, 2, "x", 7, False), (9, None, None, None, True), (2, 2, None, None, True),
+                          (None, None, None, None, False)], key=str)
+    assert sorted(r["reason"] for r in evolution.rejected(decoded).collect()) == ["damaged body", "unknown schema id"]
+
+
+VALUES = ['{"user_id":"u","transaction_id":"1","amount":5,"x":{"y":[1]}}', '{"user_id":null}', "{}", " {\"user_id\": \"u\"}", "[1]", "5", None, "",
+          '{"a":', '{"window":null,"user_id":"u"}', '{"window":{"start":"2024-01-01T00:00:00.000Z","end":"2024-01-01T00:02:00.000Z"},"user_id":"w"}',
+          '{"amount":{"odd":1},"user_id":"u"}', '{"is_fraud":true,"window_count":3,"timestamp":"2024-01-01T00:00:00.000Z"}']
+
+
+def test_variant_parse_is_the_parse(spark):
+    df = spark.createDataFrame([("k", v) for v in VALUES], "key string, value string")
+    old, new = payload.parse_flags(df), payload.parse_flags_variant(df)
+    assert sorted(map(str, old.collect())) == sorted(map(str, new.select(*old.columns).collect()))
+    odd = new.filter(F.col("raw_value").contains("odd")).select(F.variant_get("record", "$.amount.odd", "int").alias("n"), "amount").first()
+    assert (odd["n"], odd["amount"]) == (1, None)
+
+
+@pytest.mark.parametrize("policy", ["min", "max"])
+def test_union_of_topics_under_both_policies(spark, scratch, policy):
+    fast, slow = FileTopic(scratch, "fast"), FileTopic(scratch, "slow")
+    for i, minute in enumerate((5, 15, 25)):
+        feed(spark, fast, f"batch-{i}", [tx_row(100 + i, "f", 3500.0, at(f"00:{minute:02d}:00"))])
+        feed(spark, slow, f"batch-{i}", [tx_row(200 + i, "s", 3500.0, at(f"00:0{i}:00"))])
+    sink = FileTopic(scratch, "flags")
+    start_union([stream(spark, fast), stream(spark, slow)], TopicSink(sink), f"{scratch}/ck", policy, DEFAULT, NOW,
+                "union-" + scratch[-6:], 2).awaitTermination()
+    got = payload.parse_flags(sink.read(spark)).filter("shape = 'window'")
+    counts = {r["user_id"]: r["n"] for r in got.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if policy == "min":                  # ends with the slow topic: nothing of it is late, the fast one's windows stay open
+        assert counts.get("f", 0) == 0
+    else:                                # the slow topic's last row comes behind 00:03:00 + and is dropped in part
+        assert counts["f"] == 8
+    with pytest.raises(ValueError):
+        start_union([stream(spark, fast)], TopicSink(sink), f"{scratch}/ck3", "none")
