@@ -17,13 +17,16 @@ unless ``MENU`` short list items of links or more follow each other.
 
 Defined results: null, empty and wordless pages have the empty text; a page of
 which no block is decided keeps its ambiguous blocks only inside an article or
-main element; unclosed and misnested tags are closed as browsers close them;
+main element; on a page without any known stop word length and link density decide;
+unclosed and misnested tags are closed as browsers close them, and an element that never
+ends takes nothing with it unless it is a script or style; work is linear in the page;
 rows alike give the same text; a null id or url is kept; other columns are not
 read.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterable, Iterator
@@ -32,6 +35,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm.html_tokens import Tags
+
 #: Frequent function words of the four languages, fixed values.
 STOP_WORDS = frozenset("""
     the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which
@@ -45,9 +50,12 @@ SOFT, FIRM = 1, 2
 #: So many short list items of links in a row are a menu.
 MENU = 3
 ENOUGH_STOP_WORDS, MANY_LINKS = 0.15, 0.5
+#: Mean letters of a word from which on a block's writing puts no spaces between words.
+WIDE_WORDS = 12
 
 _RAW = frozenset(["script", "style", "noscript", "template", "textarea", "select", "title", "svg", "iframe", "object",
                   "math", "canvas", "audio", "video", "head"])
+_CODE = frozenset(["script", "style"])
 _BAD_TAGS = frozenset(["nav", "footer", "aside", "form", "menu", "button", "dialog", "fieldset", "label", "option"])
 _BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre
@@ -62,20 +70,19 @@ _MARKS = frozenset("""ad ads advert adverts advertisement adbox adslot sponsor s
     cookies consent gdpr notice alert popup modal overlay sidebar side aside widget menu nav navbar navigation
     breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar comment comments commentlist respond reply
     replies disqus share sharing social related recommended newsletter subscribe subscription signup login search
-    skip complementary contentinfo copyright legal disclaimer""".split())
+    skip complementary contentinfo copyright legal disclaimer
+    kommentar kommentare leserkommentare commentaire commentaires comentario comentarios werbung anzeige publicite
+    publicidad""".split())
 #: Marks of what holds articles of its own, and of adverts, which may stand inside a line.
-_ADS = frozenset("ad ads advert adverts advertisement adbox adslot sponsor sponsored promo promotion".split())
-_LISTS = _ADS | frozenset("comment comments commentlist respond reply replies disqus related recommended".split())
+_ADS = frozenset("""ad ads advert adverts advertisement adbox adslot sponsor sponsored promo promotion werbung anzeige publicite
+    publicidad""".split())
+_LISTS = _ADS | frozenset("""comment comments commentlist respond reply replies disqus related recommended kommentar kommentare
+    leserkommentare commentaire commentaires comentario comentarios""".split())
 #: What may stand before and after a mark in one name: ``main-menu``, ``sidebar-left``, not ``has-sidebar``.
 _BEFORE = frozenset("page site main top bottom left right primary secondary global post entry article".split())
 _SITE = frozenset("page site main top global".split())
 _AFTER = frozenset("left right links buttons form bar box list area section posts top bottom".split())
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|
-    <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.X)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|$)|display\s*:\s*none", re.I)
-_HREF = re.compile(r"""(?:^|[\s"'])href\s*=""", re.I)
-_TARGET = re.compile(r"""(?:^|[\s"'])(?:name|id)\s*=""", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -109,14 +116,22 @@ def _names_mark(name: str, article: bool) -> frozenset | set:
     return marks if marks <= _MARKS else frozenset()
 
 
-def _marked(attributes: str, article: bool, block: bool) -> int:
+def _hidden(attributes: tuple) -> bool:
+    return any(k == "hidden" or k == "style" and _UNSEEN.search(v) for k, v in attributes)
+
+
+def _has(attributes: tuple, *keys: str) -> bool:
+    return any(k in keys for k, _ in attributes)
+
+
+def _marked(attributes: tuple, article: bool, block: bool) -> int:
     """How class, id or role mark an element as boilerplate: 0 not, ``SOFT`` or ``FIRM``,
     as it is when hidden.  A header inside an article is the article's own."""
     if not attributes:
         return 0
-    if _HIDDEN.search(attributes):
+    if _hidden(attributes):
         return FIRM
-    marks = {m for found in _NAMES.findall(attributes) for name in "".join(found).split()
+    marks = {m for key, value in attributes if key in ("class", "id", "role") for name in html.unescape(value).split()
              for m in _names_mark(name, article)}
     if not block:
         marks &= _ADS
@@ -127,6 +142,9 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks with white space turned into single spaces."""
     out: list[Block] = []
     stack: list[tuple[str, int, bool, bool]] = []       # tag, bad, article, item: of it and all around it
+    depths: dict[str, list[int]] = {}                   # where each tag stands in the stack
+    ends: dict[str, list[tuple[int, int]]] = {}         # (start, end) of what ends a raw element, by its name
+    reader = Tags(page)
     held: list[str] = []
     linked = at = 0
     link = -1          # depth of the open link
@@ -155,29 +173,41 @@ def blocks(page: str) -> list[Block]:
             if link >= 0:
                 linked += len("".join(text.split()))
 
-    def pop(names: tuple[str, ...], limit: frozenset = frozenset()) -> bool:
+    def push(name: str, bad: int, article: bool, item: bool) -> None:
+        depths.setdefault(name, []).append(len(stack))
+        stack.append((name, bad, article, item))
+
+    def innermost(names: Iterable) -> int:
+        return max((depths[n][-1] for n in names if depths.get(n)), default=-1)
+
+    def pop(names: tuple[str, ...], limit: frozenset = frozenset()) -> None:
+        """Close the innermost of ``names`` unless one of ``limit`` stands inside it."""
         nonlocal link
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] in names:
-                if bool(stack[-1][1]) != bool(depth and stack[depth - 1][1]):
-                    flush()
-                del stack[depth:]
-                if depth <= link:
-                    link = -1
-                return True
-            if stack[depth][0] in limit:
-                return False
-        return False
-
-    token = _TOKEN.search(page)
-    while token:
-        read(token.start())
-        at = token.end()
-        name = (token[2] or "").lower()
+        depth = innermost(names)
+        if depth < 0 or depth < innermost(limit.difference(names)):
+            return
+        if bool(stack[-1][1]) != bool(depth and stack[depth - 1][1]):
+            flush()
+        while len(stack) > depth:
+            depths[stack.pop()[0]].pop()
+        if depth <= link:
+            link = -1
+
+    def raw_end(name: str) -> tuple[int, int] | None:
+        """Where the raw element that was just opened ends, if it does."""
+        if name not in ends:
+            pattern = r"</head\s*>|<body\b" if name == "head" else rf"</{name}(?=[\s/>])[^>]*>"
+            ends[name] = [(m.start(), m.start() if m[0][1] != "/" else m.end()) for m in re.finditer(pattern, page, re.I)]
+        k = bisect.bisect_left(ends[name], (at, -1))
+        return ends[name][k] if k < len(ends[name]) else None
+
+    tag = reader.after(0)
+    while tag:
+        read(tag.start)
+        at, name = tag.end, tag.name
         if not name:
-            if token[0].startswith("<![CDATA["):
-                held.append(token[0][9:-3])
-        elif token[1]:
+            held.append(tag.text)
+        elif tag.closing:
             if name in _BLOCKS:
                 flush()
             if name == "a":
@@ -185,13 +215,10 @@ def blocks(page: str) -> list[Block]:
             elif name == "br":
                 held.append(" ")
             pop((name,), frozenset() if name in _BLOCKS else _SCOPES)
-        elif name in _RAW and not token[3].endswith("/"):
-            if name in ("head", "svg", "math", "object"):
-                end = re.compile(rf"</{name}\s*>|<body\b" if name == "head" else rf"</{name}\s*>", re.I).search(page, at)
-                at = end.start() if end and end[0].lower().startswith("<body") else end.end() if end else at
-            else:
-                end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+        elif name in _RAW and not tag.empty:
+            # Of an element that never ends only code takes the rest of the page with it.
+            end = raw_end(name)
+            at = end[1] if end else len(page) if name in _CODE else at
         elif name == "br" or name in _VOID:
             if name in _BLOCKS:
                 flush()
@@ -204,32 +231,32 @@ def blocks(page: str) -> list[Block]:
                     pop(_CLOSES[name], frozenset(["ul", "ol", "dl", "table", "select"])
                         if name != "tr" else frozenset(["table"]))
             if name == "a":
-                link = len(stack) if _HREF.search(token[3]) or not _TARGET.search(token[3]) else -1
+                link = len(stack) if _has(tag.attributes, "href") or not _has(tag.attributes, "name", "id") else -1
                 if coming[0] < at:
                     found = _ANCHOR.search(page, at)
                     coming = (found.start(), found[1]) if found else (len(page), "")
                 loose = coming[1] != "/"
             _, bad, article, item = stack[-1] if stack else _NOWHERE
             if name in ("html", "body"):
-                stack.append((name, 0, article, item))
+                push(name, 0, article, item)
             else:
                 if name in ("article", "main"):
                     if bad == SOFT and not article:
                         bad = 0
                     article = True
-                    if _HIDDEN.search(token[3]):
+                    if _hidden(tag.attributes):
                         bad = FIRM
                 else:
                     bad = max(bad, FIRM if name in _BAD_TAGS or name == "header" and not article
-                              else _marked(token[3], article, name in _BLOCKS))
+                              else _marked(tag.attributes, article, name in _BLOCKS))
                 item = item or name == "li"
                 # A slash does not close an anchor, and may belong to its address.
-                if name == "a" or not token[3].endswith("/"):
+                if name == "a" or not tag.empty:
                     was = stack[-1] if stack else _NOWHERE
                     if name not in _BLOCKS and bool(bad) != bool(was[1]):
                         flush()
-                    stack.append((name, bad, article, item))
-        token = _TOKEN.search(page, at)
+                    push(name, bad, article, item)
+        tag = reader.after(at)
     read(len(page))
     flush()
     return out
@@ -249,11 +276,21 @@ def _menus(found: list[Block]) -> set[int]:
 
 
 def classify(found: list[Block]) -> None:
-    """Label every block: first by its own words, then by its neighbours."""
+    """Label every block: first by its own words, then by its neighbours.
+
+    On a page without any stop word the list does not know the language; there
+    length and link density decide alone, and letters without spaces between
+    words count for more."""
     menu = _menus(found)
-    for i, b in enumerate(found):
-        words = _WORD.findall(b.text.lower())
+    words_of = [_WORD.findall(b.text.lower()) for b in found]
+    foreign = not any(w in STOP_WORDS for b, words in zip(found, words_of, strict=True) if not b.bad for w in words)
+    for i, (b, words) in enumerate(zip(found, words_of, strict=True)):
         dense = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        if foreign and not b.bad and words and b.linked / len(b.text) <= MANY_LINKS:
+            wide = sum(map(len, words)) / len(words) >= WIDE_WORDS
+            if len(b.text) >= (SHORT if wide else LONG):
+                b.label = "text"
+                continue
         if b.bad or b.linked / len(b.text) > MANY_LINKS and (not b.article or i in menu):
             b.label = "boilerplate"
         elif len(b.text) >= LONG and dense >= ENOUGH_STOP_WORDS or b.article and len(b.text) >= SHORT and dense > 0:
