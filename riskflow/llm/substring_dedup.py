@@ -50,9 +50,9 @@ HOT = 5_000
 _DIGEST = 16
 _LOW = (1 << 24) - 1
 _BASE = 0x9E3779B97F4A7C15
-_FIRST = np.dtype([("hash", "<u4"), ("segment", "<u8"), ("doc", "<i8"), ("text", "<i4"), ("start", "<u4"),
+_FIRST = np.dtype([("hash", "<u4"), ("segment", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("start", "<u4"),
                    ("windows", "u1"), ("before", "u1")])
-_SECOND = np.dtype([("hash", "<u4"), ("doc", "<i8"), ("text", "<i4"), ("start", "<u4"), ("windows", "u1"),
+_SECOND = np.dtype([("hash", "<u4"), ("doc", "<i8"), ("text", "<i8"), ("start", "<u4"), ("windows", "u1"),
                     ("before", "u1"), ("size", "<u2")])
 
 
@@ -140,7 +140,7 @@ def _table(pieces: list[tuple[int, int, int, bytes]]) -> np.ndarray:
     which = np.searchsorted(ends, first, "right")
     before = anchor - first
     out["doc"] = np.array([p[0] for p in pieces], np.int64)[which]
-    out["text"] = np.array([p[1] for p in pieces], np.int64)[which].astype(np.int32)
+    out["text"] = np.array([p[1] for p in pieces], np.int64)[which]
     out["start"] = np.array([p[2] for p in pieces], np.int64)[which] + first - begins[which]
     # An anchor's hash is the least of many, so its upper bits are mostly 0: mix them anew.
     out["windows"], out["before"], out["hash"] = windows, before, hashes * np.uint64(_BASE) >> np.uint64(32)
@@ -166,7 +166,7 @@ def _firsts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[~again], rows[again]
 
 
-_OUT = "bucket int, packed binary, doc_id long, text int, start long, windows int, before int, around int"
+_OUT = "bucket int, packed binary, doc_id long, text long, start long, windows int, before int, around int"
 
 
 def _batch(bucket, packed, rows: np.ndarray | None, around: np.ndarray | None = None):
@@ -176,9 +176,10 @@ def _batch(bucket, packed, rows: np.ndarray | None, around: np.ndarray | None =
     columns = [pa.array(bucket, pa.int32()) if rows is None else pa.array(np.asarray(bucket, np.int32)),
                pa.array(packed, pa.binary()) if rows is None else pa.nulls(n, pa.binary())]
     if rows is None:
-        columns += [pa.nulls(n, pa.int64()), empty, pa.nulls(n, pa.int64()), empty, empty, empty]
+        none = pa.nulls(n, pa.int64())
+        columns += [none, none, none, empty, empty, empty]
     else:
-        columns += [pa.array(rows["doc"], pa.int64()), pa.array(rows["text"], pa.int32()),
+        columns += [pa.array(rows["doc"], pa.int64()), pa.array(rows["text"], pa.int64()),
                     pa.array(rows["start"].astype(np.int64)), pa.array(rows["windows"].astype(np.int32)),
                     empty if around is None else pa.array(rows["before"].astype(np.int32)),
                     empty if around is None else pa.array(around.astype(np.int32))]
@@ -378,7 +379,7 @@ def _shared(rows: np.ndarray, bodies: list[bytes]) -> Iterator:
     new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] > start[:-1] + 1)
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(doc)) - 1
-    out = np.zeros(len(begin), [("doc", "<i8"), ("text", "<i4"), ("start", "<i8"), ("windows", "<i8")])
+    out = np.zeros(len(begin), [("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("windows", "<i8")])
     out["doc"], out["text"], out["start"] = doc[begin], text[begin], start[begin]
     out["windows"] = start[end] - start[begin] + 1
     yield _batch(np.zeros(len(out)), None, out)
@@ -436,7 +437,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = buckets or common.shuffle_partitions(docs.sparkSession)
     text = common.text_or_empty(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("data")).select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), F.hash("data").alias("text"), "data",
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), F.xxhash64("data").alias("text"), "data",
         "doc_id")
     key = ["doc", "text"]
     first = common.stored(
@@ -452,7 +453,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = (first.filter("before is null").select("doc_id", "text", "start", "windows").unionByName(second)
              .groupBy(F.col("doc_id").alias("doc"), "text")
              .agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows")))
-    alike = Window.partitionBy(*key).orderBy(F.length("data"))
+    # Rows alike have all three hashes and the length in common.
+    alike = Window.partitionBy(*key, F.hash("data"), F.length("data")).orderBy(F.lit(0))
     judged = (rows.join(spans, key, "left").withColumn("nth", F.row_number().over(alike))
               .select("doc_id", "data", "text", "nth", "starts", "windows"))
     return judged.mapInArrow(_judge, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "

@@ -85,10 +85,29 @@ def test_empty_tables(spark, tmp_path):
     assert cp.run(spark, str(tmp_path)).collect() == []
 
 
+CLASHES = ["row", "score", "kept", "print", "repeats", "id", "_id", "_digest", "_size", "_key", "_nth", "_times", "key", "times",
+           "nth", "digest", "size", "kept_id", "c0", "a.b", "my col", "x:y", "a-b", "back`tick"]
+
+
 def test_clashing_columns_pass_through(spark, folder):
     from pyspark.sql import functions as F
     docs = spark.read.parquet(f"{folder[0]}/documents.parquet").limit(60)
-    docs = docs.select("*", *[F.lit(1).alias(c) for c in ("row", "score", "kept", "print", "repeats", "id")])
+    # Every further column tells the row it belongs to.
+    docs = docs.select("*", *[F.concat(F.lit(f"{i}:"), F.coalesce("doc_id", F.lit(-1))).alias(c) for i, c in enumerate(CLASHES)])
     for _, stage in cp.STAGES[:-1]:
         docs = cp.common.stored(stage(spark, docs, folder[0]), "test-clash")
-        assert docs.columns[-6:] == ["row", "score", "kept", "print", "repeats", "id"]
+        assert docs.columns[-len(CLASHES):] == CLASHES
+        rows = docs.collect()
+        assert rows
+        for r in rows:
+            assert list(r[-len(CLASHES):]) == [f"{i}:{-1 if r[0] is None else r[0]}" for i in range(len(CLASHES))]
+
+
+def test_last_stage_keeps_the_token_ids(spark, folder):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").limit(40)
+    tokenizer = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    pieces = {}
+    for r in cp.pack_sequences(spark, docs, folder[0]).collect():
+        pieces.setdefault(r["doc_id"], []).append((r["start"], list(r["ids"])))
+    for r in docs.collect():
+        assert [t for _, ids in sorted(pieces[r["doc_id"]]) for t in ids] == [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1]

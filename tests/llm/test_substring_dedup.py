@@ -115,3 +115,14 @@ def test_repeated_rows_stay_once(docs_of):
 
 def test_empty_table(docs_of):
     assert sd.remove_repeats(docs_of([])).collect() == []
+
+
+def test_null_ids_whose_texts_clash_in_32_bits_keep_their_bytes(spark, docs_of):
+    """Rows without an id are told apart by more than Spark's 32-bit hash."""
+    from pyspark.sql import functions as F
+    made = spark.range(120_000).select(F.sha2(F.col("id").cast("string"), 512).alias("h"))
+    made = made.select(F.concat("h", F.sha2("h", 256)).alias("t")).withColumn("k", F.hash("t"))
+    pair = made.groupBy("k").agg(F.collect_list("t").alias("ts")).filter(F.size("ts") > 1).first()
+    assert pair is not None
+    got = sd.remove_repeats(docs_of([(None, t) for t in pair["ts"]])).collect()
+    assert [(r["n_bytes"], r["n_removed"]) for r in got] == [(192, 0)] * len(pair["ts"])
