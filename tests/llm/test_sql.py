@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 @pytest.mark.parametrize("name", sorted(sql.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     out = queries.queries()[name](spark, SF_SMALL)
     want = con.execute(sql.oracle_sql()[name])
@@ -20,4 +20,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
