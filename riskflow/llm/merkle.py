@@ -6,8 +6,10 @@ that of its line, a section's that of its paragraphs' hashes and the root's that
 of the sections' hashes, so equal roots mean equal texts.  Below a paragraph
 stand its phrases, cut at spaces after certain characters, and below a phrase
 its words, in paragraphs of every length; two trees are compared from the root
-down and only branches that differ are opened, which locates the edit and tells
-how many characters both share.
+down: children are aligned in their order by equal digests (phrases and words by
+themselves, being little longer than a digest) and only the branches between
+aligned ones are opened, which locates the edit and tells how many characters
+both share in the same order.  So only equal texts are alike to the degree 1.
 
 Documents are paired with the next one by id without a global sort of one
 task: quantiles of the ids cut the order into buckets, each bucket is one
@@ -25,8 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -38,7 +41,7 @@ from riskflow.llm import common
 #: A phrase ends with a space after one of these.
 _PHRASE = re.compile(r"(?<=[.,;:!?|adkoszéñßü] )(?!\Z)")
 #: A word with the space after it; longer words are cut, so that their likeness is not all or nothing.
-_WORD = re.compile(r"[^ ]{1,8} ?| ")
+_WORD = re.compile(r"[^ \n]{1,8}[ \n]?|[ \n]")
 #: One paragraph in this many ends a section.
 SECTION = 8
 _SIZE = 16
@@ -62,8 +65,8 @@ class Node:
 
 
 def _pieces(line: str) -> list[str]:
-    """Phrases with the space after them, the last with one for the line's end."""
-    return _PHRASE.split(line + " ")
+    """Phrases with the space after them, the last with the line's end."""
+    return _PHRASE.split(line + "\n")
 
 
 def _parent(nodes: list[Node], mark: bytes) -> Node:
@@ -87,79 +90,112 @@ def tree(text: str, known: dict[str, Node] | None = None) -> Node:
     return _parent(sections, b"r")
 
 
-def _key(node: Node | str) -> bytes | str:
-    return node if isinstance(node, str) else node.digest
-
-
-def _chars(node: Node | str) -> int:
-    return len(node) if isinstance(node, str) else node.chars
+def _gaps(ours: list, theirs: list) -> Iterator[tuple[int, int, int, int]]:
+    """Stretches (from, to, from, to) of two sequences of digests that lie
+    between their aligned elements, in order.  Equal ends are aligned first; of
+    the rest the n-th of a digest may meet the n-th on the other side, and of
+    those pairs the longest run that rises on both sides is aligned."""
+    for i, n, j, m in _stretches(ours, theirs):
+        i, n, j, m = _trimmed(ours, theirs, i, n, j, m)
+        if i < n or j < m:
+            yield i, n, j, m
+
+
+def _trimmed(ours: list, theirs: list, i: int, n: int, j: int, m: int) -> tuple[int, int, int, int]:
+    while i < n and j < m and ours[i] == theirs[j]:
+        i, j = i + 1, j + 1
+    while i < n and j < m and ours[n - 1] == theirs[m - 1]:
+        n, m = n - 1, m - 1
+    return i, n, j, m
+
+
+def _stretches(ours: list, theirs: list) -> list[tuple[int, int, int, int]]:
+    i, n, j, m = _trimmed(ours, theirs, 0, len(ours), 0, len(theirs))
+    both = set(ours[i:n]).intersection(theirs[j:m])
+    if not both:
+        return [(i, n, j, m)]
+    where: dict = {}
+    for at in range(m - 1, j - 1, -1):
+        if theirs[at] in both:
+            where.setdefault(theirs[at], []).append(at)
+    # Longest rising run: ``tails`` holds the least end of a run of each length.
+    tails: list[int] = []
+    ends: list[tuple] = []           # (at, meets, run before)
+    for at in range(i, n):
+        spare = where.get(ours[at])
+        if spare:
+            meets = spare.pop()
+            k = bisect_left(tails, meets)
+            link = (at, meets, ends[k - 1] if k else None)
+            if k == len(tails):
+                tails.append(meets)
+                ends.append(link)
+            else:
+                tails[k], ends[k] = meets, link
+    link, out = ends[-1], []
+    while link:
+        at, meets, link = link
+        out.append((at + 1, n, meets + 1, m))
+        n, m = at, meets
+    out.append((i, n, j, m))
+    return out[::-1]
+
+
+def differences(a: Node, b: Node) -> Iterator[tuple[int, int, int, int]]:
+    """Spans (start, end, start, end) of the two texts, a line end after each,
+    whose words lie under no aligned branch: from the roots down the children
+    of branches that differ are aligned in order and only the gaps are opened.
+    What stands outside the spans is the same sequence of characters in both."""
+    if a.digest != b.digest:
+        yield from _opened([a], [b], 0, 0, _ROOT)
+
+
+#: Levels of the tree; paragraphs and all above are nodes, phrases and words are strings.
+_ROOT, _PARAGRAPH, _WORDS = 0, 2, 4
+
+
+def _opened(left: list, right: list, at: int, to: int, level: int) -> Iterator[tuple[int, int, int, int]]:
+    if level > _PARAGRAPH:
+        keys, others, sizes, widths = left, right, map(len, left), map(len, right)
+    else:
+        keys, others = [n.digest for n in left], [n.digest for n in right]
+        sizes, widths = [n.chars for n in left], [n.chars for n in right]
+    starts, places = list(accumulate(sizes, initial=at)), list(accumulate(widths, initial=to))
+    for i, n, j, m in _gaps(keys, others):
+        if i == n or j == m or level == _WORDS:
+            yield starts[i], starts[n], places[j], places[m]
+        else:
+            yield from _opened(_children(left[i:n]), _children(right[j:m]), starts[i], places[j], level + 1)
 
 
-def _children(node: Node | str) -> list[Node] | list[str]:
-    return _WORD.findall(node) if isinstance(node, str) else node.children()
+def _children(nodes: list) -> list:
+    if isinstance(nodes[0], str):
+        return _WORD.findall("".join(nodes))
+    return [child for n in nodes for child in n.children()]
 
 
 def shared(a: Node, b: Node) -> int:
-    """Characters under equal branches of two trees, as far up as branches are equal."""
-    total, left, right = 0, [a], [b]
-    while left and right:
-        if isinstance(left[0], str):
-            ours, theirs = Counter(left), Counter(right)
-            both = ours & theirs
-            ours, theirs = (Counter(_WORD.findall("".join((c - both).elements()))) for c in (ours, theirs))
-            return (total + sum([len(p) * n for p, n in both.items()])
-                    + sum([len(w) * min(n, theirs[w]) for w, n in ours.items() if w in theirs]))
-        both = Counter([n.digest for n in left]) & Counter([n.digest for n in right])
-        if both:
-            sizes = {n.digest: n.chars for n in left}
-            total += sum([sizes[d] * n for d, n in both.items()])
-        left, right = _differing(left, both), _differing(right, both)
-    return total
-
-
-def _differing(nodes: list[Node], equal: Counter) -> list:
-    """Children of the nodes that have no equal on the other side."""
-    spare, out = Counter(equal), []
-    for n in nodes:
-        if spare[_key(n)]:
-            spare[_key(n)] -= 1
-        else:
-            out.extend(_children(n))
-    return out
+    """Characters under aligned branches of two trees."""
+    return a.chars - sum([end - start for start, end, _, _ in differences(a, b)])
 
 
 def likeness(a: Node, b: Node) -> float:
-    """Share of the longer text's characters that stand under equal branches."""
-    if a.digest == b.digest:
-        return 1.0
-    return min(1.0, shared(a, b) / max(a.chars, b.chars))
+    """Share of the longer text's characters that stand under aligned branches,
+    in order; 1 for equal roots only, and the same both ways."""
+    if b.digest < a.digest:
+        a, b = b, a
+    return shared(a, b) / max(a.chars, b.chars)
 
 
 def edits(a: Node, b: Node) -> list[tuple[int, int]]:
-    """Character spans of ``a`` whose words lie under no equal branch of ``b``."""
-    found: list[list[int]] = []
-
-    def walk(nodes: list, others: list, words: bool = False) -> None:
-        """``nodes`` are (start, node), all of one level, as ``others`` are."""
-        both = Counter(map(_key, others)) & Counter(_key(n) for _, n in nodes)
-        spare, opened = Counter(both), []
-        for at, n in nodes:
-            if spare[_key(n)]:
-                spare[_key(n)] -= 1
-            elif words:
-                if found and found[-1][1] == at:
-                    found[-1][1] = at + _chars(n)
-                else:
-                    found.append([at, at + _chars(n)])
-            else:
-                for child in _children(n):
-                    opened.append((at, child))
-                    at += _chars(child)
-        if opened:
-            walk(opened, _differing(others, both), isinstance(nodes[0][1], str))
-
-    walk([(0, a)], [b])
-    return [(s, e) for s, e in found]
+    """Character spans of ``a`` whose words lie under no aligned branch of
+    ``b``; a span without length stands where ``b`` alone has words."""
+    found: list[tuple[int, int]] = []
+    for start, end, _, _ in differences(a, b):
+        if found and found[-1][1] == start:
+            start = found.pop()[0]
+        found.append((start, end))
+    return found
 
 
 def _rows(batches: Iterable) -> Iterator:
