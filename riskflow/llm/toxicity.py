@@ -4,14 +4,21 @@ The kernel of two words counts their common subsequences of ``ORDER`` letters,
 each occurrence weighed by ``DECAY`` to the power of its span, spans up to
 ``SPAN`` characters; so an insult keeps most of its kernel value when letters
 are inserted into it or left out.  Characters that are no letters only widen
-spans.  Letters written apart ("i d i o t") are read as one word as well.  A
+spans.  Letters written apart ("i d i o t", over any white space) and
+neighbouring short words ("id iot") are read as one word as well, and so is a
+word without one letter that stands at every second place ("ixdxixoxt").  A
 sentence's kernel with a landmark is its best word's.
 
 Training is bounded (``MAX_TOXIC`` and ``MAX_CLEAN`` labelled documents, the
-first by a hash, equal texts once) and runs on the driver.  Sentences carry
-their document's label, and a word votes for the labels of the sentences it
-stands in; over a few rounds the votes of toxic sentences move to those of
-their words that the model finds toxic.  The SVM (squared hinge) is fitted on
+first by a hash, equal texts once; of a text above ``MAX_CHARS`` characters
+sentences drawn by a hash, at most twice as many characters; ``MAX_WORDS``
+distinct words, the most telling, the most frequent and a spread of the rest)
+and runs on the driver.  The texts are cut into sentences.  Those of a clean
+document are labelled clean.  A toxic document's are labelled toxic to the
+degree that their worst word comes near the document's worst: over a few rounds
+the votes of the label move to the sentences, and in a sentence to the words,
+that the model finds toxic; a word that only one toxic document has gets none.
+The SVM (squared hinge) is fitted on
 Nystroem features of the kernel, whose landmarks are the words that tell most
 and frequent ones.  Because a word has few subsequences, landmarks and their
 weights fold into one weight per subsequence; with that table of fixed size
@@ -22,7 +29,8 @@ values, and of its length.
 Defined results: null and empty texts score as a text without words; a null id
 is kept and is never used for training; labels that are null, or whose document
 is missing, are not used; if a training label is missing altogether every
-score is 0; repeated rows are scored each; other columns are not read.
+score is 0; of rows that share an id one is trained on; repeated rows are scored
+each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +46,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 ORDER, SPAN, DECAY = 4, 7, 0.7
 #: Letter codes: 1-26 for a-z, then classes of other letters; 0 is no letter.
@@ -49,13 +58,19 @@ FEATURES = 1 << FEATURE_BITS
 WINDOW = 16
 LANDMARKS = 256
 MAX_TOXIC, MAX_CLEAN = 2000, 3000
-#: Words of the training documents that the SVM is fitted on.
+#: Characters of a training document; of longer ones some sentences are drawn.
+MAX_CHARS = 10_000
+#: Distinct words of the training sentences that the SVM is fitted on.
 MAX_WORDS = 12_000
+#: Neighbouring words up to this length are read together as well.
+SHORT = 3
 ROUNDS = 3
 #: Distinct words whose value a task keeps.
 CACHE_WORDS = 500_000
 
-_APART = re.compile(r"(?:(?<!\S)\S ){3,}\S(?!\S)")
+#: A sentence ends at a line end or at white space after one of these.
+SENTENCE_END = r"(?<=[.!?])\s+|\n+"
+_SENTENCE = re.compile(SENTENCE_END)
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -71,17 +86,44 @@ def _codes() -> np.ndarray:
 _CODE = _codes()
 
 
+def sentences(text: str | None) -> list[str]:
+    return [part for part in _SENTENCE.split(text or "") if part.strip()]
+
+
 def words(text: str | None) -> list[str]:
-    """Lower-case words of a text, and runs of single characters joined."""
-    low = (text or "").lower()
-    found = low.split()
-    found += [run.replace(" ", "") for run in _APART.findall(low)]
-    return found
+    """Lower-case words of a text, runs of four or more single characters
+    joined, and short neighbours that are four letters or more together."""
+    found = (text or "").lower().split()
+    joined, run = [], []
+    before = 0
+    for at, word in enumerate(found):
+        size = len(word)
+        if size <= SHORT:
+            if 0 < before and before + size >= ORDER:
+                joined.append(found[at - 1] + word)
+            if size == 1:
+                run.append(word)
+        if run and size != 1:
+            if len(run) >= ORDER:
+                joined.append("".join(run))
+            run = []
+        before = size if size <= SHORT else 0
+    if len(run) >= ORDER:
+        joined.append("".join(run))
+    return found + joined
 
 
 def windows(word: str) -> list[str]:
-    """The word between its first and last letter, cut to overlapping windows."""
+    """The word between its first and last letter, cut to overlapping windows;
+    also without the one letter that stands at every second place."""
     kept = word if word.isalpha() else _EDGES.sub("", word)
+    odd = kept[1::2]
+    if len(kept) >= 2 * ORDER - 1 and odd == odd[0] * len(odd):
+        return _cut(kept) + _cut(kept[::2])
+    return _cut(kept)
+
+
+def _cut(kept: str) -> list[str]:
     if len(kept) <= WINDOW:
         return [kept]
     return [kept[at:at + WINDOW] for at in range(0, len(kept) - WINDOW // 2, WINDOW // 2)]
@@ -187,25 +229,31 @@ def document_features(values: list[float]) -> tuple[float, float, float]:
     return top[0], sum(top + [-1.0] * (3 - len(top))) / 3, math.log2(1 + len(distinct))
 
 
-def train(toxic: list[str], clean: list[str]) -> Model:
-    """Fit on the texts of toxic and clean documents."""
+def train(toxic: list[str], clean: list[str], max_words: int = MAX_WORDS) -> Model:
+    """Fit on the sentences of toxic and clean documents."""
     number: dict[str, int] = {}
-    docs = [np.unique([number.setdefault(p, len(number)) for w in words(t) for p in windows(w) if len(p) >= ORDER])
-            .astype(np.int64) for t in [*toxic, *clean]]
+
+    def ids(text: str) -> np.ndarray:
+        return np.unique([number.setdefault(p, len(number)) for w in words(text) for p in windows(w)
+                          if len(p) >= ORDER]).astype(np.int64)
+
+    parts = [[ids(part) for part in sentences(t)] for t in [*toxic, *clean]]
+    docs = [np.unique([np.zeros(0, np.int64)] if not ps else np.concatenate(ps)).astype(np.int64) for ps in parts]
+    owner = np.repeat(np.arange(len(parts)), [len(ps) for ps in parts])
+    rows = [part for ps in parts for part in ps]
     pieces = list(number)
-    del number
     is_toxic = np.arange(len(docs)) < len(toxic)
 
-    def count(of: np.ndarray) -> np.ndarray:
-        return np.bincount(np.concatenate([docs[i] for i in np.flatnonzero(of)] or [np.zeros(0, np.int64)]),
+    def count(bags: list[np.ndarray], of: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate([bags[i] for i in np.flatnonzero(of)] or [np.zeros(0, np.int64)]),
                            minlength=len(pieces))
 
-    votes, against = count(is_toxic), count(~is_toxic)
+    votes, against = count(rows, is_toxic[owner]), count(rows, ~is_toxic[owner])
     if not votes.any() or not against.any():
         return Model(np.zeros(FEATURES, np.float32), 0.0, (0.0, 0.0, 0.0, -700.0))
-    # How far a word's share of toxic documents exceeds chance, in standard errors.
-    n = len(toxic)
-    p, q = votes / n, against / len(clean)
+    # How far a word's share of toxic sentences exceeds chance, in standard errors.
+    n = np.count_nonzero(is_toxic[owner])
+    p, q = votes / n, against / np.count_nonzero(~is_toxic[owner])
     telling = (p - q) / np.sqrt((p + q) / 2 / n + 1 / n ** 2)
     first, common = np.argsort(-telling, kind="stable"), np.argsort(-against, kind="stable")
     common = common[:np.count_nonzero(against)]
@@ -215,8 +263,8 @@ def train(toxic: list[str], clean: list[str]) -> Model:
 
     marks = list(dict.fromkeys(first[:LANDMARKS // 2].tolist() + common[:LANDMARKS // 4].tolist()
                                + some(common, LANDMARKS // 4)))[:LANDMARKS]
-    items = np.array(list(dict.fromkeys(first[:MAX_WORDS // 4].tolist() + common[:MAX_WORDS // 4].tolist()
-                                        + some(first, MAX_WORDS // 2))), np.int64)[:MAX_WORDS]
+    items = np.array(list(dict.fromkeys(first[:max_words // 4].tolist() + common[:max_words // 4].tolist()
+                                        + some(first, max_words // 2))), np.int64)[:max_words]
     table = explicit([pieces[i] for i in marks])               # features x landmarks
     spectrum, vectors = np.linalg.eigh((table.T @ table).astype(np.float64))
     root = (vectors / np.sqrt(np.maximum(spectrum, 1e-3))).astype(np.float32)      # Nystroem: K_mm^(-1/2)
@@ -226,19 +274,22 @@ def train(toxic: list[str], clean: list[str]) -> Model:
 
     def fitted(of: np.ndarray) -> Model:
         """A model from the documents ``of``."""
-        minus = count(of & ~is_toxic)[items].astype(np.float32)
-        seen = count(of & is_toxic)[items]
-        plus = np.where(seen > 1, seen, 0).astype(np.float32)     # one document's own words tell nothing
-        bags = [at[plus[at] > 0] for at in (place[docs[i][place[docs[i]] >= 0]] for i in np.flatnonzero(of & is_toxic))]
+        minus = count(rows, (of & ~is_toxic)[owner])[items].astype(np.float32)
+        seen = count(docs, of & is_toxic)[items]
+        plus = np.where(seen > 1, count(rows, (of & is_toxic)[owner])[items], 0).astype(np.float32)
+        bags, whose = [], []
+        for i in np.flatnonzero((of & is_toxic)[owner]):
+            at = place[rows[i]]
+            at = at[at >= 0]
+            at = at[plus[at] > 0]
+            if len(at):
+                bags.append(at)
+                whose.append(owner[i])
         w = np.zeros(x.shape[1], np.float32)
         for turn in range(ROUNDS + 1):
             w = _fit_svm(x, plus, minus, w)
-            if turn < ROUNDS:
-                value, plus = x @ w, np.zeros(len(items), np.float32)
-                for at in bags:       # a toxic sentence's votes move to its most toxic words
-                    if len(at):
-                        share = np.exp(6 * (value[at] - value[at].max()))
-                        plus[at] += share / share.sum() * min(3, len(at))
+            if turn < ROUNDS and bags:
+                plus = _moved(x @ w, bags, np.array(whose), len(items))
         return Model(table @ (root @ w[:-1]), float(w[-1]), (0.0, 0.0, 0.0, 0.0))
 
     # The logistic is fitted on documents that the word values were not fitted on.
@@ -252,6 +303,20 @@ def train(toxic: list[str], clean: list[str]) -> Model:
     return Model(model.table, model.bias, _logistic(features[is_toxic], features[~is_toxic]))
 
 
+def _moved(value: np.ndarray, bags: list[np.ndarray], whose: np.ndarray, n: int) -> np.ndarray:
+    """Votes of toxic documents by word: a document's move to its most toxic
+    sentences (``bags``, in the order of ``whose``), a sentence's to its most toxic words."""
+    flat, sizes = np.concatenate(bags), np.array([len(at) for at in bags])
+    edges, first = np.cumsum(sizes) - sizes, np.flatnonzero(np.diff(whose, prepend=-1))
+    of_doc = np.diff(np.append(first, len(bags)))
+    worst = np.maximum.reduceat(value[flat], edges)
+    weight = np.exp(6 * (worst - np.repeat(np.maximum.reduceat(worst, first), of_doc)))
+    weight *= np.repeat(np.minimum(3, of_doc) / np.add.reduceat(weight, first), of_doc)
+    share = np.exp(6 * (value[flat] - np.repeat(worst, sizes)))
+    share *= np.repeat(weight / np.add.reduceat(share, edges), sizes)
+    return np.bincount(flat, share, n).astype(np.float32)
+
+
 def _fit_svm(x: np.ndarray, plus: np.ndarray, minus: np.ndarray, start: np.ndarray, ridge: float = 2e-3) -> np.ndarray:
     """Squared-hinge SVM by Newton steps.  Each row of x is a word with a
     weight as a toxic and one as a clean example; its last column is the bias."""
@@ -300,8 +365,11 @@ def held_out(id_col: str) -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN):
-    """A bounded sample of labelled texts outside the held-out fifth, equal texts once."""
+                   label_col: str = "toxic", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN,
+                   max_chars: int = MAX_CHARS):
+    """A bounded sample of labelled texts outside the held-out fifth, equal texts
+    once: (toxic, clean).  Of a text above ``max_chars`` characters the sentences
+    are drawn by a hash, ``2 * max_chars`` characters of them at most."""
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     label = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
              .filter("label is not null and doc_id is not null").filter(~held_out("doc_id"))
@@ -309,7 +377,13 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     ids = label.withColumn("order", F.xxhash64(F.lit(7), "doc_id"))
     chosen = (ids.filter("label = 1").orderBy("order", "doc_id").limit(max_toxic)
               .unionByName(ids.filter("label = 0").orderBy("order", "doc_id").limit(max_clean)))
-    rows = text.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id").collect()   # bounded by the limits
+    share = F.lit(1000 * max_chars) / F.length("text")
+    drawn = F.filter(F.split("text", SENTENCE_END), lambda part: F.pmod(F.xxhash64(part), F.lit(1000)) < share)
+    bounded = F.when(F.length("text") <= max_chars, F.col("text")).otherwise(
+        F.substring(F.concat_ws("\n", drawn), 1, 2 * max_chars))
+    rows = (text.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min(bounded).alias("text"))
+            .select("label", "text").collect())     # at most max_toxic + max_clean texts of 2 * max_chars
     toxic = {r["text"] or "" for r in rows if r["label"] == 1}
     clean = {r["text"] or "" for r in rows if r["label"] == 0} - toxic
     return sorted(toxic), sorted(clean)
@@ -348,9 +422,12 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
                 scores = [model.score([known[w] for w in ws]) for ws in found]
                 yield pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()), *some.columns[1:]],
                                                  names=["score", *some.schema.names[1:]])
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
-    return rows.mapInArrow(run, ", ".join(["score double", *kinds]))
+    return rows.mapInArrow(run, StructType([StructField("score", DoubleType()), *rows.schema.fields[1:]]))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return score(docs, train(*training_texts(docs, labels, id_col, text_col)), id_col, text_col)
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_chars: int = MAX_CHARS,
+             max_words: int = MAX_WORDS) -> DataFrame:
+    texts = training_texts(docs, labels, id_col, text_col, max_toxic=max_toxic, max_clean=max_clean,
+                           max_chars=max_chars)
+    return score(docs, train(*texts, max_words=max_words), id_col, text_col)

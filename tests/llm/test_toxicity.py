@@ -40,7 +40,8 @@ def test_held_out_accuracy(model):
     assert len(wrong) <= 12
 
 
-@pytest.mark.parametrize("word", ["idiot", "i.d.i.o.t", "idi-ot", "iddiot", "path*etic", "wortthless", "i d i o t"])
+@pytest.mark.parametrize("word", ["idiot", "i.d.i.o.t", "idi-ot", "iddiot", "path*etic", "wortthless", "i d i o t",
+                                  "id iot", "idi ot", "i  d  i  o  t", "i\nd\ni\no\nt", "iXdXiXoXt"])
 def test_gapped_and_inserted_characters_score_above_clean_words(model, word):
     clean = model.values([w for _, t, y in corpus(40, 3) if not y for w in tox.words(t)])
     assert model.values(tox.words(word)).max() > np.quantile(clean, 0.995)
@@ -103,3 +104,30 @@ def test_empty_tables(spark, docs_of):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert tox.toxicity(docs_of([]), labels).collect() == []
     assert {r["predicted"] for r in tox.toxicity(docs_of([(1, "a b")]), labels).collect()} == {0}
+
+
+def test_sentences_and_joined_words():
+    assert tox.sentences("One. Two!\nthree 3.5 four?") == ["One.", "Two!", "three 3.5 four?"]
+    assert tox.sentences(None) == tox.sentences(" \n ") == []
+    assert tox.words("Id iot here") == ["id", "iot", "here", "idiot"]
+    assert tox.words("a b c") == ["a", "b", "c"] and tox.words("a\tb c\n d e")[-1] == "abcde"
+    assert tox.windows("ixdxixoxt") == ["ixdxixoxt", "idiot"] and tox.windows("banana") == ["banana"]
+
+
+def test_a_toxic_documents_votes_move_to_its_toxic_sentence():
+    value = np.array([-1.0, -1.0, 2.0, -1.0, 1.9])
+    bags = [np.array([0, 1]), np.array([1, 2]), np.array([0, 3]), np.array([4])]
+    got = tox._moved(value, bags, np.array([0, 0, 1, 1]), 5)
+    assert got.sum() == pytest.approx(4) and got[2] > 1.9 and got[4] > 1.9
+
+
+def test_long_training_texts_are_drawn_by_sentences(spark):
+    long = " ".join(f"Sentence number {i} stands here." for i in range(5000))
+    docs = spark.createDataFrame([(1, long), (1, long + "x"), (2, "short one."), (3, "y" * 50_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    toxic, clean = tox.training_texts(docs, labels, max_chars=2000)
+    taken = [i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5]
+    assert len(toxic) == (1 in taken) and "short one." in clean
+    assert all(len(t) <= 4000 for t in toxic + clean)
+    for text in toxic:
+        assert 1000 < len(text) and set(tox.sentences(text)[:-1]) < set(tox.sentences(long))
