@@ -9,8 +9,11 @@ digest held by a third of all rows reaches its state as one row per task.
 
 On a hit (a digest with more than one row) the full normalised bytes are read
 and compared, whatever the locators say: the least and the greatest of a digest
-must be the same; a digest whose rows differ is regrouped by its full bytes, so even a weak digest cannot
-merge two texts.
+must be the same.  Short keys of the hit digests are broadcast up to ``HIT_KEYS``
+of them, so that only the hits' texts leave their tasks; beyond that all texts do.
+Either way a task sends the least and the greatest text of a digest only, however
+often it holds it.  A digest whose rows differ is regrouped by its full bytes,
+so even a weak digest cannot merge two texts.
 
 Defined results: a null text is the empty text; a null id sorts after every
 other id; among rows alike in length and id the first to arrive stays; an
@@ -34,6 +37,8 @@ PREALLOCATE_KEY = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 STATE_ROWS = 20_000
 #: Bytes of arrivals in one micro-batch.
 BATCH_BYTES = 512 << 20
+#: Hit digests whose 64-bit keys are broadcast, some 30 bytes each.
+HIT_KEYS = 1_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -109,13 +114,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     partitions = min(common.shuffle_partitions(spark), -(-rows // STATE_ROWS))
     classes = common.stored(run_state(spark, f"{work}/arrivals", arrivals.schema, work, partitions,
                                       batch_bytes, max_files), "exact-classes")
-    hits = classes.filter("group_size > 1").select("digest")
     text = _texts(docs, id_col, text_col, digest)
-    # The full bytes of the hits only; all rows of a digest are alike if the least and the greatest are.
-    seen = common.stored(text.join(hits, "digest").select("digest", "normal"), "exact-hits")
-    differing = common.stored(
-        seen.groupBy("digest").agg(F.min("normal").alias("least"), F.max("normal").alias("greatest"))
-        .filter(F.col("least") != F.col("greatest")).select("digest"), "exact-differing")
+    differing = common.stored(_differing(text, classes), "exact-differing")
     alike = arrivals
     if not differing.isEmpty():
         alike = arrivals.join(differing, "digest", "left_anti")
@@ -134,6 +134,15 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
                     F.xxhash64("normal").alias("locator")))
 
 
+def _differing(text: DataFrame, classes: DataFrame) -> DataFrame:
+    """Digests of several rows whose full bytes are not all the same: the least and the greatest differ."""
+    hits = classes.filter("group_size > 1").select(F.xxhash64("digest").alias("hit"))
+    if hits.count() <= HIT_KEYS:     # rows of another digest with a hit's key come along, and are alike
+        text = text.join(F.broadcast(hits), F.xxhash64("digest") == F.col("hit"), "left_semi")
+    ends = text.groupBy("digest").agg(F.min("normal").alias("least"), F.max("normal").alias("greatest"))
+    return ends.filter(F.col("least") != F.col("greatest")).select("digest")
+
+
 def _by_bytes(arrivals: DataFrame, text: DataFrame) -> DataFrame:
     """Group the rows of clashing digests by their full normalised bytes."""
     same_row = ((F.col("a.digest") == F.col("t.digest")) & (F.col("a.locator") == F.col("t.locator"))

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskflow.llm import sql
-from riskflow.llm.exact_dedup import exact_dedup, normalised
+from riskflow.llm.exact_dedup import _differing, exact_dedup, normalised
 from tests.llm.conftest import ODD_ROWS
 
 
@@ -61,6 +61,25 @@ def test_bytes_are_compared_when_digest_and_locator_clash(docs_of, monkeypatch):
         (1, 1, 2), (2, 2, 2), (3, 1, 2), (4, 4, 1), (5, 2, 2)]
 
 
+def test_beyond_the_broadcast_bound(docs_of, monkeypatch):
+    """Without broadcast keys the same rows come out, also where digests clash."""
+    monkeypatch.setattr("riskflow.llm.exact_dedup.HIT_KEYS", 0)
+    check(exact_dedup(docs_of(ODD_ROWS)).collect(), ODD_ROWS)
+    rows = [(i, f"word{i % 11} tail" + " " * (i % 2), "a") for i in range(50)]
+    weak = exact_dedup(docs_of(rows), digest=lambda normal: (F.crc32(normal.cast("binary")) % 3).cast("string"))
+    check(weak.collect(), rows)
+
+
+def test_only_hits_leave_their_tasks(spark):
+    """Texts of a single row are dropped before the exchange."""
+    text = spark.createDataFrame([(i, f"t{i % 90}", f"d{i % 90}") for i in range(100)],
+                                 "doc_id long, normal string, digest string").withColumn("locator", F.lit(0))
+    classes = text.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    found = _differing(text, classes)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi") and found.count() == 0
+
+
 def test_empty_table(docs_of):
     assert exact_dedup(docs_of([])).collect() == []
 
