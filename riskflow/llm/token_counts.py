@@ -16,8 +16,8 @@ fallback does.
 
 Defined results: a null or wordless text has 0 tokens; of splits with equal
 scores the one with fewer tokens counts; rows alike count alike; a null id is
-kept; very long pre-tokens are walked with a window as long as the longest
-piece; an empty input gives no rows; other columns are not read.
+kept; pre-tokens of any length are in the trie, a step looks back as far as the
+longest piece; an empty input gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,10 +33,8 @@ from pyspark.sql import functions as F
 START = "▁"
 SHIFT = 10.0
 UNKNOWN = -25.0
-#: Distinct pre-tokens whose counts a task keeps.
-CACHE_WORDS = 700_000
-#: Longer pre-tokens are counted alone and not kept.
-LONG = 64
+#: Distinct pre-tokens, and their characters, whose counts a task keeps from batch to batch.
+CACHE_WORDS, CACHE_CHARS = 700_000, 20_000_000
 
 
 def load_pieces(model_file: str) -> dict[str, float]:
@@ -50,21 +48,34 @@ def load_pieces(model_file: str) -> dict[str, float]:
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def shared(a: str, b: str) -> int:
+    """Length of the longest common prefix, by halving: pre-tokens may be very long."""
+    same, differ = 0, min(len(a), len(b)) + 1
+    while differ - same > 1:
+        middle = (same + differ) // 2
+        if a[same:middle] == b[same:middle]:
+            same = middle
+        else:
+            differ = middle
+    return same
+
+
 class Counter:
     """Token counts of pre-tokens under a unigram vocabulary."""
 
     def __init__(self, pieces: dict[str, float]):
         self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
         self.known: dict[str, int] = {}
+        self.chars = 0     # of the words in ``known``
         self.nodes = 0     # forward steps done
 
-    def _step(self, prefix: str, scores: list[float], counts: list[int]) -> None:
-        """Forward score and token count of ``prefix`` from those of its own prefixes."""
+    def _step(self, full: str, end: int, scores: list[float], counts: list[int]) -> None:
+        """Forward score and token count of ``full[:end]`` from those of its own prefixes."""
         self.nodes += 1
-        end, pieces = len(prefix), self.pieces
-        best, fewest = scores[end - 1] + UNKNOWN, counts[end - 1] + len(prefix[-1].encode("utf-8", "surrogatepass"))
+        pieces, last = self.pieces, full[end - 1]
+        best, fewest = scores[end - 1] + UNKNOWN, counts[end - 1] + len(last.encode("utf-8", "surrogatepass"))
         for start in range(max(0, end - self.longest), end):
-            score = pieces.get(prefix[start:])
+            score = pieces.get(full[start:end])
             if score is not None:
                 total = scores[start] + score
                 if total > best or total == best and counts[start] + 1 < fewest:
@@ -72,42 +83,32 @@ class Counter:
         scores.append(best)
         counts.append(fewest)
 
-    def one(self, word: str) -> int:
-        """A pre-token by itself, in memory bounded by the longest piece."""
-        scores, counts, tail = [0.0], [0], START
-        self._step(tail, scores, counts)
-        for char in word:
-            tail = (tail + char)[-self.longest:]
-            scores, counts = scores[-len(tail):], counts[-len(tail):]
-            self._step(tail, scores, counts)
-        return counts[-1]
-
     def learn(self, words: set[str]) -> None:
         """Walk the trie of the words depth first.  Sorted words are that walk:
         what a word shares with the one before is the path already stood on."""
         path, scores, counts = START, [0.0], [0]
-        self._step(path, scores, counts)
+        self._step(path, 1, scores, counts)
         for word in sorted(words):
             full = START + word
-            stay = min(len(path), len(full))
-            while path[:stay] != full[:stay]:
-                stay -= 1
+            stay = shared(path, full)
             del scores[stay + 1:], counts[stay + 1:]
             for end in range(stay + 1, len(full) + 1):
-                self._step(full[:end], scores, counts)
+                self._step(full, end, scores, counts)
             path = full
             self.known[word] = counts[-1]
+            self.chars += len(word)
 
     def texts(self, texts: list[str | None]) -> list[tuple[int, int]]:
         """(words, tokens) of each text."""
         split = [[w.decode("utf-8", "surrogatepass") for w in (t or "").encode("utf-8", "surrogatepass").split()]
                  if _OTHER_SPACE.search(t or "") else (t or "").split() for t in texts]
         # Before the new words are told from the known ones, all of which are looked up below.
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self.known.clear()
-        self.learn({w for ws in split for w in ws if w not in self.known and len(w) <= LONG})
+            self.chars = 0
+        self.learn({w for ws in split for w in ws if w not in self.known})
         known = self.known
-        return [(len(ws), sum(known[w] if len(w) <= LONG else self.one(w) for w in ws)) for ws in split]
+        return [(len(ws), sum(known[w] for w in ws)) for ws in split]
 
 
 def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

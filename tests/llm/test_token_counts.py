@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers as public
 import pytest
@@ -32,7 +33,6 @@ def test_against_brute_force(pieces):
     counter = tc.Counter(pieces)
     counter.learn(words)
     assert {w: counter.known[w] for w in words} == {w: brute(w, pieces) for w in words}
-    assert all(counter.one(w) == counter.known[w] for w in words)
 
 
 def test_shared_prefixes_are_walked_once(pieces):
@@ -43,6 +43,37 @@ def test_shared_prefixes_are_walked_once(pieces):
                                  for i in range(len(w) + 1)})
 
 
+def test_long_words_share_their_prefixes(pieces):
+    """Every pre-token is in the trie, also those of thousands of characters."""
+    stem = "".join(random.Random(5).choices("ation er", k=3000)).replace(" ", "x")
+    words = {stem, stem + "s", stem + "tion", stem[:2000] + "q"}
+    counter = tc.Counter(pieces)
+    counter.learn(words)
+    assert counter.nodes == len({tc.START + w[:i] for w in words for i in range(len(w) + 1)})
+    assert {w: counter.known[w] for w in words} == {w: brute(w, pieces) for w in words}
+
+
+def test_time_of_very_long_words_is_linear(pieces):
+    counter = tc.Counter(pieces)
+    began = time.process_time()
+    assert counter.texts(["ab" * 200_000 + " " + "ab" * 200_000 + "c", None])[0][0] == 2
+    assert counter.nodes < 400_010 and time.process_time() - began < 30
+
+
+def test_cache_is_bounded_in_characters(monkeypatch, pieces):
+    monkeypatch.setattr(tc, "CACHE_CHARS", 10)
+    counter = tc.Counter(pieces)
+    for texts in (["q" * 500], ["q" * 500 + " the"], ["the"]):
+        assert [n for _, n in counter.texts(texts)] == [sum(brute(w, pieces) for w in t.split()) for t in texts]
+    assert counter.chars == 3 and set(counter.known) == {"the"}
+
+
+@pytest.mark.parametrize("a, b", [("", ""), ("", "a"), ("abc", "abc"), ("abc", "abd"), ("abc", "abcd"), ("xbc", "abc")])
+def test_shared_prefix(a, b):
+    import os
+    assert tc.shared(a, b) == tc.shared(b, a) == len(os.path.commonprefix([a, b]))
+
+
 def test_documents(docs_of, pieces):
     texts = {1: "the cat\tsat \x0b on", 2: None, 3: "", 4: "\n ", 5: "nb\xa0sp a\x85b", 6: "w" * 5000, 7: "the cat"}
     out = {r["doc_id"]: (r["n_words"], r["n_tokens"]) for r in tc.count_tokens(docs_of(list(texts.items())), MODEL).collect()}
