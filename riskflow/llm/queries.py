@@ -58,7 +58,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels: the document that the last number of a url's path names, blocked if its quality is 0 or it is toxic."""
+    """Labels: the verdicts of the listed rules, and for other urls the document that the last number of the path
+    names, blocked if its quality is 0 or it is toxic."""
     pages = table(spark, sf_dir, "pages")
     number = F.regexp_extract(path_of(F.col("url")), r"(\d{1,18})\D*$", 1).try_cast("long")
     verdict = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow")

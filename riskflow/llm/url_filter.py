@@ -5,8 +5,8 @@ into host and path.  Listed rules are held in a map from rule host to its
 rules; a url looks up the suffixes of its host, keeps the rules whose path
 begins its own and takes the longest.
 
-FP-growth mines, from labelled urls (a table of urls with verdicts; where none
-is given, the urls that a listed rule decides), the
+FP-growth mines, from labelled urls (those that a listed rule decides, by its
+verdict, and a given table of further urls with verdicts), the
 combinations of url tokens (host suffixes, path segments, query keys) that go
 with a verdict; association rules are pruned by support, by confidence, and
 where a part of the same tokens says the same as surely.  An inverted index
@@ -133,13 +133,18 @@ def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, id_col: str
                 rules: Sequence[tuple[str, str]] = RULES, min_support: float = MIN_SUPPORT,
                 min_confidence: float = MIN_CONFIDENCE, default: str = DEFAULT) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict.  ``labelled`` has
-    the columns url and verdict (block or allow)."""
+    the columns url and verdict (block or allow); of its rows those count that
+    no listed rule fits, since the rule's verdict is the label of such a url."""
     rows = _parts(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url")))
     rows = rows.withColumn("listed", fitting_rule(F.col("host"), F.col("path"), rules))
     rows = common.stored(rows.select("page_id", "host", "path", "tokens", F.col("listed.rule").alias("rule"),
                                      F.col("listed.verdict").alias("verdict")), "url-rows")
-    known = rows.filter("rule is not null") if labelled is None else _parts(labelled.select("url", "verdict"))
-    known = common.stored(known.select("tokens", "verdict").filter("verdict is not null"), "url-labelled")
+    known = rows.filter("rule is not null").select("tokens", "verdict")
+    if labelled is not None:
+        further = _parts(labelled.select(F.col("url").cast("string").alias("url"), "verdict"))
+        known = known.unionByName(further.filter(fitting_rule(F.col("host"), F.col("path"), rules).isNull())
+                                  .select("tokens", "verdict"))
+    known = common.stored(known.filter("verdict is not null"), "url-labelled")
     if known.isEmpty():
         return rows.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
     mined = judge(rows.filter("rule is null").select("tokens").distinct(), mine(known, min_support, min_confidence))

@@ -2,7 +2,9 @@ import random
 
 import pytest
 
+from riskflow.llm import queries
 from riskflow.llm.url_filter import RULES, filter_urls, mine
+from tests.conftest import SF_SMALL
 
 
 def split(url):
@@ -56,6 +58,23 @@ def test_mined_rules_judge_the_rest(spark):
     assert got == {k: v for k, (_, v) in urls.items()}
 
 
+def test_listed_verdicts_are_labels_too(spark):
+    """Of a labelled url that a listed rule fits, the rule's verdict is learned."""
+    pages = [(i, f"http://a{i % 3}.net/spam/{i}") for i in range(60)] + [(90, "http://b.test/spam/1"), (91, "http://b.test/ham/1")]
+    labelled = spark.createDataFrame([("http://c.net/spam/7", "allow")] * 500 + [("http://c.test/ham/7", "allow")] * 9,
+                                     "url string, verdict string")
+    rows = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(rows, labelled, default="allow").collect()}
+    assert got == {**dict.fromkeys(range(60), "block"), 90: "block", 91: "allow"}
+
+
+def test_mined_rules_change_verdicts_of_the_tables(spark):
+    """Against the default alone, some unlisted pages of the given tables are judged otherwise."""
+    found = {r["page_id"]: r for r in queries.op9_url_filter(spark, SF_SMALL).collect()}
+    changed = [r for r in found.values() if r["rule"] is None and r["verdict"] != "allow"]
+    assert changed and len(changed) < len([r for r in found.values() if r["rule"] is None])
+
+
 def test_mined_rules_by_brute_force(spark):
     rows = [(["a", "b"], "block")] * 8 + [(["a"], "allow")] * 4 + [(["b", "c"], "block")] * 3 + [(["c"], "allow")] * 2
     rules = mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 0.8).collect()
