@@ -165,3 +165,29 @@ def test_registry_decode_stays_in_the_jvm(spark, monkeypatch):
         assert all(c[1].get("avroSchema") == (schemas.TRANSACTION_AVRO if writers else None) for c in used)
     with pytest.raises(Exception, match="unknown schema id"):
         ingest.decode_transactions(df, writer_schemas={3: old}).collect()
+
+
+def test_encode_stays_in_the_jvm(spark, monkeypatch):
+    """With spark-avro loaded the producer's side is ``to_avro`` on a record of the schema's own types."""
+    calls = []
+
+    def stand_in(column, schema):
+        calls.append(schema)
+        return F.to_json(column).cast("binary")
+    monkeypatch.setattr(avro, "to_avro", stand_in)
+    monkeypatch.setattr(avro, "spark_avro_available", lambda session: True)
+    schema = json.dumps({"type": "record", "name": "R", "fields": [
+        {"name": "id", "type": "long"}, {"name": "note", "type": ["null", "string"]}, {"name": "size", "type": "double"}]})
+    df = spark.createDataFrame([(1, "a", 2), (2, None, 3)], "id int, note string, size int")
+    out = avro.encode(df, schema, keep=["id"])
+    assert out.columns == ["id", "body"] and calls == [schema]
+    assert "InArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [bytes(r["body"]) for r in out.sort("id").collect()] == [b'{"id":1,"note":"a","size":2.0}', b'{"id":2,"size":3.0}']
+    with pytest.raises(Exception, match="null in the required field size"):
+        avro.encode(df.withColumn("size", F.lit(None).cast("int")), schema).collect()
+
+
+def test_encode_without_the_module_refuses_nulls_in_required_fields(spark):
+    schema = json.dumps({"type": "record", "name": "R", "fields": [{"name": "id", "type": "long"}]})
+    with pytest.raises(Exception):
+        avro.encode(spark.createDataFrame([(None,)], "id long"), schema).collect()
