@@ -8,7 +8,6 @@ once for the same files (``catalog.cached_run``).
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -192,8 +191,7 @@ def retry_run(spark: SparkSession, sf_dir: str) -> str:
             f"{run}/checkpoints/retry", throttled, DEFAULT.with_(explain_wait_min=0.5, explain_wait_max=1.0),
             trigger={"processingTime": "0 seconds"}, name="retry-" + run.rsplit("-", 1)[-1], pass_attempt=True)
         try:
-            until = time.monotonic() + 600
-            while not query.awaitTermination(1) and time.monotonic() < until:
+            while not query.awaitTermination(1):
                 parts = [t for t in sinks if not Ledger.missing(spark, t.path)]
                 if len(parts) == 2 and sum(t.read(spark).count() for t in parts) >= total:
                     break
@@ -207,9 +205,8 @@ def q_stream_explained_retry(spark, sf_dir):
     run = retry_run(spark, sf_dir)
     shape = T.StructType(OUTPUT.fields + [T.StructField("attempts", T.IntegerType())])
     outputs = FileTopic(run, "explained").read(spark).unionByName(FileTopic(run, "dead-letters").read(spark))
-    text = F.col("value").cast("string")
-    rows = outputs.select(F.col("key").cast("string").alias("record_key"), F.from_json(text, shape).alias("r"),
-                          flag_key(F.from_json(text, shape)).alias("flag"))
+    rows = outputs.select(F.col("key").cast("string").alias("record_key"), F.from_json(F.col("value").cast("string"), shape).alias("r"))
+    rows = rows.withColumn("flag", flag_key(F.col("r")))
     # The retry topic's parts are the batches in which an attempt failed.
     failed = FileTopic(run, "retry").read(spark).withColumn("batch", F.regexp_extract("_metadata.file_path", r"-(\d+)/[^/]*$", 1))
     waiting = F.from_json(F.col("value").cast("string"), retry.WAITING)

@@ -36,15 +36,17 @@ from riskflow.operators import explain, payload
 from riskflow.sources.topic import FileTopic, KafkaTopic, produce
 from riskflow.streaming.pipeline import ROCKSDB_PROVIDER
 
-#: A flag waiting for its next attempt, as the retry topic's JSON.
+#: A flag waiting for its next attempt, as the retry topic's JSON.  Flags of one ``slot`` wait together.
 WAITING = T.StructType([
     T.StructField("offer_id", T.StringType()), T.StructField("message_key", T.StringType()),
     T.StructField("message", T.StringType()), T.StructField("attempt", T.IntegerType()),
-    T.StructField("not_before_ms", T.LongType())])
+    T.StructField("not_before_ms", T.LongType()), T.StructField("slot", T.StringType())])
+#: Flags of a slot at most: a slot's calls to the state store and its timer are shared by them.
+SLOT_FLAGS = 1000
 
 
 class DelayQueue(StatefulProcessor):
-    """Hands a row on at its time: at once if that has come, else by a timer."""
+    """Hands rows of a slot on at their time: at once if that has come, else by a timer for each time."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -56,17 +58,19 @@ class DelayQueue(StatefulProcessor):
             due = some["not_before_ms"] <= now
             if due.any():
                 yield some[due]
-            for row in some[~due].itertuples(index=False):
-                self.waiting.appendValue(tuple(row))
-                self.handle.registerTimer(int(row.not_before_ms))
+            held = some[~due]
+            if len(held):
+                self.waiting.appendList([tuple(row) for row in held.itertuples(index=False)])
+            for at in held["not_before_ms"].unique():
+                self.handle.registerTimer(int(at))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         held = list(self.waiting.get())
         self.waiting.clear()
-        later = [r for r in held if r[4] > now]
-        for r in later:                     # their own timers are still to come
-            self.waiting.appendValue(tuple(r))
+        later = [tuple(r) for r in held if r[4] > now]
+        if later:                           # their own timers are still to come
+            self.waiting.appendList(later)
         due = [r for r in held if r[4] <= now]
         if due:
             yield pd.DataFrame([tuple(r) for r in due], columns=[f.name for f in WAITING.fields])
@@ -76,9 +80,10 @@ class DelayQueue(StatefulProcessor):
 
 
 def delayed(messages: DataFrame) -> DataFrame:
-    """Messages of the retry topic, each from its time on."""
+    """Messages of the retry topic, each from its time on.  One without a slot waits alone."""
     waiting = messages.select(F.from_json(F.col("value").cast("string"), WAITING).alias("w")).select("w.*")
-    return waiting.groupBy("offer_id").transformWithStateInPandas(DelayQueue(), WAITING, "Append", "ProcessingTime")
+    waiting = waiting.withColumn("slot", F.coalesce("slot", "offer_id"))
+    return waiting.groupBy("slot").transformWithStateInPandas(DelayQueue(), WAITING, "Append", "ProcessingTime")
 
 
 def start_retrying_explainer(flag_stream: DataFrame, retry_topic: FileTopic | KafkaTopic, explained_sink, dlq_sink,
@@ -115,7 +120,9 @@ def start_retrying_explainer(flag_stream: DataFrame, retry_topic: FileTopic | Ka
             waiting = results.filter(again).select(
                 F.sha2("raw_value", 256).alias("offer_id"), F.col("record_key").alias("message_key"),
                 F.col("raw_value").alias("message"), (F.col("attempts") + 1).alias("attempt"),
-                (F.unix_millis(F.current_timestamp()) + F.get(waits, F.col("attempts") - 1)).alias("not_before_ms"))
+                (F.unix_millis(F.current_timestamp()) + F.get(waits, F.col("attempts") - 1)).alias("not_before_ms"),
+                # runs of a task's rows; the batch's id keeps slots of different batches apart
+                F.concat(F.lit(f"{batch_id}-"), F.expr(f"monotonically_increasing_id() div {SLOT_FLAGS}")).alias("slot"))
             retry_topic.write_batch(waiting.select(F.col("message_key").alias("key"), F.to_json(F.struct("*")).alias("value")), part)
             done = results.filter(~again)
             explained_sink.write_batch(explain.to_output_payload(explain.explained(done), ("attempts",)), part)

@@ -1,5 +1,7 @@
 """Late rows, open windows, restart, replayed flags, retries, metrics, versions, unions."""
 
+import collections
+import glob
 import json
 import time
 
@@ -15,6 +17,8 @@ from riskflow.sources.topic import FileTopic, produce
 from riskflow.streaming import once, state, windows
 from riskflow.streaming.ledger import Ledger
 from riskflow.streaming.metrics import BatchMetrics, observed
+from riskflow.streaming import retry as retries
+from riskflow.streaming.explainer import start_explainer
 from riskflow.streaming.retry import start_retrying_explainer
 from riskflow.streaming.sinks import TableSink, TopicSink
 from riskflow.streaming.union import start_union
@@ -179,6 +183,39 @@ def test_retries_come_in_later_batches(spark, scratch):
 
 def test_metrics_of_batches(spark, scratch):
     topic = FileTopic(scratch, "flags")
+def test_flags_of_a_slot_wait_together(spark, scratch, monkeypatch):
+    monkeypatch.setattr(retries, "SLOT_FLAGS", 100)
+    topic, retry = FileTopic(scratch, "flags"), FileTopic(scratch, "retry")
+    messages(spark, topic, "batch-0", [flag(n) for n in range(250)])
+    # Two times in one slot, and a message without a slot.
+    now = int(time.time() * 1000)
+    waits = [{"offer_id": f"o{n}", "message_key": "k", "message": flag(n), "attempt": 2, "not_before_ms": at} | slot
+             for n, at, slot in ((900, now, {"slot": "s"}), (901, now + 9000, {"slot": "s"}), (902, now + 9000, {"slot": "s"}), (903, now + 6000, {}))]
+    messages(spark, retry, "batch-old", [json.dumps(w) for w in waits])
+
+    def explainer(record, prompt, attempt):
+        if attempt == 1:
+            raise explain.RetryableError("busy")
+        return "ok"
+    cfg = DEFAULT.with_(explain_wait_min=0.5, explain_wait_max=0.5)
+    sink = FileTopic(scratch, "explained")
+    q = start_retrying_explainer(topic.read_stream(spark), retry, TopicSink(sink), TopicSink(FileTopic(scratch, "dead")), f"{scratch}/ck",
+                                 explainer, cfg, trigger={"processingTime": "0 seconds"}, name="slots-" + scratch[-6:], pass_attempt=True)
+    until = time.monotonic() + 240
+    try:
+        while time.monotonic() < until and not q.awaitTermination(1):
+            if not Ledger.missing(spark, sink.path) and sink.read(spark).count() >= 254:
+                break
+    finally:
+        q.stop()
+    got = [json.loads(r["v"]) for r in sink.read(spark).select(F.col("value").cast("string").alias("v")).collect()]
+    assert sorted(int(g["transaction_id"]) for g in got) == [*range(250), 900, 901, 902, 903]
+    assert {g["attempts"] for g in got} == {2}
+    held = [json.loads(r["v"]) for r in retry.read(spark).select(F.col("value").cast("string").alias("v")).collect()]
+    sizes = collections.Counter(h["slot"] for h in held if not h["offer_id"].startswith("o"))
+    assert sorted(sizes.values()) == [50, 100, 100]
+
+
     messages(spark, topic, "batch-0", [flag(1), flag(2)])
     messages(spark, topic, "batch-1", [flag(3)])
     metrics = BatchMetrics(spark, f"{scratch}/metrics")
