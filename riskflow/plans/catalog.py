@@ -267,8 +267,17 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     return cached_run(spark, sf_dir, "stream", make)
 
 
-#: Parts of the raw topic in the many-batch run, one for each micro-batch, and files in a part.
-BATCH_PARTS, PART_FILES = 8, 2
+#: Parts of the raw topic in the many-batch run, one for each micro-batch.
+BATCH_PARTS = 8
+#: Files in a part at least, and rows for each further file.
+PART_FILES, FILE_ROWS = 2, 5000
+
+
+def part_files(spark: SparkSession, rows: int) -> int:
+    """Files of each part of a topic whose least part holds ``rows`` rows: one
+    for each task slot, as long as dealing the rows out leaves none empty
+    (an empty one would not be written, and a batch would end in the next part)."""
+    return max(PART_FILES, min(rows // FILE_ROWS, workspace.parallelism(spark)))
 
 
 def stream_run_batches(spark: SparkSession, sf_dir: str) -> str:
@@ -280,12 +289,13 @@ def stream_run_batches(spark: SparkSession, sf_dir: str) -> str:
         tx = read_transactions(spark, sf_dir)
         shares = [k / BATCH_PARTS for k in range(1, BATCH_PARTS)]
         cuts = tx.agg(F.percentile_approx("timestamp", shares).alias("c")).first()["c"] or []
-        ends = [None, *cuts, None]
-        for k, (low, high) in enumerate(zip(ends, ends[1:], strict=False)):
-            at = F.col("timestamp")
-            part = tx.filter((F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high))
-            produce(ingest.to_wire(part.repartition(PART_FILES)), raw, part=f"batch-{k:04d}")
-        p = start_pipeline(raw.read_stream(spark, max_files_per_trigger=PART_FILES),
+        ends, at = [None, *cuts, None], F.col("timestamp")
+        within = [(F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high)
+                  for low, high in zip(ends, ends[1:], strict=False)]
+        files = part_files(spark, min(tx.agg(*[F.count_if(some).alias(f"n{k}") for k, some in enumerate(within)]).first()))
+        for k, some in enumerate(within):
+            produce(ingest.to_wire(tx.filter(some).repartition(files)), raw, part=f"batch-{k:04d}")
+        p = start_pipeline(raw.read_stream(spark, max_files_per_trigger=files),
                            TopicSink(FileTopic(run, DEFAULT.flagged_topic)), f"{run}/checkpoints", DEFAULT,
                            trigger={"availableNow": True}, feature_sink=TableSink(f"{run}/features"),
                            windowed_sink=TableSink(f"{run}/flagged_windowed"),

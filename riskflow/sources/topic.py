@@ -21,6 +21,9 @@ MESSAGE_SCHEMA = T.StructType([
 ])
 
 
+#: Row groups of a file topic: a reader's tasks share a file by its row groups, so that they are
+#: as small as the least split Spark makes (``spark.sql.files.openCostInBytes``).
+ROW_GROUP_BYTES = 4 << 20
 #: File streams take every file, however old it is next to the newest one.
 MAX_FILE_AGE = "36500d"
 
@@ -100,7 +103,7 @@ class FileTopic:
     def write_batch(self, df: DataFrame, part: str) -> None:
         """Write one batch as sub-folder ``part`` (overwrite: a replayed
         batch replaces its own output instead of adding to it)."""
-        _messages(df).write.mode("overwrite").parquet(f"{self.path}/{part}")
+        _messages(df).write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{self.path}/{part}")
 
 
 def produce(df: DataFrame, topic: FileTopic | KafkaTopic, part: str = "batch-000000000000") -> None:
