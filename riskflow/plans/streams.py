@@ -130,10 +130,10 @@ def once_run(spark: SparkSession, sf_dir: str) -> str:
     """The flagged topic published twice, consumed in two batches with flags told once."""
     def make(run: str) -> None:
         flags = FileTopic(catalog.stream_run(spark, sf_dir), DEFAULT.flagged_topic).read(spark)
-        topic = FileTopic(run, DEFAULT.flagged_topic)
+        topic, files = FileTopic(run, DEFAULT.flagged_topic), catalog.part_files(spark, flags.count())
         for attempt in range(2):
-            produce(flags.coalesce(PART_FILES).repartition(PART_FILES), topic, part=f"batch-{attempt:04d}")
-        stream = once.once(topic.read_stream(spark, max_files_per_trigger=PART_FILES))
+            produce(flags.repartition(files), topic, part=f"batch-{attempt:04d}")
+        stream = once.once(topic.read_stream(spark, max_files_per_trigger=files))
         TableSink(f"{run}/once").start(stream, "once-" + run.rsplit("-", 1)[-1], f"{run}/checkpoints/once", NOW).awaitTermination()
     return catalog.cached_run(spark, sf_dir, "stream-once", make) + "/once"
 
