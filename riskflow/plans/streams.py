@@ -33,16 +33,17 @@ from riskflow.streaming.sinks import TableSink, TopicSink
 from riskflow.streaming.union import start_union
 
 NOW = {"availableNow": True}
-#: Parts of a replayed topic, one for each micro-batch, and files in a part.
-PARTS, PART_FILES = 8, 2
+#: Parts of a replayed topic, one for each micro-batch.
+PARTS = 8
 # Fixed values of the out-of-order replay (shared with the DuckDB SQL): by the
 # transaction's number modulo DELAY_OF, how many parts late it comes.
 DELAY_OF, DELAYS = 20, {7: 1, 13: 2, 17: 4}
 
 
-def replay(spark: SparkSession, sf_dir: str, topic: FileTopic, out_of_order: bool) -> None:
+def replay(spark: SparkSession, sf_dir: str, topic: FileTopic, out_of_order: bool) -> int:
     """The transactions onto ``topic`` in ``PARTS`` parts of equal spans of
-    event time, some of them parts late when ``out_of_order``."""
+    event time, some of them parts late when ``out_of_order``.  Returns the
+    number of files in a part, which a stream takes for a batch."""
     tx = read_transactions(spark, sf_dir)
     lo, hi = tx.agg(F.min("timestamp"), F.max("timestamp")).first()
     at = F.expr(f"(timestamp - {lo or 0}L) * {PARTS} div {(hi or 0) - (lo or 0) + 1}L")
@@ -51,14 +52,16 @@ def replay(spark: SparkSession, sf_dir: str, topic: FileTopic, out_of_order: boo
         for rest, parts in DELAYS.items():
             late = F.when(key == rest, parts).otherwise(late)
         at = F.least(at + late, F.lit(PARTS - 1))
+    files = catalog.part_files(spark, min(tx.agg(*[F.count_if(at == k).alias(f"n{k}") for k in range(PARTS)]).first()))
     for k in range(PARTS):
-        part = tx.filter(at == k).repartition(PART_FILES)
+        part = tx.filter(at == k).repartition(files)
         produce(ingest.to_wire(part), topic, part=f"batch-{k:04d}")
+    return files
 
 
-def start_replayed(spark: SparkSession, run: str, on_step: Callable | None = None):
-    """The window flow over a replayed topic, one part a batch."""
-    raw = FileTopic(run, DEFAULT.raw_topic).read_stream(spark, max_files_per_trigger=PART_FILES)
+def start_replayed(spark: SparkSession, run: str, files: int, on_step: Callable | None = None):
+    """The window flow over a replayed topic, one part (of ``files`` files) a batch."""
+    raw = FileTopic(run, DEFAULT.raw_topic).read_stream(spark, max_files_per_trigger=files)
     return windows.start_windows(raw, f"{run}/windows", f"{run}/checkpoints/windows", DEFAULT, trigger=NOW,
                                  name="windows-" + run.rsplit("-", 1)[-1], on_step=on_step,
                                  state_partitions=workspace.parallelism(spark))
@@ -66,8 +69,8 @@ def start_replayed(spark: SparkSession, run: str, on_step: Callable | None = Non
 
 def late_run(spark: SparkSession, sf_dir: str) -> str:
     def make(run: str) -> None:
-        replay(spark, sf_dir, FileTopic(run, DEFAULT.raw_topic), out_of_order=True)
-        start_replayed(spark, run).awaitTermination()
+        files = replay(spark, sf_dir, FileTopic(run, DEFAULT.raw_topic), out_of_order=True)
+        start_replayed(spark, run, files).awaitTermination()
     return catalog.cached_run(spark, sf_dir, "stream-late", make) + "/windows"
 
 
@@ -104,14 +107,14 @@ def interrupted_run(spark: SparkSession, sf_dir: str, batch: int = 3) -> str:
             raise Interrupted(f"cut off in batch {batch_id}")
 
     def make(run: str) -> None:
-        replay(spark, sf_dir, FileTopic(run, DEFAULT.raw_topic), out_of_order=False)
-        first = start_replayed(spark, run, fault)
+        files = replay(spark, sf_dir, FileTopic(run, DEFAULT.raw_topic), out_of_order=False)
+        first = start_replayed(spark, run, files, fault)
         try:
             first.awaitTermination()
         except Exception as e:  # noqa: BLE001 - Spark wraps the fault
             if "cut off in batch" not in str(e):
                 raise
-        start_replayed(spark, run).awaitTermination()
+        start_replayed(spark, run, files).awaitTermination()
     return catalog.cached_run(spark, sf_dir, "stream-restart", make) + "/windows"
 
 
@@ -155,10 +158,10 @@ def chained_run(spark: SparkSession, sf_dir: str) -> str:
     def make(run: str) -> None:
         suffix = "-" + run.rsplit("-", 1)[-1]
         raw, flagged = FileTopic(run, DEFAULT.raw_topic), FileTopic(run, DEFAULT.flagged_topic)
-        replay(spark, sf_dir, raw, out_of_order=False)
+        files = replay(spark, sf_dir, raw, out_of_order=False)
         # The topic exists before its first reader.
         produce(spark.createDataFrame([], "key string, value string"), flagged, part="batch-created")
-        flows = start_pipeline(raw.read_stream(spark, max_files_per_trigger=PART_FILES), TopicSink(flagged), f"{run}/checkpoints",
+        flows = start_pipeline(raw.read_stream(spark, max_files_per_trigger=files), TopicSink(flagged), f"{run}/checkpoints",
                                DEFAULT, trigger=NOW, name_suffix=suffix, state_partitions=workspace.parallelism(spark))
         follower = start_explainer(
             flagged.read_stream(spark, max_files_per_trigger=8), TopicSink(FileTopic(run, "explained")),
@@ -245,9 +248,9 @@ def q_stream_dead_letters(spark, sf_dir):
 def metrics_run(spark: SparkSession, sf_dir: str) -> str:
     def make(run: str) -> None:
         raw = FileTopic(run, DEFAULT.raw_topic)
-        replay(spark, sf_dir, raw, out_of_order=False)
+        files = replay(spark, sf_dir, raw, out_of_order=False)
         metrics = BatchMetrics(spark, f"{run}/metrics")
-        flows = start_pipeline(raw.read_stream(spark, max_files_per_trigger=PART_FILES), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
+        flows = start_pipeline(raw.read_stream(spark, max_files_per_trigger=files), TopicSink(FileTopic(run, DEFAULT.flagged_topic)),
                                f"{run}/checkpoints", DEFAULT, trigger=NOW, name_suffix="-" + run.rsplit("-", 1)[-1],
                                state_partitions=workspace.parallelism(spark), metrics=metrics)
         flows.await_termination()

@@ -279,3 +279,65 @@ def test_union_of_topics_under_both_policies(spark, scratch, policy):
         assert counts["f"] == 8
     with pytest.raises(ValueError):
         start_union([stream(spark, fast)], TopicSink(sink), f"{scratch}/ck3", "none")
+
+
+def events_table(spark, folder, rows=96):
+    """``events`` of ``rows`` rows, evenly over 30 days."""
+    at = F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 2592000 / {rows})")
+    spark.range(rows).select(F.col("id").alias("event_id"), at.alias("ts"), (F.col("id") % 5).alias("user_id"), F.lit("error").alias("event_type"),
+                             (F.col("id") * 10.0).alias("value"), F.lit("").alias("props")).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def files_of(topic):
+    return {p: len([f for f in os.listdir(f"{topic.path}/{p}") if f.endswith(".parquet")]) for p in sorted(os.listdir(topic.path))}
+
+
+def test_large_topics_have_a_file_for_every_slot(spark, scratch, monkeypatch):
+    monkeypatch.setattr(catalog, "FILE_ROWS", 1)
+    table, slots = events_table(spark, f"{scratch}/in"), min(workspace.parallelism(spark), 96 // streams.PARTS)
+    topic = FileTopic(scratch, "raw")
+    assert streams.replay(spark, table, topic, out_of_order=False) == slots
+    assert list(files_of(topic).values()) == [slots] * streams.PARTS
+    batches = catalog.stream_run_batches(spark, table)
+    assert len(set(files_of(FileTopic(batches, DEFAULT.raw_topic)).values())) == 1
+    assert files_of(FileTopic(batches, DEFAULT.raw_topic))["batch-0000"] > 2
+    run = streams.once_run(spark, table)
+    flagged = FileTopic(run.rsplit("/", 1)[0], DEFAULT.flagged_topic)
+    assert list(files_of(flagged).values()) == [workspace.parallelism(spark)] * 2
+    assert 0 < TableSink(run).read(spark).count() * 2 == flagged.read(spark).count()
+
+
+def test_small_parts_keep_two_files(spark):
+    assert catalog.part_files(spark, 0) == catalog.part_files(spark, 2 * catalog.FILE_ROWS) == 2
+
+
+def test_tasks_share_a_file_of_a_topic(spark, scratch):
+    topic = FileTopic(scratch, "big")
+    text = F.concat_ws("", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"-{k}")), 512) for k in range(16)])
+    produce(spark.range(0, 8000, 1, 1).select(F.lit("k").alias("key"), text.alias("value")), topic)
+    file, = glob.glob(f"{topic.path}/*/*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups > 2
+    assert topic.read(spark).count() == 8000
+
+
+def test_explainer_parses_a_message_once(spark, scratch, monkeypatch):
+    topic, calls = FileTopic(scratch, "flags"), []
+    messages(spark, topic, "batch-0", [flag(1), '{"a":'])
+    parse = payload.parse_flags
+
+    def kept(*args, **kw):
+        out = parse(*args, **kw)
+        calls.append(out)
+        return out
+    monkeypatch.setattr(payload, "parse_flags", kept)
+    seen = []
+
+    class Sink(TopicSink):
+        def write_batch(self, df, part):
+            seen.extend(c.storageLevel.useMemory for c in calls)
+            super().write_batch(df, part)
+    start_explainer(topic.read_stream(spark), Sink(FileTopic(scratch, "good")), Sink(FileTopic(scratch, "dead")), f"{scratch}/ck",
+                    trigger=NOW, name="parse-" + scratch[-6:]).awaitTermination()
+    assert seen == [True, True]          # one parsed frame, persisted for both outputs
+    assert FileTopic(scratch, "good").read(spark).count() == FileTopic(scratch, "dead").read(spark).count() == 1
