@@ -29,7 +29,14 @@ def explain_batch(messages: DataFrame, explainer: Callable | None, cfg: FraudCon
     """(results with a status per flag, undecodable dead letters) for one
     batch of flagged-topic messages.  Persist ``results`` before reading it
     twice: each flag must reach the explainer once."""
-    parsed = payload.parse_flags(messages)
+    return explain_parsed(payload.parse_flags(messages), explainer, cfg, retryable, sleep, max_tasks, pass_attempt)
+
+
+def explain_parsed(parsed: DataFrame, explainer: Callable | None, cfg: FraudConfig = DEFAULT,
+                   retryable: tuple = (explain.RetryableError,), sleep=None,
+                   max_tasks: int | None = None, pass_attempt: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``explain_batch`` of messages that ``parse_flags`` has parsed.  Both
+    results read ``parsed``: persist it, and each message is parsed once."""
     good = parsed.filter(F.col("_corrupt_record").isNull())
     # max_tasks: exactly that many balanced tasks call the service
     results = explain.explain_flags(good, explainer, cfg, retryable=retryable, sleep=sleep,
@@ -48,9 +55,9 @@ def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint
     explainer at once, each with ``cfg.explain_batch_size`` threads.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        parsed = payload.parse_flags(batch).persist()
         try:
-            results, undecodable = explain_batch(batch, explainer, cfg, retryable, sleep, max_tasks, pass_attempt)
+            results, undecodable = explain_parsed(parsed, explainer, cfg, retryable, sleep, max_tasks, pass_attempt)
             results = results.persist()      # one explainer call per flag, two outputs
             try:
                 part = f"{name}-{batch_id:012d}"
@@ -62,7 +69,7 @@ def start_explainer(flag_stream: DataFrame, explained_sink, dlq_sink, checkpoint
             finally:
                 results.unpersist()
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     counted = flag_stream.observe(
         "explain_input", F.count(F.lit(1)).alias("messages"))

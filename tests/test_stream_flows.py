@@ -3,22 +3,24 @@
 import collections
 import glob
 import json
+import os
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow import schemas
+from riskflow import schemas, workspace
 from riskflow.config import DEFAULT
 from riskflow.operators import avro, evolution, explain, ingest, payload, velocity
-from riskflow.plans import streams
+from riskflow.plans import catalog, streams
 from riskflow.sources.registry import REGISTRY_SCHEMA
 from riskflow.sources.topic import FileTopic, produce
 from riskflow.streaming import once, state, windows
-from riskflow.streaming.ledger import Ledger
-from riskflow.streaming.metrics import BatchMetrics, observed
 from riskflow.streaming import retry as retries
 from riskflow.streaming.explainer import start_explainer
+from riskflow.streaming.ledger import Ledger
+from riskflow.streaming.metrics import BatchMetrics, observed
 from riskflow.streaming.retry import start_retrying_explainer
 from riskflow.streaming.sinks import TableSink, TopicSink
 from riskflow.streaming.union import start_union
@@ -181,8 +183,6 @@ def test_retries_come_in_later_batches(spark, scratch):
     assert sorted(json.loads(r["v"])["attempt"] for r in waits) == [2, 2, 2, 3, 3]
 
 
-def test_metrics_of_batches(spark, scratch):
-    topic = FileTopic(scratch, "flags")
 def test_flags_of_a_slot_wait_together(spark, scratch, monkeypatch):
     monkeypatch.setattr(retries, "SLOT_FLAGS", 100)
     topic, retry = FileTopic(scratch, "flags"), FileTopic(scratch, "retry")
@@ -216,6 +216,8 @@ def test_flags_of_a_slot_wait_together(spark, scratch, monkeypatch):
     assert sorted(sizes.values()) == [50, 100, 100]
 
 
+def test_metrics_of_batches(spark, scratch):
+    topic = FileTopic(scratch, "flags")
     messages(spark, topic, "batch-0", [flag(1), flag(2)])
     messages(spark, topic, "batch-1", [flag(3)])
     metrics = BatchMetrics(spark, f"{scratch}/metrics")
